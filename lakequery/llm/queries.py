@@ -29,9 +29,29 @@ def op3_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(_docs(spark, sf_dir).select("doc_id", "text")).drop("text")
 
 
+def op4_simhash_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakequery.llm.simhash_decontam import find_matches
+
+    return find_matches(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op6_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakequery.llm.language_mixture import identify
+
+    return identify(_docs(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakequery.llm.source_mix import mix_sources
+
+    return mix_sources(_docs(spark, sf_dir).select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from lakequery.llm import source_mix
+
+    return {"op7_source_mix": source_mix.SQL}
