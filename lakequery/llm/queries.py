@@ -35,6 +35,12 @@ def op4_simhash_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_matches(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakequery.llm.ppm import score_documents
+
+    return score_documents(_docs(spark, sf_dir))
+
+
 def op6_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakequery.llm.language_mixture import identify
 
