@@ -53,6 +53,14 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_docs(spark, sf_dir).select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from lakequery.llm.pfor_tokens import read_tokens, write_tokens
+
+    return read_tokens(write_tokens(_docs(spark, sf_dir), str(public_tokenizers.path("byte_bpe_50k.json"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
