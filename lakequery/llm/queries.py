@@ -53,6 +53,12 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_docs(spark, sf_dir).select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakequery.llm.mcd_quality import judge
+
+    return judge(_docs(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 def op10_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
