@@ -59,6 +59,12 @@ def op8_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_docs(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op9_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakequery.llm.disclosure import sanitise
+
+    return sanitise(_docs(spark, sf_dir)).drop("sanitised")
+
+
 def op10_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
