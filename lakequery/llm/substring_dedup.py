@@ -255,6 +255,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     where = pieces.select(F.col("h").alias("ph"), "off", F.col("unit").alias("pu")).distinct()
     stretches = where.join(found, where["pu"] == found["unit"]).select("ph", (F.col("off") + F.col("at")).alias("at"), "many", "least")
     hits = runs.join(stretches, runs["h"] == stretches["ph"]).where("least < k").select(F.col("rid").alias("hrid"), F.struct((F.col("first") + F.col("at")).alias("a"), (F.col("first") + F.col("at") + F.col("many") + WINDOW - 1).alias("b")).alias("c"))
-    covered = hits.groupBy("hrid").agg(F.collect_set("c").alias("covered"))
+    covered = materialize(hits.groupBy("hrid").agg(F.collect_set("c").alias("covered")), "repeats-covered")
+    release(spark)
     full = source.select("doc_id", "rid", "text")
     return full.join(covered, full["rid"] == covered["hrid"], "left").select("doc_id", "text", "covered").mapInArrow(_strip, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, spans array<struct<first:int,end:int>>")
