@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Trailing legal forms of company names, words an acronym skips, and what counts as true.
 LEGAL_SUFFIXES = ("inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "llc", "lp", "plc", "sa", "ag", "nv", "se", "spa", "gmbh", "bv", "holdings", "holding", "group", "trust")
@@ -35,13 +36,13 @@ def compact(c: Column) -> Column:
     return F.replace(c, F.lit(" "), F.lit(""))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of a to b, in this order (it is not symmetric)."""
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(c: pd.Series) -> pd.Series:
     return c.map(lambda x: None if x is None else " ".join(unicodedata.normalize("NFKC", x).lower().split()))
 

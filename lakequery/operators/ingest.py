@@ -126,7 +126,7 @@ def first_links(spark: SparkSession, options: dict) -> DataFrame:
 @adapter("eurostat")
 def toc_codes(spark: SparkSession, options: dict) -> DataFrame:
     """Codes of a tab-separated table of contents, each once, in the order of their first place."""
-    rows = options["lines"].select("ord", F.trim(F.lit('"'), F.try_element_at(F.split("value", "\t"), F.lit(2))).alias("key")).where(F.col("key").rlike("^[a-z0-9_]{4,40}$"))
+    rows = options["lines"].select("ord", F.trim(F.try_element_at(F.split("value", "\t"), F.lit(2)), F.lit('"')).alias("key")).where(F.col("key").rlike("^[a-z0-9_]{4,40}$"))
     return rows.groupBy("key").agg(F.min("ord").alias("ord")).orderBy("ord").limit(options.get("limit", 1000)).select("key")
 
 

@@ -38,7 +38,7 @@ def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_tickers(spark: SparkSession, path: str) -> DataFrame:
     """Company tickers, from an object of objects or an array; cik or cik_str, title or name. ord is the place in the file."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     row = "struct<cik_str:string,cik:string,ticker:string,title:string,name:string>"
     listed = F.from_json("value", f"array<{row}>")
     keyed = F.map_values(F.from_json("value", f"map<string,{row}>"))
@@ -48,7 +48,7 @@ def read_tickers(spark: SparkSession, path: str) -> DataFrame:
 
 def read_exchange(spark: SparkSession, path: str) -> DataFrame:
     """Columnar JSON: fields and rows of data."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     parsed = raw.select(F.from_json("value", "struct<fields:array<string>,data:array<array<string>>>").alias("j"))
     rows = parsed.select("j.fields", F.posexplode("j.data").alias("ord", "d")).select("ord", F.map_from_arrays("fields", "d").alias("m"))
     get = lambda k: F.try_element_at("m", F.lit(k))
@@ -59,12 +59,12 @@ def read_filing_index(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Pipe-delimited filing indexes with a preamble; file and line numbers are kept, as ties go to the first line."""
     out = None
     for k, path in enumerate(paths):
-        lines = spark.read.option("encoding", "ISO-8859-1").option("wholetext", "true").text(path)
-        part = lines.select(F.posexplode(F.split(F.decode(F.encode("value", "UTF-8"), "UTF-8"), "\r?\n")).alias("line", "value")).withColumn("file", F.lit(k))
+        lines = spark.read.option("encoding", "ISO-8859-1").text(path, wholetext=True)
+        part = lines.select(F.posexplode(F.split("value", "\r?\n")).alias("line", "value")).withColumn("file", F.lit(k))
         out = part if out is None else out.union(part)
     f = F.split("value", r"\|", -1)
     rows = out.where(F.size(f) == 5).select("file", "line", *(F.trim(f[i]).alias(c) for i, c in enumerate(("cik", "company_name", "form", "date", "filename"))))
-    return rows.withColumn("filing_date", F.try_to_date("date", F.lit("yyyy-MM-dd"))).where("filing_date is not null").drop("date")
+    return rows.withColumn("filing_date", F.try_to_date("date", "yyyy-MM-dd")).where("filing_date is not null").drop("date")
 
 
 def read_adjudications(spark: SparkSession, path: str) -> DataFrame:
@@ -98,9 +98,9 @@ def issuer_metadata(members: DataFrame, companies: DataFrame) -> DataFrame:
 
 def read_series_matrix(spark: SparkSession, path: str, begin: str = "!series_matrix_table_begin", end: str = "!series_matrix_table_end") -> DataFrame:
     """Tab-separated lines between two marker lines, with their line numbers."""
-    lines = spark.read.option("wholetext", "true").text(path).select(F.split("value", "\r?\n").alias("ls"))
+    lines = spark.read.text(path, wholetext=True).select(F.split("value", "\r?\n").alias("ls"))
     lines = lines.select(F.array_position("ls", begin).cast("int").alias("a"), F.array_position("ls", end).cast("int").alias("b"), "ls")
-    return lines.select(F.posexplode(F.slice("ls", F.col("a") + 1, F.col("b") - F.col("a") - 1)).alias("line", "value")).select("line", F.transform(F.split("value", "\t"), lambda x: F.trim(F.lit('"'), x)).alias("cells"))
+    return lines.select(F.posexplode(F.slice("ls", F.col("a") + 1, F.col("b") - F.col("a") - 1)).alias("line", "value")).select("line", F.transform(F.split("value", "\t"), lambda x: F.trim(x, F.lit('"'))).alias("cells"))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
@@ -116,7 +116,7 @@ def within_budget(listing: DataFrame, budget: int, suffix: str = "", key: str =
 
 def scan_guard(df: DataFrame, most_bytes: int) -> DataFrame:
     """Refuse a plan whose estimated input is larger."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size > most_bytes:
         raise ValueError(f"the scan would read about {size} bytes; the limit is {most_bytes}")
     return df
