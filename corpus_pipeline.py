@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.llm.common import NO_ID, materialize
+from lakequery.llm.common import materialize
 from lakequery.llm.hash_tree import assign_shards
 from lakequery.llm.language_mixture import identified
-from lakequery.llm.minmax_dedup import near_duplicates
+from lakequery.llm.minmax_dedup import without_near_duplicates
 from lakequery.llm.simhash_decontam import without_matches
 from lakequery.llm.source_mix import mix_sources
 
@@ -26,12 +26,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group linked at 80 % of 5-word shingles; of repeated rows with that doc_id one stays."""
-    kept = near_duplicates(docs, percent=80, bands=32).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_kept_id")).distinct()
-    one = docs.join(kept, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("_kept_id"), "left_semi")
-    if docs.select("doc_id").distinct().count() < docs.count():
-        one = one.dropDuplicates(["doc_id"])
-    return one
+    """The document with the smallest doc_id of each group linked at 80 % of 5-word shingles."""
+    return without_near_duplicates(docs, percent=80, bands=32)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -132,26 +132,24 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def components(edges: DataFrame, tag: str = "cc") -> DataFrame:
-    """Connected components of edges (u, v), as (node, root) for every node of an edge; root is the smallest node.
+    """Connected components of edges (u, v), as (node, root) for every node of an edge; a root is a node of its component.
 
-    Each round points every node at its smallest neighbour, shortens the chains, and contracts the edges, so the number of
-    rounds is logarithmic and nothing but counts reaches the driver. Hubs are partially aggregated before the shuffle."""
+    Each round points every node at its smallest neighbour and contracts the edges. Node ids must be hashes, so that their order is random: then a
+    round leaves an expected constant share of the nodes, and stars need one round. Nothing but emptiness reaches the
+    driver; hubs are partially aggregated before the shuffle."""
     e = edges.where("u <> v")
     mapping = None
     while True:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         p = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("p")), f"{tag}-parent")
-        if p.isEmpty():
-            break
-        for _ in range(2):
-            q = p.select(F.col("u").alias("qu"), F.col("p").alias("qp"))
-            p = p.join(q, p["p"] == q["qu"], "left").select("u", F.coalesce("qp", "p").alias("p"))
-        p = materialize(p, f"{tag}-jump")
         if mapping is None:
             mapping = p.select(F.col("u").alias("node"), F.col("p").alias("root"))
+        elif p.isEmpty():
+            return mapping
         else:
-            mapping = mapping.join(p, mapping["root"] == p["u"], "left").select("node", F.coalesce("p", "root").alias("root"))
-        mapping = materialize(mapping, f"{tag}-map")
+            q = p.select(F.col("u").alias("qu"), F.col("p").alias("qp"))
+            mapping = materialize(mapping.join(q, mapping["root"] == q["qu"], "left").select("node", F.coalesce("qp", "root").alias("root")), f"{tag}-map")
         pu, pv = p.select(F.col("u").alias("au"), F.col("p").alias("ap")), p.select(F.col("u").alias("bu"), F.col("p").alias("bp"))
         e = materialize(e.join(pu, e["u"] == pu["au"]).join(pv, e["v"] == pv["bu"]).where("ap <> bp").select(F.least("ap", "bp").alias("u"), F.greatest("ap", "bp").alias("v")).distinct(), f"{tag}-edges")
-    return mapping if mapping is not None else p.select(F.col("u").alias("node"), F.col("p").alias("root"))
+        if e.isEmpty():
+            return mapping

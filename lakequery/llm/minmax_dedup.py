@@ -4,9 +4,11 @@ Each random permutation of a document's 5-word shingles gives two signature valu
 as many hash evaluations fill a signature as with minima alone, and the estimate stays unbiased with lower variance. Bands of four
 values (two permutations' extremes) make candidates; every link is confirmed on the full shingle sets.
 
-Equal sets are one node from the start. Inside a bucket no pair list is made: nodes are compared with a representative
+Equal sets are one node from the start. A shingle that no other candidate holds can be in no intersection, which bounds a node's
+similarity to any other: nodes and pairs that can't reach the threshold leave before a set is compared, so copies
+edited too much for a link cost nothing, however many they are. Inside a bucket no pair list is made: nodes are compared with a representative
 (the node that shares most buckets with others, so the centre of a group of edited copies), the links are contracted, and
-only buckets that still hold several components go on, with twice as many representatives in each round, until every
+only buckets that still hold several components go on, with more representatives in each round, until every
 pair of different components of every bucket has been compared. There is no cap: the rounds end when nothing is left."""
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import Window as W
 from lakequery.llm.common import NO_ID, U64, Rolling, components, ids_of, materialize, mix, release, signed, slices, split_words, texts_of, word_hashes
 
 SHINGLE = 5
+#: By which the number of representatives of an open bucket grows from round to round.
+GROWTH = 8
 
 
 def shingles(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +71,7 @@ def _signed(bands: int):
             n = np.diff(starts)
             fp = mix((sums[starts[1:]] - sums[starts[:-1]]) ^ mix(n.astype(U64)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(b.schema.get_field_index("k")), pa.array(n), pa.array(signed(fp)), pa.FixedSizeListArray.from_arrays(pa.array(signed(band.ravel())), bands).cast(pa.list_(pa.int64()))], names=["k", "n", "fp", "bands"]
+                [b.column(b.schema.get_field_index("k")), b.column(b.schema.get_field_index("rid")), pa.array(n), pa.array(signed(fp)), pa.FixedSizeListArray.from_arrays(pa.array(signed(band.ravel())), bands).cast(pa.list_(pa.int64()))], names=["k", "rid", "n", "fp", "bands"]
             )
 
     return run
@@ -79,6 +83,13 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("fp")), pa.array([h[starts[i] : starts[i + 1]].tobytes() for i in range(b.num_rows)], pa.binary())], names=["fp", "shingles"])
 
 
+def _exploded(batches):
+    for b in batches:
+        sets = [np.frombuffer(x, dtype=np.int64) for x in ids_of(b, "shingles")]
+        fp = np.repeat(np.asarray(ids_of(b, "fp"), dtype=np.int64), [len(x) for x in sets])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets) if sets else fp), pa.array(fp)], names=["h", "fp"])
+
+
 def _linked(percent: int):
     def run(batches):
         for b in batches:
@@ -89,13 +100,13 @@ def _linked(percent: int):
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * common >= percent * (len(both) - common))
-            yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            yield b.select(["u", "v", "cu", "cv"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = 24) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, n_links for every document; linked are documents with 100 * intersection >= percent * union.
+    """doc_id, n_shingles, component_id, kept, n_links, rid (hash of doc_id and text), group (of the component) for every document; linked are documents with 100 * intersection >= percent * union.
 
     A set holds the distinct 5-word shingles of the text with A-Z lower-cased; a text of fewer words is one shingle. An empty or
     null text has no shingles and is linked with nothing. Rows with equal sets are always linked, repeated rows too. A null
@@ -103,45 +114,48 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = 24) -> Data
     are never the smallest and are kept only if alone. At 24 bands a pair at the threshold of 85 is missed with odds under
     1e-7. `n_links` counts the confirmed links of the document's set to other sets that the rounds needed. Other columns are ignored."""
     spark = docs.sparkSession
-    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("k"), "text")
-    sig = materialize(source.mapInArrow(_signed(bands), "k long, n long, fp long, bands array<long>"), "minmax-signatures")
+    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("k"), F.xxhash64("doc_id", "text").alias("rid"), "text")
+    sig = materialize(source.mapInArrow(_signed(bands), "k long, rid long, n long, fp long, bands array<long>"), "minmax-signatures")
     nodes = sig.where("n > 0").groupBy("fp").agg(F.min("k").alias("k"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     rows = materialize(nodes.select("fp", "k", "n", F.explode("bands").alias("b")), "minmax-bands")
     sizes = rows.groupBy(F.col("b").alias("sb")).agg(F.count("*").alias("size")).where("size > 1")
     shared = materialize(rows.join(sizes, rows["b"] == sizes["sb"]).select("b", "fp", "n", "k", "size"), "minmax-buckets")
-    score = shared.groupBy(F.col("fp").alias("sfp")).agg(F.sum("size").alias("score"))
-    open_ = materialize(shared.join(score, shared["fp"] == score["sfp"]).select("b", "fp", "n", "score", F.lit(False).alias("used"), F.col("fp").alias("c")), "minmax-open")
     # texts of candidates alone are cut into sets again; each set once
     wanted = shared.groupBy(F.col("fp").alias("wfp")).agg(F.min("k").alias("wk"))
     place = sig.select(F.col("k").alias("pk"), F.col("fp").alias("pfp")).join(wanted, (F.col("pk") == F.col("wk")) & (F.col("pfp") == F.col("wfp"))).select("pk", F.col("pfp").alias("fp")).distinct()
     sets = materialize(_candidate_sets(source, place), "minmax-sets")
+    lone = sets.mapInArrow(_exploded, "h long, fp long").groupBy("h").agg(F.count("*").alias("c"), F.min("fp").alias("lfp")).where("c = 1").groupBy("lfp").agg(F.count("*").alias("lone"))
+    can = shared.join(lone, shared["fp"] == lone["lfp"], "left").withColumn("s", F.col("n") - F.coalesce("lone", F.lit(0))).where(F.col("s") * 100 >= F.col("n") * percent)
+    can = materialize(can.select("b", "fp", "n", "s", "size"), "minmax-linkable")
+    score = can.groupBy(F.col("fp").alias("sfp")).agg(F.sum("size").alias("score"))
+    open_ = materialize(can.join(score, can["fp"] == score["sfp"]).select("b", "fp", "n", "s", "score", F.lit(False).alias("used"), F.col("fp").alias("c")), "minmax-open")
     release(spark)
-    links = None
+    links, root = None, None
     width = 1
     while True:
         reps = _representatives(open_, width)
-        pairs = open_.join(reps, open_["b"] == reps["rb"]).where("fp <> rfp and c <> rc").where(F.col("n") * 100 >= F.col("rn") * percent).where(F.col("rn") * 100 >= F.col("n") * percent)
-        pairs = pairs.select(F.least("fp", "rfp").alias("u"), F.greatest("fp", "rfp").alias("v")).distinct()
-        if links is not None:
-            pairs = pairs.join(links.select(F.col("u").alias("lu"), F.col("v").alias("lv")), (F.col("u") == F.col("lu")) & (F.col("v") == F.col("lv")), "left_anti")
+        most = F.least("s", "rs")  # the intersection has no lone shingle
+        pairs = open_.where("not used").join(reps, F.col("b") == F.col("rb")).where("fp <> rfp and c <> rc").where(most * 100 >= (F.col("n") + F.col("rn") - most) * percent)
+        pairs = pairs.select(F.least("fp", "rfp").alias("u"), F.greatest("fp", "rfp").alias("v"), F.when(F.col("fp") < F.col("rfp"), F.col("c")).otherwise(F.col("rc")).alias("cu"), F.when(F.col("fp") < F.col("rfp"), F.col("rc")).otherwise(F.col("c")).alias("cv")).distinct()
         x, y = sets.select(F.col("fp").alias("xf"), F.col("shingles").alias("sx")), sets.select(F.col("fp").alias("yf"), F.col("shingles").alias("sy"))
-        found = pairs.join(x, pairs["u"] == x["xf"]).join(y, pairs["v"] == y["yf"]).select("u", "v", "sx", "sy").mapInArrow(_linked(percent), "u long, v long")
+        found = pairs.join(x, pairs["u"] == x["xf"]).join(y, pairs["v"] == y["yf"]).select("u", "v", "cu", "cv", "sx", "sy").mapInArrow(_linked(percent), "u long, v long, cu long, cv long")
         found = materialize(found, "minmax-links")
-        links = found if links is None else materialize(links.union(found), "minmax-all-links")
+        links = found.select("u", "v") if links is None else links.union(found.select("u", "v"))
         release(spark)
-        root = components(links, "minmax-cc")
-        open_ = _still_open(open_, reps, root)
+        new = components(found.select(F.col("cu").alias("u"), F.col("cv").alias("v")), "minmax-cc")
+        root = _composed(root, new)
+        open_ = _still_open(open_, reps, new)
         if open_.isEmpty():
             break
-        width *= 2
+        width *= GROWTH
     member = nodes.select("fp", "k").join(root.select("node", "root"), F.col("fp") == F.col("node"), "left").select("fp", "k", F.coalesce("root", "fp").alias("c"))
     least = member.groupBy(F.col("c").alias("lc")).agg(F.min("k").alias("component_id"))
     degree = links.select(F.col("u").alias("x")).union(links.select(F.col("v").alias("x"))).groupBy(F.col("x").alias("df")).agg(F.count("*").alias("n_links"))
-    member = member.join(least, member["c"] == least["lc"]).join(degree, F.col("fp") == F.col("df"), "left").select(F.col("fp").alias("mf"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    member = member.join(least, member["c"] == least["lc"]).join(degree, F.col("fp") == F.col("df"), "left").select(F.col("fp").alias("mf"), F.col("c").alias("group"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = sig.join(member, (sig["fp"] == member["mf"]) & (sig["n"] > 0), "left")
     none = F.lit(NO_ID)
     ident = F.coalesce("component_id", "k")
-    return out.select(F.nullif("k", none).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(ident, none).alias("component_id"), (F.col("k") == ident).alias("kept"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out.select(F.nullif("k", none).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(ident, none).alias("component_id"), (F.col("k") == ident).alias("kept"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "rid", "group")
 
 
 def _candidate_sets(source: DataFrame, place: DataFrame) -> DataFrame:
@@ -153,20 +167,56 @@ def _candidate_sets(source: DataFrame, place: DataFrame) -> DataFrame:
 def _representatives(open_: DataFrame, width: int) -> DataFrame:
     """Up to width unused nodes of each bucket outside its largest component (in the first round, of any), by score."""
     if width == 1:
-        best = open_.groupBy(F.col("b").alias("rb")).agg(F.max(F.struct("score", "fp", "n", "c")).alias("r"))
-        return best.select("rb", F.col("r.fp").alias("rfp"), F.col("r.n").alias("rn"), F.col("r.c").alias("rc"))
+        best = open_.groupBy(F.col("b").alias("rb")).agg(F.max(F.struct("score", "fp", "n", "s", "c")).alias("r"))
+        return best.select("rb", F.col("r.fp").alias("rfp"), F.col("r.n").alias("rn"), F.col("r.s").alias("rs"), F.col("r.c").alias("rc"))
     size = open_.groupBy("b", "c").agg(F.count("*").alias("m"))
     largest = size.groupBy(F.col("b").alias("gb")).agg(F.max(F.struct("m", "c")).alias("g")).select("gb", F.col("g.c").alias("gc"))
     rest = open_.join(largest, open_["b"] == largest["gb"]).where("c <> gc and not used")
-    ranked = rest.select("b", "fp", "n", "c", F.row_number().over(W.partitionBy("b").orderBy(F.desc("score"), "fp")).alias("r")).where(F.col("r") <= width)
-    return ranked.select(F.col("b").alias("rb"), F.col("fp").alias("rfp"), F.col("n").alias("rn"), F.col("c").alias("rc"))
+    ranked = rest.select("b", "fp", "n", "s", "c", F.row_number().over(W.partitionBy("b").orderBy(F.desc("score"), "fp")).alias("r")).where(F.col("r") <= width)
+    return ranked.select(F.col("b").alias("rb"), F.col("fp").alias("rfp"), F.col("n").alias("rn"), F.col("s").alias("rs"), F.col("c").alias("rc"))
+
 
+def _composed(root: DataFrame | None, new: DataFrame) -> DataFrame:
+    """Components of nodes after a round that joined components; a component's name is one of its nodes."""
+    if root is None:
+        return new
+    moved = new.select(F.col("node").alias("nn"), F.col("root").alias("nr"))
+    old = root.join(moved, root["root"] == moved["nn"], "left").select("node", F.coalesce("nr", "root").alias("root"))
+    fresh = new.join(root.select(F.col("node").alias("on")), new["node"] == F.col("on"), "left_anti")
+    return materialize(old.union(fresh), "minmax-roots")
 
-def _still_open(open_: DataFrame, reps: DataFrame, root: DataFrame) -> DataFrame:
+
+def _still_open(open_: DataFrame, reps: DataFrame, new: DataFrame) -> DataFrame:
     """Buckets in which a pair of different components is left that no round has compared."""
     used = reps.select(F.col("rb").alias("ub"), F.col("rfp").alias("uf"))
-    now = open_.join(used, (F.col("b") == F.col("ub")) & (F.col("fp") == F.col("uf")), "left").join(root.select("node", "root"), F.col("fp") == F.col("node"), "left")
-    now = materialize(now.select("b", "fp", "n", "score", (F.col("used") | F.col("uf").isNotNull()).alias("used"), F.coalesce("root", "c").alias("c")), "minmax-state")
-    # compared are all pairs with a used node, so at least two unused nodes of different components must be left
-    left = now.where("not used").groupBy(F.col("b").alias("ob")).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("ob")
+    now = open_.join(used, (F.col("b") == F.col("ub")) & (F.col("fp") == F.col("uf")), "left").join(new, F.col("c") == F.col("node"), "left")
+    now = now.select("b", "fp", "n", "s", "score", (F.col("used") | F.col("uf").isNotNull()).alias("used"), F.coalesce("root", "c").alias("c"))
+    now = materialize(now.where("not used"), "minmax-state")  # used nodes have been compared with all of their bucket
+    left = now.groupBy(F.col("b").alias("ob")).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("ob")
     return materialize(now.join(left, now["b"] == left["ob"], "left_semi"), "minmax-open")
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = 80, bands: int = 32) -> DataFrame:
+    """One row of docs, all columns, of each component: that with the smallest doc_id (null last, ties by the hash of doc_id and
+    text; of identical rows any one). All rows without a word stay."""
+    found = materialize(near_duplicates(docs, percent, bands).select("doc_id", "rid", "group"), "minmax-found")
+    first = found.where("`group` is not null").groupBy("group").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("k"), "rid")).alias("r")).select(F.col("r.rid").alias("_kept_rid"))
+    keep = first.union(found.where("`group` is null").select("rid")).distinct()
+    out = docs.withColumn("_rid", F.xxhash64("doc_id", "text")).join(keep, F.col("_rid") == F.col("_kept_rid"), "left_semi")
+    if found.where("`group` is not null").groupBy("rid").count().where("count > 1").isEmpty():
+        return out.drop("_rid")
+    words = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) > 0
+    return out.where(words).dropDuplicates(["_rid"]).union(out.where(~words)).drop("_rid")
+
+
+#: The result of the registered query in the oracle's SQL.
+SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM p JOIN n x ON u = x.doc_id JOIN n y ON v = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r AS (SELECT doc_id, doc_id AS m FROM d UNION SELECT e.v, r.m FROM r JOIN e ON r.doc_id = e.u)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.m) AS component_id, d.doc_id = min(r.m) AS kept FROM d JOIN r ON d.doc_id = r.doc_id LEFT JOIN n ON d.doc_id = n.doc_id GROUP BY d.doc_id
+"""

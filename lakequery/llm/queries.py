@@ -78,6 +78,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from lakequery.llm import source_mix
+    from lakequery.llm import minmax_dedup, source_mix, substring_dedup
 
-    return {"op7_source_mix": source_mix.SQL}
+    return {"op1_substring_dedup": substring_dedup.SQL, "op2_minmax_dedup": minmax_dedup.SQL, "op7_source_mix": source_mix.SQL}

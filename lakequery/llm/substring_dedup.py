@@ -259,3 +259,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     release(spark)
     full = source.select("doc_id", "rid", "text")
     return full.join(covered, full["rid"] == covered["hrid"], "left").select("doc_id", "text", "covered").mapInArrow(_strip, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, spans array<struct<first:int,end:int>>")
+
+
+#: The same result in the oracle's SQL.
+SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+v AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+f AS (SELECT h, min(doc_id) AS lo FROM v GROUP BY h),
+c AS (SELECT DISTINCT doc_id, i + k AS p FROM (SELECT doc_id, i FROM v JOIN f USING (h) WHERE lo < doc_id), range(50) AS r(k)),
+k AS (SELECT t.doc_id, count(*) AS n_words, count(c.p) AS n_removed, string_agg(word, ' ' ORDER BY t.p) FILTER (WHERE c.p IS NULL) AS kept FROM t LEFT JOIN c ON t.doc_id = c.doc_id AND t.p = c.p GROUP BY t.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
