@@ -27,7 +27,7 @@ PART_STRINGS = 3_000_000
 COMMON = 500_000
 END_TOKEN = b"\x00end"
 #: Words or strings a task holds before it hands their counts on.
-HELD = 1_500_000
+HELD = 1_000_000
 
 
 def held_out(modulus: int = 7) -> Column:
@@ -74,7 +74,7 @@ def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _count(order: int):
     def run(batches):
         held: list[list] = [[], []]
-        for b in slices(batches):
+        for b in slices(batches, limit=2_000_000):
             texts = [t.lower() for t in texts_of(b)]
             for kind, (keys, _) in enumerate((strings(texts, order), _tokens(texts))):
                 held[kind].append(np.unique(keys, return_counts=True))
@@ -210,7 +210,7 @@ def _trie(tag: str, held) -> Trie:
 def _score(tag: str, held, part: int, parts: int, common, order: int):
     def run(batches):
         trie = _trie(tag, held)
-        for b in slices(batches):
+        for b in slices(batches, limit=2_000_000):
             texts = [t.lower() for t in texts_of(b)]
             keys, starts = strings(texts, order)
             if parts > 1:
