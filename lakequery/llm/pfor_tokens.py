@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,8 @@ BLOCK = 128
 PERCENTILE = 0.9
 MAGIC = 0x31524650
 HEAD = 7
-#: Distinct pieces a worker remembers; when there are more it starts anew.
-REMEMBERED = 800_000
+#: Distinct pieces a worker remembers; with more it starts anew before the next texts.
+REMEMBERED = 1_600_000
 END_ID = 0
 
 
@@ -98,7 +99,7 @@ class Pieces:
     """A tokenizer that encodes each distinct piece once."""
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
-    ODD = re.compile(r"\s\s|^\s|\s$")
+    ODD = re.compile(r"\s\s")
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -120,18 +121,17 @@ class Pieces:
         n = np.zeros(len(texts), dtype=np.int64)
         for i, t in enumerate(texts):
             if t:
-                parts = self.CUT.split(t) if self.ODD.search(t) else t.split(" ")
+                parts = self.CUT.split(t) if t[0].isspace() or t[-1].isspace() or self.ODD.search(t) else t.split(" ")
                 parts[0] = " " + parts[0]  # marks the first; no other piece starts with a space
                 n[i] = len(parts)
                 pieces += parts
-        codes = np.zeros(0, dtype=np.int64)
-        if pieces:
-            d = pa.array(pieces, type=pa.large_string()).dictionary_encode()
-            distinct = d.dictionary.to_pylist()
-            if len(self.place) + len(distinct) > REMEMBERED:
-                self._forget()
-            self._learn([p for p in distinct if p not in self.place])
-            codes = np.fromiter((self.place[p] for p in distinct), dtype=np.int64, count=len(distinct))[d.indices.to_numpy()]
+        if len(self.place) > REMEMBERED:
+            self._forget()
+        codes = np.fromiter(map(self.place.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
+        new = np.flatnonzero(codes < 0)
+        if len(new):
+            self._learn(list(dict.fromkeys(pieces[i] for i in new)))
+            codes[new] = [self.place[pieces[i]] for i in new]
         size = self.starts[codes + 1] - self.starts[codes]
         owner = np.repeat(np.arange(len(texts)), n)
         per_text = np.bincount(owner, weights=size, minlength=len(texts)).astype(np.int64) + 1
