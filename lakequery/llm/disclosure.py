@@ -126,8 +126,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     near = materialize(pairs.select(F.explode("p").alias("p")).groupBy("p.e", "p.term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= LEAST_DOCS), "disclosure-pairs")
     entities = pairs.select(F.explode("es").alias("ee")).groupBy("ee").agg(F.count("*").alias("n_e"))
     candidates = materialize(near.select(F.col("term").alias("ct")).distinct(), "disclosure-candidates")
-    used = docs.select(F.explode(_terms(F.col("text"))).alias("t")).join(_small(candidates), F.col("t") == F.col("ct"), "left_semi")
-    n_t = used.groupBy("t").agg(F.count("*").alias("n_t"))
+    used = docs.select(F.explode(_terms(F.col("text"))).alias("t")).groupBy("t").agg(F.count("*").alias("n_t"))
+    n_t = used.join(_small(candidates), F.col("t") == F.col("ct")).select("t", "n_t")  # inner: a semi join would go below the counts
     total = docs.select("doc_id").count()
     both = near.join(entities, near["e"] == entities["ee"]).join(n_t, F.col("term") == F.col("t"))
     certainty, bits = F.col("n_te") / F.col("n_t"), F.log2(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
