@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -287,6 +288,32 @@ def test_quality(spark, docs, empty):
     assert not any(v for k, v in kept.items() if k >= 20000) and all(v for k, v in kept.items() if k < 20000)
 
 
+def test_quality_alone(spark):
+    """Each statistic rejects by itself, and small deviations do not."""
+    from lakequery.llm.mcd_quality import judge
+
+    r = random.Random(8)
+    word = lambda n=5: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    plain = lambda n: [word(r.randint(3, 7)) for _ in range(n)]
+    made = [(i, "\n".join(" ".join(plain(10)) for _ in range(10))) for i in range(200)]
+    phrase = plain(15)
+    made += [
+        (1000, " ".join(word(11) for _ in range(100))),
+        (1001, " ".join(word(2) for _ in range(100))),
+        (1002, " ".join(w + "#" * (i % 5 == 0) for i, w in enumerate(plain(100)))),
+        (1003, "\n".join("same" if i % 2 else w for i, w in enumerate(plain(100)))),
+        (1004, " ".join(plain(35) + phrase + plain(35) + phrase)),
+        (2000, " ".join(plain(97) + phrase[:3] + plain(97) + phrase[:3])),
+        (2001, "\n".join(["same", *plain(48), "same"])),
+        (2002, " ".join(plain(50) + ["#" + word()] + plain(50))),
+    ]
+    got = {x.doc_id: x for x in judge(spark.createDataFrame([(k, "en", "s", t) for k, t in made], "doc_id long, lang string, source string, text string")).collect()}
+    assert not any(x.base_failed for x in got.values())
+    rates = {k: (got[k].n_symbols > 0, got[k].n_dup_lines > 0, got[k].n_repeat_words > 0) for k in range(1000, 1005)}
+    assert rates == {1000: (False,) * 3, 1001: (False,) * 3, 1002: (True, False, False), 1003: (False, True, False), 1004: (False, False, True)}
+    assert {k for k, x in got.items() if not x.kept} == set(range(1000, 1005))
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
