@@ -2,8 +2,10 @@
 
 Base entities are found by patterns and checks. The corpus then tells how strongly a term near an entity discloses it: with N
 documents, n(t) that hold the term, n(e) that hold the entity and n(t,e) that hold the term near the entity, the
-term's disclosure is log2(N n(t,e) / (n(t) n(e))) bits and its certainty n(t,e) / n(t). A term that exceeds both thresholds with
-enough documents behind it is generalised wherever it occurs, or removed where its certainty is high.
+entity's share is p = n(e) / N and the term's certainty (n(t,e) - p n(t)) / ((n(t) + PRIOR) (1 - p)): how far the term raises the odds of the
+entity from its share towards one, were the term also in PRIOR documents that hold the entity by that share. It depends on shares, not
+on N. A term above the threshold is generalised wherever it occurs, or removed where its certainty is high; its bits,
+log2(N n(t,e) / (n(t) n(e))), are told only.
 
 Patterns are written so that the regular expression engine neither restarts inside a run of characters nor nests groups
 without bound: separators inside a number or a domain become one private character first, which keeps all places."""
@@ -18,14 +20,14 @@ from lakequery.llm.common import materialize
 KINDS = ("email", "ip", "card", "phone")
 #: Code points of context on either side of an entity.
 CONTEXT = 64
-LEAST_DOCS = 3
+#: Documents added to a term's own, so that a few sightings count for less than many.
+PRIOR = 2
 LEAST_CERTAINTY = 0.5
 REMOVE_CERTAINTY = 0.9
-LEAST_BITS = 8.0
 #: Terms up to which a term table is broadcast (about 100 bytes each); a larger one is joined by shuffle.
 BROADCAST_TERMS = 100_000
 JOINED, OTHER = "\ue000", "\ue001"
-TERM = r"(?<![\p{L}\p{N}])\p{L}{4,}(?![\p{L}\p{N}])"
+TERM = r"[\p{L}\p{N}]+"
 
 
 def _matches(text: Column, pattern: str) -> tuple[Column, Column]:
@@ -103,10 +105,11 @@ def _terms(text: Column) -> Column:
 
 
 def _near(text: Column, s: Column) -> Column:
-    """Terms near an entity; words that the context's edge cuts are left out."""
-    left = F.substring(text, F.greatest(F.lit(1), s["start"] - CONTEXT + 1), F.least(s["start"], F.lit(CONTEXT)))
-    left = F.when(s["start"] > CONTEXT, F.regexp_replace(left, r"^\S+", "")).otherwise(left)
-    right = F.regexp_replace(F.substring(text, s["end"] + 1, F.lit(CONTEXT)), r"\S+$", "")
+    """Terms near an entity; one that the context's edge cuts is left out, which the code point beyond the edge tells."""
+    left = F.substring(text, F.greatest(F.lit(1), s["start"] - CONTEXT), F.least(s["start"], F.lit(CONTEXT + 1)))
+    left = F.when(s["start"] > CONTEXT, F.regexp_replace(left, f"^{TERM}", "")).otherwise(left)
+    right = F.substring(text, s["end"] + 1, F.lit(CONTEXT + 1))
+    right = F.when(F.length(right) > CONTEXT, F.regexp_replace(right, f"{TERM}$", "")).otherwise(right)
     return _terms(F.concat_ws(" ", left, right))
 
 
@@ -116,22 +119,25 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(term, bits, certainty, remove) of the terms that exceed the thresholds. found: docs with entities alone."""
+    """(term, bits, certainty, remove) of the terms above the threshold. found: docs with entities alone."""
     pairs = found.select(
         F.array_distinct(
             F.flatten(F.transform("_e_spans", lambda s: F.transform(_near(F.col("text"), s), lambda t: F.struct(F.xxhash64(s["kind"], s["value"]).alias("e"), t.alias("term")))))
         ).alias("p"),
         F.array_distinct(F.transform("_e_spans", lambda s: F.xxhash64(s["kind"], s["value"]))).alias("es"),
     )
-    near = materialize(pairs.select(F.explode("p").alias("p")).groupBy("p.e", "p.term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= LEAST_DOCS), "disclosure-pairs")
+    least = LEAST_CERTAINTY * PRIOR / (1 - LEAST_CERTAINTY)  # as certainty <= n_te / (n_te + PRIOR), fewer documents cannot reach it
+    near = materialize(pairs.select(F.explode("p").alias("p")).groupBy("p.e", "p.term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= least), "disclosure-pairs")
     entities = pairs.select(F.explode("es").alias("ee")).groupBy("ee").agg(F.count("*").alias("n_e"))
     candidates = materialize(near.select(F.col("term").alias("ct")).distinct(), "disclosure-candidates")
     used = docs.select(F.explode(_terms(F.col("text"))).alias("t")).groupBy("t").agg(F.count("*").alias("n_t"))
     n_t = used.join(_small(candidates), F.col("t") == F.col("ct")).select("t", "n_t")  # inner: a semi join would go below the counts
     total = docs.select("doc_id").count()
     both = near.join(entities, near["e"] == entities["ee"]).join(n_t, F.col("term") == F.col("t"))
-    certainty, bits = F.col("n_te") / F.col("n_t"), F.log2(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    strong = both.select("term", certainty.alias("certainty"), bits.alias("bits")).where((F.col("certainty") >= LEAST_CERTAINTY) & (F.col("bits") >= LEAST_BITS))
+    n, n_te = F.lit(float(total)), F.least("n_te", "n_t")  # beside letters an entity can end a term that is longer elsewhere
+    certainty = F.try_divide(n * n_te - F.col("n_e") * F.col("n_t"), (F.col("n_t") + PRIOR) * (n - F.col("n_e")))  # null where all documents hold the entity
+    bits = F.log2(n * n_te / (F.col("n_t") * F.col("n_e")))
+    strong = both.select("term", certainty.alias("certainty"), bits.alias("bits")).where(F.col("certainty") >= LEAST_CERTAINTY)
     return materialize(strong.groupBy("term").agg(F.max("bits").alias("bits"), F.max("certainty").alias("certainty")).withColumn("remove", F.col("certainty") >= REMOVE_CERTAINTY), "disclosure-terms")
 
 

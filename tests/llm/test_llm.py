@@ -346,6 +346,23 @@ def test_personal_data(spark, docs, empty):
     assert sanitise(empty).count() == 0
 
 
+def test_disclosing_terms(spark):
+    """Two documents, short names and names with digits, whatever the number of documents; words beyond the context's edge are whole."""
+    from lakequery.llm.disclosure import sanitise
+
+    for n in (40, 1200):
+        plain = [f"a plain line of common words at home, for all and it is mail {i % 7}" for i in range(n)]
+        told = [f"{i} common words for Ann k9x at ann@corp.example and all" for i in range(2)]
+        often = ["it is Bo +1 202 555 0147"] * (n // 20)
+        edges = ["mail q@edge.example Cleo"] * 2 + ["a " * 60 + "Whole" + " " * 59 + "z@far.example", "a " * 60 + "Whole " + " " * 58 + "z@far.example"] + ["Partly" + " " * 59 + "y@cut.example", "a Partly" + " " * 59 + "y@cut.example"]
+        made = [*plain, *told, *often, *edges]
+        got = [r.sanitised for r in sorted(sanitise(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")).collect(), key=lambda r: r.doc_id)]
+        assert got[:n] == plain
+        assert got[n : n + 2] == [f"{i} common words for [TERM] [TERM] at [EMAIL] and all" for i in range(2)]
+        assert {x.replace("[TERM]", "") for x in got[n + 2 : n + 2 + len(often)]} in ({"it is  [PHONE]"}, {"it is   [PHONE]"})
+        assert got[-6:-4] == ["mail [EMAIL] [TERM]"] * 2 and not any("Whole" in x for x in got) and all("Partly" in x for x in got[-2:])
+
+
 def test_tokens(spark, docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
