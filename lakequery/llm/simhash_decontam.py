@@ -1,6 +1,7 @@
 """Benchmark passages inside documents, by SimHash over item-sized windows.
 
-The benchmark is a stated query set, gone through in blocks of bounded size, each broadcast. A window as long as an item is a candidate if so
+The benchmark is a stated query set, gone through in blocks of bounded size, each broadcast. A window is as long as an item, or the whole
+document where that is shorter but has shingles enough to reach the threshold. It is a candidate if so
 many of its 5-word shingles occur in the block that the similarity can reach the threshold (a bound that loses nothing); its SimHash is
 looked up in a multi-index over eight blocks of eight bits, which returns every item fingerprint within the radius; the
 weighted-shingle similarity (multisets of shingles, minimum over maximum of the counts) then decides."""
@@ -118,13 +119,17 @@ class Items:
                 self.by_length[n] = {"short": {int(g[0]): [k for k, x in zip(ids, grams, strict=True) if x[0] == g[0]] for g in grams}}
             else:
                 prints = np.concatenate([fingerprints(g, np.zeros(1, dtype=np.int64), len(g)) for g in grams])
-                self.by_length[n] = {"ids": ids, "grams": grams, "index": MultiIndex(prints, radius), "need": math.ceil(2 * (n - SHINGLE + 1) * threshold / (1 + threshold) - 1e-9)}
+                self.by_length[n] = {"ids": ids, "grams": grams, "index": MultiIndex(prints, radius), "need": self._need(n - SHINGLE + 1, n - SHINGLE + 1)}
         self.grams = np.unique(np.concatenate(every)) if every else np.zeros(0, dtype=U64)
         self.filter = np.zeros(1 << 20, dtype=bool)
         self.filter[(self.grams >> U64(44)).astype(np.int64)] = True
-        self.least = min((x["need"] for x in self.by_length.values() if "need" in x), default=1 << 60)
+        self.least = min((self._need(math.ceil(threshold * c - 1e-9), c) for c in (n - SHINGLE + 1 for n, x in self.by_length.items() if "need" in x)), default=1 << 60)
         self.shorts = sorted(n for n, x in self.by_length.items() if "short" in x)
 
+    def _need(self, window: int, count: int) -> int:
+        """Shingles that a window and an item of so many must share to reach the threshold."""
+        return math.ceil((window + count) * self.threshold / (1 + self.threshold) - 1e-9)
+
     def matches(self, texts: list[bytes]) -> list[list[dict]]:
         h, starts = words_of(texts)
         roll = Rolling(h)
@@ -154,17 +159,22 @@ class Items:
 
     def _search(self, grams: np.ndarray, total: np.ndarray, a: int, b: int, best: dict) -> None:
         for size, x in self.by_length.items():
-            count = size - SHINGLE + 1
-            if "need" not in x or b - a < size:
+            if "need" not in x:
                 continue
-            first = np.arange(a, b - size + 1)
-            first = first[total[first + count] - total[first] >= x["need"]]
+            words, count, need = size, size - SHINGLE + 1, x["need"]
+            if b - a < size:
+                words, have = b - a, b - a - SHINGLE + 1
+                if have < self.threshold * count - 1e-9:
+                    continue
+                count, need = have, self._need(have, count)
+            first = np.arange(a, b - words + 1)
+            first = first[total[first + count] - total[first] >= need]
             if not len(first):
                 continue
             for q, i in zip(*x["index"].within(fingerprints(grams, first, count)), strict=True):
                 at = int(first[q])
                 s = similarity(grams[at : at + count], x["grams"][i])
-                found = (s, -(at - a), size)
+                found = (s, -(at - a), words)
                 if s >= self.threshold and found > best.get(x["ids"][i], (0.0, 0, 0)):
                     best[x["ids"][i]] = found
 
@@ -194,6 +204,7 @@ def _matching(held, clean: bool):
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, radius: int = RADIUS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, similarity, first_word, n_words: the best window (the earliest of equals) for each document row and item it matches.
+    A document shorter than an item is one window.
 
     Words are runs of letters and digits (ASCII punctuation separates, A-Z lower-cased). An item of fewer than five words is one shingle and
     matches where it occurs word for word. Null or empty texts and items match nothing; a null doc_id or item_id stays null;

@@ -157,6 +157,31 @@ def test_decontamination(spark, docs, empty):
     assert m.find_matches(empty, bench).count() == 0 and m.find_matches(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_shorter(spark):
+    """A document that is an item less a few words, against brute force over windows that are the whole document where it is shorter."""
+    from lakequery.llm import simhash_decontam as m
+
+    r = random.Random(4)
+    item = [f"w{r.randrange(10**6)}" for _ in range(100)]
+    same = ["again"] * 30
+    items = [(1, item), (2, item[:60]), (3, same), (4, item[:6])]
+    rows = [(i, item[i // 2 : i // 2 + 100 - i]) for i in range(0, 40, 2)] + [(100, item[:45] + item[50:]), (101, item[:20] + item[40:]), (102, same[:26]), (103, same[:24]), (104, item[:5]), (105, ["other", *item[:89]])]
+    grams = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    expected = {}
+    for k, w in rows:
+        for j, x in items:
+            n = min(len(x), len(w))
+            s, at = max((sum((a & b).values()) / sum((a | b).values()), -i) for i in range(len(w) - n + 1) for a, b in [(grams(w[i : i + n]), grams(x))])
+            if s >= 0.8:
+                expected[k, j] = (round(s, 9), -at, n)
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(j, " ".join(x)) for j, x in items], "item_id long, text string")
+    got = {(x.doc_id, x.item_id): (round(x.similarity, 9), x.first_word, x.n_words) for x in m.find_matches(docs, bench).collect()}
+    assert got == expected and sum(n < 100 for (_, j), (_, _, n) in got.items() if j == 1) > 5 and (102, 3) in got and (105, 1) in got
+    assert {x.doc_id for x in m.without_matches(docs, bench).collect()} == {k for k, _ in rows} - {k for k, _ in expected}
+    assert m.find_matches(docs, bench.where("item_id = 1")).count() == sum(j == 1 for _, j in expected)
+
+
 def test_multi_index():
     from lakequery.llm.simhash_decontam import MultiIndex
 
