@@ -301,9 +301,8 @@ def _(t):
 
 @query("q36_fuzzy_blocked", None)
 def _(t):
-    names = t.documents.select("doc_id", F.substring("text", 1, 40).alias("display_name"))
-    left = names.where("doc_id % 10 = 0").select(F.col("doc_id").cast("string").alias("canonical_company_id"), F.col("display_name").alias("company_name"))
-    right = names.groupBy("display_name").agg(F.min("doc_id").cast("string").alias("id"))
+    left = t.part.select(F.col("p_partkey").cast("string").alias("canonical_company_id"), F.col("p_name").alias("company_name"))
+    right = t.part.groupBy(F.col("p_name").alias("display_name")).agg(F.min("p_partkey").cast("string").alias("id"))
     none = t.spark.createDataFrame([], "canonical_company_id string, openalex_institution_id string")
     return resolve.scored_bridge(left, right, none).select("canonical_company_id", "openalex_institution_id", "method", "confidence", "accepted", "candidate_rank", "best_margin")
 

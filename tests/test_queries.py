@@ -28,3 +28,17 @@ def test_query(spark, con, name):
     assert sorted(r.columns) == cols
     at = [list(r.columns).index(c) for c in cols]
     assert got == sorted(str(tuple(x[i] for i in at)) for x in r.fetchall())
+
+
+def test_fuzzy_whole(spark, tmp_path):
+    """q36 takes every part, and whole names."""
+    long = "northern industrial precision measuring "  # 40 characters
+    names = {1: "acme widgets", 2: "acme widget", 3: long + "instruments", 4: long + "instrumente", 5: long + "x" * 12, 6: "acme widgets", 7: "zulu", 11: None, 20: "solo gear"}
+    spark.createDataFrame(list(names.items()), "p_partkey long, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    texts = [(k, v) for k, v in names.items()]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(int(r.canonical_company_id), int(r.openalex_institution_id), r.method) for r in plans.QUERIES["q36_fuzzy_blocked"](spark, str(tmp_path)).collect()}
+    core, fuzzy = "LEGAL_CORE_EXACT", "BLOCKED_FUZZY"
+    exact = {(1, 1, core), (6, 1, core)} | {(k, k, core) for k in (2, 3, 4, 5, 7, 20)}
+    # unique cores are settled and leave the fuzzy step; 1 and 6 share theirs
+    assert got == exact | {(1, 1, fuzzy), (6, 1, fuzzy)}
