@@ -16,6 +16,8 @@ from lakequery.llm.common import ids_of, slices, texts_of
 
 #: Trigrams are hashed to so many bits; the model is languages x 2^16 numbers.
 BITS = 16
+#: Share that the likeliest language of a document has at least, for identified() to keep it.
+LEAST_SHARE = 0.5
 LETTER = regex.compile(r"\p{L}")
 #: A-Z become a-z, other ASCII but letters a space; other bytes stay.
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -99,19 +101,22 @@ def _predict(held, columns: list[str], drop_rejected: bool):
     def run(batches):
         for b in slices(batches):
             model: Mixture | None = held.value
-            preds, scores, sets = [], [], []
+            preds, scores, sets, told = [], [], [], []
             for t in texts_of(b):
-                if model is None or not LETTER.search(t.decode("utf-8", "replace")):
+                letters = LETTER.search(t.decode("utf-8", "replace")) is not None
+                if model is None or not letters:
+                    told.append(letters)
                     preds.append("und")
                     scores.append(0.0)
                     sets.append([])
                     continue
                 fit = model.fit(t)
+                told.append(fit[0][1] >= LEAST_SHARE - 1e-6)
                 preds.append(fit[0][0])
                 scores.append(min(1.0, max(0.0, fit[0][1])))
                 sets.append([{"lang": k, "share": v} for k, v in fit])
             if drop_rejected:
-                yield b.filter(pa.array([p != "und" for p in preds], pa.bool_()))
+                yield b.filter(pa.array(told, pa.bool_()))
             else:
                 kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
                 yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in columns), pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, kind)], names=[*columns, "lang_pred", "score", "languages"])
@@ -137,6 +142,8 @@ def identify(docs: DataFrame, penalty: float = 2.0) -> DataFrame:
 
 
 def identified(docs: DataFrame, penalty: float = 2.0) -> DataFrame:
-    """The rows of docs, all columns, whose language can be told (not `und`)."""
+    """The rows of docs, all columns, with a letter and a language that holds at least LEAST_SHARE of the fitted mixture.
+
+    Where no training row has a lang, nothing can be told of languages and all rows with a letter are kept."""
     held = docs.sparkSession.sparkContext.broadcast(train(docs.where(~held_out()).select("lang", "text"), penalty))
     return docs.mapInArrow(_predict(held, [], True), docs.schema)

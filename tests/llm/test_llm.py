@@ -255,6 +255,19 @@ def test_language(spark, docs, empty):
     assert abs(fit["p"] - 0.5) < 0.05 and Mixture(["p", "q"], counts).fit(a)[0][0] == "p" and len(Mixture(["p", "q"], counts).fit(a)) == 1
 
 
+def test_language_rejects(spark):
+    """The fitted mixture rejects a text that no language holds half of; without a model, all with a letter stay."""
+    from lakequery.llm.language_mixture import identified
+
+    langs = {"p": "aba bab aab ", "q": "xyx yxy xxy ", "r": "mnm nmn mmn "}
+    ids = [i for i in range(200) if not held(i, 4)][:30]
+    made = [(k, langs["pqr"[i % 3]] * 40, "pqr"[i % 3]) for i, k in enumerate(ids)]
+    made += [(1000, "".join(x * 40 for x in langs.values()), None), (1001, langs["p"] * 90 + langs["q"] * 30, None), (1002, "12 34 ...", None), (1003, None, None)]
+    df = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    assert {x.doc_id for x in identified(df).collect()} == {*ids, 1001}
+    assert {x.doc_id for x in identified(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {*ids, 1000, 1001}
+
+
 def fill(sizes, share=1.5):
     """Iterative sharing of the targets."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
