@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,23 +16,60 @@ from pyspark.sql import functions as F
 #: The largest long stands for a missing doc_id where ids are compared.
 NO_ID = 2**63 - 1
 U64 = np.uint64
+#: Of an Arrow batch that goes to or from a worker.
+BATCH_BYTES = 8_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a local one is set only where that is unset, as in tests."""
+    """The folder all executors share, from spark.checkpoint.dir. Where that is unset, a local one serves a local master alone; on a
+    cluster the executors would not see it."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = "file:///tmp/checkpoints/lakequery"
-        spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
+def bounded(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A function for mapInArrow that hands memory back once its task ends, as workers are used again by later stages."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of a few megabytes, unless the session asks for smaller ones: long texts make 64 MB of the default, twice over."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key).rstrip("b") == "67108864":
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: lineage ends there, and a lost executor costs nothing."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._table = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of materialize() that no later plan reads."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._table)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -71,33 +71,99 @@ def sets_of(pairs):
     return out
 
 
-def test_near_duplicates(unique, docs, empty):
-    from lakequery.llm.minmax_dedup import near_duplicates, without_near_duplicates
-
-    sets = sets_of(texts(unique))
-    parent = {k: k for k in sets}
+def linked_classes(pairs, percent):
+    """Component of each row, by position, from all pairs of rows."""
+    sets = [sets_of([(0, t)])[0] for _, t in pairs]
+    where, parent = defaultdict(list), list(range(len(sets)))
 
     def find(a):
         while parent[a] != a:
             a = parent[a]
         return a
 
-    for a in sets:
-        for b in sets:
-            n = len(sets[a] & sets[b])
-            if a < b and n and 100 * n >= 85 * len(sets[a] | sets[b]):
-                x, y = sorted((find(a), find(b)))
-                parent[y] = x
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(unique).collect()}
-    assert got == {k: (len(s), find(k), find(k) == k) for k, s in sets.items()}
-    assert len({v[1] for v in got.values()}) < len(got) - 10
-    assert near_duplicates(docs).count() == docs.count()
+    for i, s in enumerate(sets):
+        for j in {j for g in s for j in where[g]}:
+            n = len(s & sets[j])
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                parent[find(i)] = find(j)
+        for g in s:
+            where[g].append(i)
+    groups = defaultdict(list)
+    for i in range(len(sets)):
+        groups[find(i)].append(i)
+    return sets, groups
+
+
+def expected_near(pairs, percent):
+    """Rows of near_duplicates, by brute force."""
+    sets, groups = linked_classes(pairs, percent)
+    out = []
+    for members in groups.values():
+        least = min((pairs[i][0] for i in members if pairs[i][0] is not None), default=None)
+        out += [(pairs[i][0], len(sets[i]), least, pairs[i][0] == least) for i in members]
+    return sorted(out, key=str)
+
+
+def test_near_duplicates(unique, docs, empty):
+    from lakequery.llm.minmax_dedup import near_duplicates, without_near_duplicates
+
+    for df in (unique, docs):  # docs with repeated rows and null ids
+        got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df).collect()), key=str)
+        assert got == expected_near(texts(df), 85)
+    assert len({x[2] for x in got}) < len(got) - 10
     left = without_near_duplicates(docs).collect()
     assert set(left[0].asDict()) == set(docs.columns)
     assert sum(r.text == "only here once" for r in left) == 1 and len({(r.doc_id, r.text) for r in left}) == len(left) - sum(not words(r.text) for r in left) + len({(r.doc_id, r.text) for r in left if not words(r.text)})
     assert near_duplicates(empty).count() == 0 and without_near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_shared_ids(spark):
+    """Rows without an id, or with one id for many texts, lose no link and gain none."""
+    from lakequery.llm.minmax_dedup import near_duplicates, without_near_duplicates
+
+    r = random.Random(3)
+    made = []
+    for i in range(24):
+        w = [f"w{r.randrange(10**5)}" for _ in range(80)]
+        made += [((None, 5, i + 100)[i % 3], " ".join(w)), ((5, None, None)[i % 3], " ".join([*w[:-1], "changed"]))]
+    made += [(None, None), (5, ""), (None, made[0][1]), (7, made[2][1].upper()), (5, "a b"), (5, "A  B")]
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(5)
+    got = near_duplicates(df).collect()
+    assert sorted(((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in got), key=str) == expected_near(made, 85)
+    classes = [len(m) for m in linked_classes(made, 85)[1].values()]
+    assert sorted(Counter(x.group for x in got if x.group is not None).values()) == sorted(classes)[2:]  # two rows have no words
+    clash = df.select("*", F.lit(1).alias("_rid"), F.lit(2).alias("row"), F.lit(3).alias("group"), F.lit(4).alias("rid"))
+    left = without_near_duplicates(clash, percent=85)
+    assert left.columns == clash.columns and left.count() == len(classes)
+    assert {(x["_rid"], x["row"], x["group"], x["rid"]) for x in left.collect()} == {(1, 2, 3, 4)}
+
+
+@pytest.mark.parametrize("direct", [10**6, 40])
+def test_near_duplicates_edited(spark, direct):
+    """A large group of copies edited too much for a link with most others, without and with its original; edits of edits too. With
+    few direct pairs, groups are split again and again."""
+    from lakequery.llm.minmax_dedup import near_duplicates
+
+    r = random.Random(9)
+    base = [f"b{r.randrange(10**6)}" for _ in range(150)]
+    tree = [base]
+
+    def edited(w, n):
+        w = list(w)
+        for _ in range(n):
+            w[r.randrange(len(w))] = f"e{r.randrange(40)}" if r.random() < 0.5 else f"e{r.randrange(10**6)}"
+        return w
+
+    for i in range(220):
+        tree.append(edited(base if i < 120 else tree[r.randrange(1, 121)], r.randint(1, 4)))
+    for rows in (tree[1:], tree):
+        made = [(1000 - i, " ".join(w)) for i, w in enumerate(rows)]
+        got = near_duplicates(spark.createDataFrame(made, "doc_id long, text string"), direct=direct).collect()
+        want = expected_near(made, 85)
+        assert sorted(((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in got), key=str) == want
+    assert 10 < len({x[2] for x in want}) < len(want) - 10
+
+
 def test_components(spark):
     from lakequery.llm.common import components
 
@@ -255,6 +321,47 @@ def test_language(spark, docs, empty):
     assert abs(fit["p"] - 0.5) < 0.05 and Mixture(["p", "q"], counts).fit(a)[0][0] == "p" and len(Mixture(["p", "q"], counts).fit(a)) == 1
 
 
+def test_mixture_fit():
+    """Expectation-maximisation over every trigram of a text in turn, and the choice among nested sets, in plain Python."""
+    from lakequery.llm.language_mixture import Mixture, trigrams
+
+    r = random.Random(6)
+    langs = ["p", "q", "r"]
+    alphabets = ("abcde ", "cdefg ", "klmno ")
+    make = lambda a, n: "".join(r.choice(a) for _ in range(n)).encode()
+    counts = np.stack([np.bincount(trigrams(make(a, 4000)), minlength=1 << 16) for a in alphabets], axis=1)
+    model = Mixture(langs, counts, smoothing=0.5, penalty=2.0, rounds=12)
+    size = 1 << 16
+    prob = {f: [(counts[f, k] + 0.5) / (counts[:, k].sum() + 0.5 * size) for k in range(3)] for f in range(size) if counts[f].any()}
+    unseen = [0.5 / (counts[:, k].sum() + 0.5 * size) for k in range(3)]
+
+    def em(rows, chosen, theta):
+        for _ in range(12 if len(chosen) > 1 else 0):
+            new = [0.0] * len(chosen)
+            for row in rows:
+                of = [row[k] * t for k, t in zip(chosen, theta, strict=True)]
+                new = [a + b / sum(of) for a, b in zip(new, of, strict=True)]
+            theta = [x / len(rows) for x in new]
+        # likelihoods over their mean in each bucket, as the penalty compares sums of logs
+        return theta, sum(math.log(sum(row[k] * t for k, t in zip(chosen, theta, strict=True)) / (sum(row) / 3)) for row in rows)
+
+    for text in (make(alphabets[0], 300), make(alphabets[0], 200) + make(alphabets[2], 100), make(alphabets[0], 150) + make(alphabets[1], 150), b"".join(make(a, 120) for a in alphabets), b"abc"):
+        rows = [prob.get(int(f), unseen) for f in trigrams(text)]
+        theta, _ = em(rows, range(3), [1 / 3] * 3)
+        order = sorted(range(3), key=lambda k: (-theta[k], langs[k]))
+        tried = []
+        for n in range(1, 4):
+            if n > 1 and theta[order[n - 1]] < 0.01:
+                break
+            chosen = order[:n]
+            t, ll = em(rows, chosen, [theta[k] / sum(theta[j] for j in chosen) for k in chosen])
+            tried.append((ll - 2.0 * n * math.log(len(rows) + 1), {langs[k]: x for k, x in zip(chosen, t, strict=True)}))
+        want = max(tried, key=lambda x: x[0])[1]
+        got = dict(model.fit(text))
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) < 2e-3 for k in want)
+    assert len(model.fit(b"x" * 5_000_000)) >= 1  # a very long text costs no more than its distinct trigrams
+
+
 def test_language_rejects(spark):
     """The fitted mixture rejects a text that no language holds half of; without a model, all with a letter stay."""
     from lakequery.llm.language_mixture import identified
@@ -352,6 +459,67 @@ def test_quality_alone(spark):
     assert {k for k, x in got.items() if not x.kept} == set(range(1000, 1005))
 
 
+def brute_mcd(xs):
+    """The estimate of one group by its definition, in numpy over all rows: (mean, covariance, determinant in units of the floors)."""
+    from lakequery.llm import mcd_quality as m
+
+    x, floors = np.array(xs, dtype=float), np.array(m.FLOORS)
+    n = len(x)
+
+    def median(v):
+        return np.array([(sorted(math.floor(a * 256) for a in col)[(n + 1) // 2 - 1] + 0.5) / 256 for col in v.T])
+
+    def floored(cov):
+        var, axes = np.linalg.eigh(cov / np.outer(floors, floors))
+        var = np.maximum(var, 1)
+        return np.linalg.inv(axes @ np.diag(var) @ axes.T * np.outer(floors, floors)), np.prod(var)
+
+    mid = median(x)
+    scale = np.maximum(median(abs(x - mid)) * 1.4826, floors)
+    z = (x - mid) / scale
+    u = z / np.sqrt(np.maximum((z**2).sum(axis=1, keepdims=True), 1e-12))
+    best = None
+    for mean, cov in ((mid, np.diag(scale**2)), (x.mean(axis=0), np.cov(x.T, bias=True)), (mid, u.T @ u / n * 4 * np.outer(scale, scale))):
+        det = math.inf
+        while True:
+            inverse, _ = floored(cov)
+            bins = np.array([math.floor(math.log2((r - mean) @ inverse @ (r - mean) + 1 / 64) * 32) for r in x])
+            cut = next(b for b in sorted(set(bins)) if (bins <= b).sum() >= 0.75 * n)
+            near = x[bins <= cut]
+            new_mean, new_cov = near.mean(axis=0), np.cov(near.T, bias=True).reshape(4, 4) * m.SHRINK
+            new = floored(new_cov)[1]
+            if not new < det * 0.99:
+                break
+            mean, cov, det = new_mean, new_cov, new
+        if best is None or det < best[2]:
+            best = (mean, cov, det)
+    return best
+
+
+def test_quality_estimates(spark):
+    """Against the definition in numpy, against all subsets of a small group, and alike however rows are dealt."""
+    from itertools import combinations
+
+    from lakequery.llm import mcd_quality as m
+
+    r = np.random.default_rng(5)
+    scatter = np.array([[0.3, 0.2, 0, 0], [0, 0.5, 0.3, 0], [0, 0, 1.2, 0.4], [0, 0, 0, 1.1]])
+    groups = {"a": np.abs(r.normal(size=(120, 4)) @ scatter + [1.8, 2, 3, 2]), "b": np.abs(r.normal(size=(14, 4)) @ scatter * 2 + [1.8, 2, 3, 2]), "c": np.full((9, 4), 1.5), "d": np.array([[1.0, 2.0, 0.5, 0.25]])}
+    groups["a"][:25] += [2, 4, -1, 3]
+    rows = [(g, list(map(float, v))) for g, x in groups.items() for v in x]
+    df = spark.createDataFrame(rows, "g string, x array<double>")
+    got = {e.g: e for e in m.estimates(df.repartition(7)).collect()}
+    again = {e.g: e for e in m.estimates(df.coalesce(1)).collect()}
+    for g, x in groups.items():
+        mean, cov, det = brute_mcd(x)
+        for e in (got[g], again[g]):
+            assert e.rows == len(x) and np.allclose(e.mean, mean, atol=1e-9) and np.allclose(e.cov, cov.ravel(), atol=1e-9) and math.isclose(e.det, det, rel_tol=1e-9)
+    least = min(m._floored(np.cov(groups["b"][list(c)].T, bias=True) * m.SHRINK)[1] for c in combinations(range(14), 11))
+    assert got["b"].det <= 1.3 * least
+    clean = np.linalg.det(np.cov(groups["a"][25:].T))
+    assert np.linalg.det(np.array(got["a"].cov).reshape(4, 4)) < 4 * clean < np.linalg.det(np.cov(groups["a"].T))
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
@@ -414,8 +582,8 @@ def test_tokens(spark, docs, empty):
         decode_blocks(b"\0" * 12)
     path = str(public_tokenizers.path("byte_bpe_50k.json"))
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    odd = [" a  b\n c", "it's  he'll 'tis 's", "x\x1c y", "<|endoftext|> a <|endoftext|>", "a \n\n b\t \tc ", " lead trail ", "a\x00b \x00c", "\x00x", "a  b 　c"]
+    assert t.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    odd = ["a <|endoftext|> b", "\ue000a b \ue000c", "b \ue000", "a b ", "a\u2003 b \u00a0c", "a\n\nb c\n", " a  b\n c", "it's  he'll 'tis 's", "x\x1c y", "<|endoftext|> a <|endoftext|>", "a \n\n b\t \tc ", " lead trail ", "a\x00b \x00c", "\x00x", "a  b 　c"]
     made = docs.select("doc_id", "text").where("doc_id is not null").dropDuplicates(["doc_id"]).union(spark.createDataFrame([(10**6 + i, x) for i, x in enumerate(odd)], "doc_id long, text string"))
     got = [tuple(x) for x in read_tokens(write_tokens(made, path)).collect()]
     expected, start = [], 0
