@@ -24,26 +24,45 @@ def prefer_ok(df: DataFrame, key: str, status: str, position: str) -> DataFrame:
     return top_n(df, [key], [ok.desc_nulls_last(), F.when(ok, F.col(position)).otherwise(-F.col(position)).asc()])
 
 
-def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """A rank over all rows without sorting them in one task: ranks inside range partitions, plus the counts before."""
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
+def running(df: DataFrame, order: list[Column], value: Column, name: str, fn: str = "sum") -> DataFrame:
+    """A running sum or minimum over all rows in an order, without one task that sees them all: range partitions of their own, plus what
+    the partitions before come to (one row for each partition is ordered in one task)."""
     from lakequery.sources.tables import persist_table
 
-    kept = persist_table(parts)
-    before = kept.groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_b", F.sum("_n").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).select(F.col("_p").alias("_q"), "_b")
-    within = F.row_number().over(W.partitionBy("_p").orderBy("_i"))
-    return kept.withColumn("_r", within).join(before, F.col("_p") == F.col("_q")).withColumn(name, (F.col("_r") + F.col("_b")).cast("long")).drop("_p", "_q", "_i", "_r", "_b")
+    total = {"sum": F.sum, "min": F.min}[fn]
+    parts = df.withColumn("_v", value).repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_p": F.spark_partition_id(), "_i": F.monotonically_increasing_id()})
+    kept = persist_table(parts)  # places must hold still
+    before = kept.groupBy(F.col("_p").alias("_q")).agg(total("_v").alias("_t")).select("_q", total("_t").over(W.orderBy("_q").rowsBetween(W.unboundedPreceding, -1)).alias("_b"))
+    within = total("_v").over(W.partitionBy("_p").orderBy("_i").rowsBetween(W.unboundedPreceding, 0))
+    both = F.coalesce("_b", F.lit(0)) + F.col("_w") if fn == "sum" else F.least("_b", "_w")
+    return kept.withColumn("_w", within).join(before, F.col("_p") == F.col("_q")).withColumn(name, both).drop("_v", "_p", "_i", "_q", "_b", "_w")
+
+
+def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """A rank from 1 over all rows, in an order without ties."""
+    return running(df, order, F.lit(1).cast("long"), name)
 
 
 def benjamini_hochberg(df: DataFrame, p: str, name: str, keys: list[str] | None = None) -> DataFrame:
-    """False-discovery rates of p-values in each group (small tables; one group is one task)."""
+    """False-discovery rates of p-values in each group, or over all rows; equal p-values have equal rates, a null p-value a null one.
+
+    A rate is the least of p m / rank over this and all larger p-values, where rank counts the p-values up to it. Without keys both running
+    values are taken over range partitions of the distinct p-values; with keys, a group is one task."""
     keys = keys or []
-    m = F.count(F.col(p)).over(W.partitionBy(*keys))
-    ranked = df.withColumn("_rank", F.rank().over(W.partitionBy(*keys).orderBy(F.asc_nulls_last(p)))).withColumn("_m", m)
-    ranked = ranked.withColumn("_last", F.max(F.struct("_rank")).over(W.partitionBy(*keys, p)))
-    ranked = ranked.withColumn("_pos", F.col("_rank") + F.count("*").over(W.partitionBy(*keys, p)) - 1)
-    back = W.partitionBy(*keys).orderBy(F.desc_nulls_last(p)).rangeBetween(W.unboundedPreceding, 0)
-    return ranked.withColumn(name, F.least(F.lit(1.0), F.min(F.col(p) * F.col("_m") / F.col("_pos")).over(back))).drop("_rank", "_m", "_last", "_pos")
+    counted = df.where(F.col(p).isNotNull()).groupBy(*keys, F.col(p).alias("_x")).agg(F.count("*").alias("_c"))
+    if keys:
+        up = W.partitionBy(*keys).orderBy("_x").rowsBetween(W.unboundedPreceding, 0)
+        down = W.partitionBy(*keys).orderBy(F.desc("_x")).rowsBetween(W.unboundedPreceding, 0)
+        ranked = counted.withColumns({"_k": F.sum("_c").over(up), "_m": F.sum("_c").over(W.partitionBy(*keys))})
+        rates = ranked.withColumn(name, F.least(F.lit(1.0), F.min(F.col("_x") * F.col("_m") / F.col("_k")).over(down)))
+    else:
+        ranked = running(counted, [F.asc("_x")], F.col("_c"), "_k").crossJoin(counted.agg(F.sum("_c").alias("_m")))  # one row
+        rates = running(ranked, [F.desc("_x")], F.col("_x") * F.col("_m") / F.col("_k"), "_r", "min").withColumn(name, F.least(F.lit(1.0), "_r"))
+    rates = rates.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_x", name)
+    on = F.col(p) == F.col("_x")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(rates, on, "left").drop("_x", *(f"_k{i}" for i in range(len(keys))))
 
 
 def islands(df: DataFrame, keys: list[str], order: str, marker: Column, text: str) -> DataFrame:

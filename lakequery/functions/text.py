@@ -10,9 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Trailing legal forms of company names, words an acronym skips, and what counts as true.
-LEGAL_SUFFIXES = ("inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "llc", "lp", "plc", "sa", "ag", "nv", "se", "spa", "gmbh", "bv", "holdings", "holding", "group", "trust")
-STOP_WORDS = ("the", "of", "and", "for", "in", "at")
+# Trailing legal forms of company names, the other words an acronym skips, and what counts as true.
+LEGAL_SUFFIXES = ("inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "plc", "llc", "lp", "llp", "sa", "ag", "nv", "bv", "spa", "srl", "gmbh", "pte", "pty", "holdco")
+STOP_WORDS = ("the", "of", "and", "for", "a", "an")
 TRUE_WORDS = ("1", "true", "t", "yes", "y")
 
 
@@ -27,8 +27,8 @@ def legal_core(normalised: Column) -> Column:
 
 
 def acronym(core: Column) -> Column:
-    """First letters of a core's words but stop words; empty for fewer than two."""
-    words = F.filter(F.split(core, " "), lambda w: (w != "") & ~w.isin(*STOP_WORDS))
+    """First letters of a core's words but stop words and legal forms; empty for fewer than two."""
+    words = F.filter(F.split(core, " "), lambda w: (w != "") & ~w.isin(*STOP_WORDS, *LEGAL_SUFFIXES))
     return F.when(F.size(words) >= 2, F.array_join(F.transform(words, lambda w: F.substring(w, 1, 1)), "")).otherwise("")
 
 
@@ -36,6 +36,17 @@ def compact(c: Column) -> Column:
     return F.replace(c, F.lit(" "), F.lit(""))
 
 
+def letter_counts(c: Column) -> Column:
+    """How often each of a-z and 0-9 stands in a compact name."""
+    return F.array(*(F.length(c) - F.length(F.replace(c, F.lit(x), F.lit(""))) for x in "abcdefghijklmnopqrstuvwxyz0123456789"))
+
+
+def ratio_bound(length_a: Column, length_b: Column, letters_a: Column, letters_b: Column) -> Column:
+    """What sequence_ratio can reach at most: letters that both have, whatever their order."""
+    common = F.aggregate(F.zip_with(letters_a, letters_b, lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
+    return F.lit(2.0) * common / (length_a + length_b)
+
+
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of a to b, in this order (it is not symmetric)."""

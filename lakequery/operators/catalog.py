@@ -7,29 +7,49 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Table functions: name, parameter, tables and columns needed, and the query.
+from lakequery.sources.tables import persist_table, write_json_array
+
+# The names of the catalog's tables.
+MASTERS = ("WORK_MASTER", "AUTHOR_MASTER", "INSTITUTION_MASTER", "SOURCE_MASTER", "TOPIC_MASTER")
+
+
+def _with(edges: str, master: str, on: str, by: str) -> str:
+    """Edges of a key with what a master says of their other end; the master's own id is left out, and an edge without a master row stays."""
+    return f"SELECT e.*, m.* EXCEPT (id) FROM {edges} e LEFT JOIN {master} m ON m.id = e.{on} WHERE e.{by} = key"
+
+
+_AUTHORS, _PLACES = {"WORK_AUTHOR_EDGES": {"work_id", "author_id"}}, {"AUTHOR_INSTITUTION_EDGES": {"work_id", "institution_id"}}
+#: Table functions: name, tables and columns needed, and the query.
 FUNCTIONS: dict[str, tuple[dict[str, set[str]], str]] = {
-    **{n: ({f"{n.upper()}_MASTER": {"id"}}, f"SELECT * FROM {n.upper()}_MASTER WHERE id = key") for n in ("work", "author", "institution", "source", "topic")},
-    "work_topics": ({"WORK_TOPIC_EDGES": {"work_id", "topic_id"}}, "SELECT * FROM WORK_TOPIC_EDGES WHERE work_id = key"),
-    "work_authors": ({"WORK_AUTHOR_EDGES": {"work_id", "author_id"}}, "SELECT * FROM WORK_AUTHOR_EDGES WHERE work_id = key"),
-    "author_works": ({"WORK_AUTHOR_EDGES": {"work_id", "author_id"}}, "SELECT * FROM WORK_AUTHOR_EDGES WHERE author_id = key"),
-    "coauthors": ({"WORK_AUTHOR_EDGES": {"work_id", "author_id"}}, "SELECT b.author_id, count(DISTINCT b.work_id) AS works FROM WORK_AUTHOR_EDGES a JOIN WORK_AUTHOR_EDGES b ON a.work_id = b.work_id AND b.author_id <> a.author_id WHERE a.author_id = key GROUP BY b.author_id"),
-    "institution_works": ({"AUTHOR_INSTITUTION_EDGES": {"work_id", "institution_id"}}, "SELECT DISTINCT work_id FROM AUTHOR_INSTITUTION_EDGES WHERE institution_id = key"),
-    "country_collaborations": ({"COUNTRY_COLLAB_EDGES": {"work_id", "country_a", "country_b"}}, "SELECT work_id, CASE WHEN country_a = key THEN country_b ELSE country_a END AS partner FROM COUNTRY_COLLAB_EDGES WHERE country_a = key OR country_b = key"),
-    "references_from": ({"CITATION_EDGES": {"work_id", "referenced_work_id"}}, "SELECT referenced_work_id FROM CITATION_EDGES WHERE work_id = key"),
-    "citations_to": ({"CITATION_EDGES": {"work_id", "referenced_work_id"}}, "SELECT work_id FROM CITATION_EDGES WHERE referenced_work_id = key"),
+    **{t.removesuffix("_MASTER").lower(): ({t: {"id"}}, f"SELECT * FROM {t} WHERE id = key") for t in MASTERS},
+    "work_topics": ({"WORK_TOPIC_EDGES": {"work_id", "topic_id"}, "TOPIC_MASTER": {"id"}}, _with("WORK_TOPIC_EDGES", "TOPIC_MASTER", "topic_id", "work_id")),
+    "work_authors": ({**_AUTHORS, "AUTHOR_MASTER": {"id"}}, _with("WORK_AUTHOR_EDGES", "AUTHOR_MASTER", "author_id", "work_id")),
+    "author_works": ({**_AUTHORS, "WORK_MASTER": {"id"}}, _with("WORK_AUTHOR_EDGES", "WORK_MASTER", "work_id", "author_id")),
+    "coauthors": (
+        {**_AUTHORS, "WORK_MASTER": {"id"}},
+        "SELECT other.author_id AS coauthor_id, count(DISTINCT mine.work_id) AS shared_work_count FROM WORK_AUTHOR_EDGES mine JOIN WORK_AUTHOR_EDGES other USING (work_id) WHERE mine.author_id = key AND other.author_id <> mine.author_id GROUP BY 1 ORDER BY 2 DESC, 1",
+    ),
+    "institution_works": ({**_PLACES, "WORK_MASTER": {"id"}}, _with("AUTHOR_INSTITUTION_EDGES", "WORK_MASTER", "work_id", "institution_id")),
+    "country_collaborations": (
+        {"COUNTRY_COLLAB_EDGES": {"work_id", "country_a", "country_b", "_source_key"}},
+        "SELECT work_id, country_a, country_b, if(country_a = key, country_b, country_a) AS partner_country, _source_key FROM COUNTRY_COLLAB_EDGES WHERE country_a = key OR country_b = key",
+    ),
+    "references_from": ({"CITATION_EDGES": {"work_id", "referenced_work_id"}}, "SELECT * FROM CITATION_EDGES WHERE work_id = key"),
+    "citations_to": ({"CITATION_EDGES": {"work_id", "referenced_work_id"}}, "SELECT * FROM CITATION_EDGES WHERE referenced_work_id = key"),
 }
 
 
 def build_catalog(spark: SparkSession, tables: dict[str, DataFrame], required: tuple[str, ...] = ()) -> dict:
-    """Temporary views of the tables, views lake_catalog (name, columns) and lake_columns, and the table functions whose tables are there."""
+    """Temporary views of the tables, views lake_catalog, lake_columns and table_counts, and the table functions whose tables and columns are there."""
     if not tables:
         raise ValueError("no table is staged")
     if lost := sorted(set(required) - set(tables)):
         raise ValueError(f"required tables are missing: {', '.join(lost)}")
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    catalog_of(spark, tables).createOrReplaceTempView("lake_catalog")
+    counts = catalog_of(spark, tables)
+    counts.createOrReplaceTempView("lake_catalog")
+    counts.select(F.col("name").alias("table_name"), F.when(F.col("name").endswith("_MASTER"), "master").otherwise("edge").alias("table_kind"), F.col("n_rows").alias("row_count"), F.col("n_columns").alias("column_count")).createOrReplaceTempView("table_counts")
     columns_of(spark, tables).createOrReplaceTempView("lake_columns")
     made = []
     for name, (needs, sql) in FUNCTIONS.items():
@@ -68,15 +88,17 @@ def read_only(spark: SparkSession, sql: str) -> DataFrame:
 
 
 def execute_query(spark: SparkSession, sql: str, output: str, fmt: str = "parquet") -> dict:
-    """Run once, write, and tell rows, columns and digests."""
+    """Run once, write, and tell rows, columns and digests: of each file written, in the order of the digests, and of the query. JSON is one file of one array."""
     if fmt not in ("parquet", "csv", "json"):
         raise ValueError(f"unknown format {fmt}")
-    df = read_only(spark, sql)
-    writer = df.write.mode("errorifexists")
-    (writer.option("header", "true").csv if fmt == "csv" else getattr(writer, fmt))(output)
-    back = spark.read.schema(df.schema).parquet(output) if fmt == "parquet" else None
-    rows = (back if back is not None else df).count()
-    digest = None
-    if back is not None:
-        digest = back.select(F.sha2(F.concat_ws("|", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("∅")) for c in df.columns)), 256).alias("h")).agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list("h"))), 256)).first()[0]
-    return {"rows": rows, "columns": df.columns, "output_sha256": digest, "query_sha256": hashlib.sha256(sql.encode()).hexdigest()}
+    df = persist_table(read_only(spark, sql))
+    if fmt == "parquet":
+        df.write.option("compression", "zstd").parquet(output)
+    elif fmt == "csv":
+        df.write.option("header", "true").csv(output)
+    else:
+        write_json_array(df, output)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(output).select(F.sha2("content", 256).alias("h"))
+    digests = sorted(r["h"] for r in files.collect())  # one for each file
+    query = sql.strip().rstrip(";").strip()
+    return {"rows": df.count(), "columns": df.columns, "format": fmt, "file_sha256": digests, "output_sha256": hashlib.sha256("".join(digests).encode()).hexdigest(), "query_sha256": hashlib.sha256(query.encode()).hexdigest()}

@@ -10,15 +10,16 @@ from lakequery.functions.text import cik10, try_bigint
 
 
 def company_master(names: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(master, bridge) from rows cik, ticker, name, exchange, source, ord: the modal name of all rows (ties by name), the smallest
-    ticker and their number; per (cik, ticker) the first exchange and the sources joined by +."""
+    """(master, bridge) from rows cik, ticker, name, exchange, source, ord: the modal name of all rows (ties by name; null without one), the
+    smallest ticker and their number; per (cik, ticker) the first exchange and name that are not empty, and the sources joined by +."""
     rows = names.withColumn("cik", cik10(F.col("cik"))).where("cik is not null")
     ident = F.concat(F.lit("SEC_CIK:"), F.col("cik")).alias("canonical_company_id")
-    place = F.struct(F.when(F.col("source") == "tickers", 0).otherwise(1), "ord")
-    bridge = rows.where("ticker <> ''").groupBy("cik", "ticker").agg(F.min_by("exchange", F.when(F.col("exchange").isNotNull(), place)).alias("exchange"), F.min_by("name", place).alias("company_name"), F.array_join(F.array_sort(F.collect_set("source")), "+").alias("source"))
+    place = F.struct(F.when(F.col("source") == "company_tickers", 0).otherwise(1), "ord")
+    first = lambda c: F.min_by(c, F.when(F.coalesce(F.col(c), F.lit("")) != "", place)).alias(c)
+    bridge = rows.where("ticker <> ''").groupBy("cik", "ticker").agg(first("exchange"), first("name"), F.array_join(F.array_sort(F.collect_set("source")), "+").alias("source"))
     tickers = bridge.groupBy("cik").agg(F.min("ticker").alias("primary_ticker"), F.count("*").cast("int").alias("ticker_count"))
-    modal = mode_by(rows.where("name <> ''"), ["cik"], "name", "company_name").drop("votes")
-    return modal.join(tickers, "cik").select(ident, "cik", "company_name", "primary_ticker", "ticker_count"), bridge.select(ident, "cik", "ticker", "exchange", "company_name", "source")
+    modal = mode_by(rows.where("ticker <> '' and name <> ''"), ["cik"], "name", "company_name").drop("votes")
+    return tickers.join(modal, "cik", "left").select(ident, "cik", "company_name", "primary_ticker", "ticker_count"), bridge.select(ident, "cik", "ticker", "exchange", F.col("name").alias("company_name"), "source")
 
 
 def filing_master(index: DataFrame, companies: DataFrame, first: str, last: str, form: str = "10-K", expected: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -38,18 +39,20 @@ def filing_master(index: DataFrame, companies: DataFrame, first: str, last: str,
     return master, bridge
 
 
-def complete_companies(companies: DataFrame, filings: DataFrame) -> DataFrame:
-    """Companies of either table, with the name of the latest filing where the master has none, and a class of source."""
+def complete_companies(companies: DataFrame, filings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(companies of either table, each filing with its company): the name of the latest filing where the master has none, and a class of source by
+    the tables a company stands in, named there or not."""
     named = F.when(F.col("company_name_at_filing").isNotNull(), F.struct("filing_date", "canonical_filing_id"))
-    f = filings.groupBy("canonical_company_id").agg(F.max_by("company_name_at_filing", named).alias("filing_name"), F.count("*").cast("long").alias("filing_count"), F.min("filing_date").alias("first_filing_date"), F.max("filing_date").alias("latest_filing_date"), F.min("cik").alias("filing_cik"))
-    ids = companies.select("canonical_company_id").union(filings.select("canonical_company_id")).distinct()
-    j = ids.join(companies, "canonical_company_id", "left").join(f, "canonical_company_id", "left")
-    ticker, filed = F.col("company_name").isNotNull(), F.col("filing_count").isNotNull()
-    return j.select(
-        "canonical_company_id", F.coalesce("cik", "filing_cik").alias("cik"), F.coalesce("company_name", "filing_name").alias("company_name"), "primary_ticker", F.coalesce("ticker_count", F.lit(0)).alias("ticker_count"),
-        ticker.alias("in_ticker_master"), filed.alias("in_filing_universe"), F.coalesce("filing_count", F.lit(0)).alias("filing_count"), "first_filing_date", "latest_filing_date",
-        F.when(ticker & filed, "SEC_TICKER+FILING").when(ticker, "SEC_TICKER").otherwise("SEC_FILING").alias("source_class"),
+    f = filings.groupBy("canonical_company_id").agg(F.max_by("company_name_at_filing", named).alias("filing_name"), F.count("*").cast("long").alias("filing_count"), F.min("filing_date").alias("first_filing_date"), F.max("filing_date").alias("latest_filing_date"), F.min("cik").alias("filing_cik"), F.lit(True).alias("filed"))
+    j = companies.withColumn("listed", F.lit(True)).join(f, "canonical_company_id", "full")
+    listed, filed = F.coalesce("listed", F.lit(False)), F.coalesce("filed", F.lit(False))
+    whole = j.select(
+        "canonical_company_id", F.coalesce("cik", "filing_cik").alias("cik"), F.coalesce("company_name", "filing_name").alias("company_name"), "primary_ticker", F.coalesce("ticker_count", F.lit(0)).cast("int").alias("ticker_count"),
+        listed.alias("in_ticker_master"), filed.alias("in_filing_universe"), F.coalesce("filing_count", F.lit(0)).alias("filing_count"), "first_filing_date", "latest_filing_date",
+        F.when(listed & filed, "SEC_TICKER+FILING").when(listed, "SEC_TICKER").otherwise("SEC_FILING").alias("source_class"),
     )
+    of = filings.select("canonical_company_id", "canonical_filing_id", "cik", "accession", "filing_date").join(whole.select("canonical_company_id", "company_name", "primary_ticker", "ticker_count", "source_class"), "canonical_company_id")
+    return whole, of
 
 
 def section_bridge(index: DataFrame, filings: DataFrame, sections: int = 3) -> tuple[DataFrame, DataFrame]:

@@ -104,12 +104,14 @@ def indicators(spark: SparkSession, options: dict) -> DataFrame:
 
 @adapter("gdelt_window")
 def trailing(spark: SparkSession, options: dict) -> DataFrame:
-    """Three-field lines (size, hash, url) stamped within the last days; the newest ones, in order."""
-    f = F.split("value", " ")
-    rows = options["lines"].where(F.size(f) == 3).select(f[2].alias("url"), F.try_to_timestamp(F.regexp_extract(f[2], r"([0-9]{14})", 1), F.lit("yyyyMMddHHmmss")).alias("stamp"))
-    kind = F.when(F.col("url").contains("mentions"), "mentions").when(F.col("url").contains("gkg"), "gkg").otherwise("export")
-    recent = rows.where(F.col("stamp") >= F.lit(options["now"]).cast("timestamp") - F.make_interval(days=F.lit(options.get("days", 3)))).withColumn("kind", kind).where(F.col("kind").isin(*options["streams"]))
-    return recent.orderBy(F.desc("stamp"), F.desc("url")).limit(options.get("last", 100)).orderBy("stamp", "url")
+    """Three-field lines (size, hash, url) whose file is stamped on or after the day some days ago, of the streams wanted; the last ones by file name."""
+    f = F.split(F.trim("value"), r"\s+")
+    file = F.element_at(F.split(f[2], "/"), -1)
+    rows = options["lines"].where(F.size(f) == 3).select(file.alias("key"), f[2].alias("url"), F.substring(file, 1, 8).alias("stamp"))
+    day = F.date_format(F.lit(options["now"]).cast("timestamp") - F.make_interval(days=F.lit(options.get("lookback_days", 7))), "yyyyMMdd")
+    kind = F.coalesce(*(F.when(F.contains("key", F.lit(f".{k}.")), F.lit(k)) for k in ("export", "gkg", "mentions")), F.lit("other"))
+    recent = rows.where(F.col("stamp").rlike("^[0-9]+$") & (F.col("stamp") >= day)).withColumn("kind", kind).where(F.col("kind").isin(*(options.get("streams") or ["export", "gkg"])))
+    return recent.orderBy(F.desc("key")).limit(options.get("max_files", 400)).orderBy("key")
 
 
 @adapter("stlouisfed_fredmd")

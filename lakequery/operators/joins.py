@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakequery.functions.text import letter_counts, ratio_bound
+
 
 def anti_any(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of left of which no key occurs in right: one anti join a key, where NOT EXISTS with OR would be a nested loop."""
@@ -26,11 +28,16 @@ def partners(df: DataFrame, key: str, value: str, of: Column) -> DataFrame:
     return df.join(mine, key, "left_semi").where(~of).groupBy(value).agg(F.countDistinct(key).alias("shared"))
 
 
-def blocked_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str, prefix: int = 4, step: int = 5) -> DataFrame:
-    """Pairs whose compact names share their first characters and whose lengths are in the same or a neighbouring bucket."""
-    lk = left.withColumns({"_p": F.substring(left_name, 1, prefix), "_b": F.explode(F.array(*(F.floor(F.length(left_name) / step) + d for d in (-1, 0, 1))))})
-    rk = right.withColumns({"_p": F.substring(right_name, 1, prefix), "_b": F.floor(F.length(right_name) / step)})
-    return lk.join(rk, ["_p", "_b"]).drop("_p", "_b")
+def blocked_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str, prefix: int = 4, step: int = 5, least: float = 0.0) -> DataFrame:
+    """Pairs whose compact names share their first characters, whose lengths are in the same or a neighbouring bucket, and whose
+    sequence ratio may reach `least` by their lengths and letters. The join is by prefix and exact length, so a frequent prefix
+    is spread over lengths; pairs below the bounds are never made into rows."""
+    n = F.length(left_name)
+    near = F.filter(F.sequence(F.greatest((F.floor(n / step) - 1) * step, F.lit(1)), (F.floor(n / step) + 2) * step - 1), lambda m: F.lit(2.0) * F.least(m, n) >= F.lit(least) * (m + n))
+    lk = left.withColumns({"_p": F.substring(left_name, 1, prefix), "_l": letter_counts(F.col(left_name)), "_n": F.explode(near)})
+    rk = right.withColumns({"_q": F.substring(right_name, 1, prefix), "_r": letter_counts(F.col(right_name)), "_m": F.length(right_name).cast("long")})
+    may = ratio_bound(F.length(left_name), F.length(right_name), F.col("_l"), F.col("_r")) >= least
+    return lk.join(rk, (F.col("_p") == F.col("_q")) & (F.col("_n") == F.col("_m")) & may).drop("_p", "_q", "_l", "_r", "_n", "_m")
 
 
 def reconcile(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:

@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakequery.functions.text import ratio
+from lakequery.operators.quality import checks, invalid_key
+from lakequery.operators.resolve import pick
 
 COMPANY, INSTITUTION = "canonical_company_id", "openalex_institution_id"
 
 
-def company_year(org: DataFrame, production: DataFrame, institution_year: DataFrame) -> DataFrame:
-    """Yearly works and citations of linked companies; the production bridge must be one to one."""
+def company_year(org: DataFrame, production: DataFrame, institution_year: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(research-year mart, citation-year mart) of linked companies; the production bridge must be one to one and not empty."""
     row = production.agg(F.count("*").alias("n"), F.countDistinct(COMPANY).alias("c"), F.countDistinct(INSTITUTION).alias("i")).first()
     if not row["n"] or not row["n"] == row["c"] == row["i"]:
         raise ValueError("the production bridge is empty or not one to one")
-    m = institution_year.join(production.select(COMPANY, INSTITUTION, "confidence"), institution_year["institution_id"] == F.col(INSTITUTION)).join(org, COMPANY)
-    return m.withColumn("mean_citations", ratio(F.col("citation_sum"), F.col("work_count")))
+    own = pick(org, {"canonical_org_id": ("canonical_org_id", COMPANY), COMPANY: (COMPANY,), "cik": ("cik",), "company_name": ("company_name",), "primary_ticker": ("primary_ticker",)})
+    link = pick(production, {COMPANY: (COMPANY,), INSTITUTION: (INSTITUTION,), "openalex_name": ("openalex_name",), "ror": ("ror",), "openalex_country_code": ("country_code",), "openalex_institution_type": ("institution_type",), "match_method": ("match_method",), "match_confidence": ("confidence",), "confidence_tier": ("confidence_tier",)})
+    yearly = institution_year.groupBy("institution_id", "publication_year").agg(F.sum("work_count").cast("long").alias("work_count"), F.sum("citation_sum").cast("long").alias("citation_sum"))
+    mart = yearly.join(link, F.col("institution_id") == F.col(INSTITUTION)).join(own, COMPANY)
+    mart = mart.select(*own.columns, *link.columns[1:], "publication_year", "work_count", "citation_sum", ratio(F.col("citation_sum").cast("double"), F.col("work_count")).alias("mean_citations"))
+    cited = mart.select(*own.columns, INSTITUTION, "publication_year", "work_count", "citation_sum", F.col("mean_citations").alias("citations_per_work"), "match_method", "match_confidence", "confidence_tier")
+    return mart, cited
 
 
 def company_topic_year(production: DataFrame, works: DataFrame, author_institutions: DataFrame, topics: DataFrame) -> DataFrame:
@@ -40,14 +49,33 @@ def company_collaboration_year(production: DataFrame, works: DataFrame, author_i
     return each.groupBy(COMPANY, INSTITUTION, "publication_year", "partner_country").agg(F.count("*").alias("work_count"), F.sum("partners").cast("long").alias("collaborator_institution_count"), F.sum("cites").cast("long").alias("citation_sum"))
 
 
-def mart_leaks(research: DataFrame, topic: DataFrame, collaboration: DataFrame, production: DataFrame) -> DataFrame:
-    """Mart rows outside the production bridge or the research years, as check and value."""
-    out = None
-    for name, df in (("research", research), ("topic", topic), ("collaboration", collaboration)):
-        for what, leak in (("company outside the bridge", df.join(production, COMPANY, "left_anti")), ("year outside the research mart", df.join(research.select(COMPANY, "publication_year").distinct(), [COMPANY, "publication_year"], "left_anti"))):
-            row = leak.agg(F.count("*").alias("value")).select(F.lit(f"{name}: {what}").alias("check"), "value")
-            out = row if out is None else out.union(row)
-    return out
+def company_mart_checks(production: DataFrame, research: DataFrame, topic: DataFrame, collaboration: DataFrame) -> DataFrame:
+    """The seventeen checks of the topic and collaboration marts, as check and value: keys, negative metrics, companies outside the bridge or with
+    another institution, and rows that say more than the company's research year. Each mart is read for its own checks and joined once."""
+    prod = production.select(F.col(COMPANY).alias("pc"), F.col(INSTITUTION).alias("pi")).withColumn("in_prod", F.lit(True))
+    year = research.select(F.col(COMPANY).alias("rc"), F.col("publication_year").alias("ry"), F.col("work_count").alias("year_works"), F.col("citation_sum").alias("year_cites")).withColumn("in_year", F.lit(True))
+    rows = None
+    for name, df, key, works, metrics in (
+        ("topic", topic, "topic_id", "work_count", ("work_count", "citation_sum", "topic_score_sum")),
+        ("collaboration", collaboration, "collaborator_country_code", "collaborative_work_count", ("collaborative_work_count", "collaborator_institution_count", "citation_sum")),
+    ):
+        keys = [COMPANY, "publication_year", key]
+        joined = df.join(prod, F.col(COMPANY) == F.col("pc"), "left").join(year, (F.col(COMPANY) == F.col("rc")) & (F.col("publication_year") == F.col("ry")), "left")
+        tests = {
+            f"{name}_null_keys": invalid_key([COMPANY, key]) | F.col("publication_year").isNull(),
+            f"{name}_negative_metrics": reduce(lambda a, b: a | b, (F.coalesce(F.col(m) < 0, F.lit(False)) for m in metrics)),
+            f"{name}_nonproduction_leaks": F.col("in_prod").isNull(),
+            f"{name}_institution_identity_mismatch": F.col(INSTITUTION) != F.col("pi"),
+            f"{name}_row_work_exceeds_research_year": F.col(works) > F.col("year_works"),
+            f"{name}_row_citations_exceed_research_year": F.col("citation_sum") > F.col("year_cites"),
+            f"{name}_rows_without_research_year": F.col("in_year").isNull(),
+        }
+        if name == "collaboration":
+            tests["collaborator_count_less_than_work_count_impossible"] = F.col("collaborator_institution_count") < F.col(works)
+        repeated = df.groupBy(*keys).count().where("count > 1").agg(F.count("*").alias("value")).select(F.lit(f"{name}_duplicate_keys").alias("check"), "value")
+        found = checks(joined, tests).union(repeated)
+        rows = found if rows is None else rows.union(found)
+    return rows
 
 
 def delta(base: DataFrame, candidate: DataFrame, key: str, order: str) -> DataFrame:

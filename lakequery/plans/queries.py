@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -124,9 +124,10 @@ def _(t):
     return _top_line(t, ["l_orderkey", "l_suppkey", "l_partkey"], [F.desc_nulls_last("l_quantity")], LINE)
 
 
-@query("q10_explode_edges", "SELECT DISTINCT doc_id, token FROM (SELECT doc_id, unnest(string_split(string_split(text, chr(10))[1], ' ')) AS token FROM documents) WHERE token <> ''")
+@query("q10_explode_edges", r"SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS token FROM documents")
 def _(t):
-    return t.documents.select("doc_id", F.explode(F.split(F.split("text", "\n")[0], " ")).alias("token")).where("token <> ''").distinct()
+    tokens = F.array_distinct(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    return t.documents.select("doc_id", F.explode(tokens).alias("token")).distinct()
 
 
 @query("q11_nested_explode", "SELECT DISTINCT l_orderkey AS work_id, l_suppkey AS institution_id, l_partkey AS topic_id FROM lineitem")
@@ -145,11 +146,14 @@ def _(t):
 
 def _catalog(t: Lake) -> dict[str, DataFrame]:
     s = lambda c, a: F.col(c).cast("string").alias(a)
+    pairs = joins.unordered_pairs(_edges(t).withColumnRenamed("institution_country_code", "country"), ["work_id"], "country")
     return {
         "WORK_MASTER": t.orders.select(s("o_orderkey", "id"), "o_orderstatus", "o_orderpriority"),
+        "TOPIC_MASTER": t.part.where("p_size > 5").select(s("p_partkey", "id"), "p_name", "p_brand"),
+        "AUTHOR_MASTER": t.supplier.where("s_acctbal > 0").select(s("s_suppkey", "id"), "s_name"),
         "WORK_TOPIC_EDGES": t.lineitem.select(s("l_orderkey", "work_id"), s("l_partkey", "topic_id"), F.col("l_quantity").alias("topic_score")),
         "WORK_AUTHOR_EDGES": t.lineitem.select(s("l_orderkey", "work_id"), s("l_suppkey", "author_id")).distinct(),
-        "COUNTRY_COLLAB_EDGES": joins.unordered_pairs(_edges(t).withColumnRenamed("institution_country_code", "country"), ["work_id"], "country").select(F.col("work_id").cast("string").alias("work_id"), "country_a", "country_b"),
+        "COUNTRY_COLLAB_EDGES": pairs.select(F.col("work_id").cast("string").alias("work_id"), "country_a", "country_b", F.concat(F.lit("orders/"), F.col("work_id")).alias("_source_key")),
         "CITATION_EDGES": t.lineitem.select(s("l_orderkey", "work_id"), s("l_partkey", "referenced_work_id")).distinct(),
     }
 
@@ -162,11 +166,11 @@ def _macro(name: str, call: str, sql: str) -> None:
 
 
 _macro("q13_macro_work", "SELECT * FROM work('7')", "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey = 7")
-_macro("q14_macro_work_topics", "SELECT topic_id, topic_score FROM work_topics('7')", "SELECT CAST(l_partkey AS VARCHAR) AS topic_id, l_quantity AS topic_score FROM lineitem WHERE l_orderkey = 7")
-_macro("q15_macro_author_works", "SELECT work_id FROM author_works('5')", "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS work_id FROM lineitem WHERE l_suppkey = 5")
-_macro("q16_macro_coauthors", "SELECT author_id, works FROM coauthors('5')", "SELECT CAST(b.l_suppkey AS VARCHAR) AS author_id, count(DISTINCT b.l_orderkey) AS works FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey WHERE a.l_suppkey = 5 GROUP BY ALL")
-_macro("q17_macro_country_partners", "SELECT partner, count(*) AS works FROM country_collaborations('FRANCE') GROUP BY partner", f"WITH {PLACED} SELECT b.country AS partner, count(*) AS works FROM e a JOIN e b ON a.work_id = b.work_id AND a.country <> b.country WHERE a.country = 'FRANCE' GROUP BY ALL")
-_macro("q18_macro_citations_to", "SELECT work_id FROM citations_to('3')", "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS work_id FROM lineitem WHERE l_partkey = 3")
+_macro("q14_macro_work_topics", "SELECT * FROM work_topics('7')", "SELECT CAST(l_orderkey AS VARCHAR) AS work_id, CAST(l_partkey AS VARCHAR) AS topic_id, l_quantity AS topic_score, p_name, p_brand FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 5) ON l_partkey = p_partkey WHERE l_orderkey = 7")
+_macro("q15_macro_author_works", "SELECT * FROM author_works('5')", "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS work_id, CAST(l_suppkey AS VARCHAR) AS author_id, o_orderstatus, o_orderpriority FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey WHERE l_suppkey = 5")
+_macro("q16_macro_coauthors", "SELECT * FROM coauthors('5')", "SELECT CAST(b.l_suppkey AS VARCHAR) AS coauthor_id, count(DISTINCT b.l_orderkey) AS shared_work_count FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey WHERE a.l_suppkey = 5 GROUP BY ALL")
+_macro("q17_macro_country_partners", "SELECT * FROM country_collaborations('NATION_3')", f"WITH {PLACED} SELECT CAST(a.work_id AS VARCHAR) AS work_id, least(a.country, b.country) AS country_a, greatest(a.country, b.country) AS country_b, b.country AS partner_country, 'orders/' || a.work_id AS _source_key FROM e a JOIN e b ON a.work_id = b.work_id AND a.country <> b.country WHERE a.country = 'NATION_3'")
+_macro("q18_macro_citations_to", "SELECT * FROM citations_to('3')", "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS work_id, CAST(l_partkey AS VARCHAR) AS referenced_work_id FROM lineitem WHERE l_partkey = 3")
 
 RUNNER = "WITH b AS (SELECT c_mktsegment, count(*) AS customers, sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS cents FROM customer GROUP BY c_mktsegment) SELECT c_mktsegment, customers, CAST(cents AS BIGINT) AS cents FROM b WHERE customers > 1"
 
@@ -270,33 +274,49 @@ def _(t):
     return t.part.select(F.col("p_partkey").alias("k"), text.norm_name(F.col("p_name")).alias("norm")).union(t.pages.select("page_id", text.norm_name(F.col("url"))))
 
 
-@query("q33_exact_unique_match", f"WITH l AS (SELECT p_partkey, {NORM.format('p_name')} AS n FROM part WHERE p_partkey % 40 = 0), r AS (SELECT p_name, {NORM.format('p_name')} AS n FROM (SELECT DISTINCT p_name FROM part)), lc AS (SELECT *, count(*) OVER (PARTITION BY n) AS c FROM l), rc AS (SELECT *, count(*) OVER (PARTITION BY n) AS c FROM r) SELECT CAST(p_partkey AS VARCHAR) AS canonical_company_id, p_name AS openalex_institution_id, lc.c AS sec_name_count, rc.c AS openalex_name_count, lc.c = 1 AND rc.c = 1 AS accepted FROM lc JOIN rc ON lc.n = rc.n")
+BRANDED = "p_brand || ' ' || p_name"
+
+
+@query(
+    "q33_exact_unique_match",
+    f"""WITH l AS (SELECT p_partkey, {NORM.format(BRANDED)} AS n FROM part), r AS (SELECT DISTINCT {BRANDED} AS name, {NORM.format(BRANDED)} AS n FROM part), lc AS (SELECT *, count(*) OVER (PARTITION BY n) AS c FROM l), rc AS (SELECT *, count(*) OVER (PARTITION BY n) AS c FROM r)
+    SELECT CAST(p_partkey AS VARCHAR) AS canonical_company_id, name AS openalex_institution_id, lc.c AS sec_name_count, rc.c AS openalex_name_count, 'NORMALIZED_EXACT' AS match_method, lc.c = 1 AND rc.c = 1 AS accepted, CASE WHEN lc.c = 1 AND rc.c = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS confidence FROM lc JOIN rc ON lc.n = rc.n""",
+)
 def _(t):
-    c = t.part.where("p_partkey % 40 = 0").select(F.col("p_partkey").cast("string").alias("canonical_company_id"), F.col("p_name").alias("company_name"))
-    i = t.part.select(F.col("p_name").alias("id"), F.col("p_name").alias("display_name")).distinct()
-    return resolve.exact_bridge(c, i).select("canonical_company_id", "openalex_institution_id", "sec_name_count", "openalex_name_count", "accepted")
+    name = F.concat_ws(" ", "p_brand", "p_name")
+    c = t.part.select(F.col("p_partkey").cast("string").alias("canonical_company_id"), name.alias("company_name"))
+    i = t.part.select(name.alias("id"), name.alias("display_name")).distinct()
+    return resolve.exact_bridge(c, i).select("canonical_company_id", "openalex_institution_id", "sec_name_count", "openalex_name_count", "match_method", "accepted", "confidence")
+
+
+SUFFIXED = BRANDED + " || CASE p_partkey % 6 WHEN 0 THEN ' Co Ltd' WHEN 1 THEN ', Inc.' WHEN 2 THEN ' Holdings Group' WHEN 3 THEN ' LLP (Pty)' WHEN 4 THEN ' and the Trust SE' ELSE '' END"
+# The legal forms, spelled out here so that the SQL is no echo of the Python.
+CORE = r"trim(regexp_replace({0}, '(?:(?:^| )(?:inc|incorporated|corp|corporation|co|company|ltd|limited|plc|llc|lp|llp|sa|ag|nv|bv|spa|srl|gmbh|pte|pty|holdco)\b)+$', ''))"
+SKIPPED = "'', 'the', 'of', 'and', 'for', 'a', 'an', 'inc', 'incorporated', 'corp', 'corporation', 'co', 'company', 'ltd', 'limited', 'plc', 'llc', 'lp', 'llp', 'sa', 'ag', 'nv', 'bv', 'spa', 'srl', 'gmbh', 'pte', 'pty', 'holdco'"
 
 
-SUFFIXED = "p_name || CASE p_partkey % 4 WHEN 0 THEN ' Co Ltd' WHEN 1 THEN ', Inc.' WHEN 2 THEN ' Holdings Group' ELSE '' END"
-CORE = "trim(regexp_replace({0}, '(?:(?:^| )(?:" + "|".join(text.LEGAL_SUFFIXES) + ")\\b)+$', ''))"
+def _suffixed() -> Column:
+    k = F.col("p_partkey") % 6
+    return F.concat("p_brand", F.lit(" "), "p_name", F.when(k == 0, " Co Ltd").when(k == 1, ", Inc.").when(k == 2, " Holdings Group").when(k == 3, " LLP (Pty)").when(k == 4, " and the Trust SE").otherwise(""))
 
 
-@query("q34_legal_core", f"WITH n AS (SELECT p_partkey, {NORM.format(SUFFIXED)} AS norm FROM part), c AS (SELECT *, {CORE.format('norm')} AS core FROM n), w AS (SELECT *, list_filter(string_split(core, ' '), lambda x: x NOT IN ('', 'the', 'of', 'and', 'for', 'in', 'at')) AS ws FROM c) SELECT p_partkey, norm, core, CASE WHEN len(ws) >= 2 THEN array_to_string(list_transform(ws, lambda x: x[1]), '') ELSE '' END AS acro, replace(core, ' ', '') AS flat FROM w")
+@query("q34_legal_core", f"WITH n AS (SELECT p_partkey, {NORM.format(SUFFIXED)} AS norm FROM part), c AS (SELECT *, {CORE.format('norm')} AS core FROM n), w AS (SELECT *, list_filter(string_split(core, ' '), lambda x: x NOT IN ({SKIPPED})) AS ws FROM c) SELECT p_partkey, norm, core, CASE WHEN len(ws) >= 2 THEN array_to_string(list_transform(ws, lambda x: x[1]), '') ELSE '' END AS acro, replace(core, ' ', '') AS flat FROM w")
 def _(t):
-    k = F.col("p_partkey") % 4
-    name = F.concat("p_name", F.when(k == 0, " Co Ltd").when(k == 1, ", Inc.").when(k == 2, " Holdings Group").otherwise(""))
-    n = t.part.select("p_partkey", text.norm_name(name).alias("norm")).withColumn("core", text.legal_core(F.col("norm")))
+    n = t.part.select("p_partkey", text.norm_name(_suffixed()).alias("norm")).withColumn("core", text.legal_core(F.col("norm")))
     return n.select("*", text.acronym(F.col("core")).alias("acro"), text.compact(F.col("core")).alias("flat"))
 
 
-@query("q35_core_match", f"WITH l AS (SELECT p_partkey, {CORE.format(NORM.format(SUFFIXED))} AS core FROM part WHERE p_partkey % 25 = 1), r AS (SELECT DISTINCT p_name, {NORM.format('p_name')} AS core FROM part), lc AS (SELECT *, count(*) OVER (PARTITION BY core) AS c FROM l), rc AS (SELECT *, count(*) OVER (PARTITION BY core) AS c FROM r) SELECT p_partkey, p_name, CASE WHEN lc.c = 1 AND rc.c = 1 THEN 0.98::DOUBLE ELSE 0.7::DOUBLE END AS confidence FROM lc JOIN rc ON lc.core = rc.core WHERE lc.core <> ''")
+@query(
+    "q35_core_match",
+    f"""WITH l AS (SELECT p_partkey, {CORE.format(NORM.format(SUFFIXED))} AS core FROM part), r AS (SELECT DISTINCT {BRANDED} AS name, {NORM.format(BRANDED)} AS core FROM part), lc AS (SELECT *, count(*) OVER (PARTITION BY core) AS c FROM l), rc AS (SELECT *, count(*) OVER (PARTITION BY core) AS c FROM r)
+    SELECT CAST(p_partkey AS VARCHAR) AS canonical_company_id, name AS openalex_institution_id, lc.c = 1 AS unique_sec_core, rc.c = 1 AS unique_openalex_core, CASE WHEN lc.c = 1 AND rc.c = 1 THEN 0.98::DOUBLE ELSE 0.7::DOUBLE END AS confidence, CASE WHEN lc.c = 1 AND rc.c = 1 THEN 'HIGH' ELSE 'REVIEW' END AS tier, lc.c = 1 AND rc.c = 1 AS accepted FROM lc JOIN rc ON lc.core = rc.core WHERE lc.core <> ''""",
+)
 def _(t):
-    k = F.col("p_partkey") % 4
-    name = F.concat("p_name", F.when(k == 0, " Co Ltd").when(k == 1, ", Inc.").when(k == 2, " Holdings Group").otherwise(""))
-    uses = F.count("*").over(W.partitionBy("core"))
-    lc = t.part.where("p_partkey % 25 = 1").select("p_partkey", text.legal_core(text.norm_name(name)).alias("core")).withColumn("a", uses)
-    rc = t.part.select("p_name").distinct().withColumn("core", text.norm_name(F.col("p_name"))).withColumn("b", uses)
-    return lc.join(rc, "core").where("core <> ''").select("p_partkey", "p_name", F.when((F.col("a") == 1) & (F.col("b") == 1), resolve.CORE_UNIQUE).otherwise(resolve.CORE_AMBIGUOUS).alias("confidence"))
+    c = t.part.select(F.col("p_partkey").cast("string").alias("canonical_company_id"), _suffixed().alias("company_name"))
+    name = F.concat_ws(" ", "p_brand", "p_name")
+    none = t.spark.createDataFrame([], "canonical_company_id string, openalex_institution_id string")
+    scored = resolve.scored_bridge(c, t.part.select(name.alias("id"), name.alias("display_name")).distinct(), none)
+    return scored.where(F.col("method") == resolve.CORE).select("canonical_company_id", "openalex_institution_id", "unique_sec_core", "unique_openalex_core", "confidence", "tier", "accepted")
 
 
 @query("q36_fuzzy_blocked", None)
@@ -307,10 +327,10 @@ def _(t):
     return resolve.scored_bridge(left, right, none).select("canonical_company_id", "openalex_institution_id", "method", "confidence", "accepted", "candidate_rank", "best_margin")
 
 
-@query("q37_accepted_union", "WITH e AS (SELECT c_custkey AS a, c_nationkey AS b FROM customer WHERE c_custkey % 100 = 1), s AS (SELECT s_suppkey AS a, s_nationkey AS b FROM supplier) SELECT a, b, 'EXACT' AS provenance FROM e UNION ALL SELECT a, b, 'SCORED' FROM s WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.a = s.a OR e.b = s.b)")
+@query("q37_accepted_union", "WITH e AS (SELECT c_custkey AS a, CAST(floor(c_acctbal) AS BIGINT) AS b FROM customer WHERE c_mktsegment = 'BUILDING'), s AS (SELECT s_suppkey AS a, CAST(floor(s_acctbal) AS BIGINT) AS b FROM supplier) SELECT a, b, 'EXACT' AS provenance FROM e UNION ALL SELECT a, b, 'SCORED' FROM s WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.a = s.a OR e.b = s.b)")
 def _(t):
-    e = t.customer.where("c_custkey % 100 = 1").select(F.col("c_custkey").alias("a"), F.col("c_nationkey").alias("b"))
-    s = t.supplier.select(F.col("s_suppkey").alias("a"), F.col("s_nationkey").alias("b"))
+    e = t.customer.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("a"), F.floor("c_acctbal").alias("b"))
+    s = t.supplier.select(F.col("s_suppkey").alias("a"), F.floor("s_acctbal").alias("b"))
     return e.withColumn("provenance", F.lit("EXACT")).unionByName(joins.anti_any(s, e, ["a", "b"]).withColumn("provenance", F.lit("SCORED")))
 
 
@@ -321,31 +341,48 @@ def _(t):
     return best.join(done, "l_suppkey", "left_anti").select("l_suppkey", "l_partkey", "l_orderkey", "l_extendedprice")
 
 
-LINKS = "SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'education' ELSE 'company' END AS institution_type, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE (c_custkey % 100) / 100.0::DOUBLE END AS confidence, CASE c_custkey % 5 WHEN 0 THEN 'OTHER' WHEN 1 THEN NULL ELSE 'BLOCKED_FUZZY' END AS match_method FROM customer"
+DESCRIPTIONS = ("CANADA", "France", "Germany (West)", "NORTH CHINA", "Republic of Korea", "U.S.A.", "Virgin Islands, British", "Netherlands Antilles", None, "UNITED STATES OF AMERICA")
+THEIRS = ("CA", "fr", " DE ", "CN", None, "", "KR")
+LINKS = """links AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN 'accepted' WHEN 1 THEN 'quarantine' ELSE 'review' END AS bucket,
+  CASE WHEN c_custkey % 11 = 0 THEN 'US' ELSE (['CA', 'FR', 'DE', 'CN', 'KR', NULL, 'VG', 'NL', NULL, 'US'])[1 + n_nationkey % 10] END AS sec, (['CA', 'FR', 'DE', 'CN', NULL, NULL, 'KR'])[1 + c_custkey % 7] AS oa,
+  CASE c_mktsegment WHEN 'BUILDING' THEN 'education' WHEN 'FURNITURE' THEN NULL ELSE 'Company' END AS kind, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE (90 + c_custkey % 10) / 100.0::DOUBLE END AS confidence,
+  CASE c_custkey % 5 WHEN 0 THEN 'FUZZY_CORE' WHEN 1 THEN NULL WHEN 2 THEN 'NORMALIZED_EXACT' ELSE 'LEGAL_CORE_EXACT' END AS method, CASE WHEN c_custkey % 8 = 0 THEN NULL WHEN c_custkey % 8 = 1 THEN '  ' ELSE 'r' END AS ror
+  FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+JUDGED = f"""{LINKS}, compared AS (SELECT *, sec IS NOT NULL AND oa IS NOT NULL AS comparable, coalesce(sec = oa, false) AS same, coalesce(sec <> oa, false) AS clash, coalesce(lower(kind) = 'company', false) AS firm, trim(coalesce(ror, '')) <> '' AS has_ror, coalesce(confidence, 0) AS sure FROM links),
+judged AS (SELECT *, CASE WHEN clash THEN 'REJECT' WHEN bucket = 'accepted' THEN 'KEEP_PRODUCTION'
+  WHEN bucket = 'quarantine' THEN CASE WHEN firm AND has_ror AND sure >= 0.98 AND (same OR NOT comparable) THEN 'PROMOTE' WHEN same AND has_ror AND sure >= 0.98 THEN 'REVIEW_PRIORITY' ELSE 'KEEP_QUARANTINE' END
+  WHEN same AND firm AND has_ror AND sure >= 0.965 THEN 'PROMOTE' WHEN same AND has_ror AND sure >= 0.93 THEN 'REVIEW_PRIORITY' ELSE 'KEEP_REVIEW' END AS decision FROM compared)"""
 
 
-@query("q39_promote_case", f"WITH l AS ({LINKS}), r AS (SELECT CASE WHEN institution_type <> 'company' THEN 'NON_COMPANY_TYPE' WHEN confidence < 0.95 THEN 'LOW_CONFIDENCE' WHEN match_method NOT IN ('EXACT_NORMALIZED_NAME', 'LEGAL_CORE_EXACT', 'BLOCKED_FUZZY') THEN 'UNKNOWN_METHOD' END AS reason FROM l) SELECT coalesce(reason, '<NULL>') AS reason, count(*) AS n FROM r GROUP BY ALL")
-def _(t):
+def _links(t: Lake) -> DataFrame:
+    """Customers as links to institutions of their own, with metadata of both sides."""
     k = F.col("c_custkey")
-    links = t.customer.select(k, F.when(F.col("c_mktsegment") == "BUILDING", "education").otherwise("company").alias("institution_type"), F.when(k % 9 != 0, (k % 100) / F.lit(100.0)).alias("confidence"), F.when(k % 5 == 0, "OTHER").when(k % 5 == 1, F.lit(None)).otherwise("BLOCKED_FUZZY").alias("match_method"))
-    return links.groupBy(F.coalesce(resolve.quarantine_reason(), F.lit("<NULL>")).alias("reason")).agg(F.count("*").alias("n"))
+    pickone = lambda values, at: F.element_at(F.array(*(F.lit(v).cast("string") for v in values)), (at + 1).cast("int"))
+    return t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        k, k.cast("string").alias("canonical_company_id"), F.concat(F.lit("i"), k).alias("openalex_institution_id"), pickone(THEIRS, k % 7).alias("country_code"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "education").when(F.col("c_mktsegment") != "FURNITURE", "Company").alias("institution_type"), F.when(k % 9 != 0, (90 + k % 10) / F.lit(100.0)).alias("confidence"),
+        F.when(k % 5 == 0, "FUZZY_CORE").when(k % 5 == 2, "NORMALIZED_EXACT").when(k % 5 > 2, "LEGAL_CORE_EXACT").alias("match_method"), F.when(k % 8 == 1, "  ").when(k % 8 > 1, "r").alias("ror"),
+        pickone(DESCRIPTIONS, F.col("n_nationkey") % 10).alias("business_state_or_country_description"), F.when(k % 11 == 0, "tx ").when(k % 11 < 3, "TX").alias("business_state_or_country"),
+        F.when(k % 11 == 0, "No").when(k % 11 == 1, "yes").when(k % 11 > 2, "false").alias("business_is_foreign_location"),
+    )
 
 
-@query(
-    "q40_geo_decision",
-    """WITH l AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'PRODUCTION' ELSE 'REVIEW' END AS bucket, CASE n_name WHEN 'FRANCE' THEN 'FR' WHEN 'GERMANY' THEN 'DE' WHEN 'CHINA' THEN 'CN' WHEN 'JAPAN' THEN 'JP' END AS country,
-      CASE c_custkey % 3 WHEN 0 THEN 'fr' WHEN 1 THEN 'DE' ELSE NULL END AS code, CASE WHEN c_mktsegment = 'BUILDING' THEN 'education' ELSE 'company' END AS kind, CASE WHEN c_custkey % 2 = 0 THEN 'FUZZY' ELSE 'EXACT' END AS method, CASE WHEN c_custkey % 7 = 0 THEN 'r' END AS ror, (c_custkey % 100) / 100.0::DOUBLE AS confidence
-      FROM customer JOIN nation ON c_nationkey = n_nationkey), m AS (SELECT *, coalesce(country = upper(code), false) AS cm, coalesce(country <> upper(code), false) AS cc FROM l)
-    SELECT c_custkey, cm AS country_match, cc AS country_conflict, CASE WHEN cc THEN 'REJECT_COUNTRY_CONFLICT' WHEN bucket = 'PRODUCTION' THEN 'KEEP_PRODUCTION' WHEN kind = 'company' AND cm AND (method <> 'FUZZY' OR ror IS NOT NULL OR confidence >= 0.9) THEN 'PROMOTE' WHEN cm THEN 'REVIEW_PRIORITY' ELSE 'KEEP_REVIEW' END AS reclassification_decision FROM m""",
-)
+def _judged(t: Lake) -> DataFrame:
+    links = _links(t)
+    about = links.select("canonical_company_id", "business_state_or_country", "business_state_or_country_description", "business_is_foreign_location")
+    bucket = lambda n: links.where(F.col("c_custkey") % 3 == n).select("canonical_company_id", "openalex_institution_id", "country_code", "institution_type", "confidence", "match_method" if n != 2 else F.col("match_method").alias("method"), "ror")
+    return resolve.reclassify(about, bucket(0), bucket(1), bucket(2))[0]
+
+
+@query("q39_promote_case", f"WITH {LINKS} SELECT id AS canonical_company_id, CASE WHEN confidence < 0.98 THEN 'LOW_CONFIDENCE' WHEN method NOT IN ('NORMALIZED_EXACT', 'LEGAL_CORE_EXACT') THEN 'METHOD_NOT_PRODUCTION_APPROVED' WHEN kind IS NULL OR lower(kind) <> 'company' THEN 'OPENALEX_TYPE_NOT_COMPANY' WHEN ror IS NULL OR trim(ror) = '' THEN 'ROR_MISSING' ELSE '<NULL>' END AS quarantine_reason FROM links")
 def _(t):
-    k = F.col("c_custkey")
-    names = {"FRANCE": "FR", "GERMANY": "DE", "CHINA": "CN", "JAPAN": "JP"}
-    links = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        k, F.when(k % 4 == 0, "PRODUCTION").otherwise("REVIEW").alias("bucket"), resolve.country_of(F.col("n_name"), F.lit(None).cast("string"), F.lit(None).cast("string"), names, ("TX",)).alias("country"), F.when(k % 3 == 0, "fr").when(k % 3 == 1, "DE").alias("country_code"),
-        F.when(F.col("c_mktsegment") == "BUILDING", "education").otherwise("company").alias("institution_type"), F.when(k % 2 == 0, "FUZZY").otherwise("EXACT").alias("method"), F.when(k % 7 == 0, "r").alias("ror"), ((k % 100) / F.lit(100.0)).alias("confidence"),
-    )
-    return resolve.geo_decision(links).select("c_custkey", "country_match", "country_conflict", "reclassification_decision")
+    production, quarantine = resolve.promote(_links(t).select("canonical_company_id", "openalex_institution_id", "confidence", "match_method", "institution_type", "ror"))
+    return production.select("canonical_company_id", F.lit("<NULL>").alias("quarantine_reason")).union(quarantine.select("canonical_company_id", "quarantine_reason"))
+
+
+@query("q40_geo_decision", f"WITH {JUDGED} SELECT id AS canonical_company_id, bucket AS source_bucket, sec AS sec_business_country_iso2, oa AS openalex_country_iso2, same AS country_match, clash AS country_conflict, decision AS reclassification_decision, decision IN ('KEEP_PRODUCTION', 'PROMOTE') AS production_approved_v2 FROM judged")
+def _(t):
+    return _judged(t).select("canonical_company_id", "source_bucket", "sec_business_country_iso2", "openalex_country_iso2", "country_match", "country_conflict", "reclassification_decision", "production_approved_v2")
 
 
 @query("q41_adjudicate", "SELECT CAST(s_suppkey AS VARCHAR) AS canonical_company_id, 'i' || s_suppkey AS openalex_institution_id, NULL::VARCHAR AS reclassification_decision, NULL::VARCHAR AS adjudication_version FROM supplier WHERE s_suppkey % 2 = 0 UNION SELECT CAST(s_suppkey AS VARCHAR), 'i' || s_suppkey, 'REVIEW_PRIORITY', 'v1' FROM supplier WHERE s_suppkey % 6 = 3")
@@ -355,28 +392,36 @@ def _(t):
     return resolve.adjudicate(s.where("k % 2 = 0").drop("k"), s.drop("k").withColumn("reclassification_decision", F.lit("REVIEW_PRIORITY")), decisions, "v1", "REVIEW_PRIORITY")
 
 
-@query("q42_rank_unresolved", "SELECT c_custkey, tier, score, row_number() OVER (ORDER BY tier, score DESC, c_custkey) AS review_rank FROM (SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'D' WHEN c_mktsegment = 'BUILDING' THEN 'A' ELSE 'B' END AS tier, CAST(100 * (c_custkey % 10) + 12 * CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS BIGINT) AS score FROM customer) ORDER BY review_rank LIMIT 20")
+@query(
+    "q42_rank_unresolved",
+    f"""WITH {JUDGED}, settled AS (SELECT k FROM links WHERE k % 20 = 4 OR k % 20 = 13), scored AS (SELECT id, k, coalesce(confidence, 0) * 100 + 12 * CAST(firm AS INTEGER) + 8 * CAST(has_ror AS INTEGER) + 15 * CAST(same AS INTEGER) - 100 * CAST(clash AS INTEGER)
+      + 5 * CASE method WHEN 'NORMALIZED_EXACT' THEN 3 WHEN 'LEGAL_CORE_EXACT' THEN 2 WHEN 'FUZZY_CORE' THEN 1 ELSE 0 END + CASE WHEN bucket = 'quarantine' THEN 3 ELSE 0 END AS score,
+      CASE WHEN clash THEN 'BLOCKED_COUNTRY_CONFLICT' WHEN same AND firm AND has_ror AND confidence >= 0.93 THEN 'TIER_A_STRONG' WHEN same AND has_ror AND confidence >= 0.90 THEN 'TIER_B_GOOD' WHEN has_ror AND confidence >= 0.90 THEN 'TIER_C_MODERATE' ELSE 'TIER_D_LOW' END AS tier
+      FROM judged WHERE decision NOT IN ('KEEP_PRODUCTION', 'PROMOTE', 'REJECT') AND k NOT IN (SELECT k FROM settled))
+    SELECT id AS canonical_company_id, tier AS review_tier, round(score, 6) AS review_score, row_number() OVER (ORDER BY CASE tier WHEN 'TIER_A_STRONG' THEN 1 WHEN 'TIER_B_GOOD' THEN 2 WHEN 'TIER_C_MODERATE' THEN 3 WHEN 'TIER_D_LOW' THEN 4 ELSE 5 END, round(score, 6) DESC, id) AS review_rank FROM scored""",
+)
 def _(t):
-    tier = F.when(F.col("c_acctbal") < 0, "D").when(F.col("c_mktsegment") == "BUILDING", "A").otherwise("B")
-    score = (100 * (F.col("c_custkey") % 10) + 12 * (F.col("c_mktsegment") == "BUILDING").cast("int")).cast("long")
-    s = t.customer.select("c_custkey", tier.alias("tier"), score.alias("score"))
-    return rank.global_rank(s, [F.asc("tier"), F.desc("score"), F.asc("c_custkey")], "review_rank").orderBy("review_rank").limit(20)
+    k = F.col("c_custkey")
+    at = lambda version, decision: t.customer.select(k.cast("string").alias("canonical_company_id"), decision.alias("decision"), F.lit(version).alias("version"), F.lit(0).alias("position")).where("decision is not null")
+    # a later version takes back the promotions of every second one of the first
+    decisions = at(3, F.when(k % 10 == 4, "PROMOTE").when(k % 20 == 13, "REJECT")).union(at(4, F.when(k % 20 == 14, "KEEP_REVIEW")))
+    return resolve.rank_unresolved(_judged(t), decisions).select("canonical_company_id", "review_tier", F.round("review_score", 6).alias("review_score"), "review_rank")
 
 
-TARGET = "g AS (SELECT DISTINCT l_suppkey AS s, l_orderkey AS work_id, CAST(year(o_orderdate) AS INTEGER) AS publication_year, CAST(round(o_totalprice * 100) AS BIGINT) AS cites FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_suppkey % 10 = 1)"
+TARGET = "g AS (SELECT DISTINCT l_suppkey AS s, l_orderkey AS work_id, CAST(year(o_orderdate) AS INTEGER) AS publication_year, CAST(round(o_totalprice * 100) AS BIGINT) AS cites FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
 
 
 def _production(t: Lake) -> DataFrame:
-    return t.supplier.where("s_suppkey % 10 = 1").select(F.concat(F.lit("c"), "s_suppkey").alias("canonical_company_id"), F.col("s_suppkey").alias("openalex_institution_id"), F.lit(1.0).alias("confidence"))
+    return t.supplier.select(F.concat(F.lit("c"), "s_suppkey").alias("canonical_company_id"), F.col("s_suppkey").alias("openalex_institution_id"), F.lit(1.0).alias("confidence"))
 
 
-@query("q43_company_year", f"WITH {WORKS}, e AS (SELECT DISTINCT l_orderkey, l_suppkey, n_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON n_nationkey = s_nationkey), m AS (SELECT publication_year, l_suppkey, count(DISTINCT id) AS work_count, {MEAN} FROM e JOIN w ON l_orderkey = id GROUP BY ALL) SELECT s_name AS company_name, publication_year, work_count, citation_sum, mean_citations FROM m JOIN supplier ON l_suppkey = s_suppkey WHERE s_suppkey % 10 = 1")
+@query("q43_company_year", f"WITH {WORKS}, e AS (SELECT DISTINCT l_orderkey, l_suppkey, n_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON n_nationkey = s_nationkey), m AS (SELECT publication_year, l_suppkey, count(DISTINCT id) AS work_count, {MEAN} FROM e JOIN w ON l_orderkey = id GROUP BY ALL) SELECT s_name AS company_name, publication_year, work_count, citation_sum, mean_citations FROM m JOIN supplier ON l_suppkey = s_suppkey")
 def _(t):
     from lakequery.operators.research import company_year
 
     org = t.supplier.select(F.concat(F.lit("c"), "s_suppkey").alias("canonical_company_id"), F.col("s_name").alias("company_name"))
     m = marts.year_marts(_works(t), institutions=_edges(t))["INSTITUTION_YEAR_METRICS"]
-    return company_year(org, _production(t), m).select("company_name", "publication_year", "work_count", "citation_sum", "mean_citations")
+    return company_year(org, _production(t), m)[0].select("company_name", "publication_year", "work_count", "citation_sum", "mean_citations")
 
 
 @query("q44_company_topic_year", f"WITH {TARGET} SELECT 'c' || s AS canonical_company_id, publication_year, l_partkey AS topic_id, count(DISTINCT work_id) AS work_count, CAST(sum(cites) AS BIGINT) AS citation_sum, sum(l_quantity) AS topic_score_sum FROM g JOIN lineitem ON l_orderkey = work_id GROUP BY ALL")
@@ -394,15 +439,44 @@ def _(t):
     return company_collaboration_year(_production(t), marts.works_of(_works(t)), _edges(t)).drop("openalex_institution_id")
 
 
-LEAKS = [f"{n}: {w}" for n in ("research", "topic", "collaboration") for w in ("company outside the bridge", "year outside the research mart")]
-
-
-@query("q46_mart_leak_checks", f"WITH r AS (SELECT DISTINCT o_custkey AS c, year(o_orderdate) AS y FROM orders WHERE year(o_orderdate) < 1999), x AS (SELECT o_custkey AS c, year(o_orderdate) AS y FROM orders WHERE o_orderkey % 50 = 0), z AS (SELECT o_custkey AS c, year(o_orderdate) AS y FROM orders WHERE o_orderkey % 70 = 0), b AS (SELECT c_custkey AS c FROM customer WHERE c_custkey % 4 <> 0) SELECT '{LEAKS[0]}' AS \"check\", count(*) AS value FROM r ANTI JOIN b ON r.c = b.c UNION ALL SELECT '{LEAKS[1]}', 0 UNION ALL SELECT '{LEAKS[2]}', count(*) FROM x ANTI JOIN b ON x.c = b.c UNION ALL SELECT '{LEAKS[3]}', count(*) FROM x ANTI JOIN r ON x.c = r.c AND x.y = r.y UNION ALL SELECT '{LEAKS[4]}', count(*) FROM z ANTI JOIN b ON z.c = b.c UNION ALL SELECT '{LEAKS[5]}', count(*) FROM z ANTI JOIN r ON z.c = r.c AND z.y = r.y")
-def _(t):
-    from lakequery.operators.research import mart_leaks
-
-    o = t.orders.select(F.col("o_custkey").alias("canonical_company_id"), F.year("o_orderdate").alias("publication_year"), "o_orderkey")
-    return mart_leaks(o.where("publication_year < 1999").select("canonical_company_id", "publication_year").distinct(), o.where("o_orderkey % 50 = 0"), o.where("o_orderkey % 70 = 0"), t.customer.where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("canonical_company_id")))
+MARTS = """research AS (SELECT o_custkey AS c, year(o_orderdate) AS y, count(*) AS n, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cites FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL),
+topic AS (SELECT nullif(o_custkey, 9) AS c, year(o_orderdate) AS y, CASE WHEN o_orderkey % 977 = 0 THEN '' ELSE o_orderpriority END AS topic_id, count(*) AS n, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cites FROM orders GROUP BY ALL UNION ALL SELECT o_custkey, year(o_orderdate), o_orderpriority, -1, 1 FROM orders WHERE o_totalprice > 499900),
+collab AS (SELECT o_custkey AS c, year(o_orderdate) AS y, o_orderstatus AS country, count(*) AS n, count(DISTINCT o_orderpriority) AS partners, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cites FROM orders GROUP BY ALL),
+prod AS (SELECT c_custkey AS c, 'i' || CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE c_custkey END AS i FROM customer WHERE c_acctbal > 0)"""
+MART_SQL = {
+    "topic_duplicate_keys": "FROM (SELECT 1 FROM topic GROUP BY c, y, topic_id HAVING count(*) > 1)",
+    "collaboration_duplicate_keys": "FROM (SELECT 1 FROM collab GROUP BY c, y, country HAVING count(*) > 1)",
+    "topic_null_keys": "FROM topic WHERE c IS NULL OR y IS NULL OR topic_id IS NULL OR topic_id = ''",
+    "collaboration_null_keys": "FROM collab WHERE c IS NULL OR y IS NULL OR country IS NULL OR country = ''",
+    "topic_negative_metrics": "FROM topic WHERE n < 0 OR cites < 0",
+    "collaboration_negative_metrics": "FROM collab WHERE n < 0 OR partners < 0 OR cites < 0",
+    "topic_nonproduction_leaks": "FROM topic t LEFT JOIN prod p ON t.c = p.c WHERE p.c IS NULL",
+    "collaboration_nonproduction_leaks": "FROM collab t LEFT JOIN prod p ON t.c = p.c WHERE p.c IS NULL",
+    "topic_institution_identity_mismatch": "FROM topic t JOIN prod p ON t.c = p.c WHERE 'i' || t.c <> p.i",
+    "collaboration_institution_identity_mismatch": "FROM collab t JOIN prod p ON t.c = p.c WHERE 'i' || t.c <> p.i",
+    "topic_row_work_exceeds_research_year": "FROM topic t JOIN research r ON t.c = r.c AND t.y = r.y WHERE t.n > r.n",
+    "topic_row_citations_exceed_research_year": "FROM topic t JOIN research r ON t.c = r.c AND t.y = r.y WHERE t.cites > r.cites",
+    "collaboration_row_work_exceeds_research_year": "FROM collab t JOIN research r ON t.c = r.c AND t.y = r.y WHERE t.n > r.n",
+    "collaboration_row_citations_exceed_research_year": "FROM collab t JOIN research r ON t.c = r.c AND t.y = r.y WHERE t.cites > r.cites",
+    "topic_rows_without_research_year": "FROM topic t LEFT JOIN research r ON t.c = r.c AND t.y = r.y WHERE r.c IS NULL",
+    "collaboration_rows_without_research_year": "FROM collab t LEFT JOIN research r ON t.c = r.c AND t.y = r.y WHERE r.c IS NULL",
+    "collaborator_count_less_than_work_count_impossible": "FROM collab WHERE partners < n",
+}
+
+
+@query("q46_mart_leak_checks", f"WITH {MARTS} " + " UNION ALL ".join(f"SELECT '{n}' AS \"check\", count(*) AS value {w}" for n, w in MART_SQL.items()))
+def _(t):
+    from lakequery.operators.research import company_mart_checks
+
+    cents = F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("citation_sum")
+    o = t.orders.withColumns({"canonical_company_id": F.col("o_custkey").cast("string"), "publication_year": F.year("o_orderdate")})
+    with_institution = lambda df: df.withColumn("openalex_institution_id", F.concat(F.lit("i"), "canonical_company_id"))
+    research = o.where("o_orderstatus <> 'P'").groupBy("canonical_company_id", "publication_year").agg(F.count("*").alias("work_count"), cents)
+    topic = o.withColumns({"canonical_company_id": F.nullif("canonical_company_id", F.lit("9")), "topic_id": F.when(F.col("o_orderkey") % 977 == 0, "").otherwise(F.col("o_orderpriority"))}).groupBy("canonical_company_id", "publication_year", "topic_id").agg(F.count("*").alias("work_count"), cents, F.lit(0.0).alias("topic_score_sum"))
+    odd = o.where("o_totalprice > 499900").select("canonical_company_id", "publication_year", F.col("o_orderpriority").alias("topic_id"), F.lit(-1).alias("work_count"), F.lit(1).alias("citation_sum"), F.lit(0.0).alias("topic_score_sum"))
+    collab = o.groupBy("canonical_company_id", "publication_year", F.col("o_orderstatus").alias("collaborator_country_code")).agg(F.count("*").alias("collaborative_work_count"), F.countDistinct("o_orderpriority").alias("collaborator_institution_count"), cents)
+    prod = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").cast("string").alias("canonical_company_id"), F.concat(F.lit("i"), F.when(F.col("c_custkey") % 5 == 0, 0).otherwise(F.col("c_custkey"))).alias("openalex_institution_id"))
+    return company_mart_checks(prod, research, with_institution(topic.union(odd)), with_institution(collab))
 
 
 @query("q47_delta", "SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS first, CAST(max(o_orderdate) AS DATE) AS last, count(*) AS n_rows FROM orders WHERE year(o_orderdate) = 1996 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1995) GROUP BY o_custkey")

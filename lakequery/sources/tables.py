@@ -11,13 +11,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 
 def persist_table(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and read it back, so that its values hold still."""
     spark = df.sparkSession
-    where = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints/lakequery"
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        where = "file:///tmp/checkpoints/lakequery"
     path = f"{where.rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -43,7 +46,7 @@ def read_tickers(spark: SparkSession, path: str) -> DataFrame:
     listed = F.from_json("value", f"array<{row}>")
     keyed = F.map_values(F.from_json("value", f"map<string,{row}>"))
     rows = raw.select(F.posexplode(F.when(F.ltrim("value").startswith("["), listed).otherwise(keyed)).alias("ord", "r"))
-    return rows.select(F.coalesce("r.cik_str", "r.cik").alias("cik"), F.upper(F.trim("r.ticker")).alias("ticker"), F.trim(F.coalesce("r.title", "r.name")).alias("name"), F.lit(None).cast("string").alias("exchange"), F.lit("tickers").alias("source"), "ord")
+    return rows.select(F.coalesce("r.cik_str", "r.cik").alias("cik"), F.upper(F.trim("r.ticker")).alias("ticker"), F.trim(F.coalesce("r.title", "r.name")).alias("name"), F.lit(None).cast("string").alias("exchange"), F.lit("company_tickers").alias("source"), "ord")
 
 
 def read_exchange(spark: SparkSession, path: str) -> DataFrame:
@@ -52,7 +55,7 @@ def read_exchange(spark: SparkSession, path: str) -> DataFrame:
     parsed = raw.select(F.from_json("value", "struct<fields:array<string>,data:array<array<string>>>").alias("j"))
     rows = parsed.select("j.fields", F.posexplode("j.data").alias("ord", "d")).select("ord", F.map_from_arrays("fields", "d").alias("m"))
     get = lambda k: F.try_element_at("m", F.lit(k))
-    return rows.select(get("cik").alias("cik"), F.upper(F.trim(get("ticker"))).alias("ticker"), F.trim(get("name")).alias("name"), get("exchange").alias("exchange"), F.lit("exchange").alias("source"), "ord")
+    return rows.select(get("cik").alias("cik"), F.upper(F.trim(get("ticker"))).alias("ticker"), F.trim(get("name")).alias("name"), get("exchange").alias("exchange"), F.lit("company_tickers_exchange").alias("source"), "ord")
 
 
 def read_filing_index(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -109,9 +112,10 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType | None
 
 def within_budget(listing: DataFrame, budget: int, suffix: str = "", key: str = "key", size: str = "size") -> DataFrame:
     """Keys in order until their sizes add up to more than the budget; the suffix counts before. Sizes are not negative."""
+    from lakequery.functions.rank import running
+
     fits = listing.where(F.col(key).endswith(suffix)) if suffix else listing
-    total = F.sum(size).over(W.orderBy(key).rowsBetween(W.unboundedPreceding, 0))
-    return fits.withColumn("running", total).where(F.col("running") <= budget)
+    return running(fits, [F.asc(key)], F.col(size), "running").where(F.col("running") <= budget)
 
 
 def scan_guard(df: DataFrame, most_bytes: int) -> DataFrame:
@@ -141,6 +145,15 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.option("header", "true").csv(path)
 
 
+def write_json_array(df: DataFrame, path: str) -> None:
+    """One file of one JSON array, an element a line; its rows pass through one task, none is held. A null stays a null."""
+    rows = df.select(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"ignoreNullFields": "false"}).alias("value"))
+    first = F.monotonically_increasing_id() == 0
+    body = rows.coalesce(1).select(F.concat(F.when(first, "[").otherwise(","), "value").alias("value"))
+    end = df.sparkSession.range(0, 1, 1, 1).select(F.lit("[]" if df.isEmpty() else "]").alias("value"))
+    body.union(end).coalesce(1).write.text(path)
+
+
 def json_array(df: DataFrame) -> DataFrame:
     """A small result as one JSON array."""
     return df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))

@@ -1,6 +1,7 @@
 """Operators on small hand-written tables."""
 
 import difflib
+import hashlib
 import json
 import zipfile
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakequery.functions import rank, text
-from lakequery.operators import catalog, corpus, curate, identity, ingest, marts, quality, research, resolve
+from lakequery.operators import catalog, corpus, curate, identity, ingest, joins, marts, quality, research, resolve
 from lakequery.sources import tables
 
 WORK = "id string, year int, referenced_works array<string>, topics array<struct<id:string,display_name:string,score:double>>, authorships array<struct<author:struct<id:string>,author_position:string,is_corresponding:boolean,institutions:array<struct<id:string,country_code:string>>,countries:array<string>>>"
@@ -58,9 +59,18 @@ def test_marts(spark):
 
 def test_catalog(spark, tmp_path):
     edges = spark.createDataFrame([("w1", "a1"), ("w1", "a2"), ("w2", "a1")], "work_id string, author_id string")
-    made = catalog.build_catalog(spark, {"WORK_AUTHOR_EDGES": edges})
-    assert made["functions"] == ["work_authors", "author_works", "coauthors"]
-    assert [tuple(r) for r in spark.sql("SELECT * FROM coauthors('a2')").collect()] == [("a1", 1)]
+    assert catalog.build_catalog(spark, {"WORK_AUTHOR_EDGES": edges})["functions"] == []
+    more = spark.createDataFrame([("w3", "a1"), ("w3", "a3"), ("w1", "a3")], "work_id string, author_id string")
+    masters = {"WORK_MASTER": spark.createDataFrame([("w1", "First")], "id string, title string"), "AUTHOR_MASTER": spark.createDataFrame([("a1", "Ann")], "id string, name string")}
+    collab = spark.createDataFrame([("w1", "DE", "FR", "s1"), ("w2", "FR", "US", "s2"), ("w3", "DE", "US", "s3")], "work_id string, country_a string, country_b string, _source_key string")
+    made = catalog.build_catalog(spark, {"WORK_AUTHOR_EDGES": edges.union(more), "COUNTRY_COLLAB_EDGES": collab, **masters})
+    assert made["functions"] == ["work", "author", "work_authors", "author_works", "coauthors", "country_collaborations"]
+    got = spark.sql("SELECT * FROM work_authors('w1')")
+    assert got.columns == ["work_id", "author_id", "name"] and {tuple(r) for r in got.collect()} == {("w1", "a1", "Ann"), ("w1", "a2", None), ("w1", "a3", None)}
+    assert {tuple(r) for r in spark.sql("SELECT * FROM author_works('a1')").collect()} == {("w1", "a1", "First"), ("w2", "a1", None), ("w3", "a1", None)}
+    assert [tuple(r) for r in spark.sql("SELECT coauthor_id, shared_work_count FROM coauthors('a1')").collect()] == [("a3", 2), ("a2", 1)]
+    assert {tuple(r) for r in spark.sql("SELECT * FROM country_collaborations('FR')").collect()} == {("w1", "DE", "FR", "DE", "s1"), ("w2", "FR", "US", "US", "s2")}
+    assert {tuple(r) for r in spark.sql("SELECT table_name, table_kind, row_count, column_count FROM table_counts").collect()} >= {("WORK_MASTER", "master", 1, 2), ("WORK_AUTHOR_EDGES", "edge", 6, 2)}
     with pytest.raises(ValueError):
         catalog.build_catalog(spark, {"WORK_AUTHOR_EDGES": edges}, required=("WORK_MASTER",))
     for bad in ("DELETE FROM x", "", "DROP TABLE x", "INSERT INTO x VALUES (1)", "CREATE TABLE y AS SELECT 1"):
@@ -68,6 +78,14 @@ def test_catalog(spark, tmp_path):
             catalog.read_only(spark, bad)
     out = catalog.execute_query(spark, "SELECT\n1 AS a UNION ALL SELECT 2;", str(tmp_path / "o"))
     assert out["rows"] == 2 and out["columns"] == ["a"] and len(out["output_sha256"]) == 64
+    out = catalog.execute_query(spark, "SELECT id, nullif(id, 1) AS n FROM range(3)", str(tmp_path / "j"), "json")
+    (file,) = (tmp_path / "j").glob("part-*")
+    assert sorted(json.loads(file.read_text()), key=lambda r: r["id"]) == [{"id": 0, "n": 0}, {"id": 1, "n": None}, {"id": 2, "n": 2}]
+    assert out["file_sha256"] == [hashlib.sha256(file.read_bytes()).hexdigest()]
+    catalog.execute_query(spark, "SELECT id FROM range(0)", str(tmp_path / "k"), "json")
+    assert [json.loads(f.read_text()) for f in (tmp_path / "k").glob("part-*")] == [[]]
+    catalog.execute_query(spark, "SELECT id FROM range(2)", str(tmp_path / "c"), "csv")
+    assert tables.read_text_csv(spark, str(tmp_path / "c")).count() == 2
 
 
 def test_quality(spark):
@@ -84,15 +102,22 @@ def test_company_and_filings(spark, tmp_path):
     names = tables.read_tickers(spark, str(tmp_path / "t.json")).unionByName(tables.read_exchange(spark, str(tmp_path / "e.json")))
     master, bridge = identity.company_master(names)
     assert sorted(map(tuple, master.collect())) == [("SEC_CIK:0000000001", "0000000001", "One", "AA", 2), ("SEC_CIK:0000000002", "0000000002", "Two", "C", 1)]
-    assert {(r.ticker, r.exchange, r.source) for r in bridge.collect()} == {("AA", "NYSE", "exchange"), ("BB", "NYSE", "exchange+tickers"), ("C", None, "exchange+tickers")}
+    assert {(r.ticker, r.exchange, r.source) for r in bridge.collect()} == {("AA", "NYSE", "company_tickers_exchange"), ("BB", "NYSE", "company_tickers+company_tickers_exchange"), ("C", None, "company_tickers+company_tickers_exchange")}
+    odd = spark.createDataFrame([("5", "Z", None, "", "company_tickers", 0), ("5", "Z", "Late", "N", "company_tickers_exchange", 0), ("6", "Y", None, None, "company_tickers", 1)], "cik string, ticker string, name string, exchange string, source string, ord int")
+    m, b = identity.company_master(odd)
+    assert {tuple(r)[1:] for r in m.collect()} == {("0000000005", "Late", "Z", 1), ("0000000006", None, "Y", 1)}
+    assert {(r.ticker, r.exchange, r.company_name) for r in b.collect()} == {("Z", "N", "Late"), ("Y", None, None)}
     lines = ["Preamble", "CIK|Company Name|Form Type|Date Filed|Filename", "---", "1|One|10-K|2023-02-01|edgar/data/1/0001-23-1.txt", "1|One B|10-K|2023-03-01|edgar/data/1/0001-23-2.txt", "1|One C|10-K|2023-03-01|edgar/data/1/0001-23-3.txt", "1|One|10-K|2025-01-01|edgar/data/1/x.txt", "3|Three|10-K|2023-01-05|edgar/data/3/0003-23-1.txt", "2|Two|8-K|2023-01-05|f.txt"]
     (tmp_path / "i.idx").write_text("\n".join(lines), encoding="latin-1")
     index = tables.read_filing_index(spark, [str(tmp_path / "i.idx")])
     filings, matched = identity.filing_master(index, master, "2023-01-01", "2024-03-15", expected=2)
     assert {(r.cik, r.accession, r.filing_year) for r in filings.collect()} == {("0000000001", "0001-23-2", 2023), ("0000000003", "0003-23-1", 2023)}
     assert {(r.cik, r.matched) for r in matched.collect()} == {("0000000001", True), ("0000000003", False)}
-    whole = {r.cik: r.source_class for r in identity.complete_companies(master, filings).collect()}
-    assert whole == {"0000000001": "SEC_TICKER+FILING", "0000000002": "SEC_TICKER", "0000000003": "SEC_FILING"}
+    nameless = master.withColumn("company_name", F.nullif("company_name", F.lit("One")))
+    complete, of = identity.complete_companies(nameless, filings)
+    whole = {r.cik: (r.source_class, r.company_name, r.in_ticker_master) for r in complete.collect()}
+    assert whole == {"0000000001": ("SEC_TICKER+FILING", "One B", True), "0000000002": ("SEC_TICKER", "Two", True), "0000000003": ("SEC_FILING", "Three", False)}
+    assert {(r.cik, r.accession, r.primary_ticker, r.source_class) for r in of.collect()} == {("0000000001", "0001-23-2", "AA", "SEC_TICKER+FILING"), ("0000000003", "0003-23-1", None, "SEC_FILING")}
     with pytest.raises(ValueError):
         identity.filing_master(index, master, "2023-01-01", "2024-03-15", expected=9)
     sections = spark.createDataFrame([("1", "edgar/data/1/0001-23-2.txt", s, n) for s, n in (("1", "12.7"), ("1A", "1e2"), ("7", "x"))], "cik string, filename string, section string, word_count string")
@@ -133,29 +158,66 @@ def _institutions(spark):
 def test_resolution(spark):
     companies = spark.createDataFrame([("c1", "ACME INC"), ("c2", "Twin"), ("c4", "Borealis Systems Corp"), ("c5", "Helix Dynamics Laboratory")], "canonical_company_id string, company_name string")
     exact = resolve.exact_bridge(companies, _institutions(spark))
-    assert {(r.canonical_company_id, r.accepted) for r in exact.collect()} == {("c1", True), ("c2", False)} and exact.count() == 3
-    taken = exact.where("accepted").select("canonical_company_id", "openalex_institution_id", "confidence")
+    assert {(r.canonical_company_id, r.accepted, r.confidence, r.match_method) for r in exact.collect()} == {("c1", True, 1.0, "NORMALIZED_EXACT"), ("c2", False, 0.0, "NORMALIZED_EXACT")} and exact.count() == 3
+    taken = exact.where("accepted")
     scored = resolve.scored_bridge(companies, _institutions(spark), taken)
     by = {(r.canonical_company_id, r.openalex_institution_id): r for r in scored.collect()}
-    assert by["c4", "i4"].method == "LEGAL_CORE_EXACT" and by["c4", "i4"].confidence == 0.98 and by["c4", "i4"].accepted
+    assert by["c4", "i4"].method == "LEGAL_CORE_EXACT" and by["c4", "i4"].confidence == 0.98 and by["c4", "i4"].accepted and by["c4", "i4"].tier == "HIGH"
     r = by["c5", "i5"]
-    ratio = difflib.SequenceMatcher(None, "helix dynamics laboratory", "helix dynamics laboratories").ratio()
-    assert r.method == "BLOCKED_FUZZY" and abs(r.score - (ratio + 0.01 + 0.025)) < 1e-9 and r.candidate_rank == 1
+    ratio = difflib.SequenceMatcher(None, "helixdynamicslaboratory", "helixdynamicslaboratories").ratio()
+    assert r.method == "FUZZY_CORE" and abs(r.name_similarity - ratio) < 1e-12 and r.confidence == min(0.97, ratio + 0.035) and r.acronym_match and r.candidate_rank == 1 and r.best_margin == ratio + 0.035 and r.accepted == (ratio >= 0.965)
     bridge, master, queue = resolve.finalize_organizations(companies, taken, scored.where("accepted"), scored)
-    assert bridge.count() == 2 + int(r.accepted) and master.count() == 4
+    assert len(bridge.columns) == 15 and {(x.canonical_company_id, x.confidence_tier, x.provenance) for x in bridge.collect()} == {("c1", "EXACT", "exact_anchor"), ("c4", "HIGH", "scored_matcher")} | ({("c5", "HIGH", "scored_matcher")} if r.accepted else set())
+    assert len(master.columns) == 20 and {x.canonical_company_id for x in master.where("not has_openalex_link").collect()} == {"c2", "c5"} - {x.canonical_company_id for x in bridge.collect()}
     assert {x.canonical_company_id for x in queue.collect()} == {"c2"} | ({"c5"} - {x.canonical_company_id for x in bridge.collect()})
     empty = resolve.scored_bridge(companies.limit(0), _institutions(spark), taken)
     assert empty.count() == 0 and "candidate_rank" in empty.columns
+    assert quality.validate_bridge(master, bridge, scored, queue) == []
+    worse = bridge.withColumn("confidence", F.when(F.col("canonical_company_id") == "c4", 0.5).otherwise(0.99))
+    assert quality.validate_bridge(master.limit(0), worse, scored.withColumn("accepted", F.lit(False)), bridge.limit(1)) == ["accepted_confidence_outside_policy=1", "accepted_matches_dominated_by_stronger_candidate=1", "exact_anchor_confidence_not_one=1", "review_companies_already_promoted=1", "review_rows_marked_accepted=1"]
+
+
+def test_blocked_pairs(spark):
+    """Bounds leave out no pair that reaches the ratio."""
+    import random
+
+    r = random.Random(1)
+    base = ["precisiontool", "precisiontoolworks", "precise", "preciseinstrumentation"]
+    names = sorted({"".join(c if r.random() > 0.08 else r.choice("abcxyz01") for c in b) + r.choice(["", "s", "es", "ltda"]) for b in base for _ in range(25)} | set(base))
+    a = spark.createDataFrame([(n,) for n in names], "a string")
+    got = {(x.a, x.b) for x in joins.blocked_pairs(a, a.withColumnRenamed("a", "b"), "a", "b", least=0.88).withColumn("s", text.sequence_ratio("a", "b")).where("s >= 0.88").collect()}
+    want = {(x, y) for x in names for y in names if x[:4] == y[:4] and abs(len(x) // 5 - len(y) // 5) <= 1 and difflib.SequenceMatcher(None, x, y).ratio() >= 0.88}
+    assert got == want and len(want) > len(names)
 
 
 def test_promotion_and_geography(spark):
-    a = spark.createDataFrame([("c1", 0.99, "EXACT_NORMALIZED_NAME", "company"), ("c2", 0.5, "EXACT_NORMALIZED_NAME", "company"), ("c3", 0.99, "X", "company"), ("c4", None, None, "company"), ("c5", 0.99, "X", "education")], "canonical_company_id string, confidence double, match_method string, institution_type string")
+    a = spark.createDataFrame(
+        [("c1", "i1", 0.98, "NORMALIZED_EXACT", "Company", "r"), ("c2", "i2", 0.97, "NORMALIZED_EXACT", "company", "r"), ("c3", "i3", 0.99, "FUZZY_CORE", "company", "r"), ("c4", "i4", None, None, "company", "r"), ("c5", "i5", 0.99, "LEGAL_CORE_EXACT", "education", "r"), ("c6", "i6", 0.99, "LEGAL_CORE_EXACT", None, "r"), ("c7", "i7", 1.0, "LEGAL_CORE_EXACT", "company", " ")],
+        "canonical_company_id string, openalex_institution_id string, confidence double, match_method string, institution_type string, ror string",
+    )
     production, quarantine = resolve.promote(a)
     assert {r[0] for r in production.collect()} == {"c1", "c4"}
-    assert {(r.canonical_company_id, r.quarantine_reason) for r in quarantine.collect()} == {("c2", "LOW_CONFIDENCE"), ("c3", "UNKNOWN_METHOD"), ("c5", "NON_COMPANY_TYPE")}
+    assert {(r.canonical_company_id, r.quarantine_reason) for r in quarantine.collect()} == {("c2", "LOW_CONFIDENCE"), ("c3", "METHOD_NOT_PRODUCTION_APPROVED"), ("c5", "OPENALEX_TYPE_NOT_COMPANY"), ("c6", "OPENALEX_TYPE_NOT_COMPANY"), ("c7", "ROR_MISSING")}
+    with pytest.raises(ValueError):
+        resolve.promote(a.union(a))
     d = spark.createDataFrame([("Korea, Republic of (South)", None, None), ("TX", "TX", "false"), (None, "TX", None), ("North Macedonia Republic", None, "true")], "d string, c string, f string")
     names = {"KOREA": "KR", "MACEDONIA": "XX", "NORTH MACEDONIA": "MK"}
-    assert [r[0] for r in d.select(resolve.country_of(F.col("d"), F.col("c"), F.col("f"), names, ("TX",))).collect()] == ["KR", "US", None, "MK"]
+    assert [r[0] for r in d.select(resolve.country_of(F.col("d"), F.col("c"), F.col("f"), names)).collect()] == ["KR", "US", None, "MK"]
+    meta = spark.createDataFrame([("c1", None, "Canada", "true"), ("c2", None, "France (metropolitan)", None), ("c3", "CA", None, "no"), ("c5", None, "Germany", "1"), ("c7", None, "Japan", "t")], "canonical_company_id string, business_state_or_country string, business_state_or_country_description string, business_is_foreign_location string")
+    with_code = a.withColumn("country_code", F.create_map(*(F.lit(x) for x in ("c1", "US", "c2", " fr", "c3", "US", "c4", "", "c5", "DE", "c7", "JP")))[F.col("canonical_company_id")])
+    bucket = lambda *ids: with_code.where(F.col("canonical_company_id").isin(*ids))
+    judged, kept = resolve.reclassify(meta, bucket("c1", "c4"), bucket("c3", "c5", "c7"), bucket("c2", "c6").withColumnRenamed("match_method", "method"))
+    got = {r.canonical_company_id: (r.reclassification_decision, r.reclassification_reason, r.match_method) for r in judged.collect()}
+    assert got == {
+        "c1": ("REJECT", "sec_openalex_country_conflict", "NORMALIZED_EXACT"), "c4": ("KEEP_PRODUCTION", "production_link_no_country_conflict", ""), "c3": ("PROMOTE", "corporate_type_ror_high_confidence_no_country_conflict", "FUZZY_CORE"),
+        "c5": ("REVIEW_PRIORITY", "country_match_ror_high_confidence_but_noncompany_type", "LEGAL_CORE_EXACT"), "c7": ("KEEP_QUARANTINE", "metadata_gate_not_cleared", "LEGAL_CORE_EXACT"),
+        "c2": ("PROMOTE", "country_match_company_type_ror_high_confidence", "NORMALIZED_EXACT"), "c6": ("KEEP_REVIEW", "review_evidence_not_sufficient", "LEGAL_CORE_EXACT"),
+    }
+    assert {r.canonical_company_id for r in kept.collect()} == {"c2", "c3", "c4"}
+    first = resolve.priority_review(judged).collect()
+    assert [r.canonical_company_id for r in first] == ["c5"] and len(first[0]) == 19
+    with pytest.raises(ValueError):
+        resolve.priority_review(judged.where("false"))
 
 
 def test_adjudication_and_ranking(spark):
@@ -166,9 +228,23 @@ def test_adjudication_and_ranking(spark):
     with pytest.raises(ValueError):
         resolve.adjudicate(base, re, dec, "v3", expected=5)
     assert {tuple(r) for r in resolve.last_decisions(dec).collect()} == {("c2", "PROMOTE"), ("c3", "KEEP_REVIEW")}
-    review = spark.createDataFrame([("c2", 0.9, "company", "r", "EXACT", True, False, "REVIEW"), ("c3", 0.8, "company", None, "FUZZY", True, False, "QUARANTINE"), ("c4", 0.7, "company", None, "FUZZY", False, True, "REVIEW")], "canonical_company_id string, confidence double, institution_type string, ror string, method string, country_match boolean, country_conflict boolean, bucket string")
-    got = [(r.canonical_company_id, r.review_tier, r.review_rank) for r in resolve.rank_unresolved(review, dec).orderBy("review_rank").collect()]
-    assert got == [("c3", "A", 1), ("c4", "D", 2)]
+    made = [
+        ("c2", 0.9, "company", "r", "FUZZY_CORE", True, False, "review", "KEEP_REVIEW"), ("c3", 0.95, "company", "r", "NORMALIZED_EXACT", True, False, "quarantine", "REVIEW_PRIORITY"), ("c4", 0.7, "company", None, None, False, False, "review", "KEEP_REVIEW"),
+        ("c5", 0.91, None, "r", "FUZZY_CORE", True, False, "review", "KEEP_REVIEW"), ("c6", 0.92, None, "r", "LEGAL_CORE_EXACT", False, False, "review", "KEEP_REVIEW"), ("c7", 0.99, "company", "r", "X", False, True, "review", "KEEP_REVIEW"), ("c8", 0.99, "company", "r", "X", True, False, "review", "PROMOTE"),
+    ]
+    review = spark.createDataFrame(made, "canonical_company_id string, confidence double, institution_type string, ror string, match_method string, country_match boolean, country_conflict boolean, source_bucket string, reclassification_decision string")
+    got = [(r.canonical_company_id, r.review_tier, r.review_rank, round(r.review_score, 6)) for r in resolve.rank_unresolved(review, dec).orderBy("review_rank").collect()]
+    assert got == [("c3", "TIER_A_STRONG", 1, 148.0), ("c5", "TIER_B_GOOD", 2, 119.0), ("c6", "TIER_C_MODERATE", 3, 110.0), ("c4", "TIER_D_LOW", 4, 82.0), ("c7", "BLOCKED_COUNTRY_CONFLICT", 5, 19.0)]
+
+
+def test_mart_validation(spark):
+    base = spark.createDataFrame([(2019, 1, 5, 5.0), (2020, 2, 4, 2.0)], "publication_year int, work_count long, citation_sum long, mean_citations double")
+    pairs = base.withColumn("country_a", F.lit("US")).withColumn("country_b", F.lit("DE"))
+    topics = base.where("publication_year = 2020").withColumn("topic_id", F.lit(""))
+    places = base.union(base).withColumn("institution_id", F.lit("i")).withColumn("work_count", F.lit(-1))
+    errors, profile = quality.validate_marts({"WORK_YEAR_METRICS": base, "COUNTRY_COLLAB_YEAR": pairs, "WORK_YEAR_TOPIC": topics, "WORK_YEAR_INSTITUTION": places})
+    assert sorted(errors) == sorted(["COUNTRY_COLLAB_YEAR: 2 pairs out of order", "WORK_YEAR_COUNTRY: missing table", "WORK_YEAR_INSTITUTION: 2 duplicate rows", "WORK_YEAR_INSTITUTION: 4 negative metrics", "WORK_YEAR_TOPIC: 1 invalid keys"])
+    assert {(r.mart, r.n_rows, r.first_year, r.years_lacking) for r in profile.collect()} >= {("WORK_YEAR_TOPIC", 1, 2020, 1), ("WORK_YEAR_METRICS", 2, 2019, 0)}
 
 
 def test_research(spark):
@@ -183,6 +259,9 @@ def test_research(spark):
         research.freeze_release(inv, False, [])
     with pytest.raises(ValueError):
         research.company_year(prod, prod.limit(0), ai)
+    yearly = spark.createDataFrame([("i1", 2020, 2, 6), ("i1", 2020, 1, 3), ("i9", 2020, 5, 5)], "institution_id string, publication_year int, work_count long, citation_sum long")
+    mart, cited = research.company_year(prod.withColumn("company_name", F.lit("One")), prod, yearly)
+    assert [(r.canonical_org_id, r.company_name, r.work_count, r.citation_sum, r.mean_citations) for r in mart.collect()] == [("c1", "One", 3, 9, 3.0)] and cited.first().citations_per_work == 3.0
 
 
 def test_corpus(spark):
@@ -205,8 +284,11 @@ def test_ingest(spark):
             ingest.parse_registry(bad)
     got = ingest.years_by_kind(spark, {"first": 2020, "last": 2021, "kinds": ["x", "y"], "template": "h/{year}/{kind}"}).collect()
     assert {(r.key, r.url) for r in got} == {(f"{k}_{y}", f"h/{y}/{k}") for k in "xy" for y in (2020, 2021)}
-    lines = spark.createDataFrame([("1 h http://x/20260101000000.export.csv",), ("1 h http://x/20260103000000.gkg.csv",), ("1 h http://x/20251201000000.export.csv",), ("bad",)], "value string")
-    assert [r.kind for r in ingest.trailing(spark, {"lines": lines, "now": "2026-01-03", "days": 3, "streams": ["export", "gkg"], "last": 5}).collect()] == ["export", "gkg"]
+    files = ["20260101000000.export.CSV.zip", "20260103000000.gkg.csv", "20251201000000.export.csv", "20260102000000.mentions.CSV.zip", "20260102001500.translation.csv", "export.csv"]
+    lines = spark.createDataFrame([(f"1 h http://x/export/{f}",) for f in files] + [("bad",)], "value string")
+    window = lambda **more: [(r.key, r.kind) for r in ingest.trailing(spark, {"lines": lines, "now": "2026-01-03", **more}).collect()]
+    assert window() == [(files[0], "export"), (files[1], "gkg")]
+    assert window(lookback_days=1, streams=["mentions", "other", "gkg"], max_files=2) == [(files[4], "other"), (files[1], "gkg")]
     toc = spark.createDataFrame([(0, 'T\t"ab_cd"'), (1, 'T\t"BAD"'), (2, 'T\t"ab_cd"'), (3, "T\tzzzz")], "ord int, value string")
     assert [r.key for r in ingest.toc_codes(spark, {"lines": toc}).collect()] == ["ab_cd", "zzzz"]
     listing = spark.createDataFrame([("a", 5), ("b", 5), ("c", 1)], "key string, size long")
@@ -227,8 +309,24 @@ def test_functions(spark):
 
 
 def test_bh(spark):
-    df = spark.createDataFrame([(0.01,), (0.04,), (0.03,), (0.5,)], "p double")
-    assert sorted(round(r.f, 6) for r in rank.benjamini_hochberg(df, "p", "f").collect()) == [0.04, 0.053333, 0.053333, 0.5]
+    df = spark.createDataFrame([(0.01,), (0.04,), (0.03,), (0.5,), (0.03,), (None,)], "p double")
+    want = [None, 0.05, 0.05, 0.05, 0.05, 0.5]
+    assert sorted((None if r.f is None else round(r.f, 6) for r in rank.benjamini_hochberg(df, "p", "f").collect()), key=str) == sorted(want, key=str)
+    both = df.withColumn("k", F.lit("a")).union(df.withColumn("k", F.lit(None)))
+    assert sorted((None if r.f is None else round(r.f, 6) for r in rank.benjamini_hochberg(both, "p", "f", ["k"]).collect()), key=str) == sorted(want * 2, key=str)
+
+
+def test_running(spark):
+    import itertools
+
+    values = [(i * 7919 % 1000, i % 13 - 4) for i in range(1000)]
+    df = spark.createDataFrame(values, "k long, v long").repartition(7)
+    values.sort()
+    for fn, step in (("sum", lambda a, b: a + b), ("min", min)):
+        got = [r.out for r in rank.running(df, [F.asc("k")], F.col("v"), "out", fn).orderBy("k").collect()]
+        assert got == list(itertools.accumulate((v for _, v in values), step))
+    assert [r.r for r in rank.global_rank(df, [F.desc("k")], "r").orderBy(F.desc("k")).collect()] == list(range(1, 1001))
+    assert [r.key for r in tables.within_budget(spark.createDataFrame([("b", 5), ("a", 5), ("c", 1)], "key string, size long"), 10).orderBy("key").collect()] == ["a", "b"]
 
 
 def test_streaming(spark, tmp_path):
