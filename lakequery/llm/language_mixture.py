@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakequery.llm.common import ids_of, slices, texts_of
+from lakequery.llm.common import bounded, ids_of, slices, small_batches, texts_of
 
 #: Trigrams are hashed to so many bits; the model is languages x 2^16 numbers.
 BITS = 16
@@ -28,6 +28,7 @@ def trigrams(text: bytes) -> np.ndarray:
     return ((b[:-2] | b[1:-1] << np.uint32(8) | b[2:] << np.uint32(16)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
 
 
+@bounded
 def _counts(batches):
     held: dict[str, np.ndarray] = {}
 
@@ -37,7 +38,7 @@ def _counts(batches):
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(f), pa.string()), pa.array(f.astype(np.int32)), pa.array(c[f])], names=["lang", "f", "n"])
         held.clear()
 
-    for b in slices(batches):
+    for b in slices(batches, limit=1_000_000):
         by: dict[str, list[bytes]] = {}
         for lang, t in zip(ids_of(b, "lang"), texts_of(b), strict=True):
             by.setdefault(lang, []).append(t)
@@ -58,25 +59,27 @@ class Mixture:
         p = (counts + smoothing) / (counts.sum(axis=0) + smoothing * len(counts))
         self.p = (p / p.mean(axis=1, keepdims=True)).astype(np.float32)  # per bucket, over their mean: proportions stay the same
 
-    def _em(self, x: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, float]:
+    def _em(self, x: np.ndarray, n: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, float]:
+        """Of trigrams with likelihoods x that occur n times each; each round gives a language the share of the trigrams it answers for."""
         for _ in range(self.rounds if len(theta) > 1 else 0):
-            theta = theta * (x.T @ (1.0 / np.maximum(x @ theta, 1e-30))) / len(x)
+            theta = theta * (x.T @ (n / np.maximum(x @ theta, 1e-30)))
             theta /= theta.sum()
-        return theta, float(np.log(np.maximum(x @ theta, 1e-30)).sum(dtype=np.float64))
+        return theta, float(np.dot(n, np.log(np.maximum(x @ theta, 1e-30)).astype(np.float64)))
 
     def fit(self, text: bytes) -> list[tuple[str, float]]:
         """Languages of the chosen set with their proportions, largest first (ties by name)."""
-        x = self.p[trigrams(text)]
+        found, times = np.unique(trigrams(text), return_counts=True)  # at most 2^16, however long the text
+        x, times, total = self.p[found], times.astype(np.float32), int(times.sum())
         n = len(self.langs)
-        theta, _ = self._em(x, np.full(n, 1.0 / n, dtype=np.float32))
+        theta, _ = self._em(x, times, np.full(n, 1.0 / n, dtype=np.float32))
         order = sorted(range(n), key=lambda i: (-theta[i], self.langs[i]))
         best = None
         for size in range(1, n + 1):
             if size > 1 and theta[order[size - 1]] < 0.01:
                 break
             chosen = order[:size]
-            t, ll = self._em(x[:, chosen], theta[chosen] / theta[chosen].sum())
-            value = ll - self.penalty * size * np.log(len(x) + 1.0)
+            t, ll = self._em(x[:, chosen], times, theta[chosen] / theta[chosen].sum())
+            value = ll - self.penalty * size * np.log(total + 1.0)
             if best is None or value > best[0]:
                 best = (value, chosen, t)
         return sorted(((self.langs[i], float(p)) for i, p in zip(best[1], best[2], strict=True)), key=lambda x: (-x[1], x[0]))
@@ -84,6 +87,7 @@ class Mixture:
 
 def train(docs: DataFrame, penalty: float = 2.0) -> Mixture | None:
     """From text and non-null lang of all rows of docs; None if there are none. The driver gets languages x 2^16 counts at most."""
+    small_batches(docs.sparkSession)
     labelled = docs.where("lang is not null and text is not null").select("lang", "text")
     table = labelled.mapInArrow(_counts, "lang string, f int, n long").groupBy("lang", "f").agg(F.sum("n").alias("n")).toArrow()
     if not table.num_rows:
@@ -99,7 +103,7 @@ def train(docs: DataFrame, penalty: float = 2.0) -> Mixture | None:
 
 def _predict(held, columns: list[str], drop_rejected: bool):
     def run(batches):
-        for b in slices(batches):
+        for b in slices(batches, limit=1_000_000):
             model: Mixture | None = held.value
             preds, scores, sets, told = [], [], [], []
             for t in texts_of(b):
@@ -121,7 +125,7 @@ def _predict(held, columns: list[str], drop_rejected: bool):
                 kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
                 yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in columns), pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, kind)], names=[*columns, "lang_pred", "score", "languages"])
 
-    return run
+    return bounded(run)
 
 
 def held_out(modulus: int = 4) -> Column:
@@ -144,6 +148,7 @@ def identify(docs: DataFrame, penalty: float = 2.0) -> DataFrame:
 def identified(docs: DataFrame, penalty: float = 2.0) -> DataFrame:
     """The rows of docs, all columns, with a letter and a language that holds at least LEAST_SHARE of the fitted mixture.
 
-    Where no training row has a lang, nothing can be told of languages and all rows with a letter are kept."""
+    A null text has no letter. Repeated rows and rows that share a doc_id are judged each, alike for like texts; a null doc_id
+    counts as not held out. An empty table stays empty. Where no training row has a lang, nothing can be told of languages and all rows with a letter are kept."""
     held = docs.sparkSession.sparkContext.broadcast(train(docs.where(~held_out()).select("lang", "text"), penalty))
     return docs.mapInArrow(_predict(held, [], True), docs.schema)
