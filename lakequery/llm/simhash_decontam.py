@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakequery.llm.common import U64, Rolling, mix, slices, texts_of, word_hashes
+from lakequery.llm.common import U64, Rolling, bounded, mix, slices, small_batches, texts_of, word_hashes
 
 SHINGLE = 5
 #: UTF-8 bytes of benchmark text that one broadcast holds at most.
@@ -190,7 +190,7 @@ def _blocks(benchmark: DataFrame, block_bytes: int):
 
 def _matching(held, clean: bool):
     def run(batches):
-        for b in slices(batches):
+        for b in slices(batches, limit=1_000_000):
             found = held.value.matches(texts_of(b))
             if clean:
                 yield b.filter(pa.array([not x for x in found], pa.bool_()))
@@ -199,7 +199,7 @@ def _matching(held, clean: bool):
                 kind = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int32()), ("n_words", pa.int32())]))
                 yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("doc_id")).take(pa.array(some)), pa.array([found[i] for i in some], kind)], names=["doc_id", "matches"])
 
-    return run
+    return bounded(run)
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, radius: int = RADIUS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -208,8 +208,9 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8,
 
     Words are runs of letters and digits (ASCII punctuation separates, A-Z lower-cased). An item of fewer than five words is one shingle and
     matches where it occurs word for word. Null or empty texts and items match nothing; a null doc_id or item_id stays null;
-    repeated rows match alike. No benchmark gives no rows. Other columns are ignored."""
+    repeated rows match alike. Items that share an item_id, or have none, are one item with several texts, of which the best match counts in each block. No benchmark gives no rows. Other columns are ignored."""
     spark = docs.sparkSession
+    small_batches(spark)
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("matches", MATCH)])
     out = None
     for items in _blocks(benchmark, block_bytes):
@@ -220,8 +221,10 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8,
 
 
 def without_matches(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, radius: int = RADIUS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of docs, all columns, that match no benchmark item."""
+    """The rows of docs, all columns, that match no benchmark item. Null and empty texts match nothing and stay; repeated rows
+    stay or go alike; without a benchmark, or of an empty table, all stay."""
     spark = docs.sparkSession
+    small_batches(spark)
     for items in _blocks(benchmark, block_bytes):
         docs = docs.mapInArrow(_matching(spark.sparkContext.broadcast(Items(items, threshold, radius)), True), docs.schema)
     return docs
