@@ -1,10 +1,15 @@
 """Quality rules: robust multivariate outliers of text statistics, per language and source.
 
-A minimum-covariance-determinant estimate is reached by concentration steps: from medians and deviations, the three quarters of
-a group nearest by Mahalanobis distance give the next mean and covariance. A step is two aggregations over all rows, so a group of any
-size is spread over all tasks; only means and products of a group come together. A group of too few rows takes the
-estimate of its language, or of all. The covariance has a floor, so that a statistic that hardly varies rejects no small deviation; it binds
-only where a group varies less, and each statistic can reject a document by itself."""
+The minimum-covariance-determinant estimate of a group is the mean and covariance of the three quarters of its rows with the
+smallest determinant. Three starts (median and deviations; all rows; spatial signs) are improved by concentration steps, each from the rows nearest by
+Mahalanobis distance to their mean and covariance, until the determinant falls by less than a hundredth; the start
+with the least determinant wins. A step is one aggregation of all rows into bins of their distance (32 to an octave), so a group of any size is spread over all
+tasks, only counts, means and products of bins come together, and the result does not depend on how rows are dealt.
+
+Groups are language and source, language, and all rows. The estimate of a group is drawn towards that of the group above as if PRIOR of its rows were
+there too, which settles small groups without a rule of their own. The covariance has a floor, so that a statistic that hardly varies rejects no small
+deviation; it binds only where a group varies less, and each statistic can reject a document by itself. The number of
+words is no part of the vector: length tells nothing of quality, and all rates are taken over it."""
 
 from __future__ import annotations
 
@@ -15,21 +20,28 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from lakequery.llm.common import Rolling, coded, hash64, materialize, mix, slices, split_words, texts_of
+from lakequery.llm.common import Rolling, bounded, coded, hash64, materialize, mix, slices, split_words, texts_of
 
 SPACE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
 DIMS = 4
+STARTS = 3
 KEPT_SHARE = 0.75
-STEPS = 4
-#: Rows a group must have for an estimate of its own.
-LEAST_ROWS = 60
+#: Bins of a statistic to a unit, for medians; of a squared distance to an octave, for the nearest rows.
+FINE, OCTAVE = 256, 32
+#: The share by which a determinant must fall for another step, and steps at most.
+LEAST_FALL, MOST_STEPS = 0.01, 30
+#: Rows of the group above that take part in a group's estimate.
+PRIOR = 30
 #: Standard deviations, of the transformed statistics, that the covariance has at least. In a group that varies less, and with the cut of TAIL,
 #: a statistic rejects alone at about: a mean word of 2.8 or 8.7 for 5 letters, 2 % symbols, 30 % repeated lines, 20 % repeated words.
 FLOORS = (0.11, 0.25, 0.79, 0.7)
 #: Odds at which a row of a normal group would be rejected.
 TAIL = 1e-3
+#: Groups up to which their estimates are broadcast (about a kilobyte each); those of more are joined by shuffle.
+BROADCAST_GROUPS = 20_000
 
 
 def statistics(texts: list[bytes]) -> dict[str, np.ndarray]:
@@ -57,8 +69,9 @@ def statistics(texts: list[bytes]) -> dict[str, np.ndarray]:
     return {"n_words": n.astype(np.int64), "word_chars": chars, "n_symbols": symbols, "n_lines": lines, "n_dup_lines": dup, "n_repeat_words": repeat}
 
 
+@bounded
 def _measure(batches):
-    for b in slices(batches):
+    for b in slices(batches, limit=2_000_000):
         s = statistics(texts_of(b))
         keep = [c for c in b.schema.names if c != "text"]
         yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), *(pa.array(x) for x in s.values())], names=[*keep, *s])
@@ -87,53 +100,130 @@ def chi2_quantile(p: float, dims: int) -> float:
 SHRINK = KEPT_SHARE / chi2_cdf(chi2_quantile(KEPT_SHARE, DIMS), DIMS + 2)
 
 
-def _distance(x: str, mean: str, inverse: str) -> Column:
-    d = [F.col(x)[i] - F.col(mean)[i] for i in range(DIMS)]
-    terms = [d[i] * d[j] * F.col(inverse)[i * DIMS + j] for i in range(DIMS) for j in range(DIMS)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+def _distance(x: Column, mean: Column, inverse: Column) -> Column:
+    d = [x[i] - mean[i] for i in range(DIMS)]
+    terms = [d[i] * d[j] * inverse[i * DIMS + j] for i in range(DIMS) for j in range(DIMS)]
+    return sum(terms[1:], terms[0])
 
 
-def _inverse(cov: np.ndarray) -> np.ndarray:
-    """Of the covariance with its variances, in units of the floors and along its own axes, raised to one where they are less."""
+def _floored(cov: np.ndarray) -> tuple[np.ndarray, float]:
+    """Inverse and determinant of a covariance with its variances, in units of the floors and along its own axes, raised to one where they are less."""
     unit = np.outer(FLOORS, FLOORS)
     var, axes = np.linalg.eigh(cov / unit)
-    return (axes / np.maximum(var, 1.0)) @ axes.T / unit
+    var = np.maximum(var, 1.0)
+    return (axes / var) @ axes.T / unit, float(np.prod(var))
+
+
+FIT = "g string, k int, rows long, mean array<double>, cov array<double>, inverse array<double>, det double"
+
+
+def _fit_row(g: str, k: int, rows: int, mean: np.ndarray, cov: np.ndarray) -> tuple:
+    inverse, det = _floored(cov)
+    return g, k, rows, list(map(float, mean)), cov.ravel().tolist(), inverse.ravel().tolist(), det
 
 
-def _invert(batches):
-    """Sums and products of groups to means and inverse covariances."""
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["g", "k", "rows", "mean", "cov", "inverse", "det"])
+
+
+def _moments(n: float, s, q) -> tuple[np.ndarray, np.ndarray]:
+    mean = np.asarray(s, dtype=float) / n
+    return mean, np.asarray(q, dtype=float).reshape(DIMS, DIMS) / n - np.outer(mean, mean)
+
+
+def _started(batches):
+    """The three starts of each group."""
+    for pdf in batches:
+        out = []
+        for r in pdf.itertuples(index=False):
+            scale = np.asarray(r.scale, dtype=float)
+            mean, cov = _moments(r.n, r.s, r.q)
+            signs = np.asarray(r.u, dtype=float).reshape(DIMS, DIMS) / r.n * DIMS * np.outer(scale, scale)
+            starts = ((np.asarray(r.m, dtype=float), np.diag(scale**2)), (mean, cov), (np.asarray(r.m, dtype=float), signs))
+            out += [_fit_row(r.g, k, r.n, m, c) for k, (m, c) in enumerate(starts)]
+        yield _frame(out)
+
+
+def _concentrated(batches):
+    """Estimates from the counts, sums and products of the nearest rows."""
     for pdf in batches:
-        means, inverses = [], []
-        for n, s, q in zip(pdf["n"], pdf["s"], pdf["q"], strict=True):
-            m = np.asarray(s, dtype=float) / n
-            cov = np.asarray(q, dtype=float).reshape(DIMS, DIMS) / n - np.outer(m, m)
-            means.append(m.tolist())
-            inverses.append(_inverse(cov * SHRINK).ravel().tolist())
-        yield pd.DataFrame({"pg": pdf["g"], "mean": means, "inverse": inverses, "rows": pdf["rows"]})
+        yield _frame([_fit_row(r.g, r.k, r.rows, mean, cov * SHRINK) for r in pdf.itertuples(index=False) for mean, cov in [_moments(r.n, r.s, r.q)]])
+
+
+def _known(df: DataFrame) -> DataFrame:
+    """Broadcast a table of groups only once their number is known to be bounded."""
+    return F.broadcast(df) if df.count() <= BROADCAST_GROUPS else df
+
+
+def _sums(x: Column) -> list[Column]:
+    return [F.count("*").alias("n"), F.array(*(F.sum(x[i]) for i in range(DIMS))).alias("s"), F.array(*(F.sum(x[i] * x[j]) for i in range(DIMS) for j in range(DIMS))).alias("q")]
+
+
+def _medians(values: DataFrame, name: str) -> DataFrame:
+    """(mg, rows, name) of values (g, x): the middle of the bin that holds each statistic's lower median."""
+    bins = values.select("g", F.posexplode(F.transform("x", lambda v: F.floor(v * FINE))).alias("i", "bin")).groupBy("g", "i", "bin").agg(F.count("*").alias("n"))
+    each = W.partitionBy("g", "i")
+    bins = bins.withColumns({"upto": F.sum("n").over(each.orderBy("bin").rowsBetween(W.unboundedPreceding, 0)), "rows": F.sum("n").over(each)})
+    half = bins.where("upto * 2 >= rows").groupBy("g", "i").agg(F.min("bin").alias("bin"), F.first("rows").alias("rows"))
+    return half.groupBy(F.col("g").alias("mg")).agg(F.max("rows").alias("rows"), F.array(*(F.max(F.when(F.col("i") == i, (F.col("bin") + 0.5) / FINE)) for i in range(DIMS))).alias(name))
 
 
 def estimates(vectors: DataFrame) -> DataFrame:
-    """(pg, mean, inverse, rows) of each group g of vectors (g, x)."""
-    schema = "pg string, mean array<double>, inverse array<double>, rows long"
-    arr = lambda cols: F.array(*cols)
-    middle = vectors.groupBy("g").agg(arr([F.percentile_approx(F.col("x")[i], 0.5, 1000) for i in range(DIMS)]).alias("m"), F.count("*").alias("rows"))
-    m = middle.select(F.col("g").alias("mg"), "m", "rows")
-    spread = vectors.join(m, vectors["g"] == m["mg"]).groupBy("g").agg(F.first("m").alias("mean"), F.first("rows").alias("rows"), arr([F.percentile_approx(F.abs(F.col("x")[i] - F.col("m")[i]), 0.5, 1000) for i in range(DIMS)]).alias("mad"))
-    inverse = arr([(F.lit(1.0) / (F.pow(F.greatest(F.col("mad")[i] * 1.4826, F.lit(FLOORS[i])), 2))) if i == j else F.lit(0.0) for i in range(DIMS) for j in range(DIMS)])
-    fit = materialize(spread.select(F.col("g").alias("pg"), "mean", inverse.alias("inverse"), "rows"), "mcd-fit")
-    for _ in range(STEPS):
-        far = vectors.join(fit, vectors["g"] == fit["pg"]).select("g", "x", "rows", _distance("x", "mean", "inverse").alias("d"))
-        cut = far.groupBy(F.col("g").alias("cg")).agg(F.percentile_approx("d", KEPT_SHARE, 1000).alias("cut"))
-        near = far.join(cut, far["g"] == cut["cg"]).where("d <= cut")
-        sums = near.groupBy("g").agg(F.count("*").alias("n"), F.first("rows").alias("rows"), arr([F.sum(F.col("x")[i]) for i in range(DIMS)]).alias("s"), arr([F.sum(F.col("x")[i] * F.col("x")[j]) for i in range(DIMS) for j in range(DIMS)]).alias("q"))
-        fit = materialize(sums.mapInPandas(_invert, schema), "mcd-fit")
-    return fit
-
-
-def judge(docs: DataFrame, tail: float = TAIL, least_rows: int = LEAST_ROWS) -> DataFrame:
+    """(g, k, rows, mean, cov, inverse, det) of each group g of vectors (g, x), from the start k that comes to the least determinant."""
+    x = F.col("x")
+    middle = materialize(_medians(vectors, "m"), "mcd-medians")
+    off = vectors.join(_known(middle.select("mg", "m")), vectors["g"] == F.col("mg")).select("g", F.transform(F.arrays_zip("x", "m"), lambda z: F.abs(z["x"] - z["m"])).alias("x"))
+    spread = _medians(off, "mad").select(F.col("mg").alias("sg"), F.array(*(F.greatest(F.col("mad")[i] * 1.4826, F.lit(FLOORS[i])) for i in range(DIMS))).alias("scale"))
+    scaled = materialize(middle.join(spread, F.col("mg") == F.col("sg")).select("mg", "m", "scale"), "mcd-spread")
+    z = [(x[i] - F.col("m")[i]) / F.col("scale")[i] for i in range(DIMS)]
+    rows = vectors.join(_known(scaled), vectors["g"] == F.col("mg")).withColumn("z", F.array(*z))
+    norm = F.greatest(sum((F.col("z")[i] * F.col("z")[i] for i in range(1, DIMS)), F.col("z")[0] * F.col("z")[0]), F.lit(1e-12))
+    signs = F.array(*(F.sum(F.col("z")[i] * F.col("z")[j] / norm) for i in range(DIMS) for j in range(DIMS))).alias("u")
+    start = rows.groupBy("g").agg(*_sums(x), signs, F.first("m").alias("m"), F.first("scale").alias("scale"))
+    fit = materialize(start.mapInPandas(_started, FIT), "mcd-fit")
+    done, moving = None, fit
+    for step in range(MOST_STEPS):
+        # far start values of the determinant are no estimates yet, so the first step always counts
+        packed = moving.groupBy(F.col("g").alias("fg")).agg(F.max("rows").alias("rows"), F.collect_list(F.struct("k", "mean", "inverse")).alias("starts"))
+        far = vectors.join(_known(packed), vectors["g"] == F.col("fg")).select("g", "x", "rows", F.explode("starts").alias("e"))
+        bin_ = F.floor(F.log2(_distance(x, F.col("e.mean"), F.col("e.inverse")) + 1.0 / 64) * OCTAVE)
+        bins = far.groupBy("g", F.col("e.k").alias("k"), "rows", bin_.alias("bin")).agg(*_sums(x))
+        before = F.coalesce(F.sum("n").over(W.partitionBy("g", "k").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        near = bins.withColumn("before", before).where(F.col("before") < F.col("rows") * KEPT_SHARE)
+        add = lambda c, n: F.array(*(F.sum(F.col(c)[i]) for i in range(n))).alias(c)
+        near = near.groupBy("g", "k", "rows").agg(F.sum("n").alias("n"), add("s", DIMS), add("q", DIMS * DIMS))
+        new = materialize(near.mapInPandas(_concentrated, FIT), "mcd-fit")
+        was = moving.select(F.col("g").alias("wg"), F.col("k").alias("wk"), F.struct("g", "k", "rows", "mean", "cov", "inverse", "det").alias("was"))
+        falls = (F.lit(step == 0)) | (F.col("det") < F.col("was.det") * (1 - LEAST_FALL))
+        both = new.join(was, (F.col("g") == F.col("wg")) & (F.col("k") == F.col("wk"))).withColumn("falls", falls)
+        stay = both.where(~F.col("falls")).select("was.*")
+        done = stay if done is None else done.union(stay)
+        moving = both.where("falls").select(*new.columns)
+        if moving.isEmpty():
+            break
+    best = done.union(moving).groupBy("g").agg(F.min_by(F.struct("k", "rows", "mean", "cov", "inverse", "det"), F.struct("det", "k")).alias("b"))
+    return materialize(best.select("g", "b.*"), "mcd-best")
+
+
+def _drawn(mean: np.ndarray, cov: np.ndarray, rows: float, above: tuple) -> tuple[np.ndarray, np.ndarray]:
+    w = rows / (rows + PRIOR)
+    return w * mean + (1 - w) * above[0], w * cov + (1 - w) * above[1]
+
+
+def _settled(batches):
+    """Estimates of the groups of language and source, drawn towards those above."""
+    for pdf in batches:
+        out = []
+        for r in pdf.itertuples(index=False):
+            get = lambda e: (np.asarray(e["mean"], dtype=float), np.asarray(e["cov"], dtype=float).reshape(DIMS, DIMS), e["rows"])
+            drawn = get(r.every)[:2]
+            for e in (r.lang_fit, r.leaf_fit):
+                drawn = _drawn(*get(e), drawn)
+            out.append((r.leaf, drawn[0].tolist(), _floored(drawn[1])[0].ravel().tolist()))
+        yield pd.DataFrame(out, columns=["pg", "mean", "inverse"])
+
+
+def judge(docs: DataFrame, tail: float = TAIL) -> DataFrame:
     """doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept of every document.
 
     base_failed: under 50 words, or more than half of them in repeated 3-word windows; such rows take no part in the
@@ -143,15 +233,17 @@ def judge(docs: DataFrame, tail: float = TAIL, least_rows: int = LEAST_ROWS) ->
         _measure, ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", "lang", "source")) + ", n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
     )
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    rows = materialize(measured.select("*", failed.alias("base_failed"), F.array(*transformed()).alias("x")), "mcd-rows")
-    groups = [F.to_json(F.struct(F.coalesce("lang", F.lit("")).alias("l"), F.col("lang").isNull().alias("ln"), F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("sn"))), F.to_json(F.struct(F.coalesce("lang", F.lit("")).alias("l"), F.col("lang").isNull().alias("ln"))), F.lit("{}")]
-    fit = estimates(rows.where("not base_failed").select(F.explode(F.array(*groups)).alias("g"), "x"))
-    usable = fit.where((F.col("rows") >= least_rows) | (F.col("pg") == "{}"))
-    out = rows.select("*", *(g.alias(f"g{i}") for i, g in enumerate(groups)))
-    for i in range(3):
-        p = usable.select(F.col("pg").alias(f"p{i}"), F.col("mean").alias(f"m{i}"), F.col("inverse").alias(f"v{i}"))
-        out = out.join(p, F.col(f"g{i}") == F.col(f"p{i}"), "left")
-    distance = F.when(~F.col("base_failed"), F.coalesce(*(_distance("x", f"m{i}", f"v{i}") for i in range(3))))
-    out = out.withColumn("distance", distance)
+    part = lambda c, t: [F.coalesce(c, F.lit("")).alias(t), F.col(c).isNull().alias(t + "n")]
+    lang, leaf = F.to_json(F.struct(*part("lang", "l"))), F.to_json(F.struct(*part("lang", "l"), *part("source", "s")))
+    rows = materialize(measured.select("*", failed.alias("base_failed"), F.array(*transformed()).alias("x"), lang.alias("g_lang"), leaf.alias("g_leaf")), "mcd-rows")
+    good = rows.where("not base_failed")
+    fit = estimates(good.select(F.explode(F.array("g_leaf", "g_lang", F.lit("{}"))).alias("g"), "x"))
+    named = lambda g, e: fit.select(F.col("g").alias(g), F.struct("rows", "mean", "cov").alias(e))
+    groups = good.select(F.col("g_leaf").alias("leaf"), F.col("g_lang").alias("of")).distinct()
+    groups = groups.join(named("lg", "leaf_fit"), F.col("leaf") == F.col("lg")).join(named("ag", "lang_fit"), F.col("of") == F.col("ag"))
+    groups = groups.join(F.broadcast(named("eg", "every").where("eg = '{}'")), F.col("eg") == "{}")  # one row
+    settled = materialize(groups.select("leaf", "leaf_fit", "lang_fit", "every").mapInPandas(_settled, "pg string, mean array<double>, inverse array<double>"), "mcd-settled")
+    out = rows.join(_known(settled), F.col("g_leaf") == F.col("pg"), "left")
+    out = out.withColumn("distance", F.when(~F.col("base_failed"), _distance(F.col("x"), F.col("mean"), F.col("inverse"))))
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= chi2_quantile(1 - tail, DIMS))
     return out.select("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", kept.alias("kept"))
