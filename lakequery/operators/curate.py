@@ -66,12 +66,29 @@ def work_edges(raw: DataFrame, source_key: str) -> dict[str, DataFrame]:
     }
 
 
-def verify_curated(raw: DataFrame, state: DataFrame) -> list[str]:
-    """Raw keys against the state log (prefer-OK rows): missing, unexpected and failed keys, and byte totals."""
+def summarize_curated(raw: DataFrame, state: DataFrame) -> dict[str, int]:
+    """Counts and bytes of raw files (key, bytes) and of the curation log (key, status, bytes_in, bytes_out, position), of which a successful row of a key
+    goes before any other, and the last before those."""
     from lakequery.functions.rank import prefer_ok
-    from lakequery.operators.joins import reconcile
 
-    best = prefer_ok(state, "key", "status", "position")
-    found = [f"{r['class']}: {r['n']}" for r in reconcile(raw, best, "key").where("class <> 'matched'").groupBy("class").agg(F.count("*").alias("n")).orderBy("class").collect()]
-    failed = best.where("status <> 'OK'").count()
-    return found + [f"failed: {failed}"] * bool(failed)
+    one = raw.groupBy("key").agg(F.max(F.coalesce("bytes", F.lit(0))).alias("bytes")).withColumn("raw", F.lit(True))
+    best = prefer_ok(state, "key", "status", "position").select("key", "status", F.coalesce("bytes_in", F.lit(0)).alias("b_in"), F.coalesce("bytes_out", F.lit(0)).alias("b_out"))
+    both = one.join(best, "key", "full")
+    ok, known = F.coalesce(F.col("status") == "OK", F.lit(False)), F.coalesce("raw", F.lit(False))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    row = both.agg(
+        F.count_if(known).alias("raw_count"), total(F.when(known, F.col("bytes"))).alias("raw_bytes"), F.count_if(F.col("status").isNotNull()).alias("distinct_keys"), F.count_if(ok).alias("state_ok"), F.count_if(F.col("status") == "FAILED").alias("state_failed"),
+        total(F.when(ok & known, F.col("b_in"))).alias("state_bytes_in"), total(F.when(ok & known, F.col("b_out"))).alias("state_bytes_out"), F.count_if(known & ~ok).alias("missing_keys"), F.count_if(ok & ~known).alias("unexpected_keys"),
+    ).first().asDict()
+    rows = state.count()
+    return row | {"state_rows": rows, "duplicate_rows": rows - row["distinct_keys"]}
+
+
+def verify_curated(raw: DataFrame, state: DataFrame) -> list[str]:
+    """What is wrong with a curation: failed, missing and unexpected keys, counts and bytes that disagree, no output at all."""
+    s = summarize_curated(raw, state)
+    rules = {
+        f"failed: {s['state_failed']}": s["state_failed"], f"missing: {s['missing_keys']}": s["missing_keys"], f"unexpected: {s['unexpected_keys']}": s["unexpected_keys"],
+        f"curated keys {s['state_ok']}, raw keys {s['raw_count']}": s["state_ok"] != s["raw_count"], f"curated input bytes {s['state_bytes_in']}, raw bytes {s['raw_bytes']}": s["state_bytes_in"] != s["raw_bytes"], "no output bytes": s["state_bytes_out"] <= 0,
+    }
+    return [text for text, wrong in rules.items() if wrong]

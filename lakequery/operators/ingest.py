@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+import time
 from dataclasses import dataclass, field
+from xml.etree import ElementTree
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Tiers from small to large.
@@ -74,7 +77,27 @@ def static_expand(spark: SparkSession, options: dict) -> DataFrame:
     return codes.select(F.concat(F.lit(options.get("prefix", "")), F.col("code")).alias("key"), F.replace(F.lit(options["template"]), F.lit("{code}"), F.col("code")).alias("url"))
 
 
-ADAPTERS |= {n: static_expand for n in ("faostat_domains", "census_bds", "fdic_api", "treasury_fiscaldata")}
+ADAPTERS |= {n: static_expand for n in ("faostat_domains", "census_bds")}
+
+
+def endpoints(spark: SparkSession, named: dict[str, str], prefix: str, url: str) -> DataFrame:
+    """(key, url, filename) of named endpoints, put into a URL at {path}."""
+    rows = spark.createDataFrame(list(named.items()), "name string, path string")
+    key = F.concat(F.lit(prefix), "name")
+    return rows.select(key.alias("key"), F.replace(F.lit(url), F.lit("{path}"), F.col("path")).alias("url"), F.concat(key, F.lit(".csv")).alias("filename"))
+
+
+@adapter("fdic_api")
+def fdic(spark: SparkSession, options: dict) -> DataFrame:
+    names = ("institutions", "failures", "locations", "sod")
+    url = f"{options.get('base', 'https://api.fdic.gov/banks')}/{{path}}?format=csv&limit={options.get('page_size', 10000)}&offset=0"
+    return endpoints(spark, options.get("endpoints") or {n: n for n in names}, "fdic_", url)
+
+
+@adapter("treasury_fiscaldata")
+def treasury(spark: SparkSession, options: dict) -> DataFrame:
+    url = f"https://api.fiscaldata.treasury.gov/services/api/fiscal_service/{{path}}?format=csv&page[size]={options.get('page_size', 10000)}&page[number]=1"
+    return endpoints(spark, options.get("endpoints") or {}, "treasury_", url)
 
 
 @adapter("federal_register")
@@ -132,19 +155,47 @@ def toc_codes(spark: SparkSession, options: dict) -> DataFrame:
     return rows.groupBy("key").agg(F.min("ord").alias("ord")).orderBy("ord").limit(options.get("limit", 1000)).select("key")
 
 
-@adapter("sdmx_oecd")
-def flows(spark: SparkSession, options: dict) -> DataFrame:
-    """Dataflows (id, name) that an include pattern matches and no exclude pattern."""
+def dataflows(documents: DataFrame) -> DataFrame:
+    """(ord, agency, id, name) of the dataflows in structure messages (value), whatever their prefixes; the first name that is not empty, or
+    the id. A text that is no XML has none. Such a message is one small document, so it is read by one call."""
+
+    def parse(batches):
+        local = lambda e: e.tag.rpartition("}")[2]
+        for pdf in batches:
+            rows = []
+            for text in pdf["value"]:
+                try:
+                    tree = ElementTree.fromstring(text)
+                except ElementTree.ParseError:
+                    continue
+                for e in tree.iter():
+                    if local(e) == "Dataflow" and e.get("id"):
+                        names = [(x.text or "").strip() for x in e if local(x) == "Name"]
+                        rows.append((len(rows), e.get("agencyID", ""), e.get("id"), next(filter(None, names), e.get("id"))))
+            yield pd.DataFrame(rows, columns=["ord", "agency", "id", "name"])
+
+    return documents.select("value").mapInPandas(parse, "ord long, agency string, id string, name string")
+
+
+def flows(options: dict, url: Column, most: int) -> DataFrame:
+    """Dataflows whose id or name the include pattern matches and the exclude pattern does not, in their order, the first ones."""
     hit = lambda p: F.col("id").rlike(p) | F.coalesce("name", F.lit("")).rlike(p)
-    df = options["flows"]
-    for p in options.get("include", []):
+    df = options["flows"] if "flows" in options else dataflows(options["documents"])
+    if p := options.get("include_regex"):
         df = df.where(hit(p))
-    for p in options.get("exclude", []):
+    if p := options.get("exclude_regex"):
         df = df.where(~hit(p))
-    return df.orderBy("id").limit(options.get("limit", 1000)).select(F.col("id").alias("key"))
+    return df.orderBy("ord").limit(options.get("max_datasets", most)).select(F.col("id").alias("key"), url.alias("url"), F.concat("id", F.lit(".csv")).alias("filename"), F.col("name").alias("notes"))
+
 
+@adapter("sdmx_oecd")
+def oecd(spark: SparkSession, options: dict) -> DataFrame:
+    return flows(options, F.concat(F.lit("https://sdmx.oecd.org/public/rest/data/"), "agency", F.lit(","), "id", F.lit(f",/all?format={options.get('format', 'csvfilewithlabels')}")), 60)
 
-ADAPTERS["sdmx_ecb"] = flows
+
+@adapter("sdmx_ecb")
+def ecb(spark: SparkSession, options: dict) -> DataFrame:
+    return flows(options, F.concat(F.lit("https://data-api.ecb.europa.eu/service/data/"), "id", F.lit("?format=csvdata")), 40)
 
 
 @adapter("external_validation")
@@ -172,16 +223,53 @@ def too_many_failures(probes: DataFrame, most: float = 0.35) -> bool:
     return bool(row["n"]) and row["bad"] / row["n"] > most
 
 
-def run(datasets: list[Dataset], fetch, record) -> dict[str, int]:
-    """Fetch each dataset; a failure is recorded and never stops the others."""
+def run(datasets: list[Dataset], fetch, record, deadline: float | None = None, clock=time.time) -> dict[str, int]:
+    """Fetch each dataset until the deadline; a failure is recorded and never stops the others, what is left at the deadline is SKIPPED. fetch returns a status
+    or (status, bytes); record gets the dataset, status and error."""
     counts: dict[str, int] = {}
-    for d in datasets:
+    for at, d in enumerate(datasets):
+        if deadline is not None and clock() > deadline:
+            counts["SKIPPED"] = len(datasets) - at
+            break
         try:
-            status = fetch(d)
+            got = fetch(d)
+            status, error = (got[0] if isinstance(got, tuple) else got), None
+            counts["bytes"] = counts.get("bytes", 0) + (got[1] if isinstance(got, tuple) else 0)
         except Exception as e:  # noqa: BLE001  isolation is the point
-            status = "FAILED"
-            record(d, status, str(e))
-        else:
-            record(d, status, None)
+            status, error = "FAILED", f"{type(e).__name__}: {e}"[:900]
+        record(d, status, error)
         counts[status] = counts.get(status, 0) + 1
+    if not counts.get("bytes"):
+        counts.pop("bytes", None)
     return counts
+
+
+STATE = "key string, source_id string, domain string, url string, status string, etag string, modified string, sha256 string, bytes long, error string, at timestamp"
+
+
+def append_state(spark: SparkSession, rows: list[dict], path: str) -> None:
+    """Add rows to the state log, which keeps every row; sources.tables.latest_state reads the newest of each key."""
+    names = [c.split()[0] for c in STATE.split(", ")]
+    spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], STATE).coalesce(1).write.mode("append").parquet(path)
+
+
+def domains(sources: list[Source], patterns: list[str] | None = None) -> list[str]:
+    names = sorted({s.domain for s in sources})
+    return [n for n in names if not patterns or any(re.search(p, n) for p in patterns)]
+
+
+def plan(sources: list[Source], ceiling: str = "massive") -> list[dict]:
+    """What a run would take: each source with its kind, tier and the number of its datasets within the ceiling, or its adapter."""
+    within = lambda s: sum(tier_rank(d.tier) <= tier_rank(ceiling) for d in s.datasets)
+    return [{"source": s.source_id, "domain": s.domain, "kind": "adapter" if s.adapter else "static", "tier": s.tier, "datasets": f"via {s.adapter}" if s.adapter else str(within(s))} for s in sources]
+
+
+def status(state: DataFrame, failures: int = 20) -> dict:
+    """Files and bytes held, by status and by domain, and the latest failures, of the newest row of each key."""
+    from lakequery.sources.tables import latest_state
+
+    now = latest_state(state, "key", "at")
+    rows = lambda by: {r[0]: (r["files"], r["bytes"]) for r in roll_up(now, by).collect()}
+    held = now.where(F.col("status").isin("OK", "UNCHANGED")).agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first()
+    failed = now.where("status = 'FAILED'").orderBy(F.desc("at"), "key").limit(failures).select("source_id", "key", F.substring("error", 1, 150).alias("error"))
+    return {"files": held["n"], "bytes": held["b"], "by_status": rows("status"), "by_domain": rows("domain"), "failures": [tuple(r) for r in failed.collect()]}

@@ -562,3 +562,79 @@ def _(t):
 def _(t):
     folder = F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1))
     return t.pages.groupBy(folder.alias("folder")).agg(F.count("*").alias("objects"), F.sum(F.length("html")).cast("long").alias("bytes"), F.min(F.sha2("url", 256)).alias("least_digest"))
+
+
+@query("q61_modulo_shard", "SELECT page_id, url FROM (SELECT page_id, url, row_number() OVER (ORDER BY url, page_id) - 1 AS at FROM pages) WHERE at % 7 = 3")
+def _(t):
+    from lakequery.functions.rank import global_rank
+
+    ranked = global_rank(t.pages.select("page_id", "url"), [F.asc("url"), F.asc("page_id")], "at")
+    return ranked.where((F.col("at") - 1) % 7 == 3).select("page_id", "url")
+
+
+@query("q62_unique_id_average", "WITH p AS (SELECT list_distinct(regexp_extract_all(upper(p_name || ' ' || p_brand || CASE WHEN p_partkey % 5 = 0 THEN ' brand#1' ELSE '' END), 'BRAND#[0-9]+')) AS ids, log2(p_retailprice) AS v, CAST(p_size AS DOUBLE) AS w FROM part) SELECT ids[1] AS id, round(avg(v), 9) AS v, round(avg(w), 9) AS w FROM p WHERE len(ids) = 1 GROUP BY ALL")
+def _(t):
+    from lakequery.operators.panel import average_replicates, log2_values, only_id
+
+    text_ = F.concat_ws(" ", "p_name", "p_brand", F.when(F.col("p_partkey") % 5 == 0, "brand#1"))
+    rows = t.part.select(only_id(text_, "BRAND#[0-9]+").alias("id"), log2_values(F.array("p_retailprice"))[0].alias("v"), F.col("p_size").cast("double").alias("w"))
+    return average_replicates(rows, "id", ["v", "w"]).select("id", F.round("v", 9).alias("v"), F.round("w", 9).alias("w"))
+
+
+@query("q63_target_lookup", "WITH g AS (SELECT s_suppkey AS id FROM supplier), r AS (SELECT c_custkey AS id, c_acctbal AS fc, (c_custkey * 37 % 1999 + 1) / 2000.0::DOUBLE AS p FROM customer WHERE c_mktsegment <> 'BUILDING'), j AS (SELECT g.id, fc, p FROM g LEFT JOIN r ON g.id = r.id), k AS (SELECT *, count(*) OVER (ORDER BY p RANGE UNBOUNDED PRECEDING) AS n, count(*) OVER () AS m FROM j WHERE p IS NOT NULL), f AS (SELECT id, least(1.0::DOUBLE, min(p * m / n) OVER (ORDER BY p DESC RANGE UNBOUNDED PRECEDING)) AS fdr FROM k) SELECT 'customers' AS dataset, 'x-y' AS contrast, j.id, fc AS log2FC, p AS PValue, round(fdr, 9) AS FDR_panel FROM j LEFT JOIN f ON j.id = f.id")
+def _(t):
+    from lakequery.operators.panel import bound, target_results
+
+    k = F.col("c_custkey")
+    results = t.customer.where("c_mktsegment <> 'BUILDING'").select(k.alias("id"), F.col("c_acctbal").alias("log2FC"), ((k * 37 % 1999 + 1) / F.lit(2000.0)).alias("PValue"))
+    rows = target_results(t.supplier.select(F.col("s_suppkey").alias("id")), results, "id", ["log2FC", "PValue"], "customers", "x-y")
+    return bound([rows.withColumn("FDR_panel", F.round("FDR_panel", 9))], ["dataset", "contrast", "id", "log2FC", "PValue", "FDR_panel"])
+
+
+@query("q64_like_parameters", "SELECT p_partkey, p_brand, p_type FROM part WHERE p_brand LIKE 'Brand#1%' AND p_brand LIKE '%3' AND p_type = 'ECONOMY' AND p_size BETWEEN 5 AND 30")
+def _(t):
+    from lakequery.sources.tables import like_between
+
+    sized = t.spark.sql("SELECT * FROM {part} WHERE p_type = :type AND p_size BETWEEN :first AND :last", args={"type": "ECONOMY", "first": 5, "last": 30}, part=t.part)
+    return like_between(sized, "p_brand", "Brand#1", "3").select("p_partkey", "p_brand", "p_type")
+
+
+@query("q65_shard_names", "SELECT page_id, substr(sha256(url), 1, 16) || '.parquet' AS shard, sha256(html) AS digest FROM pages")
+def _(t):
+    from lakequery.sources.tables import shard_name
+
+    return t.pages.select("page_id", shard_name(F.col("url")).alias("shard"), F.sha2("html", 256).alias("digest"))
+
+
+@query("q66_tolerance", "SELECT l_orderkey, l_linenumber, l_partkey, abs(l_discount - l_tax) > 0.0200001 AS apart FROM lineitem")
+def _(t):
+    from lakequery.operators.panel import differs
+
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", differs("l_discount", F.col("l_tax"), 0.0200001).alias("apart"))
+
+
+@query("q67_prefer_ok", "WITH s AS (SELECT user_id, event_id, CASE event_type WHEN 'click' THEN 'OK' ELSE 'FAILED' END AS status FROM events) SELECT user_id, coalesce(min(event_id) FILTER (WHERE status = 'OK'), max(event_id)) AS event_id, CASE WHEN bool_or(status = 'OK') THEN 'OK' ELSE 'FAILED' END AS status FROM s GROUP BY user_id")
+def _(t):
+    s = t.events.select("user_id", "event_id", F.when(F.col("event_type") == "click", "OK").otherwise("FAILED").alias("status"))
+    return rank.prefer_ok(s, "user_id", "status", "event_id")
+
+
+@query("q68_last_decisions", "SELECT CAST(user_id AS VARCHAR) AS canonical_company_id, arg_max(event_type, (user_id + event_id % 3, event_id)) AS decision FROM events GROUP BY user_id")
+def _(t):
+    d = t.events.select(F.col("user_id").cast("string").alias("canonical_company_id"), F.col("event_type").alias("decision"), (F.col("user_id") + F.col("event_id") % 3).alias("version"), F.col("event_id").alias("position"))
+    return resolve.last_decisions(d)
+
+
+@query("q69_company_number", "SELECT c_custkey, lpad(CAST(c_custkey * 7919 AS VARCHAR), 10, '0') AS cik, TRY_CAST(CASE c_custkey % 3 WHEN 0 THEN '12.7' WHEN 1 THEN c_custkey || 'e1' ELSE 'n/a' END AS BIGINT) AS n, lower(trim(CASE c_custkey % 4 WHEN 0 THEN ' TRUE ' WHEN 1 THEN 'y' WHEN 2 THEN 'no' ELSE '' END)) IN ('1', 'true', 't', 'yes', 'y') AS truth FROM customer")
+def _(t):
+    k = F.col("c_custkey")
+    raw = F.when(k % 3 == 0, "12.7").when(k % 3 == 1, F.concat(k, F.lit("e1"))).otherwise("n/a")
+    said = F.when(k % 4 == 0, " TRUE ").when(k % 4 == 1, "y").when(k % 4 == 2, "no").otherwise("")
+    return t.customer.select(k, text.cik10(F.concat((k * 7919).cast("string"), F.lit(".0"))).alias("cik"), text.try_bigint(raw).alias("n"), text.truthy(said).alias("truth"))
+
+
+@query("q70_required_actual", "SELECT 'labels' AS side, count(*) AS n FROM (SELECT doc_id FROM labels EXCEPT SELECT doc_id FROM documents WHERE lang = 'en') UNION ALL SELECT 'documents', count(*) FROM (SELECT doc_id FROM documents WHERE lang = 'en' EXCEPT SELECT doc_id FROM labels)")
+def _(t):
+    english = t.documents.where("lang = 'en'").select("doc_id")
+    count = lambda df, side: df.agg(F.count("*").alias("n")).select(F.lit(side).alias("side"), "n")
+    return count(t.labels.select("doc_id").subtract(english), "labels").union(count(english.subtract(t.labels.select("doc_id")), "documents"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import gzip
 import io
 import json
+import tarfile
 import uuid
 import zipfile
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,17 +88,85 @@ def read_zip_json(spark: SparkSession, path: str, schema: str = "member string,
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(unzip, schema)
 
 
+# Fields of a submission header and of its addresses, with their column names.
+HEADER = {
+    "name": "sec_entity_name", "entityType": "entity_type", "sic": "sic", "sicDescription": "sic_description", "ownerOrg": "owner_org", "ein": "ein", "lei": "lei", "description": "description", "website": "website",
+    "investorWebsite": "investor_website", "category": "category", "fiscalYearEnd": "fiscal_year_end", "stateOfIncorporation": "state_of_incorporation", "stateOfIncorporationDescription": "state_of_incorporation_description", "phone": "phone",
+}
+ADDRESS = {
+    "street1": "street1", "street2": "street2", "city": "city", "stateOrCountry": "state_or_country", "zipCode": "zip_code", "stateOrCountryDescription": "state_or_country_description",
+    "isForeignLocation": "is_foreign_location", "foreignStateTerritory": "foreign_state_territory", "country": "country",
+}
+
+
 def issuer_metadata(members: DataFrame, companies: DataFrame) -> DataFrame:
-    """Submission headers of the companies present, both addresses flattened."""
-    address = "struct<street1:string,street2:string,city:string,stateOrCountry:string,zipCode:string,stateOrCountryDescription:string,isForeignLocation:boolean,foreignStateTerritory:string,country:string,countryCode:string>"
-    schema = f"struct<name:string,entityType:string,sic:string,sicDescription:string,ein:string,category:string,fiscalYearEnd:string,stateOfIncorporation:string,stateOfIncorporationDescription:string,phone:string,flags:string,addresses:struct<business:{address},mailing:{address}>>"
-    parsed = members.where(F.col("member").rlike("^CIK[0-9]{10}\\.json$")).select(F.substring("member", 4, 10).alias("cik"), F.from_json("body", schema).alias("j"))
-    j = companies.select("canonical_company_id", "cik").join(parsed, "cik")
-    snake = lambda s: F.lit(None) if not s else s
-    flat = [F.col(f"j.{c}").alias(snake(c)) for c in ("name", "entityType", "sic", "sicDescription", "ein", "category", "fiscalYearEnd", "stateOfIncorporation", "stateOfIncorporationDescription", "phone", "flags")]
-    for kind in ("business", "mailing"):
-        flat += [F.col(f"j.addresses.{kind}.{c}").alias(f"{kind}_{c}") for c in ("street1", "street2", "city", "stateOrCountry", "zipCode", "stateOrCountryDescription", "isForeignLocation", "foreignStateTerritory", "country", "countryCode")]
-    return j.select("canonical_company_id", "cik", *flat)
+    """The 38 columns of the companies that an archive of submissions has: master, header, both addresses flattened. No company at all, one
+    twice, or one without a key is an error."""
+    from lakequery.operators.resolve import pick
+
+    address = "struct<" + ",".join(f"{k}:{'boolean' if k == 'isForeignLocation' else 'string'}" for k in ADDRESS) + ">"
+    schema = f"struct<{','.join(f'{k}:string' for k in HEADER)},addresses:struct<business:{address},mailing:{address}>>"
+    parsed = members.where(F.col("member").rlike("(^|/)CIK[0-9]{10}\\.json$")).select(F.regexp_extract("member", "CIK([0-9]{10})", 1).alias("member_cik"), F.from_json("body", schema).alias("j"))
+    known = pick(companies, {c: (c,) for c in ("canonical_company_id", "cik", "company_name", "primary_ticker", "source_class")})
+    flat = [F.col(f"j.{k}").alias(v) for k, v in HEADER.items()] + [F.col(f"j.addresses.{kind}.{k}").alias(f"{kind}_{v}") for kind in ("business", "mailing") for k, v in ADDRESS.items()]
+    out = known.join(parsed, F.col("cik") == F.col("member_cik")).select(*known.columns, *flat)
+    row = out.agg(F.count("*").alias("n"), F.countDistinct("canonical_company_id").alias("d"), F.count_if((F.coalesce("canonical_company_id", F.lit("")) == "") | (F.coalesce("cik", F.lit("")) == "")).alias("none")).first()
+    if not row["n"] or row["n"] != row["d"] or row["none"]:
+        raise ValueError(f"issuer metadata: {row['n']} rows, {row['d']} companies, {row['none']} without a key")
+    return out
+
+
+def read_inventory(spark: SparkSession, path: str) -> DataFrame:
+    """Files of a remote inventory, a JSON list of Path, Size and IsDir."""
+    return spark.read.schema("Path string, Name string, Size long, ModTime string, IsDir boolean").option("multiLine", "true").json(path).where(~F.coalesce("IsDir", F.lit(False)))
+
+
+def read_listing(spark: SparkSession, paths: list[str], prefix: str = "", start_after: str = "", max_keys: int = 5000) -> DataFrame:
+    """(key, size) of saved pages of an object store's XML listing, by key, after start_after and max_keys at most; a missing size is 0."""
+    pages = spark.read.text(paths, wholetext=True)
+    tag = lambda name: F.regexp_extract_all("c", F.lit(rf"<(?:\w+:)?{name}>([^<]*)</"), F.lit(1))
+    each = pages.select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)<(?:\w+:)?Contents>(.*?)</(?:\w+:)?Contents>"), F.lit(1))).alias("c"))
+    found = each.select(F.try_element_at(tag("Key"), F.lit(1)).alias("key"), F.coalesce(F.try_element_at(tag("Size"), F.lit(1)).try_cast("long"), F.lit(0)).alias("size"))
+    for mark, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        found = found.withColumn("key", F.replace("key", F.lit(mark), F.lit(char)))
+    return found.where((F.col("key") != "") & F.startswith("key", F.lit(prefix)) & (F.col("key") > start_after)).orderBy("key").limit(max_keys)
+
+
+def list_folder(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+    """(path, size, modified) of the files below a folder that Spark can reach; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.where(F.col("path").endswith(suffix)).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
+def shard_of_rank(listing: DataFrame, key: str, shard: int, shards: int) -> DataFrame:
+    """Every shards-th row of a listing in the order of its keys, from the shard's number on."""
+    from lakequery.functions.rank import global_rank
+
+    return global_rank(listing, [F.asc(key)], "_rank").where(F.pmod(F.col("_rank") - 1, F.lit(shards)) == shard).drop("_rank")
+
+
+def read_counts(spark: SparkSession, path: str, skip: int = 0, sep: str = "\t") -> DataFrame:
+    """A table of counts, plain or gzipped: lines after the first ones as (line, id, values)."""
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")).alias("line", "value")).where(F.col("line") >= skip)
+    cells = F.transform(F.split("value", sep), lambda x: F.trim(x, F.lit('"')))
+    return lines.select("line", cells.alias("c")).select("line", F.col("c")[0].alias("id"), F.slice("c", F.lit(2), F.size("c")).alias("values"))
+
+
+def read_tar_text(spark: SparkSession, path: str) -> DataFrame:
+    """(member, body) of the files in TAR archives, gzipped members unpacked; one archive a row of binaryFile."""
+
+    def untar(batches):
+        for pdf in batches:
+            rows = []
+            for content in pdf["content"]:
+                with tarfile.open(fileobj=io.BytesIO(content)) as t:
+                    for m in t.getmembers():
+                        if m.isfile():
+                            body = t.extractfile(m).read()
+                            rows.append((m.name, (gzip.decompress(body) if m.name.endswith(".gz") else body).decode("utf-8", "replace")))
+            yield pd.DataFrame(rows, columns=["member", "body"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(untar, "member string, body string")
 
 
 def read_series_matrix(spark: SparkSession, path: str, begin: str = "!series_matrix_table_begin", end: str = "!series_matrix_table_end") -> DataFrame:
@@ -127,11 +197,17 @@ def scan_guard(df: DataFrame, most_bytes: int) -> DataFrame:
 
 
 def patents(df: DataFrame, columns: list[str], country: str, year: int | None = None) -> DataFrame:
-    """Explicit columns of one country, publication dates as integers within a year."""
-    out = df.where(F.col("country_code") == country)
-    if year:
-        out = out.where(F.col("publication_date").between(year * 10000 + 101, year * 10000 + 1231))
-    return out.select(*columns)
+    """Explicit columns of one country, publication dates as integers within a year, all by named parameters of a statement."""
+    names = ", ".join(f"`{c}`" for c in columns)
+    dates = " AND publication_date BETWEEN :first AND :last" if year else ""
+    args = {"country": country} | ({"first": year * 10000 + 101, "last": year * 10000 + 1231} if year else {})
+    return df.sparkSession.sql(f"SELECT {names} FROM {{df}} WHERE country_code = :country{dates}", args=args, df=df)
+
+
+def like_between(df: DataFrame, column: str, start: str, end: str) -> DataFrame:
+    """Rows whose text starts and ends with two pieces, one wildcard between; wildcards inside the pieces are plain characters."""
+    plain = lambda x: x.replace("\\", "\\\\").replace("%", r"\%").replace("_", r"\_")
+    return df.where(F.col(column).like(f"{plain(start)}%{plain(end)}"))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, refuse_empty: bool = False) -> None:
@@ -154,6 +230,21 @@ def write_json_array(df: DataFrame, path: str) -> None:
     body.union(end).coalesce(1).write.text(path)
 
 
+def write_text(df: DataFrame, path: str, column: str = "text") -> None:
+    df.select(F.col(column).cast("string").alias("value")).write.text(path)
+
+
+def write_csv_signed(df: DataFrame, path: str) -> None:
+    """One CSV file that opens with the UTF-8 signature, for spreadsheets."""
+    first, *rest = df.columns
+    df.coalesce(1).select(F.col(f"`{first}`").alias("\ufeff" + first), *(F.col(f"`{c}`") for c in rest)).write.option("header", "true").csv(path)
+
+
+def shard_name(path: Column) -> Column:
+    """File name of a shard: sixteen hexadecimal digits of the path's SHA-256."""
+    return F.concat(F.substring(F.sha2(path.cast("binary"), 256), 1, 16), F.lit(".parquet"))
+
+
 def json_array(df: DataFrame) -> DataFrame:
     """A small result as one JSON array."""
     return df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))

@@ -1,8 +1,12 @@
 """Operators on small hand-written tables."""
 
+import datetime as dt
 import difflib
+import gzip
 import hashlib
+import io
 import json
+import tarfile
 import zipfile
 
 import pytest
@@ -38,9 +42,13 @@ def test_edges(works):
 
 
 def test_verify_curated(spark):
-    raw = spark.createDataFrame([("a",), ("b",), ("c",)], "key string")
-    state = spark.createDataFrame([("a", "FAILED", 1), ("a", "OK", 2), ("a", "FAILED", 3), ("b", "FAILED", 4), ("d", "OK", 5)], "key string, status string, position int")
-    assert curate.verify_curated(raw, state) == ["missing: 1", "unexpected: 1", "failed: 1"]
+    raw = spark.createDataFrame([("a", 10), ("b", 20), ("c", None)], "key string, bytes long")
+    state = spark.createDataFrame([("a", "FAILED", 9, 9, 1), ("a", "OK", 10, 4, 2), ("a", "FAILED", 9, 9, 3), ("b", "FAILED", 20, 0, 4), ("d", "OK", 5, 5, 5)], "key string, status string, bytes_in long, bytes_out long, position int")
+    s = curate.summarize_curated(raw, state)
+    assert s == {"raw_count": 3, "raw_bytes": 30, "distinct_keys": 3, "state_ok": 2, "state_failed": 1, "state_bytes_in": 10, "state_bytes_out": 4, "missing_keys": 2, "unexpected_keys": 1, "state_rows": 5, "duplicate_rows": 2}
+    assert curate.verify_curated(raw, state) == ["failed: 1", "missing: 2", "unexpected: 1", "curated keys 2, raw keys 3", "curated input bytes 10, raw bytes 30"]
+    assert curate.verify_curated(raw.where("key = 'a'"), state.where("key = 'a'")) == []
+    assert "no output bytes" in curate.verify_curated(raw, state.limit(0))
 
 
 def test_marts(spark):
@@ -129,9 +137,64 @@ def test_zip(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "s.zip", "w") as z:
         z.writestr("CIK0000000001.json", json.dumps({"name": "One", "addresses": {"business": {"city": "X", "isForeignLocation": False}}}))
         z.writestr("other.txt", "x")
-    companies = spark.createDataFrame([("c1", "0000000001"), ("c2", "0000000002")], "canonical_company_id string, cik string")
-    row = tables.issuer_metadata(tables.read_zip_json(spark, str(tmp_path / "s.zip")), companies).collect()
-    assert [(r.canonical_company_id, r.name, r.business_city, r.business_isForeignLocation) for r in row] == [("c1", "One", "X", False)]
+    companies = spark.createDataFrame([("c1", "0000000001", "Master One"), ("c2", "0000000002", None)], "canonical_company_id string, cik string, company_name string")
+    members = tables.read_zip_json(spark, str(tmp_path / "s.zip"))
+    got = tables.issuer_metadata(members, companies)
+    assert len(got.columns) == 38 and [(r.canonical_company_id, r.company_name, r.sec_entity_name, r.business_city, r.business_is_foreign_location, r.mailing_city) for r in got.collect()] == [("c1", "Master One", "One", "X", False, None)]
+    for bad in (companies.where("cik > '1'"), companies.union(companies)):
+        with pytest.raises(ValueError):
+            tables.issuer_metadata(members, bad)
+
+
+def test_more_sources(spark, tmp_path):
+    (tmp_path / "inv.json").write_text(json.dumps([{"Path": "a", "Size": 1, "IsDir": False}, {"Path": "d", "Size": -1, "IsDir": True}]))
+    assert [r.Path for r in tables.read_inventory(spark, str(tmp_path / "inv.json")).collect()] == ["a"]
+    page = lambda rows: "<ListBucketResult xmlns='x'>" + "".join(f"<Contents><Key>{k}</Key>{s}</Contents>" for k, s in rows) + "</ListBucketResult>"
+    (tmp_path / "p1.xml").write_text(page([("data/b&amp;c", "<Size>5</Size>"), ("data/a", "<Size>7</Size>"), ("other", "<Size>1</Size>")]))
+    (tmp_path / "p2.xml").write_text(page([("data/d", ""), ("data/e", "<Size>2</Size>")]))
+    listing = tables.read_listing(spark, [str(tmp_path / "p1.xml"), str(tmp_path / "p2.xml")], prefix="data/", start_after="data/a", max_keys=2)
+    assert [tuple(r) for r in listing.collect()] == [("data/b&c", 5), ("data/d", 0)]
+    assert {r.path.rpartition("/")[2] for r in tables.list_folder(spark, str(tmp_path), ".xml").collect()} == {"p1.xml", "p2.xml"}
+    keys = spark.createDataFrame([(f"k{i:02}",) for i in range(20)], "key string")
+    assert [r.key for r in tables.shard_of_rank(keys, "key", 2, 6).orderBy("key").collect()] == ["k02", "k08", "k14"]
+    with gzip.open(tmp_path / "c.txt.gz", "wt") as f:
+        f.write("h1\th2\ng1\t5\t6\ng2\t7\t8\n")
+    assert [(r.id, r["values"]) for r in tables.read_counts(spark, str(tmp_path / "c.txt.gz"), skip=1).orderBy("line").collect()] == [("g1", ["5", "6"]), ("g2", ["7", "8"])]
+    with tarfile.open(tmp_path / "t.tar", "w") as t:
+        for name, body in (("a.csv", b"x,1"), ("b.csv.gz", gzip.compress(b"y,2"))):
+            info = tarfile.TarInfo(name)
+            info.size = len(body)
+            t.addfile(info, io.BytesIO(body))
+    assert {tuple(r) for r in tables.read_tar_text(spark, str(tmp_path / "t.tar")).collect()} == {("a.csv", "x,1"), ("b.csv.gz", "y,2")}
+    p = spark.createDataFrame([("US", 20200105, "a"), ("US", 20210105, "b"), ("DE", 20200105, "c")], "country_code string, publication_date int, id string")
+    assert [r.id for r in tables.patents(p, ["id"], "US", 2020).collect()] == ["a"] and tables.patents(p, ["id"], "US").count() == 2
+    names = spark.createDataFrame([("data/p_q/x.parquet",), ("data/pXq/x.parquet",), ("data/p_q/x.csv",)], "k string")
+    assert [r.k for r in tables.like_between(names, "k", "data/p_q/", ".parquet").collect()] == ["data/p_q/x.parquet"]
+    tables.write_csv_signed(spark.createDataFrame([("é", 1)], "a string, b int"), str(tmp_path / "sig"))
+    (file,) = (tmp_path / "sig").glob("part-*")
+    assert file.read_bytes() == "\ufeffa,b\né,1\n".encode()
+    tables.write_text(spark.createDataFrame([("line",)], "text string"), str(tmp_path / "txt"))
+    assert spark.read.text(str(tmp_path / "txt")).first().value == "line"
+    assert spark.range(1).select(tables.shard_name(F.lit("p/a"))).first()[0] == hashlib.sha256(b"p/a").hexdigest()[:16] + ".parquet"
+    tables.write_parquet(p, str(tmp_path / "hive"), partition_by=["country_code"])
+    assert {r.id for r in tables.read_tables(spark, str(tmp_path / "hive")).where("country_code = 'DE'").collect()} == {"c"}
+    (tmp_path / "x.jsonl").write_text('{"a": 1}\n{"a": 2}\n')
+    assert tables.read_jsonl(spark, str(tmp_path / "x.jsonl"), "a int").count() == 2
+
+
+def test_panel(spark):
+    from lakequery.operators import panel
+
+    df = spark.createDataFrame([("at1g00001 x AT1G00001", 1.0), ("AT1G00001", 3.0), ("AT1G00002 AT1G00003", 9.0), ("none", 5.0), ("AT2G00001", float("inf"))], "d string, v double")
+    ids = df.withColumn("id", panel.only_id(F.col("d"), "AT[1-5]G[0-9]{5}"))
+    assert [r.id for r in ids.collect()] == ["AT1G00001", "AT1G00001", None, None, "AT2G00001"]
+    assert [tuple(r) for r in panel.average_replicates(ids, "id", ["v"]).collect()] == [("AT1G00001", 2.0)]
+    assert spark.range(1).select(panel.log2_values(F.array(F.lit(8.0), F.lit(0.0)))).first()[0] == [3.0, float("-inf")]
+    targets = spark.createDataFrame([("g1", "p1"), ("g2", "p1"), ("g3", "p2"), ("g4", "p9")], "gene string, probe string")
+    results = spark.createDataFrame([("p1", 1.5, 0.02), ("p2", -1.0, 0.04)], "probe string, log2FC double, PValue double")
+    got = panel.target_results(targets, results, "probe", ["log2FC", "PValue"], "D", "a-b")
+    assert {(r.gene, r.log2FC, r.FDR_panel) for r in got.collect()} == {("g1", 1.5, 0.04), ("g2", 1.5, 0.04), ("g3", -1.0, 0.04), ("g4", None, None)}
+    assert panel.bound([got, got], ["dataset", "gene"]).count() == 8
 
 
 def test_sources(spark, tmp_path):
@@ -274,7 +337,7 @@ def test_corpus(spark):
     assert [(r.topic, r.doc_id, r.terms) for r in corpus.topic_index(docs, {"T": ["water", "law"]}).collect()] == [("T", 1, ["law", "water"])]
 
 
-def test_ingest(spark):
+def test_ingest(spark, tmp_path):
     doc = {"domain": "finance", "sources": [{"id": "a", "datasets": [{"id": "d", "url": "u"}]}, {"id": "b", "tier": "bulk", "adapter": "static_expand"}, {"id": "c", "enabled": False, "datasets": [{"id": "d", "url": "u"}]}]}
     s = ingest.parse_registry(doc)
     assert [x.source_id for x in ingest.select_sources(s, ["^fin"])] == ["a"]
@@ -298,7 +361,24 @@ def test_ingest(spark):
     assert {r.key for r in ingest.changed(now, was).collect()} == {"b", "c"}
     log = []
     counts = ingest.run([ingest.Dataset("a", "u"), ingest.Dataset("b", "u")], lambda d: 1 / 0 if d.key == "a" else "OK", lambda *a: log.append(a))
-    assert counts == {"FAILED": 1, "OK": 1} and len(log) == 2
+    assert counts == {"FAILED": 1, "OK": 1} and len(log) == 2 and log[0][2].startswith("ZeroDivisionError")
+    ticks = iter(range(10))
+    assert ingest.run([ingest.Dataset(str(i), "u") for i in range(4)], lambda d: ("OK", 5), lambda *a: None, deadline=1, clock=lambda: next(ticks)) == {"OK": 2, "bytes": 10, "SKIPPED": 2}
+    assert [(r.key, r.url) for r in ingest.fdic(spark, {}).orderBy("key").collect()][0] == ("fdic_failures", "https://api.fdic.gov/banks/failures?format=csv&limit=10000&offset=0")
+    assert ingest.treasury(spark, {"endpoints": {"debt": "v1/debt"}}).first().url.endswith("/fiscal_service/v1/debt?format=csv&page[size]=10000&page[number]=1")
+    xml = "<m:Structure xmlns:m='u' xmlns:c='v'><m:Dataflow id='F1' agencyID='A'><c:Name> </c:Name><c:Name>Prices</c:Name></m:Dataflow><m:Dataflow id='F2'/><m:Dataflow agencyID='B'/><m:Dataflow id='OLD' agencyID='B'><c:Name>Prices</c:Name></m:Dataflow></m:Structure>"
+    documents = spark.createDataFrame([(xml,), ("<broken",)], "value string")
+    assert [tuple(r) for r in ingest.dataflows(documents).orderBy("ord").collect()] == [(0, "A", "F1", "Prices"), (1, "", "F2", "F2"), (2, "B", "OLD", "Prices")]
+    assert [(r.key, r.url) for r in ingest.oecd(spark, {"documents": documents, "include_regex": "Pri", "exclude_regex": "^OLD"}).collect()] == [("F1", "https://sdmx.oecd.org/public/rest/data/A,F1,/all?format=csvfilewithlabels")]
+    assert [r.url for r in ingest.ecb(spark, {"documents": documents, "max_datasets": 1}).collect()] == ["https://data-api.ecb.europa.eu/service/data/F1?format=csvdata"]
+    assert ingest.domains(s) == ["finance"] and ingest.domains(s, ["^x"]) == []
+    assert [(x["source"], x["kind"], x["datasets"]) for x in ingest.plan(s)] == [("a", "static", "1"), ("b", "adapter", "via static_expand"), ("c", "static", "1")]
+    at = lambda d: dt.datetime(2026, 1, d)
+    base = {"source_id": "s", "domain": "x", "url": "u"}
+    for rows in ([{"key": "k1", "status": "FAILED", "error": "e" * 200, "at": at(1), **base}], [{"key": "k1", "status": "OK", "bytes": 7, "at": at(2), **base}, {"key": "k2", "status": "FAILED", "error": "bad", "at": at(2), **base}]):
+        ingest.append_state(spark, rows, str(tmp_path / "state"))
+    st = ingest.status(spark.read.parquet(str(tmp_path / "state")))
+    assert st == {"files": 1, "bytes": 7, "by_status": {"OK": (1, 7), "FAILED": (1, 0)}, "by_domain": {"x": (2, 7)}, "failures": [("s", "k2", "bad")]}
     assert ingest.too_many_failures(spark.createDataFrame([(True,), (False,)], "ok boolean"))
 
 
