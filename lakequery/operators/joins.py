@@ -16,8 +16,8 @@ def anti_any(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def unordered_pairs(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Distinct pairs a < b of a value within each key; values are made distinct before the self-join."""
-    d = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()
+    """Distinct pairs a < b of a value within each key; values are made distinct before the self-join, all in one dealing by key."""
+    d = df.select(*keys, value).where(F.col(value).isNotNull()).repartition(*keys).distinct()
     a, b = d.withColumnRenamed(value, f"{value}_a"), d.withColumnRenamed(value, f"{value}_b")
     return a.join(b, keys).where(F.col(f"{value}_a") < F.col(f"{value}_b"))
 

@@ -18,8 +18,14 @@ def works_of(master: DataFrame) -> DataFrame:
     return master.where("id is not null and publication_year is not null").select("id", "publication_year", cites.cast("long").alias("cites"))
 
 
-def _measures():
-    return [F.countDistinct("id").cast("long").alias("work_count"), F.sum("cites").cast("long").alias("citation_sum")]
+def _yearly(edges: DataFrame, w: DataFrame, dims: list[str], score: str | None = None) -> DataFrame:
+    """Distinct works, their citations (once for each row of edges) and scores by year and dimension. Edges are dealt by work once; the join and the rows of
+    one work then need no further shuffle, and what is dealt by year and dimension is already added up."""
+    j = edges.join(w, edges["work_id"] == w["id"])
+    sums = [F.sum("cites").alias("cites"), *([F.sum(score).alias("score")] if score else [])]
+    each = j.groupBy("work_id", "publication_year", *dims).agg(*sums)
+    whole = [F.count("*").cast("long").alias("work_count"), F.sum("cites").cast("long").alias("citation_sum"), *([F.sum("score").alias("topic_score_sum")] if score else [])]
+    return _mean(each.groupBy("publication_year", *dims).agg(*whole))
 
 
 def _mean(df: DataFrame) -> DataFrame:
@@ -32,18 +38,17 @@ def year_marts(master: DataFrame, topics: DataFrame | None = None, institutions:
     w = works_of(master)
     out = {"WORK_YEAR_METRICS": _mean(w.groupBy("publication_year").agg(F.count("*").cast("long").alias("work_count"), F.sum("cites").cast("long").alias("citation_sum")))}
     if topics is not None and {"work_id", "topic_id"} <= set(topics.columns):
-        score = F.sum("topic_score") if "topic_score" in topics.columns else F.lit(0.0)
-        out["TOPIC_YEAR_METRICS"] = _mean(topics.join(w, topics["work_id"] == w["id"]).groupBy("publication_year", "topic_id").agg(*_measures(), score.alias("topic_score_sum")))
+        score = F.col("topic_score") if "topic_score" in topics.columns else F.lit(0.0)
+        out["TOPIC_YEAR_METRICS"] = _yearly(topics.select("work_id", "topic_id", score.alias("topic_score")).repartition("work_id"), w, ["topic_id"], "topic_score").select("publication_year", "topic_id", "work_count", "citation_sum", "topic_score_sum", "mean_citations")
     if institutions is not None and {"work_id", "institution_id"} <= set(institutions.columns):
         keep = ["work_id", "institution_id"] + ["institution_country_code"] * (not strict_institutions and "institution_country_code" in institutions.columns)
-        e = institutions.select(*keep).distinct()
-        out["INSTITUTION_YEAR_METRICS"] = _mean(e.join(w, e["work_id"] == w["id"]).groupBy("publication_year", "institution_id").agg(*_measures()))
+        out["INSTITUTION_YEAR_METRICS"] = _yearly(institutions.select(*keep).repartition("work_id").distinct(), w, ["institution_id"])
         if "institution_country_code" in institutions.columns:
-            c = institutions.where("institution_country_code <> ''").select("work_id", F.col("institution_country_code").alias("country_code")).distinct()
-            out["COUNTRY_YEAR_METRICS"] = _mean(c.join(w, c["work_id"] == w["id"]).groupBy("publication_year", "country_code").agg(*_measures()))
+            c = institutions.where("institution_country_code <> ''").select("work_id", F.col("institution_country_code").alias("country_code"))
+            out["COUNTRY_YEAR_METRICS"] = _yearly(c.repartition("work_id").distinct(), w, ["country_code"])
     if collaboration is not None and {"work_id", "country_a", "country_b"} <= set(collaboration.columns):
         c = collaboration.select("work_id", "country_a", "country_b").distinct()
-        out["COUNTRY_COLLAB_YEAR"] = _mean(c.join(w, c["work_id"] == w["id"]).groupBy("publication_year", "country_a", "country_b").agg(*_measures()))
+        out["COUNTRY_COLLAB_YEAR"] = _yearly(c, w, ["country_a", "country_b"])
     return out
 
 

@@ -29,23 +29,28 @@ def company_year(org: DataFrame, production: DataFrame, institution_year: DataFr
 
 
 def company_topic_year(production: DataFrame, works: DataFrame, author_institutions: DataFrame, topics: DataFrame) -> DataFrame:
-    """Distinct works, citations and topic scores of companies by topic and year. works: id, publication_year, cites."""
+    """Distinct works, citations and topic scores of companies by topic and year. works: id, publication_year, cites. Both sides are dealt by work; rows of a
+    work are added up where they are, before companies come together."""
     target = target_works(production, works, author_institutions)
-    t = topics.withColumnRenamed("work_id", "tw")
-    return target.join(t, target["work_id"] == t["tw"]).groupBy(COMPANY, INSTITUTION, "publication_year", "topic_id").agg(F.countDistinct("work_id").alias("work_count"), F.sum("cites").cast("long").alias("citation_sum"), F.sum("topic_score").alias("topic_score_sum"))
+    t = topics.select(F.col("work_id").alias("tw"), "topic_id", "topic_score").repartition("tw")
+    keys = [COMPANY, INSTITUTION, "publication_year", "topic_id"]
+    each = target.join(t, target["work_id"] == t["tw"]).groupBy("work_id", *keys).agg(F.sum("cites").alias("c"), F.sum("topic_score").alias("s"))
+    return each.groupBy(*keys).agg(F.count("*").alias("work_count"), F.sum("c").cast("long").alias("citation_sum"), F.sum("s").alias("topic_score_sum"))
 
 
 def target_works(production: DataFrame, works: DataFrame, author_institutions: DataFrame) -> DataFrame:
-    e = author_institutions.select("work_id", "institution_id").distinct()
-    return e.join(production.select(COMPANY, INSTITUTION), e["institution_id"] == F.col(INSTITUTION)).join(works, e["work_id"] == works["id"]).select(COMPANY, INSTITUTION, "work_id", "publication_year", "cites").distinct()
+    """Works of the companies of a bridge, each once, dealt by work."""
+    e = author_institutions.select("work_id", "institution_id").repartition("work_id").distinct()
+    mine = e.join(production.select(COMPANY, INSTITUTION), e["institution_id"] == F.col(INSTITUTION))
+    return mine.join(works, mine["work_id"] == works["id"]).select(COMPANY, INSTITUTION, "work_id", "publication_year", "cites").distinct()
 
 
 def company_collaboration_year(production: DataFrame, works: DataFrame, author_institutions: DataFrame) -> DataFrame:
     """Partner countries by year: works, partner institutions and citations, each work counted once a country."""
     target = target_works(production, works, author_institutions)
-    other = author_institutions.select(F.col("work_id").alias("ow"), F.col("institution_id").alias("partner"), F.col("institution_country_code").alias("partner_country")).where("partner_country <> ''").distinct()
+    other = author_institutions.select(F.col("work_id").alias("ow"), F.col("institution_id").alias("partner"), F.col("institution_country_code").alias("partner_country")).where("partner_country <> ''").repartition("ow").distinct()
     pairs = target.join(other, (target["work_id"] == other["ow"]) & (F.col(INSTITUTION) != F.col("partner")))
-    each = pairs.groupBy(COMPANY, INSTITUTION, "publication_year", "partner_country", "work_id", "cites").agg(F.countDistinct("partner").alias("partners"))
+    each = pairs.groupBy("work_id", COMPANY, INSTITUTION, "publication_year", "partner_country", "cites").agg(F.count("*").alias("partners"))  # pairs are distinct
     return each.groupBy(COMPANY, INSTITUTION, "publication_year", "partner_country").agg(F.count("*").alias("work_count"), F.sum("partners").cast("long").alias("collaborator_institution_count"), F.sum("cites").cast("long").alias("citation_sum"))
 
 

@@ -564,7 +564,7 @@ def _(t):
     return t.pages.groupBy(folder.alias("folder")).agg(F.count("*").alias("objects"), F.sum(F.length("html")).cast("long").alias("bytes"), F.min(F.sha2("url", 256)).alias("least_digest"))
 
 
-@query("q61_modulo_shard", "SELECT page_id, url FROM (SELECT page_id, url, row_number() OVER (ORDER BY url, page_id) - 1 AS at FROM pages) WHERE at % 7 = 3")
+@query("q61_modulo_shard", "SELECT page_id, url FROM (SELECT page_id, url, row_number() OVER (ORDER BY url, page_id) - 1 AS pos FROM pages) WHERE pos % 7 = 3")
 def _(t):
     from lakequery.functions.rank import global_rank
 
