@@ -3,24 +3,27 @@
 The trie is held as counts of five-symbol strings (four bytes of context, then a byte or the end): shorter contexts are
 their sums. A byte unseen in its context escapes to the next shorter one with method C's estimate (distinct symbols over symbols plus
 count), and what the longer context has seen is excluded there; below no context, all symbols left are alike. The trie
-is counted over all training texts by Spark and goes to the workers in parts of bounded size, split by the last byte of the context:
-every escape chain of a position lies in one part. The word base needs each word's count: words that make up at least one in half a
+is counted over all training texts by Spark and goes to the workers in parts, split by the last two symbols of the context: every escape chain of
+a position lies in one part down to two symbols of context, and what is shorter (257 x 258 counts at most) goes to all. A part holds
+PART_STRINGS on average, and no less than its commonest pair of symbols has, which is a few hundredths of all. Each part costs one more pass over the texts. The word base needs each word's count: words that make up at least one in half a
 million of all tokens (at most half a million words, by definition) are broadcast, the others joined."""
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakequery.llm.common import U64, coded, hash64, ids_of, materialize, release, signed, slices, split_words, texts_of
+from lakequery.llm.common import U64, bounded, coded, hash64, ids_of, materialize, release, signed, slices, split_words, texts_of
 
 ORDER = 4
 END, PAD = 256, 257
 SYMBOLS = 257
+PAIR = (1 << 18) - 1
 #: Strings a trie part holds on average, which bounds the broadcast.
 PART_STRINGS = 3_000_000
 #: A word is common if it makes up at least one in so many tokens.
@@ -86,7 +89,7 @@ def _count(order: int):
             if held[kind]:
                 yield _batch(kind, _add_up(held[kind]))
 
-    return run
+    return bounded(run)
 
 
 def _batch(kind: int, counts: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
@@ -97,12 +100,12 @@ def _batch(kind: int, counts: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
 class Trie:
     """log10 probabilities of strings, from the counts of a part's strings and of all symbols."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, symbols: np.ndarray, order: int = ORDER) -> None:
-        """symbols: training count of each of the 257 symbols."""
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, symbols: np.ndarray, order: int, pairs: tuple[np.ndarray, np.ndarray]) -> None:
+        """symbols: training count of each of the 257 symbols; pairs: strings of one symbol of context with their counts, of all parts."""
         self.order, self.symbols = order, symbols
         self.grams, self.ctx, self.link = [None] * (order + 1), [None] * (order + 1), [None] * (order + 1)
         for j in range(order, 0, -1):
-            g, n = _add_up([(keys & U64((1 << (9 * (j + 1))) - 1), counts)])
+            g, n = _add_up([(keys & U64((1 << (9 * (j + 1))) - 1), counts)] if j > 1 else [pairs])
             c = g >> U64(9)
             first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else np.zeros(0, dtype=np.int64)
             total = np.add.reduceat(n, first) if len(c) else n
@@ -123,7 +126,7 @@ class Trie:
         self._table()
 
     def logp(self, keys: np.ndarray) -> np.ndarray:
-        """By the escape chain; for keys whose last context byte is in this part (or that no training context ends with)."""
+        """By the escape chain; for keys whose last two symbols of context are in this part."""
         out = np.zeros(len(keys))
         open_ = np.arange(len(keys))
         total, kinds = np.full(len(keys), -1, dtype=np.int64), np.full(len(keys), -1, dtype=np.int64)  # after exclusion; -1: none
@@ -214,7 +217,7 @@ def _score(tag: str, held, part: int, parts: int, common, order: int):
             texts = [t.lower() for t in texts_of(b)]
             keys, starts = strings(texts, order)
             if parts > 1:
-                mine = ((keys >> U64(9)) & U64(511)) % U64(parts) == U64(part)
+                mine = ((keys >> U64(9)) & U64(PAIR)) % U64(parts) == U64(part)
                 logs = np.zeros(len(keys))
                 logs[mine] = trie.scores(keys[mine])
             else:
@@ -239,7 +242,7 @@ def _score(tag: str, held, part: int, parts: int, common, order: int):
                 names=["row", "doc_id", "held_out", "n_tokens", "n_common", "common_logs", "rare", "score"],
             )
 
-    return run
+    return bounded(run)
 
 
 def score_documents(docs: DataFrame, modulus: int = 7, order: int = ORDER, part_strings: int = PART_STRINGS, common: int = COMMON) -> DataFrame:
@@ -255,9 +258,9 @@ def score_documents(docs: DataFrame, modulus: int = 7, order: int = ORDER, part_
     counts = materialize(counts, "ppm-counts")
     release(spark)
     grams, words = counts.where("kind = 0"), counts.where("kind = 1")
-    symbols = np.zeros(512, dtype=np.int64)
-    for r in grams.groupBy((F.col("key").bitwiseAND(511)).alias("s")).agg(F.sum("n").alias("n")).collect():
-        symbols[r["s"]] = r["n"]
+    short = grams.groupBy(F.col("key").bitwiseAND(PAIR).alias("s")).agg(F.sum("n").alias("n")).toArrow()  # 257 x 258 rows at most
+    pairs = (short["s"].to_numpy().astype(np.uint64), short["n"].to_numpy()) if short.num_rows else (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+    symbols = np.bincount((pairs[0] & U64(511)).astype(np.int64), weights=pairs[1], minlength=512).astype(np.int64)
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     top = words.where(F.col("n") * common >= F.lit(int(total["n"]))).select("key", "n").toArrow()
     keys = top["key"].to_numpy().astype(np.int64).view(np.uint64) if top.num_rows else np.zeros(0, dtype=np.uint64)
@@ -267,26 +270,28 @@ def score_documents(docs: DataFrame, modulus: int = 7, order: int = ORDER, part_
     rows = source.withColumn("row", F.monotonically_increasing_id())
     if parts > 1:  # scored once a part: row numbers must stay the same
         rows = materialize(rows, "ppm-rows")
-    first, others = None, None
+    first, others = None, []
     for part in range(parts):
-        mine = grams if parts == 1 else grams.where(F.pmod(F.shiftrightunsigned("key", 9).bitwiseAND(511), F.lit(parts)) == part)
+        mine = grams if parts == 1 else grams.where(F.pmod(F.shiftrightunsigned("key", 9).bitwiseAND(PAIR), F.lit(parts)) == part)
         t = mine.select("key", "n").toArrow()
         k, n = (t["key"].to_numpy().astype(np.int64).view(np.uint64), t["n"].to_numpy()) if t.num_rows else (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
-        run = _score(uuid.uuid4().hex, spark.sparkContext.broadcast((k, n, symbols, order)), part, parts, None if part else held_common, order)
+        held = spark.sparkContext.broadcast((k, n, symbols, order, pairs))
+        run = _score(uuid.uuid4().hex, held, part, parts, None if part else held_common, order)
         if part == 0:
             kind = docs.schema["doc_id"].dataType.simpleString()
             first = materialize(rows.mapInArrow(run, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_common long, common_logs double, rare array<long>, score double"), "ppm-scored")
         else:
-            more = rows.select("row", "text").mapInArrow(run, "row long, score double")
-            others = materialize(more if others is None else others.union(more), "ppm-more")
+            others.append(materialize(rows.select("row", "text").mapInArrow(run, "row long, score double"), "ppm-more"))
+        held.unpersist()
+        del t, k, n
     release(spark)
     rare = first.select("row", F.explode("rare").alias("w"))
     hits = rare.join(words.select("key", "n"), F.col("w") == F.col("key"))
     hits = hits.groupBy(F.col("row").alias("hrow")).agg(F.count("*").alias("rare_known"), F.sum(F.log10(F.col("n") + 1.0)).alias("rare_logs"))
     out = first.drop("rare").join(hits, F.col("row") == F.col("hrow"), "left")
     score = F.col("score")
-    if others is not None:
-        sums = others.groupBy(F.col("row").alias("orow")).agg(F.sum("score").alias("more"))
+    if others:
+        sums = reduce(DataFrame.union, others).groupBy(F.col("row").alias("orow")).agg(F.sum("score").alias("more"))
         out = out.join(sums, F.col("row") == F.col("orow"))
         score = score + F.col("more")
     base = F.col("common_logs") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(total["n"] + total["v"] + 1)))
