@@ -4,8 +4,11 @@ Base entities are found by patterns and checks. The corpus then tells how strong
 documents, n(t) that hold the term, n(e) that hold the entity and n(t,e) that hold the term near the entity, the
 entity's share is p = n(e) / N and the term's certainty (n(t,e) - p n(t)) / ((n(t) + PRIOR) (1 - p)): how far the term raises the odds of the
 entity from its share towards one, were the term also in PRIOR documents that hold the entity by that share. It depends on shares, not
-on N. A term above the threshold is generalised wherever it occurs, or removed where its certainty is high; its bits,
-log2(N n(t,e) / (n(t) n(e))), are told only.
+on N. A term above the threshold is generalised to its class (name, number, code or word) wherever it occurs, or removed where its certainty is
+high; its bits, log2(N n(t,e) / (n(t) n(e))), are told only.
+
+Secrets are protected like the base entities, and terms that give them away are looked for alike: strings of at least 20 letters, digits,
+hyphens and underscores, with four letters and four digits, whose characters carry three bits each or more by their own frequencies.
 
 Patterns are written so that the regular expression engine neither restarts inside a run of characters nor nests groups
 without bound: separators inside a number or a domain become one private character first, which keeps all places."""
@@ -18,6 +21,8 @@ from pyspark.sql import functions as F
 from lakequery.llm.common import materialize
 
 KINDS = ("email", "ip", "card", "phone")
+#: A secret's length, digits and letters, and bits a character, at least.
+SECRET_CHARS, SECRET_EACH, SECRET_BITS = 20, 4, 3.0
 #: Code points of context on either side of an entity.
 CONTEXT = 64
 #: Documents added to a term's own, so that a few sightings count for less than many.
@@ -45,6 +50,7 @@ def _sources(text: Column) -> dict[str, tuple[Column, Column, str]]:
         "ip": (F.rlike(text, F.lit(r"[0-9]\.[0-9]+\.[0-9]")), text, r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}"),
         "card": (F.rlike(text, F.lit(r"[0-9](?:[ -]?[0-9]){13}")), _joined(text, r"(?<=[0-9])[ -](?=[0-9])"), rf"[0-9][0-9{JOINED}]+"),
         "phone": (F.contains(text, F.lit("+")), text, r"\+[0-9][ ().0-9-]+[0-9]"),
+        "secret": (F.rlike(text, F.lit(f"[A-Za-z0-9_-]{{{SECRET_CHARS}}}")), text, rf"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{{{SECRET_CHARS},}}+"),
     }
 
 
@@ -58,6 +64,13 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda a, i: a + value(i)) % 10 == 0
 
 
+def char_bits(v: Column) -> Column:
+    """Bits a character of a text carries by the frequencies of its own characters."""
+    n = F.length(v).cast("double")
+    counts = F.transform(F.array_distinct(F.split(v, "")), lambda c: n - F.length(F.replace(v, c, F.lit(""))))
+    return F.aggregate(F.filter(counts, lambda k: k > 0), F.lit(0.0), lambda a, k: a - k / n * F.log2(k / n))
+
+
 def _valid(kind: str, v: Column) -> Column:
     digits = F.regexp_replace(v, "[^0-9]", "")
     n = F.length(digits)
@@ -66,6 +79,7 @@ def _valid(kind: str, v: Column) -> Column:
         "ip": F.forall(F.split(v, r"\.", -1), lambda p: F.coalesce(p.try_cast("int") <= 255, F.lit(False))),
         "card": F.when((n >= 14) & (n <= 19), _luhn(digits)).otherwise(F.lit(False)),
         "phone": (n >= 10) & (n <= 15),
+        "secret": (n >= SECRET_EACH) & (F.length(F.regexp_replace(v, "[^A-Za-z]", "")) >= SECRET_EACH) & (char_bits(v) >= SECRET_BITS),
     }[kind]
 
 
@@ -89,7 +103,8 @@ def _spans(kind: str, rank: int) -> Column:
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
-    """docs with `_e_spans` added: base entities by start, then kind as listed; a null text has none."""
+    """docs with `_e_spans`, base entities by start, then kind as listed, and `_x_spans`, those and the secrets that overlap none. A null text has
+    none; repeated rows have the same."""
     text = F.col("text")
     df = docs
     for kind, (can, source, pattern) in _sources(text).items():
@@ -97,7 +112,12 @@ def find_entities(docs: DataFrame) -> DataFrame:
         none = F.array().cast("array<string>")
         df = df.withColumns({f"_e_{kind}": F.when(can, found).otherwise(none), f"_g_{kind}": F.when(can, gaps).otherwise(none)})
     all_spans = [_spans(kind, rank) for rank, kind in enumerate(KINDS)]
-    return df.select(*(F.col(f"`{c}`") for c in docs.columns), F.array_sort(F.concat(*all_spans)).alias("_e_spans"))
+    df = df.select(*(F.col(f"`{c}`") for c in docs.columns), F.array_sort(F.concat(*all_spans)).alias("_e_spans"), _spans("secret", len(KINDS)).alias("_s_spans"))
+    return df.withColumn("_x_spans", F.array_sort(F.concat("_e_spans", _apart("_s_spans", "_e_spans")))).drop("_s_spans")
+
+
+def _apart(spans: str | Column, others: str) -> Column:
+    return F.filter(spans, lambda s: ~F.exists(others, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
 
 
 def _terms(text: Column) -> Column:
@@ -113,18 +133,24 @@ def _near(text: Column, s: Column) -> Column:
     return _terms(F.concat_ws(" ", left, right))
 
 
+def _class(v: Column) -> Column:
+    """What a term is generalised to."""
+    return F.when(F.rlike(v, F.lit(r"^\p{N}+$")), "NUMBER").when(F.rlike(v, F.lit(r"\p{N}")), "CODE").when(F.rlike(v, F.lit(r"^\p{Lu}")), "NAME").otherwise("WORD")
+
+
 def _small(df: DataFrame) -> DataFrame:
     """Broadcast a table of terms only once its size is known to be bounded."""
     return F.broadcast(df) if df.count() <= BROADCAST_TERMS else df
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(term, bits, certainty, remove) of the terms above the threshold. found: docs with entities alone."""
+    """(term, bits, certainty, remove) of the terms above the threshold. found: docs with entities alone. Rows that share a doc_id, or are
+    repeated, count each; a null text has no terms."""
     pairs = found.select(
         F.array_distinct(
-            F.flatten(F.transform("_e_spans", lambda s: F.transform(_near(F.col("text"), s), lambda t: F.struct(F.xxhash64(s["kind"], s["value"]).alias("e"), t.alias("term")))))
+            F.flatten(F.transform("_x_spans", lambda s: F.transform(_near(F.col("text"), s), lambda t: F.struct(F.xxhash64(s["kind"], s["value"]).alias("e"), t.alias("term")))))
         ).alias("p"),
-        F.array_distinct(F.transform("_e_spans", lambda s: F.xxhash64(s["kind"], s["value"]))).alias("es"),
+        F.array_distinct(F.transform("_x_spans", lambda s: F.xxhash64(s["kind"], s["value"]))).alias("es"),
     )
     least = LEAST_CERTAINTY * PRIOR / (1 - LEAST_CERTAINTY)  # as certainty <= n_te / (n_te + PRIOR), fewer documents cannot reach it
     near = materialize(pairs.select(F.explode("p").alias("p")).groupBy("p.e", "p.term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= least), "disclosure-pairs")
@@ -142,14 +168,14 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term, sanitised of every document.
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret, n_term, n_private (all spans), sanitised of every document.
 
-    Places are code points, ends exclusive. `sanitised` is the text with entities and generalised terms replaced by their kind in
-    brackets and removed terms left out; of overlapping spans the first counts. A null text is empty and stays null there.
+    Places are code points, ends exclusive. `sanitised` is the text with entities replaced by their kind in brackets, generalised terms by their
+    class, and removed terms left out; of overlapping spans the first counts. A null text is empty and stays null there.
     Terms inside an entity stay with it. Rows that share a doc_id are judged each; other columns are ignored."""
     source = docs.select("doc_id", "text")
     based = find_entities(source)
-    found = materialize(based.where(F.size("_e_spans") > 0), "disclosure-entities")
+    found = materialize(based.where(F.size("_x_spans") > 0), "disclosure-entities")
     terms = disclosing_terms(source, found)
     keyed = source.select(F.xxhash64("doc_id", "text").alias("rid"), F.explode(_terms(F.col("text"))).alias("t"))
     hits = keyed.join(_small(terms.select(F.col("term").alias("ft"), "remove")), F.col("t") == F.col("ft"))
@@ -159,12 +185,12 @@ def sanitise(docs: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     full = full.withColumns({"_e_term": F.when(F.col("rid").isNotNull(), F.regexp_extract_all("text", pattern, F.lit(0))).otherwise(none), "_g_term": F.when(F.col("rid").isNotNull(), F.split("text", pattern, -1)).otherwise(none)})
     placed = F.when(F.size("_e_term") > 0, _placed(F.col("_e_term"), F.col("_g_term"))).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
-    free = F.filter(placed, lambda s: ~F.exists("_e_spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    extra = F.transform(free, lambda s: F.struct(s["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), s["end"].alias("end"), F.lit("term").alias("kind"), s["value"].alias("value"))).cast(SPAN)
-    full = full.withColumn("_all", F.array_sort(F.concat("_e_spans", extra)))
+    free = _apart(placed, "_x_spans")
+    extra = F.transform(free, lambda s: F.struct(s["start"].alias("start"), F.lit(len(KINDS) + 1).alias("rank"), s["end"].alias("end"), F.lit("term").alias("kind"), s["value"].alias("value"))).cast(SPAN)
+    full = full.withColumn("_all", F.array_sort(F.concat("_x_spans", extra)))
     listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     count = lambda kind: F.size(F.filter("_all", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    shown = lambda s: F.when(F.coalesce(F.array_contains("gone", F.lower(s["value"])), F.lit(False)) & (s["kind"] == "term"), F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+    shown = lambda s: F.when(F.coalesce(F.array_contains("gone", F.lower(s["value"])), F.lit(False)) & (s["kind"] == "term"), F.lit("")).otherwise(F.concat(F.lit("["), F.when(s["kind"] == "term", _class(s["value"])).otherwise(F.upper(s["kind"])), F.lit("]")))
     step = lambda a, s: F.when(s["start"] < a["at"], a).otherwise(F.struct(s["end"].alias("at"), F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, s["start"] - a["at"]), shown(s)).alias("out")))
     clean = F.aggregate("_all", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    return full.select("doc_id", *(count(k) for k in KINDS), F.sha2(listed("_e_spans"), 256).alias("base_sha256"), listed("_all").alias("spans"), count("term"), F.when(F.size("_all") > 0, clean).otherwise(F.col("text")).alias("sanitised"))
+    return full.select("doc_id", *(count(k) for k in KINDS), F.sha2(listed("_e_spans"), 256).alias("base_sha256"), listed("_all").alias("spans"), count("secret"), count("term"), F.size("_all").cast("long").alias("n_private"), F.when(F.size("_all") > 0, clean).otherwise(F.col("text")).alias("sanitised"))

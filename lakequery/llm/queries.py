@@ -62,7 +62,7 @@ def op8_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakequery.llm.disclosure import sanitise
 
-    return sanitise(_docs(spark, sf_dir)).drop("sanitised")
+    return sanitise(_docs(spark, sf_dir))
 
 
 def op10_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
