@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakequery.llm.common import NO_ID, U64, Rolling, coded, ids_of, materialize, mix, release, signed, slices, split_words, texts_of, word_hashes
+from lakequery.llm.common import NO_ID, U64, Rolling, bounded, coded, discard, ids_of, materialize, mix, release, signed, slices, split_words, texts_of, word_hashes
 
 WINDOW = 50
 GRAM = 8
@@ -156,6 +156,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("k"), F.xxhash64("doc_id", "text").alias("rid"))
 
 
+@bounded
 def _cut(batches):
     for b in slices(batches):
         words, starts = split_words(texts_of(b))
@@ -164,9 +165,10 @@ def _cut(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, h, k[t], rid[t], first.astype(np.int32), count.astype(np.int32))], names=["anchor", "h", "k", "rid", "first", "n"])
 
 
+@bounded
 def _fetch(batches):
     """Texts of the passages asked for; those of hot fingerprints window by window."""
-    for b in slices(batches):
+    for b in slices(batches, limit=2_000_000):
         words, starts = split_words(texts_of(b))
         roll = Rolling(word_hashes(words))
         out: list[tuple] = []
@@ -174,13 +176,13 @@ def _fetch(batches):
             for w in wanted:
                 s = int(starts[i]) + w["first"]
                 if not w["hot"]:
-                    out.append((w["h"], 0, w["h"], w["anchor"], w["k"], w["n"], b" ".join(words[s : s + w["n"] + WINDOW - 1])))
+                    out.append((w["anchor"], w["h"], 0, w["h"], w["anchor"], w["k"], w["n"], b" ".join(words[s : s + w["n"] + WINDOW - 1])))
                     continue
                 at = np.arange(s, s + w["n"])
                 for j, u in enumerate(signed(roll.of(at, at + WINDOW)).tolist()):
-                    out.append((w["h"], j, u, u, w["k"], 1, b" ".join(words[s + j : s + j + WINDOW])))
-        cols = list(zip(*out, strict=True)) or [[]] * 7
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["h", "off", "unit", "key", "k", "n", "words"])
+                    out.append((w["anchor"], w["h"], j, u, u, w["k"], 1, b" ".join(words[s + j : s + j + WINDOW])))
+        cols = list(zip(*out, strict=True)) or [[]] * 8
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["anchor", "h", "off", "unit", "key", "k", "n", "words"])
 
 
 def search_shard(passages: pd.DataFrame) -> pd.DataFrame:
@@ -193,16 +195,18 @@ def search_shard(passages: pd.DataFrame) -> pd.DataFrame:
     text[place] = codes + 1
     owner = np.repeat(passages["k"].to_numpy(), np.diff(starts) + 1)
     index = FMIndex(text, owner, len(distinct) + 1)
-    unit, off, count, least = [], [], [], []
-    for u, mins in zip(passages["unit"], index.owners(text, starts[:-1] + gaps[:-1], starts[1:] + gaps[:-1]), strict=True):
+    anchor, unit, off, count, least = [], [], [], [], []
+    for a, u, mins in zip(passages["anchor"], passages["unit"], index.owners(text, starts[:-1] + gaps[:-1], starts[1:] + gaps[:-1]), strict=True):
         cut = np.flatnonzero(np.concatenate([[True], mins[1:] != mins[:-1]]))
+        anchor += [a] * len(cut)
         unit += [u] * len(cut)
         off += cut.tolist()
         count += np.diff(np.append(cut, len(mins))).tolist()
         least += mins[cut].tolist()
-    return pd.DataFrame({"unit": np.array(unit, dtype=np.int64), "at": np.array(off, dtype=np.int32), "many": np.array(count, dtype=np.int32), "least": np.array(least, dtype=np.int64)})
+    return pd.DataFrame({"anchor": np.array(anchor, dtype=np.int64), "unit": np.array(unit, dtype=np.int64), "at": np.array(off, dtype=np.int32), "many": np.array(count, dtype=np.int32), "least": np.array(least, dtype=np.int64)})
 
 
+@bounded
 def _strip(batches):
     for b in slices(batches):
         doc, n_words, n_removed, digest, spans = ids_of(b, "doc_id"), [], [], [], []
@@ -242,23 +246,26 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     best = materialize(runs.groupBy("anchor", "h").agg(F.min(F.struct("k", "rid", "first", "n")).alias("r"), F.max("k").alias("top")), "repeats-distinct")
     release(spark)
     anchors = best.groupBy(F.col("anchor").alias("a")).agg(F.count("*").alias("many"), F.min("r.k").alias("lo"), F.max("top").alias("hi")).where("lo < hi").select("a", (F.col("many") > HOT).alias("hot"))
-    wanted = best.join(anchors, best["anchor"] == anchors["a"]).select("r.rid", F.struct("anchor", "h", "r.k", "r.first", "r.n", "hot").alias("w"))
-    wanted = wanted.groupBy(F.col("rid").alias("wrid")).agg(F.collect_list("w").alias("wanted"))
-    texts = source.select("rid", "text")
-    asked = texts.join(wanted, texts["rid"] == wanted["wrid"]).select("text", "wanted")
-    pieces = materialize(asked.mapInArrow(_fetch, "h long, off int, unit long, key long, k long, n int, words binary"), "repeats-pieces")
+    wanted = best.join(anchors, best["anchor"] == anchors["a"]).select("r.k", "r.rid", F.struct("anchor", "h", "r.k", "r.first", "r.n", "hot").alias("w"))
+    wanted = wanted.groupBy(F.col("k").alias("wk"), F.col("rid").alias("wrid")).agg(F.collect_list("w").alias("wanted"))
+    texts = source.select("k", "rid", "text")
+    asked = texts.join(wanted, (texts["k"] == wanted["wk"]) & (texts["rid"] == wanted["wrid"])).select("text", "wanted")
+    pieces = materialize(asked.mapInArrow(_fetch, "anchor long, h long, off int, unit long, key long, k long, n int, words binary"), "repeats-pieces")
+    discard(best)
     release(spark)
-    units = pieces.groupBy("unit").agg(F.min("k").alias("k"), F.first("key").alias("key"), F.first("n").alias("n"), F.first("words").alias("words"))
+    # a passage is known by its fingerprint and its hash, 128 bits together
+    units = pieces.groupBy("anchor", "unit").agg(F.min("k").alias("k"), F.first("key").alias("key"), F.first("n").alias("n"), F.first("words").alias("words"))
     shards = max(1, -(-pieces.count() // SHARD_PASSAGES))
-    found = units.groupBy(F.pmod("key", F.lit(shards)).alias("shard")).applyInPandas(lambda pdf: search_shard(pdf), "unit long, at int, many int, least long")
+    found = units.groupBy(F.pmod("key", F.lit(shards)).alias("shard")).applyInPandas(lambda pdf: search_shard(pdf), "anchor long, unit long, at int, many int, least long")
     found = materialize(found, "repeats-found")
-    where = pieces.select(F.col("h").alias("ph"), "off", F.col("unit").alias("pu")).distinct()
-    stretches = where.join(found, where["pu"] == found["unit"]).select("ph", (F.col("off") + F.col("at")).alias("at"), "many", "least")
-    hits = runs.join(stretches, runs["h"] == stretches["ph"]).where("least < k").select(F.col("rid").alias("hrid"), F.struct((F.col("first") + F.col("at")).alias("a"), (F.col("first") + F.col("at") + F.col("many") + WINDOW - 1).alias("b")).alias("c"))
-    covered = materialize(hits.groupBy("hrid").agg(F.collect_set("c").alias("covered")), "repeats-covered")
+    where = pieces.select(F.col("anchor").alias("pa"), F.col("h").alias("ph"), "off", F.col("unit").alias("pu")).distinct()
+    stretches = where.join(found, (where["pa"] == found["anchor"]) & (where["pu"] == found["unit"])).select("pa", "ph", (F.col("off") + F.col("at")).alias("at"), "many", "least")
+    hits = runs.join(stretches, (runs["anchor"] == stretches["pa"]) & (runs["h"] == stretches["ph"])).where("least < k").select(F.col("k").alias("hk"), F.col("rid").alias("hrid"), F.struct((F.col("first") + F.col("at")).alias("a"), (F.col("first") + F.col("at") + F.col("many") + WINDOW - 1).alias("b")).alias("c"))
+    covered = materialize(hits.groupBy("hk", "hrid").agg(F.collect_set("c").alias("covered")), "repeats-covered")
     release(spark)
-    full = source.select("doc_id", "rid", "text")
-    return full.join(covered, full["rid"] == covered["hrid"], "left").select("doc_id", "text", "covered").mapInArrow(_strip, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, spans array<struct<first:int,end:int>>")
+    discard(runs, pieces, found)
+    full = source.select("doc_id", "k", "rid", "text")
+    return full.join(covered, (full["k"] == covered["hk"]) & (full["rid"] == covered["hrid"]), "left").select("doc_id", "text", "covered").mapInArrow(_strip, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, spans array<struct<first:int,end:int>>")
 
 
 #: The same result in the oracle's SQL.
