@@ -95,3 +95,25 @@ def freeze_release(inventory: DataFrame, verified: bool, errors: list[str]) -> D
         raise ValueError("the release is not verified: " + "; ".join(errors))
     files = inventory.where(~F.col("IsDir"))
     return files.groupBy(F.substring_index("Path", "/", 1).alias("folder")).agg(F.count("*").alias("objects"), F.sum("Size").cast("long").alias("bytes"))
+
+
+def data_dictionary(datasets: dict[str, DataFrame]) -> list[tuple[str, str, str]]:
+    """(dataset, column, type) of every column."""
+    return [(name, f.name, f.dataType.simpleString()) for name, df in datasets.items() for f in df.schema]
+
+
+def release_report(name: str, datasets: dict[str, DataFrame], inventory: DataFrame, verified: bool, errors: list[str]) -> dict[str, str]:
+    """Markdown of a verified release: the dictionary of its datasets, and a report of their rows and of the inventory by folder. The counts are one plan."""
+    from functools import reduce
+
+    folders = freeze_release(inventory, verified, errors).orderBy("folder").collect()
+    counts = {r["n"]: r["c"] for r in reduce(DataFrame.union, (df.agg(F.count("*").alias("c")).select(F.lit(n).alias("n"), "c") for n, df in datasets.items())).collect()}
+    listed = data_dictionary(datasets)
+    book = [f"# Data dictionary: {name}", ""]
+    for n in datasets:
+        book += [f"## {n}", "", f"Rows: {counts[n]:,}", "", "| Column | Type |", "|---|---|", *(f"| `{c}` | `{t}` |" for d, c, t in listed if d == n), ""]
+    total = (sum(r["objects"] for r in folders), sum(r["bytes"] for r in folders))
+    report = [f"# Release: {name}", "", f"- objects: {total[0]:,}", f"- bytes: {total[1]:,}", f"- verified: {verified}", f"- errors: {len(errors)}", "", "| Dataset | Rows | Columns |", "|---|---:|---:|"]
+    report += [f"| `{n}` | {counts[n]:,} | {len(df.columns)} |" for n, df in datasets.items()]
+    report += ["", "| Folder | Objects | Bytes |", "|---|---:|---:|", *(f"| `{r['folder']}` | {r['objects']:,} | {r['bytes']:,} |" for r in folders)]
+    return {"dictionary": "\n".join(book) + "\n", "report": "\n".join(report) + "\n"}

@@ -337,6 +337,32 @@ def test_corpus(spark):
     assert [(r.topic, r.doc_id, r.terms) for r in corpus.topic_index(docs, {"T": ["water", "law"]}).collect()] == [("T", 1, ["law", "water"])]
 
 
+def test_corpus_tables(spark):
+    pages = spark.createDataFrame(
+        [("b", 1, "Front matter", None), ("b", 2, "x Vol 1, No 2: first  words Vol 1, No 3:second", None), ("b", 3, "goes on", None), ("b", 4, "end of it Vol 2, No 1: Ｗater\n law", "short"), ("b", 5, "", "o" * 30), ("c", 1, None, None)],
+        "book_key string, page int, text string, ocr_text string",
+    )
+    t = corpus.corpus_tables(pages, [(1, "Law", ["law", "LAWS", "water"]), (2, "None", ["absent"])], r"Vol (\d+), No (\d+):", 2)
+    assert sorted((r.record, r.refs, r.start_page, r.text) for r in t["records"].collect()) == [(1, ["1", "2"], 2, "first  words"), (2, ["1", "3"], 2, "second\ngoes on\nend of it "), (3, ["2", "1"], 4, "Ｗater\n law\n" + "o" * 30)]
+    assert [(r.topic_id, r.record, r.matched_terms, r.text_excerpt) for r in t["candidates"].collect()] == [(1, 3, ["law", "water"], "Ｗater law " + "o" * 30)]
+    assert [(r.book_key, r.page, r.matched_terms) for r in t["page_hits"].collect()] == [("b", 4, ["law", "water"])]
+    audit = {r.book_key: r for r in t["audit"].collect()}
+    assert (audit["b"].pages, audit["b"].ocr_fallback_page_count, audit["b"].blank_page_count, audit["b"].low_text_page_count) == (5, 1, 0, 5) and (audit["c"].blank_page_count, audit["c"].total_chars) == (1, 0)
+    conf = spark.createDataFrame([("b", 1, 90.0, 100, 50), ("b", 2, 40.0, 100, 0), ("b", 3, None, 5, None)], "book_key string, page int, mean_conf double, ocr_chars long, embedded_chars long")
+    assert tuple(corpus.ocr_audit(conf, "book_key").first()) == ("b", 3, 1, 3, 65.0, 65.0, 2, 205, 50)
+    assert corpus.page_ranges(0, 99, 10, 3) == [(1, 4), (5, 8), (9, 10)]
+    with pytest.raises(ValueError):
+        corpus.page_ranges(11, 20, 10, 2)
+
+
+def test_release_report(spark):
+    inventory = spark.createDataFrame([("a/x", 5, False), ("b", 1, False)], "Path string, Size long, IsDir boolean")
+    out = research.release_report("v1", {"T": spark.range(3), "U": spark.range(1).withColumn("s", F.lit("x"))}, inventory, True, [])
+    assert "| `U` | 1 | 2 |" in out["report"] and "- bytes: 6" in out["report"] and "| `a` | 1 | 5 |" in out["report"] and "| `s` | `string` |" in out["dictionary"]
+    with pytest.raises(ValueError):
+        research.release_report("v1", {"T": spark.range(3)}, inventory, True, ["bad"])
+
+
 def test_ingest(spark, tmp_path):
     doc = {"domain": "finance", "sources": [{"id": "a", "datasets": [{"id": "d", "url": "u"}]}, {"id": "b", "tier": "bulk", "adapter": "static_expand"}, {"id": "c", "enabled": False, "datasets": [{"id": "d", "url": "u"}]}]}
     s = ingest.parse_registry(doc)
