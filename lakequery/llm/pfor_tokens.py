@@ -5,30 +5,37 @@ percentile; wider ones go to the block's exception list whole. The image starts
 the byte at which each block starts, so any id can be read alone.
 
 The tokenizer cuts a text before each single space between two non-space characters whatever else it does, so texts are cut there
-first, each distinct piece is encoded once in a worker, and the ids are put together by their places."""
+first, each distinct piece is encoded once in a worker, and the ids are put together by their places. A text that holds a special token
+is encoded whole, as the token is one id wherever it stands."""
 
 from __future__ import annotations
 
 import re
 import zlib
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lakequery.llm.common import ids_of, materialize, slices, texts_of
+from lakequery.llm.common import bounded, ids_of, materialize, slices, small_batches
 
 BLOCK = 128
 PERCENTILE = 0.9
 MAGIC = 0x31524650
 HEAD = 7
 #: Distinct pieces a worker remembers; with more it starts anew before the next texts.
-REMEMBERED = 1_600_000
+REMEMBERED = 1_000_000
 END_ID = 0
+#: Images whose places are broadcast at most, at 16 bytes each; those of more are joined by shuffle.
+BROADCAST_IMAGES = 500_000
+#: Mark the first piece of a text, its end, and other pieces with no space before them; texts that hold one are encoded whole.
+FIRST, LAST, BARE = "\ue000", "\ue001", "\ue002"
+MARKS = {FIRST, BARE}
 
 
 def encode_blocks(ids: np.ndarray) -> bytes:
@@ -99,66 +106,103 @@ class Pieces:
     """A tokenizer that encodes each distinct piece once."""
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
-    ODD = re.compile(r"\s\s")
+    #: A space beside other white space or at an end; only then is a space no cut.
+    ODD = r"^ | $| [\t-\r\x1c-\x20\x{85}\p{Z}]|[\t-\r\x1c-\x1f\x{85}\p{Z}] "
+    #: Further places where a text is cut whatever else it does: after a lone line end, and before punctuation that follows a letter or a digit.
+    MORE = ((r"([^\t-\r\x1c-\x20\x{85}\p{Z}])\n([^\t-\r\x1c-\x20\x{85}\p{Z}])", f"\\1\n {BARE}\\2"), (r"([\p{L}\p{N}])([.,;:!?])", f"\\1 {BARE}\\2"))
+    END, NONE = 0, 1  # codes of the end id alone and of no id
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.opens = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token.startswith("Ġ")  # how the vocabulary writes a space
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids, self.starts = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+        self.place: dict[str, int] = {FIRST: self.NONE, LAST: self.END}
+        self.ids, self.starts = np.array([END_ID], dtype=np.uint32), np.array([0, 1, 1], dtype=np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id, and how many each has."""
-        pieces: list[str] = []
-        n = np.zeros(len(texts), dtype=np.int64)
-        for i, t in enumerate(texts):
-            if t:
-                parts = self.CUT.split(t) if t[0].isspace() or t[-1].isspace() or self.ODD.search(t) else t.split(" ")
-                parts[0] = " " + parts[0]  # marks the first; no other piece starts with a space
-                n[i] = len(parts)
-                pieces += parts
         if len(self.place) > REMEMBERED:
             self._forget()
+        whole = pc.match_substring_regex(texts, f"[{FIRST}{LAST}{BARE}]")
+        for token in self.special:  # such a token is one id wherever it stands
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        odd = pc.and_not(pc.match_substring_regex(texts, self.ODD), whole)
+        apart = pc.or_(odd, whole)
+        plain = pc.if_else(apart, "", texts)
+        for pattern, cut in self.MORE:
+            plain = pc.replace_substring_regex(plain, pattern, cut)
+        parts = pc.split_pattern(pc.binary_join_element_wise(FIRST, plain, f" {LAST}", ""), " ")
+        pieces = parts.flatten().dictionary_encode()
+        codes = pa.array(self._codes(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())).take(pieces.indices)
+        lists = pa.ListArray.from_arrays(parts.offsets, codes)
+        if pc.any(apart).as_py():  # those were taken as empty; they stand after the others and are fetched from there
+            cut = [self.CUT.split(t) for t in texts.filter(odd).to_pylist()]
+            for c in cut:
+                c[0] = " " + c[0]  # marks the first; no other piece starts with a space
+                c.append(LAST)
+            each = pa.array(chain.from_iterable(cut), pa.string()).dictionary_encode()
+            known = self._codes(each.dictionary.to_pylist())[each.indices.to_numpy()]
+            alone = self._add(*self._whole(texts.filter(whole).to_pylist()))
+            both = np.concatenate([known, np.stack([alone, np.full(len(alone), self.END)], axis=1).ravel()])
+            ends = np.concatenate([[0], np.cumsum([*map(len, cut), *[2] * len(alone)])]).astype(np.int32)
+            place = np.arange(len(texts))
+            is_odd, is_whole = (x.to_numpy(zero_copy_only=False) for x in (odd, whole))
+            place[is_odd] = len(texts) + np.arange(len(cut))
+            place[is_whole] = len(texts) + len(cut) + np.arange(len(alone))
+            lists = pa.concat_arrays([lists, pa.ListArray.from_arrays(pa.array(ends), pa.array(both))]).take(pa.array(place))
+        codes = lists.flatten()
+        size = np.diff(self.starts)[codes.to_numpy()]
+        total = np.concatenate([[0], np.cumsum(size)])
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+        ids = pa.ListArray.from_arrays(pa.array(self.starts.astype(np.int32)), pa.array(self.ids)).take(codes).flatten()
+        return ids.to_numpy(), np.diff(total[ends])
+
+    def _codes(self, pieces: list[str]) -> np.ndarray:
+        """Codes of distinct pieces; new ones are learnt."""
         codes = np.fromiter(map(self.place.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
         new = np.flatnonzero(codes < 0)
         if len(new):
-            self._learn(list(dict.fromkeys(pieces[i] for i in new)))
-            codes[new] = [self.place[pieces[i]] for i in new]
-        size = self.starts[codes + 1] - self.starts[codes]
-        owner = np.repeat(np.arange(len(texts)), n)
-        per_text = np.bincount(owner, weights=size, minlength=len(texts)).astype(np.int64) + 1
-        out = np.full(int(per_text.sum()), END_ID, dtype=np.uint32)
-        to = np.cumsum(size) - size + owner
-        where = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        out[where + np.repeat(to, size)] = self.ids[where + np.repeat(self.starts[codes], size)]
-        return out, per_text
-
-    def _learn(self, new: list[str]) -> None:
-        plain = [p for p in new if " " not in p]
-        other = [p for p in new if " " in p]
-        ids, sizes = [self.ids], []
-        joined = [" " + " ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
-        for at, e in enumerate(self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            learnt = [pieces[i] for i in new.tolist()]
+            alone = np.fromiter((p[:1] in MARKS or " " in p for p in learnt), dtype=bool, count=len(learnt))
+            order = np.concatenate([new[~alone], new[alone]])
+            codes[order] = self._learn([pieces[i] for i in new[~alone].tolist()], [pieces[i] for i in new[alone].tolist()])
+            self.place.update(zip(learnt, codes[new].tolist(), strict=True))
+        return codes
+
+    def _add(self, ids: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+        """Codes of new pieces, whose ids follow each other in ids."""
+        first = len(self.starts) - 1
+        self.ids = np.concatenate([self.ids, *ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes, dtype=np.int64)])
+        return np.arange(first, first + len(sizes))
+
+    def _whole(self, texts: list[str]) -> tuple[list[np.ndarray], list[int]]:
+        ids = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return ids, [len(x) for x in ids]
+
+    def _learn(self, plain: list[str], other: list[str]) -> np.ndarray:
+        """Codes of new pieces: plain ones after a space each, and others by themselves."""
+        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        ids, sizes = [], []
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
             got = np.array(e.ids, dtype=np.uint32)
             first = np.flatnonzero(self.opens[got])
-            assert len(first) == len(plain[256 * at : 256 * at + 256])
-            ids.append(got)
-            sizes.append(np.diff(np.append(first, len(got))))
-        for p, e in zip(other, self.tokenizer.encode_batch_fast([p[1:] if p[0] == " " else " " + p for p in other], add_special_tokens=False), strict=True):
-            ids.append(np.array(e.ids, dtype=np.uint32))
-            sizes.append(np.array([len(e.ids)]))
-        for p in plain + other:
-            self.place[p] = len(self.place)
-        self.ids = np.concatenate(ids)
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))]) if sizes else self.starts
+            if len(first) == len(group) and first[0] == 0:
+                ids.append(got)
+                sizes.append(np.diff(first, append=len(got)))
+            else:  # not every piece opens with a space of its own, so each by itself
+                more = self._whole([" " + p for p in group])
+                ids += more[0]
+                sizes.append(more[1])
+        more = self._whole([p[1:] if p[0] == " " or p[0] in MARKS else " " + p for p in other])
+        return self._add(ids + more[0], np.concatenate([*sizes, np.array(more[1], dtype=np.int64)]))
 
 
 _HELD: dict[str, Pieces] = {}
@@ -173,14 +217,14 @@ def _write(path: str):
             _HELD[path] = Pieces(path)
         part, segment = TaskContext.get().partitionId(), 0
         for b in slices(batches):
-            ids, sizes = _HELD[path].encode([t.decode() for t in texts_of(b)])
+            ids, sizes = _HELD[path].encode(pc.fill_null(b.column(b.schema.get_field_index("text")).cast(pa.string()), ""))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([ids_of(b, "doc_id")], pa.list_(pa.int64())), pa.array([sizes.tolist()], pa.list_(pa.int64())), pa.array([encode_blocks(ids)], pa.binary())],
                 names=["part", "segment", "n_ids", "doc_ids", "sizes", "image"],
             )
             segment += 1
 
-    return run
+    return bounded(run)
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -188,11 +232,13 @@ def write_tokens(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     part and segment (their order), n_ids, doc_ids, sizes (ids of each document with its end), image.
 
     A null or empty text is its end id alone. Rows that share a doc_id are written each. Other columns are ignored."""
+    small_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     ordered = source.repartitionByRange(F.asc_nulls_first("doc_id"), F.asc("h")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "h")
     return materialize(ordered.select("doc_id", "text").mapInArrow(_write(tokenizer_path), "part int, segment int, n_ids long, doc_ids array<long>, sizes array<long>, image binary"), "pfor-files")
 
 
+@bounded
 def _read(batches):
     for b in batches:
         for k in range(b.num_rows):
@@ -200,13 +246,20 @@ def _read(batches):
             ids = decode_blocks(row["image"].as_py())
             sizes = row["sizes"].values.to_numpy()
             ends = np.cumsum(sizes)
-            raw = ids.astype("<u4")
-            crc = [zlib.crc32(raw[e - s : e].tobytes()) for s, e in zip(sizes, ends, strict=True)]
+            raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+            crc = [zlib.crc32(raw[4 * (e - s) : 4 * e]) for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([row["doc_ids"].values, pa.array(ends - sizes + row["before"].as_py()), pa.array(sizes), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_tokens(files: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, from the file images. The running total orders one row for each image."""
-    before = files.select(F.col("part").alias("bp"), F.col("segment").alias("bs"), (F.sum("n_ids").over(W.orderBy("part", "segment").rowsBetween(W.unboundedPreceding, 0)) - F.col("n_ids")).alias("before"))
+    """doc_id, start, n_tokens, ids_crc32 of every document, from the file images. Images are numbered within their part; one row for each part is
+    ordered in one task. No image is shuffled while their places are few enough to broadcast."""
+    places = files.select("part", "segment", "n_ids")
+    inside = F.sum("n_ids").over(W.partitionBy("part").orderBy("segment").rowsBetween(W.unboundedPreceding, 0)) - F.col("n_ids")
+    parts = places.groupBy(F.col("part").alias("pp")).agg(F.sum("n_ids").alias("t"))
+    parts = parts.select("pp", (F.sum("t").over(W.orderBy("pp").rowsBetween(W.unboundedPreceding, 0)) - F.col("t")).alias("ahead"))
+    before = places.select(F.col("part").alias("bp"), F.col("segment").alias("bs"), inside.alias("inside")).join(parts, F.col("bp") == F.col("pp")).select("bp", "bs", (F.col("inside") + F.col("ahead")).alias("before"))
+    if files.select("part").count() <= BROADCAST_IMAGES:
+        before = F.broadcast(before)
     found = files.join(before, (F.col("part") == F.col("bp")) & (F.col("segment") == F.col("bs")))
     return found.select("doc_ids", "sizes", "image", "before").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
