@@ -53,6 +53,15 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as none of the taken ones has in any case, so that working columns clash with no column."""
+    used = {c.lower() for c in taken}
+    mark = "_"
+    while any(mark + n in used for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: lineage ends there, and a lost executor costs nothing."""
     spark = df.sparkSession

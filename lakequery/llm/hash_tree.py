@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from lakequery.llm.common import fresh
+
 #: Values of 13 hexadecimal digits.
 SPAN = float(16**13)
 #: Rows that share a slot counter on average; bounds what one task sorts.
@@ -41,52 +43,61 @@ def _draw(key: Column, name: str, weight: float) -> Column:
     return -F.ln(unit) / F.lit(float(weight))
 
 
-def _winner(key: Column, names: list[str], weights: list[float]) -> Column:
-    """Number of the child with the smallest draw."""
-    if len(names) == 1:
-        return F.lit(0)
-    return F.array_min(F.array(*(F.struct(_draw(key, n, w).alias("d"), F.lit(i).alias("i")) for i, (n, w) in enumerate(zip(names, weights, strict=True)))))["i"]
+def _first(key: Column, children: list[tuple[str, float]]) -> Column:
+    """Smallest draw of the children and the child's number."""
+    draws = [F.struct(_draw(key, name, w).alias("d"), F.lit(i).alias("i")) for i, (name, w) in enumerate(children)]
+    return draws[0] if len(draws) == 1 else F.array_min(F.array(*draws))
+
+
+def _one_of(at: Column, choices: list[Column]) -> Column:
+    """The choice by number; the others are not evaluated."""
+    out = choices[-1]
+    for i in range(len(choices) - 2, -1, -1):
+        out = F.when(at == i, choices[i]).otherwise(out)
+    return out
 
 
-def shard_of(doc_id: Column, tree: Tree) -> Column:
-    """The shard of a document, by doc_id and tree alone; a null doc_id hashes as the text 'null'."""
-    key = F.coalesce(doc_id.cast("string"), F.lit("null"))
+def placed(df: DataFrame, doc_id: str, tree: Tree, shard: str, grown: str) -> DataFrame:
+    """df with two columns added: the shard of a document by doc_id and tree alone, and the one with a further shard in a region of its own. A null
+    doc_id hashes as the text 'null'. Only the children of the chosen region and rack are drawn."""
+    key = F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null"))
+    region, rack = fresh([*df.columns, shard, grown], "region", "rack")
+    weight = lambda of: math.fsum(w for r in of for w in r)
+    df = df.withColumn(region, _first(key, [(str(g), weight(of)) for g, of in enumerate(tree.regions)]))
+    at = F.col(region)["i"]
+    df = df.withColumn(rack, _one_of(at, [_first(key, [(f"{g}.{r}", math.fsum(x)) for r, x in enumerate(of)])["i"] for g, of in enumerate(tree.regions)]))
     number, regions = 0, []
-    for g, region in enumerate(tree.regions):
-        racks = []
-        for r, rack in enumerate(region):
-            leaf = _winner(key, [f"{g}.{r}.{s}" for s in range(len(rack))], list(rack))
-            racks.append(F.lit(number) + leaf)
-            number += len(rack)
-        rack_at = _winner(key, [f"{g}.{r}" for r in range(len(region))], [math.fsum(rack) for rack in region])
-        regions.append(racks[0] if len(racks) == 1 else F.element_at(F.array(*racks), rack_at + 1))
-    at = _winner(key, [str(g) for g in range(len(tree.regions))], [math.fsum(w for rack in region for w in rack) for region in tree.regions])
-    return F.element_at(F.array(*regions), at + 1).cast("int") if len(regions) > 1 else regions[0].cast("int")
+    for g, of in enumerate(tree.regions):
+        shards = []
+        for r, x in enumerate(of):
+            shards.append(F.lit(number) + _first(key, [(f"{g}.{r}.{s}", w) for s, w in enumerate(x)])["i"])
+            number += len(x)
+        regions.append(_one_of(F.col(rack), shards))
+    df = df.withColumn(shard, _one_of(at, regions).cast("int"))
+    further = len(tree.regions)
+    new = _draw(key, str(further), weight(tree.grown().regions[further])) < F.col(region)["d"]
+    return df.withColumn(grown, F.when(new, tree.n_shards).otherwise(F.col(shard)).cast("int")).drop(region, rack)
 
 
 def assign_shards(docs: DataFrame, tree: Tree | None = None) -> DataFrame:
-    """docs with size, text_crc32, law, shard, slot and grown_shard added; clashing names of docs are replaced.
+    """docs with size, text_crc32, law, shard, slot and grown_shard added; columns of docs with these names are replaced, all others stay.
 
     size: UTF-8 bytes of the text (null: none) plus 8; text_crc32 of a null text is 0, as of an empty one. The law is `key`: doc_id
-    and the tree decide, so rows that share a doc_id share a shard. slot numbers the rows of a shard from 0 without a gap,
+    and the tree decide, so rows that share a doc_id share a shard, those without one too. slot numbers the rows of a shard from 0 without a gap,
     by counters of bounded size whose totals are added up first; no task sorts a whole shard. An empty table gives none."""
     tree = tree or Tree()
     names = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
-    rest = docs.select("doc_id", "text", *(F.col(f"`{c}`") for c in docs.columns if c not in {"doc_id", "text", *names} and not c.startswith("_t_")))
-    placed = rest.select(
-        "*",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
-        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
-        F.lit("key").alias("law"),
-        shard_of(F.col("doc_id"), tree).alias("shard"),
-        shard_of(F.col("doc_id"), tree.grown()).alias("grown_shard"),
-    )
-    rows = docs.select("doc_id").count()
-    counters = max(1, math.ceil(rows / tree.n_shards / COUNTER_ROWS), 8)
-    salt = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(counters)).cast("int")
-    totals = docs.select(shard_of(F.col("doc_id"), tree).alias("_t_shard"), F.pmod(F.xxhash64("doc_id", F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long")), F.lit(counters)).cast("int").alias("_t_part")).groupBy("_t_shard", "_t_part").agg(F.count("*").alias("_t_n"))
-    before = totals.select("_t_shard", "_t_part", (F.sum("_t_n").over(W.partitionBy("_t_shard").orderBy("_t_part").rowsBetween(W.unboundedPreceding, 0)) - F.col("_t_n")).alias("_t_before"))
-    numbered = placed.withColumn("_t_salt", salt)
-    numbered = numbered.withColumn("_t_row", F.row_number().over(W.partitionBy("shard", "_t_salt").orderBy(F.asc_nulls_last("doc_id"), "text_crc32")))
-    out = numbered.join(before, (F.col("shard") == F.col("_t_shard")) & (F.col("_t_salt") == F.col("_t_part")))
-    return out.select(*rest.columns, "size", "text_crc32", "law", "shard", (F.col("_t_row") - 1 + F.col("_t_before")).cast("long").alias("slot"), "grown_shard")
+    kept = [c for c in docs.columns if c not in names]
+    crc, size, shard, grown, part, at, in_shard, in_part, n, before = fresh(docs.columns, "crc", "size", "shard", "grown", "part", "at", "in_shard", "in_part", "n", "before")
+    counters = max(8, math.ceil(docs.select("doc_id").count() / tree.n_shards / COUNTER_ROWS))
+    crc_of = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias(crc)
+    part_of = F.pmod(F.xxhash64("doc_id", crc), F.lit(counters)).cast("int").alias(part)
+    size_of = (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias(size)
+    full = placed(docs.select(*(F.col(f"`{c}`") for c in kept), crc_of, size_of), "doc_id", tree, shard, grown).select("*", part_of)
+    slim = placed(docs.select("doc_id", crc_of), "doc_id", tree, shard, grown).select(shard, part_of)
+    totals = slim.groupBy(F.col(shard).alias(in_shard), F.col(part).alias(in_part)).agg(F.count("*").alias(n))
+    ahead = totals.select(in_shard, in_part, (F.sum(n).over(W.partitionBy(in_shard).orderBy(in_part).rowsBetween(W.unboundedPreceding, 0)) - F.col(n)).alias(before))
+    full = full.withColumn(at, F.row_number().over(W.partitionBy(shard, part).orderBy(F.asc_nulls_last("doc_id"), crc)))
+    out = full.join(ahead, (F.col(shard) == F.col(in_shard)) & (F.col(part) == F.col(in_part)))
+    slot = (F.col(at) - 1 + F.col(before)).cast("long")
+    return out.select(*(F.col(f"`{c}`") for c in kept), F.col(size).alias("size"), F.col(crc).alias("text_crc32"), F.lit("key").alias("law"), F.col(shard).alias("shard"), slot.alias("slot"), F.col(grown).alias("grown_shard"))

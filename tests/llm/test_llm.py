@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,6 +187,24 @@ def test_shards(docs, empty):
         assert r.grown_shard in (r.shard, 24) and 0 <= r.shard < 24
     assert all(sorted(s) == list(range(len(s))) for s in by.values())
     heavy = Tree((((3.0,),), ((1.0, 1.0),)))
+
+    def brute(k, tree):
+        """Shard and smallest draw by level, every child drawn."""
+        draw = lambda name, w: -math.log((int(hashlib.md5(f"{'null' if k is None else k}|{name}".encode()).hexdigest()[:13], 16) + 0.5) / 16**13) / w
+        at, level = [], tree.regions
+        total = lambda x: x if isinstance(x, float) else math.fsum(map(total, x))
+        for _ in range(3):
+            at.append(min(range(len(level)), key=lambda i: draw(".".join(map(str, [*at, i])), total(level[i]))))
+            level = level[at[-1]]
+        flat = [(g, r, x) for g, region in enumerate(tree.regions) for r, rack in enumerate(region) for x in range(len(rack))]
+        return flat.index(tuple(at))
+
+    uneven = Tree((((1.0, 2.0), (0.5,)), ((4.0,), (1.0, 1.0, 1.0))))
+    for tree in (Tree(), heavy, uneven):
+        assert all(r.shard == brute(r.doc_id, tree) and r.grown_shard == brute(r.doc_id, tree.grown()) for r in assign_shards(docs, tree).collect())
+    clash = assign_shards(docs.select("*", *(F.lit(7).alias(c) for c in ("row", "id", "_part", "__CRC", "region", "rack", "_t_shard", "slot"))))
+    assert set(clash.columns) == {*docs.columns, "row", "id", "_part", "__CRC", "region", "rack", "_t_shard", "size", "text_crc32", "law", "shard", "slot", "grown_shard"}
+    assert {(r.row, r.id, r["_part"], r["__CRC"], r.region, r.rack, r["_t_shard"]) for r in clash.collect()} == {(7,) * 7} and {(r.doc_id, r.shard) for r in clash.collect()} == {(r.doc_id, r.shard) for r in rows}
     n = Counter(r.shard for r in assign_shards(docs.sparkSession.range(4000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")), heavy).collect())
     assert abs(n[0] / 4000 - 0.6) < 0.04 and set(n) == {0, 1, 2}
     assert assign_shards(empty).count() == 0
@@ -405,6 +424,8 @@ def test_mix(docs, empty):
         assert all(abs(r.target - target[s]) < 1e-6 and r.source_size == sizes[s] for r in mine)
         assert abs(sum(r.taken for r in mine) - target[s]) <= max(r["size"] for r in mine)
     assert sorted((r.doc_id or 0, r.taken) for r in rows) == sorted((r.doc_id or 0, r.taken) for r in mix_sources(docs.repartition(5)).collect())
+    clash = mix_sources(docs.select("*", *(F.lit(7).alias(c) for c in ("row", "_b", "__B", "n", "key", "_m_s", "taken")))).collect()
+    assert {(r.row, r["_b"], r["__B"], r.n, r.key, r["_m_s"]) for r in clash} == {(7,) * 6} and sorted((r.doc_id or 0, r.taken) for r in clash) == sorted((r.doc_id or 0, r.taken) for r in rows)
     assert mix_sources(empty).count() == 0
     nothing = docs.withColumn("text", F.lit(None).cast("string"))
     assert {r.taken for r in mix_sources(nothing).collect()} == {0}
@@ -564,9 +585,67 @@ def test_disclosing_terms(spark):
         made = [*plain, *told, *often, *edges]
         got = [r.sanitised for r in sorted(sanitise(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")).collect(), key=lambda r: r.doc_id)]
         assert got[:n] == plain
-        assert got[n : n + 2] == [f"{i} common words for [TERM] [TERM] at [EMAIL] and all" for i in range(2)]
-        assert {x.replace("[TERM]", "") for x in got[n + 2 : n + 2 + len(often)]} in ({"it is  [PHONE]"}, {"it is   [PHONE]"})
-        assert got[-6:-4] == ["mail [EMAIL] [TERM]"] * 2 and not any("Whole" in x for x in got) and all("Partly" in x for x in got[-2:])
+        assert got[n : n + 2] == [f"{i} common words for [NAME] [CODE] at [EMAIL] and all" for i in range(2)]
+        assert {x.replace("[NAME]", "") for x in got[n + 2 : n + 2 + len(often)]} in ({"it is  [PHONE]"}, {"it is   [PHONE]"})
+        assert got[-6:-4] == ["mail [EMAIL] [NAME]"] * 2 and not any("Whole" in x for x in got) and all("Partly" in x for x in got[-2:])
+
+
+def test_secrets(spark):
+    from lakequery.llm.disclosure import sanitise
+
+    key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    made = [f'text token = "{key}" end', "a_long_name_without_digits_at_all", "x" * 30 + "1234", "1" * 40, f"mail {key[:20]}@host.example", "aaaaaaaaaaaaaaaaaaaa1111", key[:19], None]
+    got = [(r.n_secret, r.n_private, r.sanitised) for r in sorted(sanitise(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")).collect(), key=lambda r: r.doc_id)]
+    assert got == [(1, 1, 'text token = "[SECRET]" end')] + [(0, 0, t) for t in made[1:4]] + [(0, 1, "mail [EMAIL]")] + [(0, 0, t) for t in made[5:]]
+
+
+def test_disclosure_statistic(spark):
+    """Counts, certainties and bits of all terms against plain Python."""
+    import regex
+
+    from lakequery.llm import disclosure as m
+
+    r = random.Random(12)
+    vocabulary = [f"w{i}" if i % 5 == 0 else "".join(r.choice("abcdefg") for _ in range(r.randint(1, 7))) for i in range(60)]
+    people = [(f"Per{c}", f"{c}@x{i}.example") for i, c in enumerate("abcdefgh")]
+    made = []
+    for i in range(300):
+        w = [r.choice(vocabulary) for _ in range(r.randint(1, 40))]
+        if r.random() < 0.3:
+            name, mail = r.choice(people)
+            w[r.randrange(len(w) + 1) : 0] = [name, mail] if r.random() < 0.7 else [mail]
+        made.append((i, " ".join(w) + r.choice(["", "", "\n"])))
+    made += [(made[0][0], made[0][1]), (None, None), (400, "")]
+    term = lambda t: set(regex.findall(r"[\p{L}\p{N}]+", t.lower()))
+    n_t, n_e, n_te, total = Counter(), Counter(), Counter(), len(made)
+    for _, t in made:
+        t = t or ""
+        n_t.update(term(t))
+        pairs, ents = set(), set()
+        for x in re.finditer(PATTERNS["email"], t):
+            left, right = t[max(0, x.start() - 65) : x.start()], t[x.end() : x.end() + 65]
+            if len(left) > 64:
+                left = regex.sub(r"^[\p{L}\p{N}]+", "", left)
+            if len(right) > 64:
+                right = regex.sub(r"[\p{L}\p{N}]+$", "", right)
+            ents.add(x.group())
+            pairs |= {(x.group(), w) for w in term(left) | term(right)}
+        n_e.update(ents)
+        n_te.update(pairs)
+    want = {}
+    for (e, w), k in n_te.items():
+        k = min(k, n_t[w])
+        certainty = (total * k - n_e[e] * n_t[w]) / ((n_t[w] + 2) * (total - n_e[e]))
+        if certainty >= 0.5:
+            bits = math.log2(total * k / (n_t[w] * n_e[e]))
+            old = want.get(w, (-math.inf, -math.inf))
+            want[w] = (max(old[0], bits), max(old[1], certainty))
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    found = m.find_entities(df).where(F.size("_x_spans") > 0)
+    got = {x.term: (x.bits, x.certainty, x.remove) for x in m.disclosing_terms(df, found).collect()}
+    assert set(got) == set(want) and len(want) >= 5
+    for w, (bits, certainty) in want.items():
+        assert math.isclose(got[w][0], bits, rel_tol=1e-9) and math.isclose(got[w][1], certainty, rel_tol=1e-9) and got[w][2] == (certainty >= 0.9)
 
 
 def test_tokens(spark, docs, empty):
@@ -592,11 +671,34 @@ def test_tokens(spark, docs, empty):
         expected.append((k, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
         start += len(ids)
     assert sorted(got) == expected
+    from lakequery.llm.pfor_tokens import Pieces
+
+    pieces, q = Pieces(path), random.Random(1)
+    signs = [" ", "\n", ".", ",", "!", "a", "B", "é", "1", "²", "'", "s", "\t", "\u00a0", "-", "(", "中", "\r", "\x1c", "\u2003", "\u0301", "_", "ª", "'ll", "\ue001", "<|endoftext|>"]
+    strange = ["".join(q.choice(signs) for _ in range(q.randint(0, 30))) for _ in range(4000)]
+    ids, sizes = pieces.encode(pa.array(strange))
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    assert all(ids[at[i] : at[i + 1]].tolist() == t.encode(x, add_special_tokens=False).ids + [0] for i, x in enumerate(strange))
     whole = read_tokens(write_tokens(docs, path)).collect()
     assert len(whole) == docs.count() and sorted((x.start for x in whole)) == sorted(np.cumsum([0] + [x.n_tokens for x in sorted(whole, key=lambda x: x.start)])[:-1].tolist())
     assert read_tokens(write_tokens(empty, path)).count() == 0
 
 
+def test_pipeline_odd(spark, docs, empty):
+    """Nulls, repeated rows, clashing names and an empty table pass every stage; columns of the input keep their values."""
+    import corpus_pipeline
+
+    kept = docs.withColumns({c: F.lit(7) for c in ("row", "taken", "target", "source_size", "_rid", "group", "slot")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, kept, "/root/testdata/sf0.001").persist()
+        assert after.columns == kept.columns, name
+        assert {tuple(r) for r in after.select("row", "taken", "target", "source_size", "_rid", "group", "slot", "k", "rid", "size", "shard").collect()} == {(7, 7, 7, 7, 7, 7, 7, 9, "clash", 3, "x")}, name
+        assert stage(spark, empty, "/root/testdata/sf0.001").count() == 0, name
+        kept = after
+    out = corpus_pipeline.STAGES[-1][1](spark, kept, "")
+    assert out.count() == kept.count() > 20 and corpus_pipeline.STAGES[-1][1](spark, empty, "").count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
