@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from lakequery.llm.common import fresh
+
 SPAN = float(16**13)
 #: Key buckets of a source.
 BUCKETS = 4096
@@ -56,29 +58,28 @@ def source_targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0, weig
 
 
 def mix_sources(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS, seed: int = 11) -> DataFrame:
-    """docs with size, source_size, target and taken added (a clashing column of docs is replaced).
+    """docs with size, source_size, target and taken added (a column of docs with one of these names is replaced, all others stay).
 
     size counts the words `[^\\x20\\x09-\\x0D]+` (null text: 0). A null source is a source of its own, ordered last. taken is size times the complete
     epochs, plus size again where half the document still fits the rest of the target in key order (ties by doc_id, then
     by the text's checksum; of repeated rows any may come first). Empty documents take 0. An empty table gives none."""
     names = ("size", "source_size", "target", "taken")
-    rest = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in names and not c.startswith("_m_")))
-    key = sample_key(F.col("doc_id"), quality(F.col("text")), seed)
-    bucket = F.least(F.lit(BUCKETS - 1), F.floor((F.lit(1.0) - F.exp(-key)) * BUCKETS)).cast("int")
-    slim = docs.select(F.col("source").alias("_m_s"), n_words(F.col("text")).alias("_m_n"), bucket.alias("_m_b"))
-    parts = slim.groupBy("_m_s", "_m_b").agg(F.sum("_m_n").alias("_m_sum"))
-    targets = source_targets(parts.groupBy(F.col("_m_s").alias("source")).agg(F.sum("_m_sum").alias("source_size")), share, most, weights).select(F.col("source").alias("_m_ts"), "source_size", "target")
-    before = parts.select("_m_s", "_m_b", (F.sum("_m_sum").over(W.partitionBy("_m_s").orderBy("_m_b").rowsBetween(W.unboundedPreceding, 0)) - F.col("_m_sum")).alias("_m_before"))
-    plan = before.join(targets, F.col("_m_s").eqNullSafe(F.col("_m_ts")))
-    full = rest.select("*", n_words(F.col("text")).alias("size"), key.alias("_m_key"), bucket.alias("_m_k"), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).alias("_m_crc"))
-    order = W.partitionBy("source", "_m_k").orderBy("_m_key", F.asc_nulls_last("doc_id"), "_m_crc").rowsBetween(W.unboundedPreceding, 0)
-    full = full.withColumn("_m_run", F.sum("size").over(order) - F.col("size"))
-    full = full.join(plan, F.col("source").eqNullSafe(F.col("_m_s")) & (F.col("_m_k") == F.col("_m_b")))
+    kept = [c for c in docs.columns if c not in names]
+    n, key, crc, b, total, ts, ps, pb, ahead, run = fresh([*docs.columns, *names], "n", "key", "crc", "b", "total", "ts", "ps", "pb", "ahead", "run")
+    sized = docs.select(*(F.col(f"`{c}`") for c in kept), n_words(F.col("text")).alias(n), sample_key(F.col("doc_id"), quality(F.col("text")), seed).alias(key), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).alias(crc))
+    full = sized.withColumn(b, F.least(F.lit(BUCKETS - 1), F.floor((F.lit(1.0) - F.exp(-F.col(key))) * BUCKETS)).cast("int"))
+    parts = full.groupBy("source", b).agg(F.sum(n).alias(total))
+    targets = source_targets(parts.groupBy("source").agg(F.sum(total).alias("source_size")), share, most, weights).select(F.col("source").alias(ts), "source_size", "target")
+    before = parts.select(F.col("source").alias(ps), F.col(b).alias(pb), (F.sum(total).over(W.partitionBy("source").orderBy(b).rowsBetween(W.unboundedPreceding, 0)) - F.col(total)).alias(ahead))
+    plan = before.join(targets, F.col(ps).eqNullSafe(F.col(ts)))
+    order = W.partitionBy("source", b).orderBy(key, F.asc_nulls_last("doc_id"), crc).rowsBetween(W.unboundedPreceding, 0)
+    full = full.withColumn(run, F.sum(n).over(order) - F.col(n))
+    full = full.join(plan, F.col("source").eqNullSafe(F.col(ps)) & (F.col(b) == F.col(pb)))
     epochs = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(int(most)))).otherwise(F.lit(0)).cast("long")
     left = F.col("target") - epochs * F.col("source_size")
-    extra = (F.col("_m_before") + F.col("_m_run") + F.col("size") / F.lit(2.0) <= left).cast("long")
-    taken = F.when(F.col("size") > 0, F.col("size") * (epochs + extra)).otherwise(F.lit(0)).cast("long")
-    return full.select(*rest.columns, "size", "source_size", "target", taken.alias("taken"))
+    extra = (F.col(ahead) + F.col(run) + F.col(n) / F.lit(2.0) <= left).cast("long")
+    taken = F.when(F.col(n) > 0, F.col(n) * (epochs + extra)).otherwise(F.lit(0)).cast("long")
+    return full.select(*(F.col(f"`{c}`") for c in kept), F.col(n).alias("size"), "source_size", "target", taken.alias("taken"))
 
 
 #: The same result in the oracle's SQL.
