@@ -16,12 +16,12 @@ from lakequery.llm.minmax_dedup import without_near_duplicates
 from lakequery.llm.simhash_decontam import without_matches
 from lakequery.llm.source_mix import mix_sources
 
-#: No SQL expresses the language and near-dedup stages; tests/llm holds brute-force versions.
+#: No SQL expresses the language mixture; tests/llm holds a brute-force version of every stage's method.
 ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter go."""
+    """Documents whose language can be told: those without a letter go, and those of which the fitted mixture gives no language half."""
     return identified(docs)
 
 
@@ -36,10 +36,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once or twice."""
-    mixed = mix_sources(docs)
-    times = F.when(F.col("size") > 0, F.col("taken") / F.greatest(F.col("size"), F.lit(1))).otherwise(F.lit(0)).cast("int")
-    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
+    """Each document as often as the mix takes it: not at all, once or twice. Documents without a word are not taken."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")  # the mix adds columns, which must not replace those of docs
+    mixed = mix_sources(docs.select("doc_id", "text", "source", row))
+    times = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(F.lit(0)).cast("int")
+    return mixed.select("row", F.explode(F.array_repeat(F.lit(1), times))).select("row.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
