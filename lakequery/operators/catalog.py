@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from lakequery.sources.tables import persist_table, write_json_array
 
+#: A column of a table goes before a parameter of the same name, so this is none that a table has; a qualified name would be taken for a field of a column.
+PARAMETER = "lookup_value_"
 # The names of the catalog's tables.
 MASTERS = ("WORK_MASTER", "AUTHOR_MASTER", "INSTITUTION_MASTER", "SOURCE_MASTER", "TOPIC_MASTER")
 
@@ -51,14 +53,51 @@ def build_catalog(spark: SparkSession, tables: dict[str, DataFrame], required: t
     counts.createOrReplaceTempView("lake_catalog")
     counts.select(F.col("name").alias("table_name"), F.when(F.col("name").endswith("_MASTER"), "master").otherwise("edge").alias("table_kind"), F.col("n_rows").alias("row_count"), F.col("n_columns").alias("column_count")).createOrReplaceTempView("table_counts")
     columns_of(spark, tables).createOrReplaceTempView("lake_columns")
+    made = _functions(spark, tables, "TEMPORARY")
+    return {"tables": sorted(tables), "functions": made}
+
+
+def persist_catalog(spark: SparkSession, paths: dict[str, str], database: str, required: tuple[str, ...] = ()) -> dict:
+    """The catalog as a database that outlives the session: tables over Parquet folders, tables `catalog` and `columns`, the view
+    `table_counts`, and the table functions whose tables and columns are there. Whatever of that name was there is replaced."""
+    if lost := sorted(set(required) - set(paths)):
+        raise ValueError(f"required tables are missing: {', '.join(lost)}")
+    if unknown := sorted(n for n in paths if n not in MASTERS and not n.endswith("_EDGES")):
+        raise ValueError(f"unknown tables: {', '.join(unknown)}")
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        rows, listed = None, []
+        for name, path in sorted(paths.items()):
+            spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+            spark.sql(f"CREATE TABLE `{name}` USING parquet LOCATION '{path}'")
+            df = spark.table(name)
+            listed += [(name, i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema, 1)]
+            kind = "master" if name in MASTERS else "edge"
+            row = df.agg(F.count("*").alias("row_count"), F.countDistinct("_metadata.file_path").alias("source_file_count"))
+            row = row.select(F.lit(name).alias("table_name"), F.lit(kind).alias("table_kind"), F.lit(path).alias("location"), "*", F.lit(len(df.columns)).alias("column_count"), F.current_timestamp().alias("created_at"))
+            rows = row if rows is None else rows.union(row)
+        for name, df in (("catalog", rows), ("columns", spark.createDataFrame(listed, "table_name string, ordinal_position int, column_name string, column_type string, nullable boolean"))):
+            spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+            df.write.mode("overwrite").saveAsTable(name)
+        spark.sql("CREATE OR REPLACE VIEW table_counts AS SELECT table_name, table_kind, row_count, source_file_count, column_count FROM catalog ORDER BY table_kind, table_name")
+        made = _functions(spark, {n: spark.table(n) for n in paths}, "")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    return {"tables": sorted(paths), "functions": made}
+
+
+def _functions(spark: SparkSession, tables: dict[str, DataFrame], kind: str) -> list[str]:
+    """Create the table functions whose tables and columns are there."""
     made = []
     for name, (needs, sql) in FUNCTIONS.items():
         if all(t in tables and cols <= set(tables[t].columns) for t, cols in needs.items()):
             schema = spark.sql(sql.replace("= key", "= ''")).schema
             returns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(key STRING) RETURNS TABLE({returns}) RETURN {sql.replace('= key', f'= {name}.key')}")
+            spark.sql(f"CREATE OR REPLACE {kind} FUNCTION {name}({PARAMETER} STRING) RETURNS TABLE({returns}) RETURN {sql.replace('= key', f'= {PARAMETER}')}")
             made.append(name)
-    return {"tables": sorted(tables), "functions": made}
+    return made
 
 
 def catalog_of(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:

@@ -96,6 +96,26 @@ def test_catalog(spark, tmp_path):
     assert tables.read_text_csv(spark, str(tmp_path / "c")).count() == 2
 
 
+def test_persisted_catalog(spark, tmp_path):
+    frames = {
+        "WORK_MASTER": spark.createDataFrame([("w1", "First"), ("w2", "Second")], "id string, title string").repartition(2), "TOPIC_MASTER": spark.createDataFrame([("t1", "Law")], "id string, topic string").coalesce(1),
+        "WORK_TOPIC_EDGES": spark.createDataFrame([("w1", "t1", 0.5), ("w1", "t2", 0.1)], "work_id string, topic_id string, topic_score double").coalesce(1),
+    }
+    paths = {n: f"file://{tmp_path}/{n}" for n in frames}
+    for n, df in frames.items():
+        df.write.parquet(paths[n])
+    for _ in range(2):  # a second build replaces the first
+        made = catalog.persist_catalog(spark, paths, "lake_test", required=("WORK_MASTER",))
+    assert made["functions"] == ["work", "topic", "work_topics"] and spark.catalog.currentDatabase() == "default"
+    assert {tuple(r) for r in spark.sql("SELECT table_name, table_kind, row_count, source_file_count, column_count FROM lake_test.table_counts").collect()} == {("TOPIC_MASTER", "master", 1, 1, 2), ("WORK_MASTER", "master", 2, 2, 2), ("WORK_TOPIC_EDGES", "edge", 2, 1, 3)}
+    assert spark.sql("SELECT column_name FROM lake_test.columns WHERE table_name = 'WORK_TOPIC_EDGES' ORDER BY ordinal_position").collect()[2][0] == "topic_score"
+    assert {tuple(r) for r in spark.sql("SELECT * FROM lake_test.work_topics('w1')").collect()} == {("w1", "t1", 0.5, "Law"), ("w1", "t2", 0.1, None)}
+    for bad in ({"required": ("AUTHOR_MASTER",)}, {}):
+        with pytest.raises(ValueError):
+            catalog.persist_catalog(spark, paths if bad else {"OTHER": "x"}, "lake_test", **bad)
+    spark.sql("DROP DATABASE lake_test CASCADE")
+
+
 def test_quality(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("", 3), (None, 4)], "k string, v int")
     errors = quality.validate_staged({"t": df}, [quality.Contract("t", ("k",), ("k",)), quality.Contract("u", (), ("k",)), quality.Contract("t", ("z",), ("k",))])
