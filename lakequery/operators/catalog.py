@@ -59,7 +59,8 @@ def build_catalog(spark: SparkSession, tables: dict[str, DataFrame], required: t
 
 def persist_catalog(spark: SparkSession, paths: dict[str, str], database: str, required: tuple[str, ...] = ()) -> dict:
     """The catalog as a database that outlives the session: tables over Parquet folders, tables `catalog` and `columns`, the view
-    `table_counts`, and the table functions whose tables and columns are there. Whatever of that name was there is replaced."""
+    `table_counts`, and the table functions whose tables and columns are there. Whatever of that name was there is replaced. Spark calls table functions by their bare name, so with the
+    database as the current one."""
     if lost := sorted(set(required) - set(paths)):
         raise ValueError(f"required tables are missing: {', '.join(lost)}")
     if unknown := sorted(n for n in paths if n not in MASTERS and not n.endswith("_EDGES")):

@@ -109,7 +109,10 @@ def test_persisted_catalog(spark, tmp_path):
     assert made["functions"] == ["work", "topic", "work_topics"] and spark.catalog.currentDatabase() == "default"
     assert {tuple(r) for r in spark.sql("SELECT table_name, table_kind, row_count, source_file_count, column_count FROM lake_test.table_counts").collect()} == {("TOPIC_MASTER", "master", 1, 1, 2), ("WORK_MASTER", "master", 2, 2, 2), ("WORK_TOPIC_EDGES", "edge", 2, 1, 3)}
     assert spark.sql("SELECT column_name FROM lake_test.columns WHERE table_name = 'WORK_TOPIC_EDGES' ORDER BY ordinal_position").collect()[2][0] == "topic_score"
-    assert {tuple(r) for r in spark.sql("SELECT * FROM lake_test.work_topics('w1')").collect()} == {("w1", "t1", 0.5, "Law"), ("w1", "t2", 0.1, None)}
+    spark.catalog.setCurrentDatabase("lake_test")
+    got = spark.sql("SELECT * FROM work_topics('w1')").collect()
+    spark.catalog.setCurrentDatabase("default")
+    assert {tuple(r) for r in got} == {("w1", "t1", 0.5, "Law"), ("w1", "t2", 0.1, None)}
     for bad in ({"required": ("AUTHOR_MASTER",)}, {}):
         with pytest.raises(ValueError):
             catalog.persist_catalog(spark, paths if bad else {"OTHER": "x"}, "lake_test", **bad)
