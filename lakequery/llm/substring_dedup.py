@@ -28,19 +28,30 @@ HOT = 2000
 SHARD_PASSAGES = 12_000
 
 
+class Bits:
+    """A bit vector with a 32-bit count for every 64 bits."""
+
+    def __init__(self, bit: np.ndarray) -> None:
+        packed = np.packbits(bit, bitorder="little")
+        self.words = np.concatenate([packed, np.zeros(16 - len(packed) % 8, dtype=np.uint8)]).view(U64)
+        self.counts = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)])[:-1].astype(np.int32)
+
+    def rank(self, at: np.ndarray) -> np.ndarray:
+        """Ones before each place."""
+        word = at >> 6
+        return self.counts[word] + np.bitwise_count(self.words[word] & ((U64(1) << (at & 63).astype(U64)) - U64(1))).astype(np.int64)
+
+
 class WaveletMatrix:
-    """Symbols of a sequence, one bit plane for each binary digit, with counts for every 64 bits."""
+    """Symbols of a sequence, one bit plane for each binary digit."""
 
     def __init__(self, values: np.ndarray, n_symbols: int) -> None:
         self.levels = max(1, int(n_symbols - 1).bit_length())
-        self.words, self.counts, self.zeros = [], [], []
+        self.planes, self.zeros = [], []
         v = values
         for level in range(self.levels - 1, -1, -1):
             bit = ((v >> level) & 1).astype(bool)
-            packed = np.packbits(bit, bitorder="little")
-            packed = np.concatenate([packed, np.zeros(16 - len(packed) % 8, dtype=np.uint8)]).view(U64)
-            self.words.append(packed)
-            self.counts.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int64)])[:-1])
+            self.planes.append(Bits(bit))
             self.zeros.append(int(len(bit) - bit.sum()))
             v = np.concatenate([v[~bit], v[bit]])
 
@@ -48,8 +59,7 @@ class WaveletMatrix:
         """How often each symbol stands before each place; adds the symbol's own start in the last plane, which `first` takes off."""
         at = at.copy()
         for k in range(self.levels):
-            word = at >> 6
-            ones = self.counts[k][word] + np.bitwise_count(self.words[k][word] & ((U64(1) << (at & 63).astype(U64)) - U64(1)))
+            ones = self.planes[k].rank(at)
             bit = (symbols >> (self.levels - 1 - k)) & 1
             at = np.where(bit == 1, self.zeros[k] + ones, at - ones)
         return at
@@ -60,16 +70,16 @@ class FMIndex:
 
     def __init__(self, passages: np.ndarray, owners: np.ndarray, n_symbols: int, window: int = WINDOW) -> None:
         t, n, self.window = passages, len(passages), window
-        rank, span, kept = t.astype(np.int64), 1, {}
+        rank, span, kept = t.astype(np.int32), 1, {}
         while True:  # suffixes in order of their first 2^k symbols, until that covers a window
             kept[span] = rank
             if span >= window:
                 break
             second = np.full(n, -1, dtype=np.int64)
             second[: n - span if n > span else 0] = rank[span:]
-            key = rank * (max(n, n_symbols) + 2) + second + 1
+            key = rank.astype(np.int64) * (max(n, n_symbols) + 2) + second + 1
             order = np.argsort(key, kind="stable")
-            new = np.empty(n, dtype=np.int64)
+            new = np.empty(n, dtype=np.int32)
             new[order] = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
             rank, span = new, span * 2
         order = np.argsort(rank, kind="stable")
@@ -77,21 +87,20 @@ class FMIndex:
         self.before = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=n_symbols))])
         self.first = self.bwt.rank(np.arange(n_symbols), np.zeros(n_symbols, dtype=np.int64))
         self.n = n
-        self.short = self._groups(kept, order, window - 1)
-        self.full = self._groups(kept, order, window)
-        starts = np.flatnonzero(np.concatenate([[True], self.full[1:] != self.full[:-1]]))
-        self.lowest = np.minimum.reduceat(owners[order], starts)
-        first = np.flatnonzero(np.concatenate([[True], self.short[1:] != self.short[:-1]]))
-        self.short_lo, self.short_hi = first, np.concatenate([first[1:], [n]])
-
-    def _groups(self, kept: dict[int, np.ndarray], order: np.ndarray, length: int) -> np.ndarray:
-        """A number for each suffix, in their order, that changes where the first `length` symbols do."""
+        # suffixes with the same first window symbols, and with one less, as marks of where such a group begins
+        full, short = self._opens(kept, order, window), self._opens(kept, order, window - 1)
+        self.full, self.short = Bits(full), Bits(short)
+        self.lowest = np.minimum.reduceat(owners[order], np.flatnonzero(full))
+        self.short_lo = np.append(np.flatnonzero(short), n).astype(np.int32)
+
+    def _opens(self, kept: dict[int, np.ndarray], order: np.ndarray, length: int) -> np.ndarray:
+        """For each suffix, in their order, whether its first `length` symbols differ from those of the one before."""
         span = max(k for k in kept if k <= length)
         r, shift = kept[span], length - span
-        there = np.full(self.n, -1, dtype=np.int64)
+        there = np.full(self.n, -1, dtype=np.int32)
         there[: self.n - shift] = r[shift:] if shift else r
         a, b = r[order], there[order]
-        return np.concatenate([[0], np.cumsum((a[1:] != a[:-1]) | (b[1:] != b[:-1]))])
+        return np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
 
     def search(self, symbols: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One step of backward search: the intervals of what they stand for with one more symbol in front."""
@@ -107,14 +116,14 @@ class FMIndex:
             on = np.flatnonzero(length > step)
             at = ends[on] - 1 - step
             full = matched[on] == self.window
-            group = self.short[lo[on]]
+            group = self.short.rank(lo[on] + 1) - 1
             lo[on] = np.where(full, self.short_lo[group], lo[on])
-            hi[on] = np.where(full, self.short_hi[group], hi[on])
+            hi[on] = np.where(full, self.short_lo[group + 1], hi[on])
             a, b = self.search(text[at], lo[on], hi[on])
             lo[on], hi[on] = a, b
             matched[on] = np.minimum(matched[on] + 1, self.window)
             done = np.flatnonzero((matched[on] == self.window) & (b > a))
-            least = self.lowest[self.full[a[done]]]
+            least = self.lowest[self.full.rank(a[done] + 1) - 1]
             for i, p, least_owner in zip(on[done], at[done] - starts[on[done]], least, strict=True):
                 out[i][p] = least_owner
         return out
