@@ -73,11 +73,17 @@ def op10_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(_docs(spark, sf_dir), str(public_tokenizers.path("byte_bpe_50k.json"))))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakequery.llm.source_divergence import source_divergence
+
+    return source_divergence(_docs(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    from lakequery.llm import minmax_dedup, source_mix, substring_dedup
+    from lakequery.llm import minmax_dedup, source_divergence, source_mix, substring_dedup
 
-    return {"op1_substring_dedup": substring_dedup.SQL, "op2_minmax_dedup": minmax_dedup.SQL, "op7_source_mix": source_mix.SQL}
+    return {"op1_substring_dedup": substring_dedup.SQL, "op2_minmax_dedup": minmax_dedup.SQL, "op7_source_mix": source_mix.SQL, "op11_source_divergence": source_divergence.SQL}
