@@ -79,11 +79,23 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(_docs(spark, sf_dir))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakequery.llm.spelling_variants import spelling_groups
+
+    return spelling_groups(_docs(spark, sf_dir))
+
+
+def op13_ball_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakequery.llm.ball_simhash import ball_components
+
+    return ball_components(_docs(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    from lakequery.llm import minmax_dedup, source_divergence, source_mix, substring_dedup
+    from lakequery.llm import minmax_dedup, source_divergence, source_mix, spelling_variants, substring_dedup
 
-    return {"op1_substring_dedup": substring_dedup.SQL, "op2_minmax_dedup": minmax_dedup.SQL, "op7_source_mix": source_mix.SQL, "op11_source_divergence": source_divergence.SQL}
+    return {"op1_substring_dedup": substring_dedup.SQL, "op2_minmax_dedup": minmax_dedup.SQL, "op7_source_mix": source_mix.SQL, "op11_source_divergence": source_divergence.SQL, "op12_spelling_variants": spelling_variants.SQL}
