@@ -2,8 +2,8 @@
 
 The benchmark is a stated query set, gone through in blocks of bounded size, each broadcast. A window is as long as an item, or the whole
 document where that is shorter but has shingles enough to reach the threshold. It is a candidate if so
-many of its 5-word shingles occur in the block that the similarity can reach the threshold (a bound that loses nothing); its SimHash is
-looked up in a multi-index over eight blocks of eight bits, which returns every item fingerprint within the radius; the
+many of its 5-word shingles occur in the block that the similarity can reach the threshold (a bound that loses nothing); its SimHash, over shingles
+and the numbers of their occurrences, is looked up in a multi-index over eight blocks of eight bits, which returns every item fingerprint within the radius; the
 weighted-shingle similarity (multisets of shingles, minimum over maximum of the counts) then decides."""
 
 from __future__ import annotations
@@ -20,10 +20,11 @@ from pyspark.sql import types as T
 from lakequery.llm.common import U64, Rolling, bounded, mix, slices, small_batches, texts_of, word_hashes
 
 SHINGLE = 5
-#: UTF-8 bytes of benchmark text that one broadcast holds at most.
-BLOCK_BYTES = 16_000_000
-#: Of 64 bits; shingle multisets of similarity 0.8 differ in 8 to 9.5 of them on average, with a deviation of 3, for items of 14 to 204 words (those of fewer must
-#: share all shingles). In a simulation with random shingles, of 4,000 pairs at the threshold for each of nine lengths, none was further apart than 23.
+#: Bytes of a block of the benchmark as it is broadcast: its texts, twice that for their shingles, and ITEM_BYTES for each item's entries in the index.
+BLOCK_BYTES = 64_000_000
+ITEM_BYTES = 2_400
+#: Of 64 bits; numbered shingle sets of similarity 0.8 differ in 8 to 9.5 of them on average, with a deviation of 3, for items of 14 words and more (those of fewer must
+#: share all shingles). tests/llm/test_recall.py counts what is missed, with repeated shingles too.
 RADIUS = 23
 #: A-Z become a-z, other ASCII but letters and digits a space; other bytes stay.
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
@@ -39,20 +40,55 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(words), np.array(starts, dtype=np.int64)
 
 
+def _numbered(grams: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Hash of a shingle and of its how-manieth occurrence it is."""
+    return mix(grams + k.astype(U64) * U64(0x9E3779B97F4A7C15))
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int32)
+
+
+def _sliding(grams: np.ndarray, count: int) -> np.ndarray:
+    """SimHash of every window of `count` shingles. A window's set has a shingle's first occurrence, its second and so on, so the next window loses the last
+    occurrence of the shingle that leaves, and gains one more of that which comes."""
+    n = len(grams)
+    _, code = np.unique(grams, return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    places = code[order] * (n + 1) + order  # sorted by shingle and place
+    start = np.searchsorted(code[order], code)
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.arange(n)
+    rank -= start  # occurrences before
+
+    def before(at: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Occurrences before `end` of the shingle at `at`."""
+        return np.searchsorted(places, code[at] * (n + 1) + end) - start[at]
+
+    f = np.arange(n - count)
+    leaves = _numbered(grams[f], before(f, f + count) - rank[f])
+    comes = _numbered(grams[f + count], rank[f + count] + 1 - before(f + count, f + 1))
+    votes = np.empty((n - count + 1, 64), dtype=np.int32)
+    votes[0] = _ones(_numbered(grams[:count], rank[:count] + 1)).sum(axis=0)
+    if len(f):
+        votes[1:] = votes[0] + np.cumsum(_ones(comes) - _ones(leaves), axis=0, dtype=np.int32)
+    return np.packbits(2 * votes > count, axis=1, bitorder="little").view(U64).ravel()
+
+
 def fingerprints(grams: np.ndarray, first: np.ndarray, count: int) -> np.ndarray:
-    """SimHash of each window of `count` shingles that starts at shingle first; every occurrence weighs one."""
+    """SimHash of each window of `count` shingles that starts at an ascending place of `first`. Occurrences of a shingle are numbered, as equal ones would vote as
+    one block; so the weighted similarity of two windows is the plain one of what is hashed. Windows that overlap are gone through together."""
     out = np.zeros(len(first), dtype=U64)
-    for at in range(0, len(first), 4096):
-        part = first[at : at + 4096]
-        lo, hi = int(part.min()), int(part.max()) + count
-        if hi - lo > 16 * 4096:  # windows far apart: each by itself
-            bits = (grams[part[:, None] + np.arange(count)][:, :, None] >> np.arange(64, dtype=U64)) & U64(1)
-            votes = 2 * bits.astype(np.int32).sum(axis=1) - count
-        else:
-            bits = ((grams[lo:hi, None] >> np.arange(64, dtype=U64)) & U64(1)).astype(np.int32)
-            sums = np.vstack([np.zeros((1, 64), dtype=np.int32), np.cumsum(bits, axis=0, dtype=np.int32)])
-            votes = 2 * (sums[part - lo + count] - sums[part - lo]) - count
-        out[at : at + 4096] = np.packbits(votes > 0, axis=1, bitorder="little").view(U64).ravel()
+    if not len(first):
+        return out
+    cuts = np.flatnonzero(np.diff(first) > count) + 1
+    for lo, hi in zip(np.concatenate([[0], cuts]).tolist(), np.concatenate([cuts, [len(first)]]).tolist(), strict=True):
+        at = lo
+        while at < hi:  # at most 8192 places at a time
+            end = max(at + 1, int(np.searchsorted(first[:hi], first[at] + 8192)))
+            run = first[at:end]
+            out[at:end] = _sliding(grams[run[0] : run[-1] + count], count)[run - run[0]]
+            at = end
     return out
 
 
@@ -182,7 +218,7 @@ class Items:
 
 def _blocks(benchmark: DataFrame, block_bytes: int):
     texts = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).where("text is not null")
-    total = texts.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    total = texts.agg(F.sum(3 * F.octet_length("text") + ITEM_BYTES)).first()[0] or 0
     n = max(1, -(-total // block_bytes) * 2) if total > block_bytes else 1  # twice as many, as hashing is uneven
     for k in range(n):
         part = texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else texts
