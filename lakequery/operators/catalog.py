@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.sources.tables import persist_table, write_json_array
+from lakequery.sources.tables import write_json_array
 
 #: A column of a table goes before a parameter of the same name, so this is none that a table has; a qualified name would be taken for a field of a column.
 PARAMETER = "lookup_value_"
@@ -115,30 +115,67 @@ def columns_of(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, ordinal long, column_name string, type string, nullable boolean")
 
 
+def _nodes(plan):
+    """Every node of a parsed plan: children, bodies of common table expressions, and subqueries in expressions."""
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        yield node
+        for more in (node.children(), node.innerChildren(), node.subqueries()):
+            todo += [x for x in (more.apply(i) for i in range(more.size())) if x.getClass().getName().startswith("org.apache.spark.sql.") and hasattr(x, "children")]
+
+
 def read_only(spark: SparkSession, sql: str) -> DataFrame:
-    """The DataFrame of a query; commands and anything but SELECT or WITH are refused by their plan, not by their text."""
+    """The DataFrame of a query that starts with SELECT or WITH. Any command or other statement anywhere in its parsed plan refuses it: an insertion can stand
+    behind common table expressions, or several in one statement."""
     text = sql.strip().rstrip(";").strip()
     if not text:
         raise ValueError("the query is empty")
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
-    kind = plan.getClass().getName()
-    if ".Insert" in kind or "Command" in kind or "logical.Create" in kind or "logical.Drop" in kind or "DeleteFromTable" in kind or "UpdateTable" in kind or "MergeInto" in kind or "logical.Set" in kind or "logical.Alter" in kind or "logical.Show" in kind or "logical.Describe" in kind or not text[:6].lower().startswith(("select", "with", "from", "values", "(")):
-        raise ValueError("only queries are allowed")
+    if text.split(None, 1)[0].lower() not in ("select", "with"):
+        raise ValueError("only SELECT and WITH are allowed")
+    logical = "org.apache.spark.sql.catalyst.plans.logical"
+    kinds = [spark._jvm.java.lang.Class.forName(f"{logical}.{k}") for k in ("Command", "ParsedStatement")]
+    for node in _nodes(spark._jsparkSession.sessionState().sqlParser().parsePlan(text)):
+        if any(k.isInstance(node) for k in kinds):
+            raise ValueError(f"only queries are allowed, not {node.nodeName()}")
     return spark.sql(text)
 
 
+#: Files up to this size are read whole by tasks; larger ones are streamed.
+WHOLE_FILE = 256 * 1024**2
+
+
+def file_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, size, sha256) of the part files of a folder, in the order of their names. Tasks read files of bounded size; larger ones, such as one JSON array,
+    are streamed by the driver's JVM and never held."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    small = files.where(F.col("length") <= WHOLE_FILE).select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    large = []
+    for r in files.where(F.col("length") > WHOLE_FILE).select("path", "length").collect():
+        path = spark._jvm.org.apache.hadoop.fs.Path(r["path"])
+        stream = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).open(path)
+        try:
+            large.append((r["path"], r["length"], spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)))
+        finally:
+            stream.close()
+    return small.union(spark.createDataFrame(large, "path string, size long, sha256 string")).orderBy("path")
+
+
 def execute_query(spark: SparkSession, sql: str, output: str, fmt: str = "parquet") -> dict:
-    """Run once, write, and tell rows, columns and digests: of each file written, in the order of the digests, and of the query. JSON is one file of one array."""
+    """Run once, write, and tell rows, columns and digests: of each file in the order of the names, and of the query. The query's order is kept: files follow each
+    other by name, and rows within each. JSON is one file of one array."""
     if fmt not in ("parquet", "csv", "json"):
         raise ValueError(f"unknown format {fmt}")
-    df = persist_table(read_only(spark, sql))
+    df = read_only(spark, sql)
+    columns = df.columns
+    seen = Observation()
+    df = df.observe(seen, F.count(F.lit(1)).alias("n"))
     if fmt == "parquet":
         df.write.option("compression", "zstd").parquet(output)
     elif fmt == "csv":
         df.write.option("header", "true").csv(output)
     else:
         write_json_array(df, output)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(output).select(F.sha2("content", 256).alias("h"))
-    digests = sorted(r["h"] for r in files.collect())  # one for each file
+    digests = [r["sha256"] for r in file_digests(spark, output).collect()]  # one for each file
     query = sql.strip().rstrip(";").strip()
-    return {"rows": df.count(), "columns": df.columns, "format": fmt, "file_sha256": digests, "output_sha256": hashlib.sha256("".join(digests).encode()).hexdigest(), "query_sha256": hashlib.sha256(query.encode()).hexdigest()}
+    return {"rows": seen.get["n"], "columns": columns, "format": fmt, "file_sha256": digests, "output_sha256": hashlib.sha256("".join(digests).encode()).hexdigest(), "query_sha256": hashlib.sha256(query.encode()).hexdigest()}

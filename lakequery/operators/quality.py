@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakequery.operators.marts import DIMS
+
 
 @dataclass(frozen=True)
 class Contract:
@@ -88,14 +90,7 @@ def failed(checked: DataFrame) -> list[str]:
     return [f"{r['check']}={r['value']}" for r in checked.where("value > 0").orderBy("check").collect()]
 
 
-# Marts with their keys.
-MART_KEYS = {
-    "WORK_YEAR_METRICS": ("publication_year",),
-    "WORK_YEAR_TOPIC": ("publication_year", "topic_id"),
-    "WORK_YEAR_INSTITUTION": ("publication_year", "institution_id"),
-    "WORK_YEAR_COUNTRY": ("publication_year", "country_code"),
-    "COUNTRY_COLLAB_YEAR": ("publication_year", "country_a", "country_b"),
-}
+MART_KEYS = {name: ("publication_year", *dims) for name, dims in DIMS.items()}
 MART_METRICS = ("work_count", "citation_sum", "mean_citations")
 
 

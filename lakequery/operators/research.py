@@ -28,19 +28,21 @@ def company_year(org: DataFrame, production: DataFrame, institution_year: DataFr
     return mart, cited
 
 
-def company_topic_year(production: DataFrame, works: DataFrame, author_institutions: DataFrame, topics: DataFrame) -> DataFrame:
-    """Distinct works, citations and topic scores of companies by topic and year. works: id, publication_year, cites. Both sides are dealt by work; rows of a
-    work are added up where they are, before companies come together."""
-    target = target_works(production, works, author_institutions)
-    t = topics.select(F.col("work_id").alias("tw"), "topic_id", "topic_score").repartition("tw")
+def company_topic_year(production: DataFrame, works: DataFrame, author_institutions: DataFrame, topics: DataFrame, dealt: bool = False) -> DataFrame:
+    """Distinct works, citations and topic scores of companies by topic and year. works: id, publication_year, cites. Both sides are dealt by work, or stored so (dealt);
+    rows of a work are added up where they are, before companies come together."""
+    target = target_works(production, works, author_institutions, dealt)
+    t = topics.select(F.col("work_id").alias("tw"), "topic_id", "topic_score")
+    t = t if dealt else t.repartition("tw")
     keys = [COMPANY, INSTITUTION, "publication_year", "topic_id"]
     each = target.join(t, target["work_id"] == t["tw"]).groupBy("work_id", *keys).agg(F.sum("cites").alias("c"), F.sum("topic_score").alias("s"))
     return each.groupBy(*keys).agg(F.count("*").alias("work_count"), F.sum("c").cast("long").alias("citation_sum"), F.sum("s").alias("topic_score_sum"))
 
 
-def target_works(production: DataFrame, works: DataFrame, author_institutions: DataFrame) -> DataFrame:
+def target_works(production: DataFrame, works: DataFrame, author_institutions: DataFrame, dealt: bool = False) -> DataFrame:
     """Works of the companies of a bridge, each once, dealt by work."""
-    e = author_institutions.select("work_id", "institution_id").repartition("work_id").distinct()
+    e = author_institutions.select("work_id", "institution_id")
+    e = (e if dealt else e.repartition("work_id")).distinct()
     mine = e.join(production.select(COMPANY, INSTITUTION), e["institution_id"] == F.col(INSTITUTION))
     return mine.join(works, mine["work_id"] == works["id"]).select(COMPANY, INSTITUTION, "work_id", "publication_year", "cites").distinct()
 
@@ -89,6 +91,28 @@ def delta(base: DataFrame, candidate: DataFrame, key: str, order: str) -> DataFr
     return new.groupBy(key).agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n_rows"))
 
 
+def research_delta(base: DataFrame, candidate: DataFrame) -> DataFrame:
+    """Companies whose research a candidate release covers and its base does not: name, institution, company-year rows, first and last
+    year, and works and citations summed over the years. Where rows of a company differ in name or institution, the smallest is told."""
+    new = candidate.join(base.select(F.col(COMPANY).alias("bc")).distinct(), F.col(COMPANY) == F.col("bc"), "left_anti")
+    long = lambda c, name: F.sum(c).cast("long").alias(name)
+    return new.groupBy(COMPANY).agg(
+        F.min("company_name").alias("company_name"), F.min(INSTITUTION).alias(INSTITUTION), F.count("*").alias("company_year_rows"), F.min("publication_year").alias("min_year"), F.max("publication_year").alias("max_year"),
+        long("work_count", "summed_work_count"), long("citation_sum", "summed_citation_sum"),
+    )
+
+
+def research_delta_summary(base: DataFrame, candidate: DataFrame, bridge: DataFrame, new: DataFrame | None = None) -> DataFrame:
+    """One row: companies of base and candidate, rows of the candidate's bridge, and what research_delta adds up to."""
+    new = research_delta(base, candidate) if new is None else new
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    parts = [
+        base.agg(F.count_distinct(COMPANY).alias("base_research_companies")), candidate.agg(F.count_distinct(COMPANY).alias("candidate_research_companies")), bridge.agg(F.count("*").alias("candidate_bridge_rows")),
+        new.agg(F.count("*").alias("new_companies_with_research"), total("company_year_rows").alias("new_company_year_rows"), total("summed_work_count").alias("new_summed_work_count"), total("summed_citation_sum").alias("new_summed_citation_sum")),
+    ]
+    return reduce(DataFrame.crossJoin, parts)  # single rows
+
+
 def freeze_release(inventory: DataFrame, verified: bool, errors: list[str]) -> DataFrame:
     """Objects and bytes by top-level folder; an unverified release is refused."""
     if not verified or errors:

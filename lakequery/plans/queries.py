@@ -4,6 +4,7 @@ orders stand for works, lineitem for their edges, customers and suppliers for co
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lakequery.functions import rank, text
-from lakequery.operators import catalog, corpus, joins, marts, quality, resolve
-from lakequery.sources.tables import within_budget
+from lakequery.operators import catalog, corpus, joins, marts, mergeable, quality, research, resolve
+from lakequery.sources import stored
+from lakequery.sources.tables import read_in_order, shared_folder, within_budget
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,8 +47,12 @@ def query(name: str, sql: str | None):
     return keep
 
 
+def _works_of(orders: DataFrame) -> DataFrame:
+    return orders.select(F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("publication_year"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cited_by_count"))
+
+
 def _works(t: Lake) -> DataFrame:
-    return t.orders.select(F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("publication_year"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cited_by_count"))
+    return _works_of(t.orders)
 
 
 def _edges(t: Lake) -> DataFrame:
@@ -67,13 +73,13 @@ def _(t):
 @query("q02_year_topic", f"WITH {WORKS} SELECT publication_year, l_partkey AS topic_id, count(DISTINCT id) AS work_count, {MEAN}, sum(l_quantity) AS topic_score_sum FROM lineitem JOIN w ON l_orderkey = id GROUP BY ALL")
 def _(t):
     topics = t.lineitem.select(F.col("l_orderkey").alias("work_id"), F.col("l_partkey").alias("topic_id"), F.col("l_quantity").alias("topic_score"))
-    return marts.year_marts(_works(t), topics=topics)["TOPIC_YEAR_METRICS"]
+    return marts.year_marts(_works(t), topics=topics)["WORK_YEAR_TOPIC"]
 
 
 @query("q03_year_institution_fanout", f"WITH {WORKS}, e AS (SELECT DISTINCT l_orderkey, l_suppkey, l_returnflag FROM lineitem) SELECT publication_year, l_suppkey AS institution_id, count(DISTINCT id) AS work_count, {MEAN} FROM e JOIN w ON l_orderkey = id GROUP BY ALL")
 def _(t):
     e = t.lineitem.select(F.col("l_orderkey").alias("work_id"), F.col("l_suppkey").alias("institution_id"), F.col("l_returnflag").alias("institution_country_code"))
-    return marts.year_marts(_works(t), institutions=e)["INSTITUTION_YEAR_METRICS"]
+    return marts.year_marts(_works(t), institutions=e)["WORK_YEAR_INSTITUTION"]
 
 
 PLACED = "e AS (SELECT DISTINCT l_orderkey AS work_id, n_name AS country FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)"
@@ -81,7 +87,7 @@ PLACED = "e AS (SELECT DISTINCT l_orderkey AS work_id, n_name AS country FROM li
 
 @query("q04_year_country", f"WITH {WORKS}, {PLACED} SELECT publication_year, country AS country_code, count(DISTINCT id) AS work_count, {MEAN} FROM e JOIN w ON work_id = id GROUP BY ALL")
 def _(t):
-    return marts.year_marts(_works(t), institutions=_edges(t))["COUNTRY_YEAR_METRICS"]
+    return marts.year_marts(_works(t), institutions=_edges(t))["WORK_YEAR_COUNTRY"]
 
 
 @query("q05_country_collab_year", f"WITH {WORKS}, {PLACED} SELECT publication_year, a.country AS country_a, b.country AS country_b, count(DISTINCT id) AS work_count, {MEAN} FROM e a JOIN e b ON a.work_id = b.work_id AND a.country < b.country JOIN w ON a.work_id = id GROUP BY ALL")
@@ -420,7 +426,7 @@ def _(t):
     from lakequery.operators.research import company_year
 
     org = t.supplier.select(F.concat(F.lit("c"), "s_suppkey").alias("canonical_company_id"), F.col("s_name").alias("company_name"))
-    m = marts.year_marts(_works(t), institutions=_edges(t))["INSTITUTION_YEAR_METRICS"]
+    m = marts.year_marts(_works(t), institutions=_edges(t))["WORK_YEAR_INSTITUTION"]
     return company_year(org, _production(t), m)[0].select("company_name", "publication_year", "work_count", "citation_sum", "mean_citations")
 
 
@@ -638,3 +644,69 @@ def _(t):
     english = t.documents.where("lang = 'en'").select("doc_id")
     count = lambda df, side: df.agg(F.count("*").alias("n")).select(F.lit(side).alias("side"), "n")
     return count(t.labels.select("doc_id").subtract(english), "labels").union(count(english.subtract(t.labels.select("doc_id")), "documents"))
+
+
+def _shared(t: Lake, tag: str) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_folder(t.spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+@query("q71_streamed_year_country", SQL["q04_year_country"])
+def _(t):
+    """The country mart from partials that a stream of the works has written."""
+    from lakequery.streaming.incremental import refresh_marts, streamed_mart
+
+    works = t.spark.readStream.schema(t.orders.schema).parquet(f"{t.sf_dir}/orders.parquet*")  # a pattern, as a stream takes no single file
+    where = _shared(t, "streamed-marts")
+    refresh_marts(t.spark, _works_of(works), lambda files: {"institutions": _edges(t)}, f"{where}/partials", f"{where}/checkpoint")
+    return streamed_mart(t.spark, f"{where}/partials", "WORK_YEAR_COUNTRY")
+
+
+@query("q72_overlapping_partials", SQL["q02_year_topic"])
+def _(t):
+    """The topic mart where every work comes in two of eight files, with its edges in both."""
+    twice = lambda key: F.explode(F.array(F.pmod(key, F.lit(8)), F.pmod(key + 3, F.lit(8)))).alias("file")
+    topics = t.lineitem.select(twice(F.col("l_orderkey")), F.col("l_orderkey").alias("work_id"), F.col("l_partkey").alias("topic_id"), F.col("l_quantity").alias("topic_score"))
+    works = _works(t)
+    made = mergeable.mart_partials(works.select("*", twice(F.col("id"))), topics=topics, file="file")
+    return mergeable.merge_marts(made["WORK_YEAR_TOPIC"], "WORK_YEAR_TOPIC")
+
+
+@query("q73_bucketed_institution_year", SQL["q03_year_institution_fanout"])
+def _(t):
+    """The institution mart of works and edges stored in buckets of the work."""
+    where, name = _shared(t, "bucketed"), uuid.uuid4().hex
+    e = t.lineitem.select(F.col("l_orderkey").alias("work_id"), F.col("l_suppkey").alias("institution_id"), F.col("l_returnflag").alias("institution_country_code"))
+    works = stored.store_bucketed(_works(t), f"works_{name}", f"{where}/works", "id", 8)
+    edges = stored.store_bucketed(e, f"edges_{name}", f"{where}/edges", "work_id", 8)
+    return marts.year_marts(works, institutions=edges, dealt=True)["WORK_YEAR_INSTITUTION"]
+
+
+NEW = "b AS (SELECT c_custkey AS canonical_company_id, c_name AS company_name, c_nationkey AS openalex_institution_id, CAST(year(o_orderdate) AS INTEGER) AS publication_year, count(*) AS work_count, CAST(sum(round(o_totalprice * 100)) AS BIGINT) AS citation_sum FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL), d AS (SELECT canonical_company_id, min(company_name) AS company_name, min(openalex_institution_id) AS openalex_institution_id, count(*) AS company_year_rows, min(publication_year) AS min_year, max(publication_year) AS max_year, CAST(sum(work_count) AS BIGINT) AS summed_work_count, CAST(sum(citation_sum) AS BIGINT) AS summed_citation_sum FROM b WHERE publication_year >= 1995 AND canonical_company_id NOT IN (SELECT canonical_company_id FROM b WHERE publication_year IN (1992, 1994)) GROUP BY canonical_company_id)"
+
+
+def _company_years(t: Lake) -> DataFrame:
+    o = t.orders.select("o_custkey", F.year("o_orderdate").alias("publication_year"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cites"))
+    each = o.groupBy("o_custkey", "publication_year").agg(F.count("*").alias("work_count"), F.sum("cites").alias("citation_sum"))
+    return each.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_custkey").alias("canonical_company_id"), F.col("c_name").alias("company_name"), F.col("c_nationkey").alias("openalex_institution_id"), "publication_year", "work_count", "citation_sum")
+
+
+@query("q74_research_delta", f"WITH {NEW} SELECT * FROM d")
+def _(t):
+    y = _company_years(t)
+    return research.research_delta(y.where("publication_year in (1992, 1994)"), y.where("publication_year >= 1995"))
+
+
+@query("q75_research_delta_summary", f"WITH {NEW} SELECT (SELECT count(DISTINCT canonical_company_id) FROM b WHERE publication_year IN (1992, 1994)) AS base_research_companies, (SELECT count(DISTINCT canonical_company_id) FROM b WHERE publication_year >= 1995) AS candidate_research_companies, (SELECT count(*) FROM customer) AS candidate_bridge_rows, count(*) AS new_companies_with_research, CAST(coalesce(sum(company_year_rows), 0) AS BIGINT) AS new_company_year_rows, CAST(coalesce(sum(summed_work_count), 0) AS BIGINT) AS new_summed_work_count, CAST(coalesce(sum(summed_citation_sum), 0) AS BIGINT) AS new_summed_citation_sum FROM d")
+def _(t):
+    y = _company_years(t)
+    return research.research_delta_summary(y.where("publication_year in (1992, 1994)"), y.where("publication_year >= 1995"), t.customer)
+
+
+@query("q76_ordered_output", "SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS place FROM orders")
+def _(t):
+    """An ordered query written by the runner, with the place at which its files hold each row."""
+    t.views("orders")
+    where = _shared(t, "ordered")
+    catalog.execute_query(t.spark, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey", where)
+    return read_in_order(t.spark, where, "place")

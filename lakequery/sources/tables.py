@@ -10,22 +10,26 @@ import uuid
 import zipfile
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def persist_table(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and read it back, so that its values hold still."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from spark.checkpoint.dir; where that is unset, a local one serves a local master alone."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = "file:///tmp/checkpoints/lakequery"
-    path = f"{where.rstrip('/')}/table-{uuid.uuid4().hex}"
+    return where.rstrip("/")
+
+
+def persist_table(df: DataFrame) -> DataFrame:
+    """Write df to the shared checkpoint folder and read it back, so that its values hold still."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_tables(spark: SparkSession, *paths: str, base: str | None = None, lineage: bool = False) -> DataFrame:
@@ -222,12 +226,23 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_json_array(df: DataFrame, path: str) -> None:
-    """One file of one JSON array, an element a line; its rows pass through one task, none is held. A null stays a null."""
-    rows = df.select(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"ignoreNullFields": "false"}).alias("value"))
-    first = F.monotonically_increasing_id() == 0
-    body = rows.coalesce(1).select(F.concat(F.when(first, "[").otherwise(","), "value").alias("value"))
-    end = df.sparkSession.range(0, 1, 1, 1).select(F.lit("[]" if df.isEmpty() else "]").alias("value"))
-    body.union(end).coalesce(1).write.text(path)
+    """One file of one JSON array, an element a line, in the order of df; its rows pass through one task, which can spill. A null stays a null."""
+    rows = df.select(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"ignoreNullFields": "false"}).alias("value"), F.monotonically_increasing_id().alias("o"))
+    end = df.sparkSession.range(0, 1, 1, 1).select(F.lit(None).cast("string").alias("value"), F.lit(2**63 - 1).alias("o"))
+    # tasks are merged in any order, so by number again; only the end has no value
+    one = rows.union(end).coalesce(1).sortWithinPartitions("o").select("value", (F.monotonically_increasing_id() == 0).alias("first"))
+    mark = F.when(F.col("value").isNull(), F.when(F.col("first"), "[]").otherwise("]")).otherwise(F.concat(F.when(F.col("first"), "[").otherwise(","), "value"))
+    one.select(mark.alias("value")).write.text(path)
+
+
+def read_in_order(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Rows of Parquet files with their place, from 0, over all files in the order of the files' names; Spark itself reads files in any order."""
+    df = spark.read.parquet(path)
+    rows = df.select("*", F.col("_metadata.file_path").alias(f"{name}_file"), F.col("_metadata.row_index").alias(f"{name}_row"))
+    ends = rows.groupBy(F.col(f"{name}_file").alias(f"{name}_of")).agg(F.count("*").alias(f"{name}_n"))  # a row for each file
+    before = ends.withColumn(f"{name}_before", F.coalesce(F.sum(f"{name}_n").over(Window.orderBy(f"{name}_of").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    both = rows.join(before, F.col(f"{name}_file") == F.col(f"{name}_of"))
+    return both.select(*df.columns, (F.col(f"{name}_before") + F.col(f"{name}_row")).alias(name))
 
 
 def write_text(df: DataFrame, path: str, column: str = "text") -> None:

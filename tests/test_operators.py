@@ -56,9 +56,9 @@ def test_marts(spark):
     inst = spark.createDataFrame([("w1", "i1", "US"), ("w1", "i1", "FR"), ("w1", "i2", "US")], "work_id string, institution_id string, institution_country_code string")
     m = marts.year_marts(master, institutions=inst)
     assert sorted(map(tuple, m["WORK_YEAR_METRICS"].collect())) == [(2020, 2, 4, 2.0), (2021, 1, 2, 2.0)]
-    assert sorted(map(tuple, m["INSTITUTION_YEAR_METRICS"].collect())) == [(2020, "i1", 1, 8, 8.0), (2020, "i2", 1, 4, 4.0)]
-    assert sorted(map(tuple, marts.year_marts(master, institutions=inst, strict_institutions=True)["INSTITUTION_YEAR_METRICS"].collect()))[0][3] == 4
-    assert sorted(map(tuple, m["COUNTRY_YEAR_METRICS"].collect())) == [(2020, "FR", 1, 4, 4.0), (2020, "US", 1, 4, 4.0)]
+    assert sorted(map(tuple, m["WORK_YEAR_INSTITUTION"].collect())) == [(2020, "i1", 1, 8, 8.0), (2020, "i2", 1, 4, 4.0)]
+    assert sorted(map(tuple, marts.year_marts(master, institutions=inst, strict_institutions=True)["WORK_YEAR_INSTITUTION"].collect()))[0][3] == 4
+    assert sorted(map(tuple, m["WORK_YEAR_COUNTRY"].collect())) == [(2020, "FR", 1, 4, 4.0), (2020, "US", 1, 4, 4.0)]
     partials = spark.createDataFrame([(2020, 2, 8), (2020, 3, 12)], "publication_year int, work_count long, citation_sum long")
     assert list(map(tuple, marts.reduce_partials(partials, []).collect())) == [(2020, 5, 20, 4.0)]
     with pytest.raises(ValueError):
