@@ -244,6 +244,81 @@ def run(datasets: list[Dataset], fetch, record, deadline: float | None = None, c
     return counts
 
 
+def jobs_of(spark: SparkSession, sources: list[Source], ceiling: str = "massive", sample: int | None = None) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """(jobs, errors): source_id, domain, key and url of all datasets within the ceiling, those of adapters too, and what adapters failed with; one that fails
+    stops no other. sample takes so many datasets of an adapter only, as a health check does."""
+    listed, out, errors = [], None, []
+    for s in sources:
+        if not s.adapter:
+            listed += [(s.source_id, s.domain, f"{s.source_id}/{d.key}", d.url) for d in s.datasets if tier_rank(d.tier) <= tier_rank(ceiling)]
+            continue
+        try:
+            found = ADAPTERS[s.adapter](spark, s.options).select(F.lit(s.source_id).alias("source_id"), F.lit(s.domain).alias("domain"), F.concat(F.lit(f"{s.source_id}/"), F.col("key")).alias("key"), "url")
+            found = found if sample is None else found.orderBy("key").limit(sample)
+            out = found if out is None else out.union(found)
+        except Exception as e:  # noqa: BLE001  isolation is the point
+            errors.append((s.source_id, f"{type(e).__name__}: {e}"[:400]))
+    fixed = spark.createDataFrame(listed, "source_id string, domain string, key string, url string")
+    return (fixed if out is None else fixed.union(out)), errors
+
+
+def health(probed: DataFrame) -> str:
+    """A Markdown report of probes (web.probe): counts, then failing and reachable entries in order of their keys."""
+    rows = probed.orderBy("key").collect()  # one for each entry of a registry
+    good, bad = [r for r in rows if r["ok"]], [r for r in rows if not r["ok"]]
+    clean = lambda x: str(x).replace("|", "/")
+    lines = ["# Health of the registry", "", f"- checked: {len(rows)}", f"- reachable: {len(good)}", f"- failing: {len(bad)}", ""]
+    if bad:
+        lines += ["## Failing", "", "| Key | Status | Why |", "|---|---|---|", *(f"| `{r['key']}` | {r['http_status'] or '-'} | {clean(r['note'])} |" for r in bad), ""]
+    lines += ["## Reachable", "", "| Key | Bytes | Kind |", "|---|---:|---|", *(f"| `{r['key']}` | {'-' if r['size'] is None else format(r['size'], ',')} | {clean(r['note'])} |" for r in good)]
+    return "\n".join(lines) + "\n"
+
+
+def fetch_run(spark: SparkSession, jobs: DataFrame, raw: str, state: str, limits=None, tasks: int = 64, lanes: int = 1) -> dict[str, int]:
+    """One run over jobs (source_id, domain, key, url and any other column of web.JOB). What the state log has as the last good etag and time of a key goes with its request. Chunks go to
+    raw/run=N; the log gets a row for each key that was tried, all at the end and in one write, so a run that breaks off leaves no state and its chunks count for nothing. Returns
+    how many jobs ended in each way, and bytes."""
+    from lakequery.sources import web
+    from lakequery.sources.tables import latest_state, path_exists
+
+    if path_exists(spark, state):
+        last = latest_state(spark.read.schema(STATE).parquet(state), "key", "at").where(F.col("status").isin("OK", "UNCHANGED"))
+        known = last.select(F.col("key").alias("known_key"), F.col("etag").alias("known_etag"), F.col("modified").alias("known_modified"))
+        asked = jobs.drop("etag", "modified").join(known, F.col("key") == F.col("known_key"), "left").withColumnsRenamed({"known_etag": "etag", "known_modified": "modified"}).drop("known_key")
+    else:
+        asked = jobs
+    run = f"{int(time.time() * 1000):015d}"
+    web.fetch(asked, limits or web.Limits(), tasks, lanes).write.option("compression", "zstd").parquet(f"{raw}/run={run}")
+    ended = web.results(spark.read.parquet(f"{raw}/run={run}"))
+    who = jobs.select(F.col("key").alias("job_key"), "source_id", "domain", "url")
+    rows = ended.where("status <> 'SKIPPED'").join(who, F.col("key") == F.col("job_key"))
+    rows.select(*(F.col(c.split()[0]) for c in STATE.split(", "))).coalesce(1).write.mode("append").parquet(state)
+    counts = {r["status"]: r["n"] for r in ended.groupBy("status").agg(F.count("*").alias("n")).collect()}
+    total = ended.agg(F.sum("bytes")).first()[0]
+    return counts | ({"bytes": total} if total else {})
+
+
+def raw_files(spark: SparkSession, raw: str, state: str) -> DataFrame:
+    """key, seq, content: the chunks of the last whole download of each key."""
+    from lakequery.functions.rank import top_n
+    from lakequery.sources import web
+
+    whole = top_n(spark.read.schema(STATE).parquet(state).where("status = 'OK'"), ["key"], [F.desc("at")]).select(F.col("key").alias("wk"), F.col("sha256").alias("ws"))
+    fetched = spark.read.parquet(raw).withColumn("run", F.col("run").cast("string"))
+    ok = web.results(fetched).where("status = 'OK'").join(whole, (F.col("key") == F.col("wk")) & (F.col("sha256") == F.col("ws")))
+    first = ok.groupBy(F.col("key").alias("fk")).agg(F.max(F.struct("run", "attempt")).alias("f"))  # the same bytes may have come twice
+    return fetched.where("seq is not null").join(first, (F.col("key") == F.col("fk")) & (F.col("run") == F.col("f.run")) & (F.col("attempt") == F.col("f.attempt"))).select("key", "seq", "content")
+
+
+def compact_state(spark: SparkSession, state: str, target: str) -> None:
+    """The log with only the newest row of each key, and its newest good one where that is older, written to target."""
+    from lakequery.functions.rank import top_n
+
+    log = spark.read.schema(STATE).parquet(state)
+    kind = F.when(F.col("status").isin("OK", "UNCHANGED"), 0).otherwise(1)
+    top_n(log.withColumn("state_kind", kind), ["key", "state_kind"], [F.desc_nulls_last("at")]).drop("state_kind").write.parquet(target)
+
+
 STATE = "key string, source_id string, domain string, url string, status string, etag string, modified string, sha256 string, bytes long, error string, at timestamp"
 
 

@@ -25,6 +25,11 @@ def shared_folder(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+
+
 def persist_table(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and read it back, so that its values hold still."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
