@@ -37,24 +37,20 @@ class Tree:
         return Tree((*self.regions, ((weight,),)))
 
 
-def _draw(key: Column, name: str, weight: float) -> Column:
-    digits = F.substring(F.md5(F.concat(key, F.lit(f"|{name}"))), 1, 13)
+def _draw(key: Column, name: Column, weight: Column) -> Column:
+    digits = F.substring(F.md5(F.concat(key, F.lit("|"), name)), 1, 13)
     unit = (F.conv(digits, 16, 10).cast("double") + 0.5) / SPAN
-    return -F.ln(unit) / F.lit(float(weight))
+    return -F.ln(unit) / weight
 
 
-def _first(key: Column, children: list[tuple[str, float]]) -> Column:
-    """Smallest draw of the children and the child's number."""
-    draws = [F.struct(_draw(key, name, w).alias("d"), F.lit(i).alias("i")) for i, (name, w) in enumerate(children)]
-    return draws[0] if len(draws) == 1 else F.array_min(F.array(*draws))
+def _nodes(children: list[tuple[str, float, int]]) -> Column:
+    """Nodes with names, weights and numbers, as a constant: the tree is data, so a large one makes no larger plan."""
+    return F.array(*(F.struct(F.lit(name).alias("name"), F.lit(float(w)).alias("weight"), F.lit(i).alias("i")) for name, w, i in children))
 
 
-def _one_of(at: Column, choices: list[Column]) -> Column:
-    """The choice by number; the others are not evaluated."""
-    out = choices[-1]
-    for i in range(len(choices) - 2, -1, -1):
-        out = F.when(at == i, choices[i]).otherwise(out)
-    return out
+def _first(key: Column, children: Column) -> Column:
+    """Smallest draw of the children and the child's number."""
+    return F.array_min(F.transform(children, lambda c: F.struct(_draw(key, c["name"], c["weight"]).alias("d"), c["i"].alias("i"))))
 
 
 def placed(df: DataFrame, doc_id: str, tree: Tree, shard: str, grown: str) -> DataFrame:
@@ -63,19 +59,21 @@ def placed(df: DataFrame, doc_id: str, tree: Tree, shard: str, grown: str) -> Da
     key = F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null"))
     region, rack = fresh([*df.columns, shard, grown], "region", "rack")
     weight = lambda of: math.fsum(w for r in of for w in r)
-    df = df.withColumn(region, _first(key, [(str(g), weight(of)) for g, of in enumerate(tree.regions)]))
-    at = F.col(region)["i"]
-    df = df.withColumn(rack, _one_of(at, [_first(key, [(f"{g}.{r}", math.fsum(x)) for r, x in enumerate(of)])["i"] for g, of in enumerate(tree.regions)]))
-    number, regions = 0, []
+    regions, racks, shards, number = [], [], [], 0
     for g, of in enumerate(tree.regions):
-        shards = []
+        regions.append((str(g), weight(of), g))
+        racks.append(_nodes([(f"{g}.{r}", math.fsum(x), r) for r, x in enumerate(of)]))
+        held = []
         for r, x in enumerate(of):
-            shards.append(F.lit(number) + _first(key, [(f"{g}.{r}.{s}", w) for s, w in enumerate(x)])["i"])
+            held.append(_nodes([(f"{g}.{r}.{s}", w, number + s) for s, w in enumerate(x)]))
             number += len(x)
-        regions.append(_one_of(F.col(rack), shards))
-    df = df.withColumn(shard, _one_of(at, regions).cast("int"))
+        shards.append(F.array(*held))
+    df = df.withColumn(region, _first(key, _nodes(regions)))
+    at = F.col(region)["i"] + 1
+    df = df.withColumn(rack, _first(key, F.element_at(F.array(*racks), at))["i"])
+    df = df.withColumn(shard, _first(key, F.element_at(F.element_at(F.array(*shards), at), F.col(rack) + 1))["i"].cast("int"))
     further = len(tree.regions)
-    new = _draw(key, str(further), weight(tree.grown().regions[further])) < F.col(region)["d"]
+    new = _draw(key, F.lit(str(further)), F.lit(float(weight(tree.grown().regions[further])))) < F.col(region)["d"]
     return df.withColumn(grown, F.when(new, tree.n_shards).otherwise(F.col(shard)).cast("int")).drop(region, rack)
 
 
