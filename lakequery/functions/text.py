@@ -16,6 +16,14 @@ STOP_WORDS = ("the", "of", "and", "for", "a", "an")
 TRUE_WORDS = ("1", "true", "t", "yes", "y")
 
 
+def fresh(taken, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as none of the taken ones has in any case, so that working columns clash with no column."""
+    used, mark = {c.lower() for c in taken}, "_"
+    while any((mark + n).lower() in used for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
 def norm_name(c: Column) -> Column:
     """Lower case, every run of other than a-z and 0-9 one space, trimmed."""
     return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", " "))

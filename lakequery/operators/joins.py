@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakequery.functions.text import letter_counts, ratio_bound
+from lakequery.functions.text import fresh, letter_counts, ratio_bound
 
 
 def anti_any(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -32,12 +32,13 @@ def blocked_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name:
     """Pairs whose compact names share their first characters, whose lengths are in the same or a neighbouring bucket, and whose
     sequence ratio may reach `least` by their lengths and letters. The join is by prefix and exact length, so a frequent prefix
     is spread over lengths; pairs below the bounds are never made into rows."""
+    ln, lp, ll, rn, rp, rl = fresh([*left.columns, *right.columns], "ln", "lp", "ll", "rn", "rp", "rl")
     n = F.length(left_name)
     near = F.filter(F.sequence(F.greatest((F.floor(n / step) - 1) * step, F.lit(1)), (F.floor(n / step) + 2) * step - 1), lambda m: F.lit(2.0) * F.least(m, n) >= F.lit(least) * (m + n))
-    lk = left.withColumns({"_p": F.substring(left_name, 1, prefix), "_l": letter_counts(F.col(left_name)), "_n": F.explode(near)})
-    rk = right.withColumns({"_q": F.substring(right_name, 1, prefix), "_r": letter_counts(F.col(right_name)), "_m": F.length(right_name).cast("long")})
-    may = ratio_bound(F.length(left_name), F.length(right_name), F.col("_l"), F.col("_r")) >= least
-    return lk.join(rk, (F.col("_p") == F.col("_q")) & (F.col("_n") == F.col("_m")) & may).drop("_p", "_q", "_l", "_r", "_n", "_m")
+    lk = left.withColumns({lp: F.substring(left_name, 1, prefix), ll: letter_counts(F.col(left_name)), ln: F.explode(near)})
+    rk = right.withColumns({rp: F.substring(right_name, 1, prefix), rl: letter_counts(F.col(right_name)), rn: F.length(right_name).cast("long")})
+    may = ratio_bound(F.length(left_name), F.length(right_name), F.col(ll), F.col(rl)) >= least
+    return lk.join(rk, (F.col(lp) == F.col(rp)) & (F.col(ln) == F.col(rn)) & may).drop(lp, ll, ln, rp, rl, rn)
 
 
 def reconcile(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
@@ -50,4 +51,5 @@ def reconcile(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
 def keyword_hits(docs: DataFrame, terms: list[tuple[str, str]], text: Column) -> DataFrame:
     """(topic, term) of a bounded list of terms that occur in each text; the list becomes one array, no join."""
     listed = F.array(*(F.struct(F.lit(t).alias("topic"), F.lit(w).alias("term")) for t, w in terms))
-    return docs.withColumn("_t", text).withColumn("hit", F.explode(F.filter(listed, lambda x: F.contains(F.col("_t"), x["term"])))).select(*docs.columns, "hit.topic", "hit.term")
+    body, hit = fresh(docs.columns, "body", "hit")
+    return docs.withColumn(body, text).withColumn(hit, F.explode(F.filter(listed, lambda x: F.contains(F.col(body), x["term"])))).select(*(F.col(f"`{c}`") for c in docs.columns), f"{hit}.topic", f"{hit}.term")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lakequery.functions.rank import top_n
-from lakequery.functions.text import acronym, compact, legal_core, norm_name, sequence_ratio, truthy
+from lakequery.functions.text import acronym, compact, fresh, legal_core, norm_name, sequence_ratio, truthy
 from lakequery.operators.joins import anti_any, blocked_pairs
 
 COMPANY, INSTITUTION = "canonical_company_id", "openalex_institution_id"
@@ -185,7 +185,8 @@ def geo_decision(links: DataFrame) -> DataFrame:
         (F.lit(True), "KEEP_REVIEW", "review_evidence_not_sufficient"),
     ]
     verdict = F.coalesce(*(F.when(holds, F.struct(F.lit(d).alias("decision"), F.lit(r).alias("reason"))) for holds, d, r in rules))
-    df = df.withColumn("_v", verdict).withColumns({"reclassification_decision": F.col("_v.decision"), "reclassification_reason": F.col("_v.reason")}).drop("_v")
+    (v,) = fresh(df.columns, "v")
+    df = df.withColumn(v, verdict).withColumns({"reclassification_decision": F.col(v)["decision"], "reclassification_reason": F.col(v)["reason"]}).drop(v)
     return df.withColumn("production_approved_v2", F.col("reclassification_decision").isin("KEEP_PRODUCTION", "PROMOTE"))
 
 

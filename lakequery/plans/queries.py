@@ -244,12 +244,12 @@ def _(t):
 @query(
     "q29_argmax_profile",
     """WITH o AS (SELECT o_custkey, count(*) AS n, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS last_priority, CAST(min(o_orderdate) AS DATE) AS first_date, CAST(max(o_orderdate) AS DATE) AS last_date FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey),
-    c AS (SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 <> 0), ids AS (SELECT c_custkey AS k FROM c UNION SELECT o_custkey FROM o)
+    c AS (SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0), ids AS (SELECT c_custkey AS k FROM c UNION SELECT o_custkey FROM o)
     SELECT k, c_name, coalesce(n, 0) AS n_orders, last_priority, first_date, last_date, CASE WHEN c_name IS NOT NULL AND n IS NOT NULL THEN 'BOTH' WHEN c_name IS NOT NULL THEN 'MASTER' ELSE 'ORDER' END AS source_class FROM ids LEFT JOIN c ON k = c_custkey LEFT JOIN o ON k = o_custkey""",
 )
 def _(t):
     o = t.orders.where("o_orderstatus <> 'P'").groupBy("o_custkey").agg(F.count("*").alias("n"), F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("last_priority"), F.min("o_orderdate").cast("date").alias("first_date"), F.max("o_orderdate").cast("date").alias("last_date"))
-    c = t.customer.where("c_custkey % 3 <> 0").select("c_custkey", "c_name")
+    c = t.customer.where("c_acctbal > 0").select("c_custkey", "c_name")
     ids = c.select(F.col("c_custkey").alias("k")).union(o.select("o_custkey")).distinct()
     j = ids.join(c, F.col("k") == F.col("c_custkey"), "left").join(o, F.col("k") == F.col("o_custkey"), "left")
     cls = F.when(F.col("c_name").isNotNull() & F.col("n").isNotNull(), "BOTH").when(F.col("c_name").isNotNull(), "MASTER").otherwise("ORDER")
@@ -391,11 +391,12 @@ def _(t):
     return _judged(t).select("canonical_company_id", "source_bucket", "sec_business_country_iso2", "openalex_country_iso2", "country_match", "country_conflict", "reclassification_decision", "production_approved_v2")
 
 
-@query("q41_adjudicate", "SELECT CAST(s_suppkey AS VARCHAR) AS canonical_company_id, 'i' || s_suppkey AS openalex_institution_id, NULL::VARCHAR AS reclassification_decision, NULL::VARCHAR AS adjudication_version FROM supplier WHERE s_suppkey % 2 = 0 UNION SELECT CAST(s_suppkey AS VARCHAR), 'i' || s_suppkey, 'REVIEW_PRIORITY', 'v1' FROM supplier WHERE s_suppkey % 6 = 3")
+@query("q41_adjudicate", "SELECT CAST(s_suppkey AS VARCHAR) AS canonical_company_id, 'i' || s_suppkey AS openalex_institution_id, NULL::VARCHAR AS reclassification_decision, NULL::VARCHAR AS adjudication_version FROM supplier WHERE s_acctbal >= 4000 UNION SELECT CAST(s_suppkey AS VARCHAR), 'i' || s_suppkey, 'REVIEW_PRIORITY', 'v1' FROM supplier WHERE s_acctbal < 4000 AND s_nationkey < 9")
 def _(t):
-    s = t.supplier.select(F.col("s_suppkey").cast("string").alias("canonical_company_id"), F.concat(F.lit("i"), "s_suppkey").alias("openalex_institution_id"), F.col("s_suppkey").alias("k"))
-    decisions = s.select("canonical_company_id", F.when(F.col("k") % 3 == 0, "PROMOTE").otherwise("KEEP_REVIEW").alias("decision"))
-    return resolve.adjudicate(s.where("k % 2 = 0").drop("k"), s.drop("k").withColumn("reclassification_decision", F.lit("REVIEW_PRIORITY")), decisions, "v1", "REVIEW_PRIORITY")
+    s = t.supplier.select(F.col("s_suppkey").cast("string").alias("canonical_company_id"), F.concat(F.lit("i"), "s_suppkey").alias("openalex_institution_id"), "s_acctbal", "s_nationkey")
+    every = s.drop("s_acctbal", "s_nationkey")
+    decisions = s.select("canonical_company_id", F.when(F.col("s_nationkey") < 9, "PROMOTE").otherwise("KEEP_REVIEW").alias("decision"))
+    return resolve.adjudicate(s.where("s_acctbal >= 4000").drop("s_acctbal", "s_nationkey"), every.withColumn("reclassification_decision", F.lit("REVIEW_PRIORITY")), decisions, "v1", "REVIEW_PRIORITY")
 
 
 @query(
@@ -710,3 +711,6 @@ def _(t):
     where = _shared(t, "ordered")
     catalog.execute_query(t.spark, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey", where)
     return read_in_order(t.spark, where, "place")
+
+
+from lakequery.plans import file_queries  # noqa: E402, F401  it registers queries of its own
