@@ -10,6 +10,7 @@ is encoded whole, as the token is one id wherever it stands."""
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from itertools import chain, repeat
@@ -103,7 +104,8 @@ def decode_blocks(image: bytes) -> np.ndarray:
 
 
 class Pieces:
-    """A tokenizer that encodes each distinct piece once."""
+    """A tokenizer that encodes each distinct piece once. Pieces hold for byte-level tokenizers whose own pattern cuts texts and that change no text before;
+    any other one gets whole texts."""
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
     #: A space beside other white space or at an end; only then is a space no cut.
@@ -116,6 +118,8 @@ class Pieces:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        cut = json.loads(self.tokenizer.pre_tokenizer.__getstate__()) if self.tokenizer.pre_tokenizer is not None else {}
+        self.cuts = self.tokenizer.normalizer is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.opens = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
@@ -130,7 +134,7 @@ class Pieces:
         """Ids of all texts, each with the end id, and how many each has."""
         if len(self.place) > REMEMBERED:
             self._forget()
-        whole = pc.match_substring_regex(texts, f"[{FIRST}{LAST}{BARE}]")
+        whole = pc.match_substring_regex(texts, f"[{FIRST}{LAST}{BARE}]") if self.cuts else pa.array(np.ones(len(texts), dtype=bool))
         for token in self.special:  # such a token is one id wherever it stands
             whole = pc.or_(whole, pc.match_substring(texts, token))
         odd = pc.and_not(pc.match_substring_regex(texts, self.ODD), whole)

@@ -16,6 +16,9 @@ from lakequery.llm.common import fresh
 SPAN = float(16**13)
 #: Key buckets of a source.
 BUCKETS = 4096
+#: Share of documents that bucket bounds are laid out for, by weight. Documents of lower weight have larger keys; bounds for weight 1 alone would leave them to the last
+#: bucket.
+LAYOUT = ((0.5, 1.0), (0.1, 1 / 2), (0.1, 1 / 4), (0.1, 1 / 8), (0.1, 1 / 16), (0.1, 1 / 21))
 WEIGHTS = (3, 1, 2)
 
 
@@ -35,6 +38,12 @@ def sample_key(doc_id: Column, weight: Column, seed: int) -> Column:
     return -F.ln((F.conv(digits, 16, 10).cast("double") + 0.5) / SPAN) / weight
 
 
+def key_bucket(key: Column) -> Column:
+    """A number from 0 that grows with the key, about as often each for any usual mixture of weights."""
+    below = sum((F.lit(share) * (F.lit(1.0) - F.exp(key * F.lit(-weight))) for share, weight in LAYOUT), F.lit(0.0))
+    return F.least(F.lit(BUCKETS - 1), F.floor(below * BUCKETS)).cast("int")
+
+
 def source_targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """sizes (source, source_size) with target: shares by weight, none above most times its source's size, the excess reshared.
 
@@ -67,7 +76,7 @@ def mix_sources(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights:
     kept = [c for c in docs.columns if c not in names]
     n, key, crc, b, total, ts, ps, pb, ahead, run = fresh([*docs.columns, *names], "n", "key", "crc", "b", "total", "ts", "ps", "pb", "ahead", "run")
     sized = docs.select(*(F.col(f"`{c}`") for c in kept), n_words(F.col("text")).alias(n), sample_key(F.col("doc_id"), quality(F.col("text")), seed).alias(key), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).alias(crc))
-    full = sized.withColumn(b, F.least(F.lit(BUCKETS - 1), F.floor((F.lit(1.0) - F.exp(-F.col(key))) * BUCKETS)).cast("int"))
+    full = sized.withColumn(b, key_bucket(F.col(key)))
     parts = full.groupBy("source", b).agg(F.sum(n).alias(total))
     targets = source_targets(parts.groupBy("source").agg(F.sum(total).alias("source_size")), share, most, weights).select(F.col("source").alias(ts), "source_size", "target")
     before = parts.select(F.col("source").alias(ps), F.col(b).alias(pb), (F.sum(total).over(W.partitionBy("source").orderBy(b).rowsBetween(W.unboundedPreceding, 0)) - F.col(total)).alias(ahead))
