@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import time
 from dataclasses import dataclass, field
+from functools import reduce
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -113,10 +114,21 @@ ADAPTERS["usaspending_archive"] = years_by_kind
 
 @adapter("s3_public")
 def listed(spark: SparkSession, options: dict) -> DataFrame:
-    """A listing (key, size) within its byte budget and number of keys."""
+    """Objects of a store within a byte budget and a number of keys: of a listing (key, size) at hand, or of the host's own, read by ranges of keys. Suffixes
+    and max_keys count before the budget. Each object may be twice as large as listed, and a MiB at least."""
     from lakequery.sources.tables import within_budget
+    from lakequery.sources.web import list_store
 
-    return within_budget(options["listing"], options.get("max_bytes", 20 << 30), options.get("suffix", "")).orderBy("key").limit(options.get("max_keys", 2000))
+    host = options.get("host", "openalex.s3.amazonaws.com")
+    base = options.get("endpoint") or f"https://{host}/"
+    most = options.get("max_keys", 2000)
+    listing = options["listing"] if "listing" in options else list_store(spark, base, options.get("prefix", ""), options.get("start_after", ""), most)
+    ends = options.get("suffix") or []
+    ends = [ends] if isinstance(ends, str) else ends
+    if ends:
+        listing = listing.where(reduce(lambda a, z: a | z, (F.col("key").endswith(e) for e in ends)))
+    found = within_budget(listing, options.get("max_bytes", 20 << 30)).orderBy("key").limit(most)
+    return found.withColumns({"url": F.concat(F.lit(base), "key"), "max_bytes": F.greatest(F.col("size") * 2, F.lit(1 << 20))})
 
 
 @adapter("worldbank_indicators")
@@ -150,9 +162,15 @@ def first_links(spark: SparkSession, options: dict) -> DataFrame:
 
 @adapter("eurostat")
 def toc_codes(spark: SparkSession, options: dict) -> DataFrame:
-    """Codes of a tab-separated table of contents, each once, in the order of their first place."""
-    rows = options["lines"].select("ord", F.trim(F.try_element_at(F.split("value", "\t"), F.lit(2)), F.lit('"')).alias("key")).where(F.col("key").rlike("^[a-z0-9_]{4,40}$"))
-    return rows.groupBy("key").agg(F.min("ord").alias("ord")).orderBy("ord").limit(options.get("limit", 1000)).select("key")
+    """Codes of a tab-separated table of contents, each once, in the order of their first place, with their addresses."""
+    f = F.split("value", "\t")
+    cell = lambda i: F.trim(F.trim(F.try_element_at(f, F.lit(i))), F.lit('"'))
+    rows = options["lines"].select("ord", cell(2).alias("key"), cell(1).alias("notes")).where(F.col("key").rlike("^[a-z0-9_]{4,40}$"))
+    if p := options.get("include_regex"):
+        rows = rows.where(F.col("key").rlike(p))
+    first = rows.groupBy("key").agg(F.min("ord").alias("ord"), F.min_by("notes", "ord").alias("notes")).orderBy("ord").limit(options.get("limit", 1000))
+    url = F.concat(F.lit("https://ec.europa.eu/eurostat/api/dissemination/sdmx/2.1/data/"), "key", F.lit("/?format=TSV&compressed=true"))
+    return first.select("key", url.alias("url"), F.concat("key", F.lit(".tsv.gz")).alias("filename"), "notes")
 
 
 def dataflows(documents: DataFrame) -> DataFrame:

@@ -205,3 +205,11 @@ def test_listing(spark, base, page, ranges):
     assert [r.key for r in web.list_store(spark, f"{base}/list", "data/", max_keys=5, ranges=ranges, page=page).collect()] == [k for k in KEYS if k.startswith("data/")][:5]
     if ranges == 40:
         assert len(web.key_ranges(f"{base}/list", "data/", ranges=ranges)) >= 4
+
+
+def test_store_adapter(spark, base):
+    """A host's listing within a byte budget, its addresses fetched from the same place."""
+    ends = [k for k in KEYS if k.startswith("data/") and k.endswith((".gz", "x"))][:50]
+    total = sum(map(len, ends[:7]))
+    got = ingest.ADAPTERS["s3_public"](spark, {"endpoint": f"{base}/list", "prefix": "data/", "suffix": [".gz", "x"], "max_bytes": total, "max_keys": 50}).orderBy("key").collect()
+    assert [(r.key, r.url, r.max_bytes) for r in got] == [(k, f"{base}/list{k}", 1 << 20) for k in ends[:7]]
