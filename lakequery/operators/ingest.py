@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakequery.functions.text import fresh
+
 # Tiers from small to large.
 TIERS = ("core", "extended", "bulk", "massive")
 ADAPTERS: dict = {}
@@ -226,9 +228,10 @@ ADAPTERS["bigquery_public"] = nothing
 
 def changed(listing: DataFrame, state: DataFrame) -> DataFrame:
     """Listed keys that are new or differ in etag or time from their last good state."""
-    good = state.where(F.col("status").isin("OK", "UNCHANGED")).select("key", F.col("etag").alias("_e"), F.col("modified").alias("_m"))
-    j = listing.join(good, "key", "left")
-    return j.where(~(F.col("etag").eqNullSafe(F.col("_e")) & F.col("modified").eqNullSafe(F.col("_m"))) | (F.col("_e").isNull() & F.col("_m").isNull())).select(*listing.columns)
+    k, e, m = fresh(listing.columns, "k", "e", "m")
+    good = state.where(F.col("status").isin("OK", "UNCHANGED")).select(F.col("key").alias(k), F.col("etag").alias(e), F.col("modified").alias(m))
+    j = listing.join(good, F.col("key") == F.col(k), "left")
+    return j.where(~(F.col("etag").eqNullSafe(F.col(e)) & F.col("modified").eqNullSafe(F.col(m))) | (F.col(e).isNull() & F.col(m).isNull())).drop(k, e, m)
 
 
 def roll_up(state: DataFrame, by: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakequery.functions.rank import benjamini_hochberg
+from lakequery.functions.text import fresh
 
 
 def only_id(text: Column, pattern: str) -> Column:
@@ -29,10 +30,11 @@ def average_replicates(df: DataFrame, key: str, columns: list[str]) -> DataFrame
 
 def target_results(targets: DataFrame, results: DataFrame, on: str, columns: list[str], dataset: str, contrast: str) -> DataFrame:
     """Every target with its row of results, null where there is none, and the false-discovery rate among the distinct probes of the panel."""
-    found = results.select(F.col(on).alias("_on"), *columns)
-    rows = targets.join(found, F.col(on) == F.col("_on"), "left").drop("_on").withColumns({"dataset": F.lit(dataset), "contrast": F.lit(contrast)})
-    panel = benjamini_hochberg(rows.select(on, "PValue").distinct(), "PValue", "FDR_panel").select(F.col(on).alias("_p"), "FDR_panel")
-    return rows.join(panel, F.col(on) == F.col("_p"), "left").drop("_p")
+    other, probe = fresh([*targets.columns, *columns], "other", "probe")
+    found = results.select(F.col(on).alias(other), *columns)
+    rows = targets.join(found, F.col(on) == F.col(other), "left").drop(other).withColumns({"dataset": F.lit(dataset), "contrast": F.lit(contrast)})
+    panel = benjamini_hochberg(rows.select(on, "PValue").distinct(), "PValue", "FDR_panel").select(F.col(on).alias(probe), "FDR_panel")
+    return rows.join(panel, F.col(on) == F.col(probe), "left").drop(probe)
 
 
 def bound(tables: list[DataFrame], columns: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakequery.functions.text import fresh
 from lakequery.operators.marts import DIMS
 
 
@@ -57,16 +58,18 @@ def validate_staged(tables: dict[str, DataFrame], contracts: list[Contract]) ->
 
 def dominated(accepted: DataFrame, candidates: DataFrame, key: str, confidence: str, margin: float = 1e-12) -> DataFrame:
     """Scored accepted rows for whose key a candidate that was not accepted has a higher confidence; the best candidate alone is joined."""
-    best = candidates.where(~F.col("accepted")).groupBy(key).agg(F.max(confidence).alias("_best"))
-    return accepted.where("provenance = 'scored_matcher'").join(best, key).where(F.col("_best") > F.col(confidence) + margin).drop("_best")
+    (best,) = fresh(accepted.columns, "best")
+    other = candidates.where(~F.col("accepted")).groupBy(key).agg(F.max(confidence).alias(best))
+    return accepted.where("provenance = 'scored_matcher'").join(other, key).where(F.col(best) > F.col(confidence) + margin).drop(best)
 
 
 def bridge_checks(org: DataFrame, accepted: DataFrame, candidates: DataFrame, review: DataFrame) -> DataFrame:
     """The eleven checks of the accepted bridge as (check, value): one-to-one links, confidence within 0.965 to 1, exact links at 1, scored ones
     of the high tier, flags of the master, no stronger candidate, review and accepted apart."""
     company, institution = "canonical_company_id", "openalex_institution_id"
-    linked = accepted.select(company).distinct().withColumn("_l", F.lit(True))
-    flags = org.join(linked, company, "left").where(F.col("has_openalex_link") != F.coalesce("_l", F.lit(False)))
+    (has,) = fresh(org.columns, "has")
+    linked = accepted.select(company).distinct().withColumn(has, F.lit(True))
+    flags = org.join(linked, company, "left").where(F.col("has_openalex_link") != F.coalesce(has, F.lit(False)))
     within = checks(accepted, {
         "null_accepted_keys": invalid_key([company, institution]), "accepted_confidence_outside_policy": F.col("confidence").isNull() | ~F.col("confidence").between(0.965, 1.0), "accepted_rows_marked_unaccepted": ~F.col("accepted"),
         "exact_anchor_confidence_not_one": (F.col("provenance") == "exact_anchor") & (F.abs(F.col("confidence") - 1.0) > 1e-12), "scored_accepted_not_high_tier": (F.col("provenance") == "scored_matcher") & (F.col("confidence_tier") != "HIGH"),

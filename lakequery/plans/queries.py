@@ -549,8 +549,8 @@ def _(t):
 
 @query("q57_trailing_window", "SELECT event_id, event_type FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 3 DAY AND event_type IN ('click', 'view') ORDER BY ts DESC, event_id DESC LIMIT 50")
 def _(t):
-    last = t.events.agg(F.max("ts").alias("m")).first()["m"]
-    return t.events.where((F.col("ts") >= F.lit(last) - F.make_interval(days=F.lit(3))) & F.col("event_type").isin("click", "view")).orderBy(F.desc("ts"), F.desc("event_id")).limit(50).select("event_id", "event_type")
+    last = t.events.agg(F.max("ts").alias("m")).scalar()
+    return t.events.where((F.col("ts") >= last - F.make_interval(days=F.lit(3))) & F.col("event_type").isin("click", "view")).orderBy(F.desc("ts"), F.desc("event_id")).limit(50).select("event_id", "event_type")
 
 
 @query("q58_tier_select", "SELECT p_partkey, p_brand FROM part WHERE CASE WHEN p_size <= 10 THEN 0 WHEN p_size <= 25 THEN 1 WHEN p_size <= 40 THEN 2 ELSE 3 END <= 1 AND (regexp_matches(p_brand, '#1') OR regexp_matches(p_type, 'STEEL'))")
