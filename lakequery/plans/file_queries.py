@@ -253,3 +253,108 @@ def _(t):
     right = t.part.groupBy(F.concat_ws(" ", odd, brand).alias("display_name")).agg(F.min("p_partkey").cast("string").alias("id"))
     none = t.spark.createDataFrame([], "canonical_company_id string, openalex_institution_id string")
     return resolve.scored_bridge(left, right, none).select("canonical_company_id", "openalex_institution_id", "method", "name_similarity", "confidence", "accepted", "candidate_rank", "best_margin")
+
+
+def _one_text(df: DataFrame, where: str) -> str:
+    """Lines (o, value) as one text file, in the order of o."""
+    df.coalesce(1).sortWithinPartitions("o").select("value").write.text(where)
+    return where
+
+
+@query("q98_ticker_json", "SELECT CAST(c_custkey AS VARCHAR) AS cik, upper(c_mktsegment) AS ticker, c_name AS name, 'company_tickers' AS source FROM customer")
+def _(t):
+    where = _shared(t, "tickers")
+    tables.write_json_array(t.customer.select(F.col("c_custkey").cast("string").alias("cik_str"), F.lower("c_mktsegment").alias("ticker"), F.concat(F.lit(" "), "c_name").alias("title")), where)
+    return tables.read_tickers(t.spark, where).select("cik", "ticker", "name", "source")
+
+
+@query("q99_columnar_json", "SELECT CAST(s_suppkey AS VARCHAR) AS cik, s_name AS name, 'T' || s_suppkey AS ticker, CASE WHEN s_acctbal > 0 THEN 'N' || s_nationkey END AS exchange FROM supplier")
+def _(t):
+    where = _shared(t, "columnar")
+    row = F.array(F.col("s_suppkey").cast("string"), "s_name", F.concat(F.lit("t"), "s_suppkey"), F.when(F.col("s_acctbal") > 0, F.concat(F.lit("N"), "s_nationkey")))
+    whole = t.supplier.agg(F.to_json(F.struct(F.array(*map(F.lit, ("cik", "name", "ticker", "exchange"))).alias("fields"), F.collect_list(row).alias("data"))).alias("value"))
+    whole.coalesce(1).write.text(where)
+    return tables.read_exchange(t.spark, where).select("cik", "name", "ticker", "exchange")
+
+
+@query("q100_filing_index", "SELECT CAST(o_custkey AS VARCHAR) AS cik, 'C ' || o_custkey AS company_name, o_orderstatus AS form, CAST(o_orderdate AS DATE) AS filing_date, 'f/' || o_orderkey AS filename FROM orders")
+def _(t):
+    """A pipe-delimited index with a preamble and lines of another form."""
+    where = _shared(t, "index")
+    line = F.concat_ws("|", F.col("o_custkey").cast("string"), F.concat(F.lit(" C "), "o_custkey"), "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd"), F.concat(F.lit("f/"), "o_orderkey"))
+    head = t.spark.createDataFrame([(-3, "Description: index"), (-2, "CIK|Company Name|Form Type|Date Filed|Filename"), (-1, "------|--|-")], "o long, value string")
+    _one_text(head.union(t.orders.select(F.col("o_orderkey").alias("o"), line)), where)
+    return tables.read_filing_index(t.spark, [where]).select("cik", "company_name", "form", "filing_date", "filename")
+
+
+@query("q101_inventory", "SELECT 'docs/' || lang || '/' || doc_id AS Path, CAST(strlen(text) AS BIGINT) AS Size FROM documents")
+def _(t):
+    where = _shared(t, "inventory")
+    files = t.documents.select(F.concat_ws("/", F.lit("docs"), "lang", F.col("doc_id").cast("string")).alias("Path"), F.octet_length("text").cast("long").alias("Size"), F.lit(False).alias("IsDir"))
+    folders = t.documents.select(F.concat(F.lit("docs/"), "lang").alias("Path"), F.lit(-1).cast("long").alias("Size"), F.lit(True).alias("IsDir")).distinct()
+    tables.write_json_array(files.union(folders), where)
+    return tables.read_inventory(t.spark, where).select("Path", "Size")
+
+
+@query("q102_listing_page", "SELECT 'a&' || doc_id || '<' AS key, n_chars AS size FROM documents WHERE 'a&' || doc_id || '<' > 'a&2' ORDER BY key LIMIT 100")
+def _(t):
+    """A saved page of a store's listing: the first hundred keys behind a given one."""
+    where = _shared(t, "page")
+    entry = F.concat(F.lit("<Contents><Key>a&amp;"), "doc_id", F.lit("&lt;</Key><Size>"), "n_chars", F.lit("</Size></Contents>"))
+    _one_text(t.documents.select(F.col("doc_id").alias("o"), entry.alias("value")), where)
+    return tables.read_listing(t.spark, [where], start_after="a&2", max_keys=100)
+
+
+@query("q103_series_matrix", "SELECT p_partkey AS k, p_name AS name, CAST(p_size AS VARCHAR) AS size FROM part")
+def _(t):
+    where = _shared(t, "matrix")
+    line = F.concat_ws("\t", F.concat(F.lit('"'), F.col("p_partkey").cast("string"), F.lit('"')), F.concat(F.lit('"'), "p_name", F.lit('"')), F.col("p_size").cast("string"))
+    around = t.spark.createDataFrame([(-2, "!title\tx"), (-1, "!series_matrix_table_begin"), (2**62, "!series_matrix_table_end"), (2**62 + 1, "!after\ty")], "o long, value string")
+    _one_text(around.union(t.part.select(F.col("p_partkey").alias("o"), line)), where)
+    cells = tables.read_series_matrix(t.spark, where).select("cells")
+    return cells.select(F.col("cells")[0].cast("long").alias("k"), F.col("cells")[1].alias("name"), F.col("cells")[2].alias("size"))
+
+
+@query("q104_counts_table", "SELECT CAST(l_partkey AS VARCHAR) AS id, CAST(count(*) AS BIGINT) AS lines, CAST(sum(l_linenumber) AS BIGINT) AS numbers FROM lineitem GROUP BY l_partkey")
+def _(t):
+    """Counts by part as a gzipped table with a header line."""
+    where = _shared(t, "counts")
+    n = t.lineitem.groupBy("l_partkey").agg(F.count("*").alias("a"), F.sum("l_linenumber").alias("b"))
+    lines = n.select(F.col("l_partkey").alias("o"), F.concat_ws("\t", *(F.col(c).cast("string") for c in ("l_partkey", "a", "b"))).alias("value"))
+    head = t.spark.createDataFrame([(-1, '"s1"\t"s2"')], "o long, value string")
+    head.union(lines).coalesce(1).sortWithinPartitions("o").select("value").write.option("compression", "gzip").text(where)
+    back = tables.read_counts(t.spark, where, skip=1)
+    return back.select("id", F.col("values")[0].cast("long").alias("lines"), F.col("values")[1].cast("long").alias("numbers"))
+
+
+@query("q105_state_databases", "SELECT l_returnflag AS status, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS total, count(DISTINCT l_partkey) AS keys FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY ALL")
+def _(t):
+    """The lines as state databases, one for each task that writes, read back as one table with a filter that the databases answer."""
+    import os
+    import sqlite3
+
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    from lakequery.sources import package
+
+    where = package.local_path(_shared(t, "states"))
+
+    def write(batches):
+        os.makedirs(where, exist_ok=True)
+        task = TaskContext.get()
+        path = f"{where}/{task.partitionId()}.{task.attemptNumber()}"
+        con, n = sqlite3.connect(path), 0
+        con.execute("CREATE TABLE files(dataset_id TEXT, status TEXT, bytes INTEGER)")
+        for b in batches:
+            con.executemany("INSERT INTO files VALUES(?, ?, ?)", zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))
+            n += b.num_rows
+        con.commit()
+        con.close()
+        os.replace(path, f"{where}/{task.partitionId()}.sqlite")
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    rows = t.lineitem.select(F.col("l_partkey").cast("string").alias("k"), F.col("l_returnflag").alias("s"), F.col("l_orderkey").alias("bytes")).repartition(4)
+    rows.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    found = package.read_states(t.spark, f"{where}/*.sqlite", rows="5000").where(F.col("status").isin("A", "R"))
+    return found.groupBy("status").agg(F.count("*").alias("n"), F.sum("bytes").alias("total"), F.count_distinct("key").alias("keys"))

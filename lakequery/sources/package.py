@@ -26,6 +26,11 @@ KEY_SPELLINGS = ("dataset_id", "key")
 STATE_COLUMNS = {"key": "string", "source_id": "string", "status": "string", "bytes": "long", "bytes_in": "long", "bytes_out": "long", "error": "string"}
 
 
+def local_path(path: str) -> str:
+    """A path for Python's own calls, of one that may be written for Spark."""
+    return re.sub(r"^file:/*", "/", path)
+
+
 class RowRange(InputPartition):
     def __init__(self, path: str, first: int, last: int, key: str, columns: list[str]) -> None:
         super().__init__((path, first))
@@ -54,7 +59,7 @@ def _connected(path: str) -> sqlite3.Connection:
 
 class StateReader(DataSourceReader):
     def __init__(self, options) -> None:
-        self.pattern, self.table, self.rows = options["path"].removeprefix("file://"), options.get("table", "files"), int(options.get("rows", 100_000))
+        self.pattern, self.table, self.rows = local_path(options["path"]), options.get("table", "files"), int(options.get("rows", 100_000))
         if not re.fullmatch(r"\w+", self.table):
             raise ValueError(f"no table name: {self.table}")
         self.where: list[tuple[str, tuple]] = []
@@ -102,7 +107,7 @@ def read_states(spark: SparkSession, pattern: str, expected: int | None = None,
     """All rows of the state databases that a pattern finds; an unexpected number of files is an error."""
     spark.dataSource.register(StateSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")  # a source that can be asked must be
-    found = len(glob.glob(pattern.removeprefix("file://")))
+    found = len(glob.glob(local_path(pattern)))
     if expected is not None and found != expected:
         raise ValueError(f"{found} state databases, {expected} expected")
     return spark.read.format("state_db").options(**options).load(pattern)
@@ -258,7 +263,7 @@ def write_zip(members: DataFrame, path: str) -> int:
     """Write members (name, content) as one ZIP file at path, which all tasks must see as a file of the same name; tells its bytes. Members are deflated where they are; their
     places are running sums of packed sizes in the order of the names, so tasks write at their own offsets, all at once, and the directory comes last. A name that comes
     twice is an error. A repeated task writes the same bytes at the same place."""
-    spark, path = members.sparkSession, path.removeprefix("file://")
+    spark, path = members.sparkSession, local_path(path)
 
     def pack(batches):
         for b in batches:
@@ -309,7 +314,7 @@ def write_zip(members: DataFrame, path: str) -> int:
 def write_folder_zip(spark: SparkSession, folder: str, path: str) -> int:
     """A ZIP file of all files below a folder, by their paths in it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    cut = re.sub(r"^file:/*", "/", folder).rstrip("/") + "/"  # Spark writes file:/ where others write file:///
+    cut = local_path(folder).rstrip("/") + "/"  # Spark writes file:/ where others write file:///
     top = spark._jvm.org.apache.hadoop.fs.Path(folder)
     listed, empty = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listFiles(top, True), []
     while listed.hasNext():  # Spark reads no file without content
