@@ -50,7 +50,8 @@ def reconcile(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
 
 def keyword_hits(docs: DataFrame, terms: list[tuple[str, str]], text: Column) -> DataFrame:
     """(topic, term) of a bounded list of terms that occur in each text; the list becomes one array of tests, compiled with the rest and no join. The text's expression is evaluated once."""
-    hits, hit = fresh(docs.columns, "hits", "hit")
-    found = F.array_compact(F.array(*(F.when(F.contains(text, F.lit(w)), F.struct(F.lit(t).alias("topic"), F.lit(w).alias("term"))) for t, w in terms)))
+    body, hit = fresh(docs.columns, "body", "hit")
+    found = F.array_compact(F.array(*(F.when(F.contains(body, F.lit(w)), F.struct(F.lit(t).alias("topic"), F.lit(w).alias("term"))) for t, w in terms)))
     kept = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.select(*kept, found.alias(hits)).where(F.size(hits) > 0).select(*kept, F.explode(hits).alias(hit)).select(*kept, f"{hit}.topic", f"{hit}.term")
+    # the generator stays apart from the projection below it, which makes the text once
+    return docs.withColumn(body, text).select(*kept, F.explode(found).alias(hit)).select(*kept, f"{hit}.topic", f"{hit}.term")
