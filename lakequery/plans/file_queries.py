@@ -279,11 +279,11 @@ def _(t):
 
 @query("q100_filing_index", "SELECT CAST(o_custkey AS VARCHAR) AS cik, 'C ' || o_custkey AS company_name, o_orderstatus AS form, CAST(o_orderdate AS DATE) AS filing_date, 'f/' || o_orderkey AS filename FROM orders")
 def _(t):
-    """A pipe-delimited index with a preamble and lines of another form."""
+    """A pipe-delimited index with a preamble and lines of another form, in parts that tasks write; the preamble is the first part."""
     where = _shared(t, "index")
     line = F.concat_ws("|", F.col("o_custkey").cast("string"), F.concat(F.lit(" C "), "o_custkey"), "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd"), F.concat(F.lit("f/"), "o_orderkey"))
-    head = t.spark.createDataFrame([(-3, "Description: index"), (-2, "CIK|Company Name|Form Type|Date Filed|Filename"), (-1, "------|--|-")], "o long, value string")
-    _one_text(head.union(t.orders.select(F.col("o_orderkey").alias("o"), line)), where)
+    head = t.spark.createDataFrame([("Description: index",), ("CIK|Company Name|Form Type|Date Filed|Filename",), ("------|--|-",)], "value string").coalesce(1)
+    tables.write_text(head.union(t.orders.select(line)), where, "value")
     return tables.read_filing_index(t.spark, [where]).select("cik", "company_name", "form", "filing_date", "filename")
 
 

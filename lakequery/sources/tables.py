@@ -69,12 +69,22 @@ def read_exchange(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(get("cik").alias("cik"), F.upper(F.trim(get("ticker"))).alias("ticker"), F.trim(get("name")).alias("name"), get("exchange").alias("exchange"), F.lit("company_tickers_exchange").alias("source"), "ord")
 
 
+def numbered_lines(spark: SparkSession, path: str, charset: str = "UTF-8") -> DataFrame:
+    """(line, value) of a text file, or of a folder's files in the order of their names: lines end in \\n or \\r\\n and are numbered from 0 over all files.
+    A file may be of any size: its blocks are read by tasks of their own, and a row for each block tells how many lines come before it."""
+    block = ("_metadata.file_path", "_metadata.file_block_start")
+    raw = spark.read.option("lineSep", "\n").text(path).select("value", *(F.col(c).alias(n) for c, n in zip(block, ("path", "start"), strict=True)), F.monotonically_increasing_id().alias("id"))
+    blocks = raw.groupBy(F.col("path").alias("p"), F.col("start").alias("s")).agg(F.count("*").alias("n"), F.min("id").alias("first"))  # ids rise by one within a block
+    before = F.coalesce(F.sum("n").over(Window.orderBy("p", "s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = raw.join(F.broadcast(blocks.select("p", "s", (before - F.col("first")).alias("shift"))), (F.col("path") == F.col("p")) & (F.col("start") == F.col("s")))
+    return rows.select((F.col("id") + F.col("shift")).alias("line"), F.regexp_replace(F.decode(F.col("value").cast("binary"), charset), r"\r\z", "").alias("value"))
+
+
 def read_filing_index(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Pipe-delimited filing indexes with a preamble; file and line numbers are kept, as ties go to the first line."""
+    """Pipe-delimited filing indexes with a preamble, in ISO-8859-1; file and line numbers are kept, as ties go to the first line. A path is a file or a folder of one index's parts."""
     out = None
     for k, path in enumerate(paths):
-        lines = spark.read.option("encoding", "ISO-8859-1").text(path, wholetext=True)
-        part = lines.select(F.posexplode(F.split("value", "\r?\n")).alias("line", "value")).withColumn("file", F.lit(k))
+        part = numbered_lines(spark, path, "ISO-8859-1").withColumn("file", F.lit(k))
         out = part if out is None else out.union(part)
     f = F.split("value", r"\|", -1)
     rows = out.where(F.size(f) == 5).select("file", "line", *(F.trim(f[i]).alias(c) for i, c in enumerate(("cik", "company_name", "form", "date", "filename"))))

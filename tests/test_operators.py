@@ -156,6 +156,30 @@ def test_company_and_filings(spark, tmp_path):
     assert sorted((r.section, r.word_count) for r in got.collect()) == [("1", 13), ("1A", 100), ("7", None)] and uncovered.count() == 1
 
 
+@pytest.fixture
+def small_blocks(spark):
+    keys = {"spark.sql.files.maxPartitionBytes": "256", "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    was = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in was.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_filing_index_in_blocks(spark, tmp_path, small_blocks):
+    """One file is read by several tasks, and a folder's files are one index; line numbers are those of the whole, names are decoded, a lone carriage return ends no line."""
+    lines = ["Preamble", "CIK|Company Name|Form Type|Date Filed|Filename", "------", *(f"{i}| Soci\u00e9t\u00e9\r{'x' * (i % 37)} |10-K|2023-01-{1 + i % 28:02}|f/{i}" for i in range(200))]
+    (tmp_path / "one.idx").write_bytes("\r\n".join(lines).encode("latin-1"))
+    (tmp_path / "parts").mkdir()
+    for k, (a, b) in enumerate(((0, 3), (3, 40), (40, 41), (41, 203))):
+        (tmp_path / f"parts/part-{k}.txt").write_bytes("".join(x + "\n" for x in lines[a:b]).encode("latin-1"))
+    index = tables.read_filing_index(spark, [f"{tmp_path}/one.idx", f"{tmp_path}/parts"])
+    want = [(k, i + 3, str(i), f"Soci\u00e9t\u00e9\r{'x' * (i % 37)}", f"f/{i}") for k in (0, 1) for i in range(200)]
+    assert sorted(map(tuple, index.select("file", "line", "cik", "company_name", "filename").collect())) == want
+    assert index.where("file = 0").select(F.spark_partition_id().alias("p")).distinct().count() > 10
+
+
 def test_zip(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "s.zip", "w") as z:
         z.writestr("CIK0000000001.json", json.dumps({"name": "One", "addresses": {"business": {"city": "X", "isForeignLocation": False}}}))
