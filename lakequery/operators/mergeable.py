@@ -36,64 +36,68 @@ def _planes(rows: DataFrame, keys: list[str]) -> DataFrame:
     return each.groupBy(*keys, "bucket", "plane").agg(F.bitmap_construct_agg("p").alias("bits"))
 
 
-def containers(rows: DataFrame, keys: list[str], dense: int = DENSE) -> DataFrame:
-    """keys, bucket, works (a list of p and v), plane, bits of rows with keys, number and value. Of rows with the same keys and number the largest value holds;
-    values are not negative. All is dealt once, by keys and bucket, and no bucket has more than 32,768 works."""
-    value = F.when(F.col("value") < 0, F.raise_error(F.lit("a value is negative"))).otherwise(F.col("value")).cast("long")
-    d = rows.select(*keys, F.bitmap_bucket_number("number").alias("bucket"), F.bitmap_bit_position("number").cast("int").alias("p"), value.alias("v")).repartition(*keys, "bucket")
-    d = d.groupBy(*keys, "bucket", "p").agg(F.max("v").alias("v")).withColumn("n", F.count("*").over(W.partitionBy(*keys, "bucket")))
-    few = d.where(F.col("n") < dense).groupBy(*keys, "bucket").agg(F.sort_array(F.collect_list(F.struct("p", "v"))).alias("works"))
-    many = _planes(d.where(F.col("n") >= dense), keys)
+def containers(rows: DataFrame, keys: list[str], measures: tuple[str, ...], dense: int = DENSE) -> DataFrame:
+    """keys, measure, bucket, works (a list of p and v), plane, bits of rows with keys, number and a column for each measure. Of rows with the same keys and number the
+    largest values hold; values are not negative. All is dealt once, by keys and bucket, with all measures in a row, and no bucket has more than 32,768 works."""
+    value = lambda m: F.when(F.col(m) < 0, F.raise_error(F.lit("a value is negative"))).otherwise(F.col(m)).cast("long").alias(m)
+    d = rows.select(*keys, F.bitmap_bucket_number("number").alias("bucket"), F.bitmap_bit_position("number").cast("int").alias("p"), *map(value, measures)).repartition(*keys, "bucket")
+    d = d.groupBy(*keys, "bucket", "p").agg(*(F.max(m).alias(m) for m in measures)).withColumn("n", F.count("*").over(W.partitionBy(*keys, "bucket")))
+    each = lambda df, name: df.select("*", F.explode(F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).alias(name)) for m in measures))).alias("m"))
+    lists = d.where(F.col("n") < dense).groupBy(*keys, "bucket").agg(*(F.sort_array(F.collect_list(F.struct("p", F.col(m).alias("v")))).alias(m) for m in measures))
     none = F.lit(None)
-    return few.select(*keys, "bucket", "works", none.cast("int").alias("plane"), none.cast("binary").alias("bits")).union(many.select(*keys, "bucket", none.cast("array<struct<p:int,v:bigint>>"), "plane", "bits"))
+    few = each(lists, "works").select(*keys, "m.measure", "bucket", "m.works", none.cast("int").alias("plane"), none.cast("binary").alias("bits"))
+    many = _planes(each(d.where(F.col("n") >= dense), "v").select(*keys, "m.measure", "bucket", "p", "m.v"), [*keys, "measure"])
+    return few.union(many.select(*keys, "measure", "bucket", none.cast("array<struct<p:int,v:bigint>>"), "plane", "bits"))
 
 
-def united(partials: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, n (distinct works), total of containers of any number of partials. Lists that meet bitmaps become bitmaps first."""
+def united(partials: DataFrame, keys: list[str], measures: tuple[str, ...]) -> DataFrame:
+    """keys, and n (distinct works) and total of each measure, of containers of any number of partials. Lists that meet bitmaps become bitmaps first. Keys
+    and bucket alone deal the rows until the last sums, as they have dealt the containers."""
+    at = [*keys, "bucket"]
     full = partials.where("bits is not null")
-    listed = partials.where("bits is null").select(*keys, "bucket", F.explode("works").alias("w")).groupBy(*keys, "bucket", "w.p").agg(F.max("w.v").alias("v"))
-    have = full.select(*keys, "bucket").distinct()
-    loose = listed.join(have, [*keys, "bucket"], "left_anti").groupBy(*keys).agg(F.count("*").alias("n"), F.sum("v").alias("total"))
-    bits = full.select(*keys, "bucket", "plane", "bits").union(_planes(listed.join(have, [*keys, "bucket"], "left_semi"), keys))
-    bits = bits.groupBy(*keys, "bucket", "plane").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("c"))
-    is_works = F.col("plane") == WORKS
-    power = F.expr("shiftleft(1L, plane)")
-    dense = bits.groupBy(*keys).agg(F.sum(F.when(is_works, F.col("c")).otherwise(0)).alias("n"), F.sum(F.when(is_works, F.lit(0).cast("long")).otherwise(F.col("c") * power)).alias("total"))
-    return loose.union(dense).groupBy(*keys).agg(F.sum("n").cast("long").alias("n"), F.sum("total").cast("long").alias("total"))
-
-
-def mart_partials(master: DataFrame, topics: DataFrame | None = None, institutions: DataFrame | None = None, collaboration: DataFrame | None = None, file: str | None = None, number: Callable[[Column], Column] = work_number, dense: int = DENSE) -> dict[str, DataFrame]:
+    listed = partials.where("bits is null").select(*at, "measure", F.explode("works").alias("w")).groupBy(*at, "measure", "w.p").agg(F.max("w.v").alias("v"))
+    have = full.select(*at).distinct()
+    loose = listed.join(have, at, "left_anti").select(*keys, "measure", F.lit(1).cast("long").alias("n"), F.col("v").alias("total"))
+    bits = full.select(*keys, "measure", "bucket", "plane", "bits").union(_planes(listed.join(have, at, "left_semi"), [*keys, "measure"]))
+    bits = bits.groupBy(*at, "measure", "plane").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("c"))
+    is_works, zero = F.col("plane") == WORKS, F.lit(0).cast("long")
+    dense = bits.select(*keys, "measure", F.when(is_works, F.col("c")).otherwise(zero), F.when(is_works, zero).otherwise(F.col("c") * F.expr("shiftleft(1L, plane)")))
+    sums = [F.sum(F.when(F.col("measure") == m, F.col(c))).cast("long").alias(f"{m}_{c}") for m in measures for c in ("n", "total")]
+    return loose.union(dense).groupBy(*keys).agg(*sums)
+
+
+def mart_partials(master: DataFrame, topics: DataFrame | None = None, institutions: DataFrame | None = None, collaboration: DataFrame | None = None, file: str | None = None, number: Callable[[Column], Column] = work_number, dense: int = DENSE, dealt: bool = False) -> dict[str, DataFrame]:
     """Partials of the marts for which there are tables. A work may come in several files, then with all its edges in each: `file` names the column of master and
     edges that keeps the files apart. Scores are rounded to millionths. A work's citations must be the same in all partials; where they
-    are not, lists take the largest, and bitmaps mix them. Works whose id ends in no digit are an error."""
+    are not, lists take the largest, and bitmaps mix them. Works whose id ends in no digit are an error. Edges meet works, and files each other, where the work lies; dealt says that the tables are dealt by work."""
     tag = [file] if file else []
-    n = number(F.col("id"))
-    n = F.when(n.isNull(), F.raise_error(F.concat(F.lit("no number in "), F.col("id").cast("string")))).otherwise(n)
+    n = F.coalesce(number(F.col("id")).cast("long"), F.raise_error(F.concat(F.lit("no number in "), F.col("id").cast("string"))).cast("long"), F.lit(0).cast("long"))  # never null, so that no branch of a plan filters it and all share their exchanges
     w = works_of(master, *tag).withColumn("number", n)
     year = ["publication_year"]
-    out = {"WORK_YEAR_METRICS": containers(w.select(*year, F.lit(MEASURES[0]).alias("measure"), "number", F.col("cites").alias("value")), [*year, "measure"], dense)}
+    out = {"WORK_YEAR_METRICS": containers(w.select(*year, "number", "cites"), year, MEASURES[:1], dense)}
     wf = w.withColumnRenamed(file, "w_file") if file else w
-    for name, edges in edge_sets(topics, institutions, collaboration, extra=tuple(tag)).items():
-        on = (edges["work_id"] == wf["id"]) & (edges[file] == wf["w_file"]) if file else edges["work_id"] == wf["id"]
+    for name, edges in edge_sets(topics, institutions, collaboration, dealt=dealt, extra=tuple(tag)).items():
+        on = edges["work_id"] == wf["id"]
+        if file:
+            on &= edges[file].between(wf["w_file"], wf["w_file"])  # equal, but the work alone deals the rows
         keys = [*year, *DIMS[name]]
-        sums = [F.sum("cites").alias("cites"), *([F.sum("score").alias("score")] if "score" in edges.columns else [])]
-        each = edges.join(wf, on).groupBy(*tag, "number", *keys).agg(*sums)
-        values = [F.struct(F.lit(MEASURES[0]).alias("measure"), F.col("cites").alias("value"))]
-        if "score" in edges.columns:
-            values.append(F.struct(F.lit(MEASURES[1]).alias("measure"), F.round(F.col("score") * SCORE_UNIT).cast("long").alias("value")))
-        out[name] = containers(each.select(*keys, "number", F.explode(F.array(*values)).alias("m")).select(*keys, "m.measure", "number", "m.value"), [*keys, "measure"], dense)
+        held = [m for m in MEASURES if m == MEASURES[0] or m in edges.columns]
+        each = edges.join(wf, on).groupBy(*tag, "id", "number", *keys).agg(*(F.sum(m).alias(m) for m in held))
+        if "score" in held:
+            each = each.withColumn("score", F.round(F.col("score") * SCORE_UNIT).cast("long"))
+        if file:
+            each = each.groupBy("id", "number", *keys).agg(*(F.max(m).alias(m) for m in held))
+        out[name] = containers(each.select(*keys, "number", *held), keys, tuple(held), dense)
     return out
 
 
 def merge_marts(partials: DataFrame, name: str) -> DataFrame:
     """The mart of a name from its partials of all files."""
     keys = ["publication_year", *DIMS[name]]
-    found = united(partials, [*keys, "measure"])
-    of = lambda m, c: F.max(F.when(F.col("measure") == m, F.col(c)))
-    sums = [of("cites", "n").alias("work_count"), of("cites", "total").alias("citation_sum")]
+    sums = [F.col("cites_n").alias("work_count"), F.col("cites_total").alias("citation_sum")]
     if name == "WORK_YEAR_TOPIC":
-        sums.append((of("score", "total") / SCORE_UNIT).alias("topic_score_sum"))
-    return found.groupBy(*keys).agg(*sums).withColumn("mean_citations", ratio(F.col("citation_sum"), F.col("work_count")))
+        sums.append((F.col("score_total") / SCORE_UNIT).alias("topic_score_sum"))
+    return united(partials, keys, MEASURES).select(*keys, *sums).withColumn("mean_citations", ratio(F.col("citation_sum"), F.col("work_count")))
 
 
 def paired_edges(spark: SparkSession, root: str, files: list[str], file: str) -> dict[str, DataFrame]:

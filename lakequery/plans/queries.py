@@ -665,11 +665,10 @@ def _(t):
 
 @query("q72_overlapping_partials", SQL["q02_year_topic"])
 def _(t):
-    """The topic mart where every work comes in two of eight files, with its edges in both."""
-    twice = lambda key: F.explode(F.array(F.pmod(key, F.lit(8)), F.pmod(key + 3, F.lit(8)))).alias("file")
-    topics = t.lineitem.select(twice(F.col("l_orderkey")), F.col("l_orderkey").alias("work_id"), F.col("l_partkey").alias("topic_id"), F.col("l_quantity").alias("topic_score"))
-    works = _works(t)
-    made = mergeable.mart_partials(works.select("*", twice(F.col("id"))), topics=topics, file="file")
+    """The topic mart where every work comes in two of eight files, with its edges in both; both tables are dealt by work before they double."""
+    twice = lambda df, key: df.repartition(key).select("*", F.explode(F.array(F.pmod(key, F.lit(8)), F.pmod(F.col(key) + 3, F.lit(8)))).alias("file"))
+    topics = twice(t.lineitem.select(F.col("l_orderkey").alias("work_id"), F.col("l_partkey").alias("topic_id"), F.col("l_quantity").alias("topic_score")), "work_id")
+    made = mergeable.mart_partials(twice(_works(t), "id"), topics=topics, file="file", dealt=True)
     return mergeable.merge_marts(made["WORK_YEAR_TOPIC"], "WORK_YEAR_TOPIC")
 
 

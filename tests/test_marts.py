@@ -3,6 +3,7 @@
 import json
 import random
 from collections import defaultdict
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +96,31 @@ def test_partials_of_shared_works(spark, dense):
     assert kinds == {True, False}  # bitmaps and lists
 
 
+@pytest.mark.parametrize("dense", [1, 3, 10**6])
+def test_file_partials_in_one_plan(spark, dense):
+    """Files that share works, merged from the plan of their partials: the marts of the distinct works, and only files of their own name meet."""
+    each, files = made(3, files=4, works=60)
+    master, edges = frames(spark, each)
+    tagged = [frames(spark, rows) for rows in files.values()]
+    tag = lambda pick: reduce(lambda a, b: a.unionByName(b), (pick(m, e).withColumn("file", F.lit(f"f{i}")) for i, (m, e) in enumerate(tagged)))
+    stray = spark.createDataFrame([("https://x.org/W1", "t9", 1.0, "none"), ("https://x.org/W1", "t9", 1.0, None)], f"{TOPIC}, file string")
+    got = mergeable.mart_partials(tag(lambda m, e: m), topics=tag(lambda m, e: e["topics"]).unionByName(stray), file="file", dense=dense)
+    assert rows_of(mergeable.merge_marts(got["WORK_YEAR_TOPIC"], "WORK_YEAR_TOPIC")) == rows_of(marts.year_marts(master, topics=edges["topics"])["WORK_YEAR_TOPIC"])
+
+
+def test_overlapping_partials_deal_once(spark):
+    """Works, edges, containers and the last sums are each dealt once, and all else reads those."""
+    from lakequery.plans.queries import QUERIES
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES["q72_overlapping_partials"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    dealt = [x for x in plan.splitlines() if " Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+    assert 0 < len(dealt) <= 4, "\n".join(dealt)
+
+
 def test_partials_refuse(spark):
     bad = spark.createDataFrame([("W1", 2020, -5)], WORK)
     with pytest.raises(Exception, match="negative"):
